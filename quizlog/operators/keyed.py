@@ -13,7 +13,6 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,18 +57,58 @@ def key_stats(
     return df.where(_not_null(keys)).groupBy(*keys).agg(*cols)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and return it as a plan
+    leaf: later plans read the files instead of recomputing the lineage, and
+    a lost executor does not force a recomputation from the log."""
+    return df.checkpoint(eager=True)
+
+
 def checked_broadcast(stats: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``stats`` marked for broadcast when it has at most ``max_rows``.
 
-    The table is persisted first so the count and the later join read the
-    same materialised rows instead of aggregating twice.  Above the limit the
-    table is returned unmarked and the join shuffles.
+    The table is materialised first so the size check and the later join read
+    the same rows instead of aggregating twice.  Above the limit the table is
+    returned unmarked and the join shuffles.
     """
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    stats = materialize(stats)
     n = stats.limit(max_rows + 1).count()
     return F.broadcast(stats) if n <= max_rows else stats
 
 
+def multi_key_stats(
+    df: DataFrame,
+    specs: Sequence[tuple[Sequence[str], dict[str, str]]],
+    value: str = "answerCode",
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> tuple[list[DataFrame], bool]:
+    """Several key statistics from one scan and one aggregation job.
+
+    ``specs`` is a list of (keys, {name: aggregate}).  All sets are computed
+    with ``groupingSets`` (each row is expanded once per set before the
+    partial aggregate), the result is materialised and its size checked once.
+    Returns one DataFrame per spec and whether they may be broadcast.
+    """
+    all_keys: list[str] = []
+    for keys, _ in specs:
+        all_keys += [k for k in keys if k not in all_keys]
+    names: dict[str, str] = {}
+    for _, aggs in specs:
+        names.update(aggs)
+    cols = [AGGS[a](F.col(value)).alias(n) for n, a in names.items()]
+    sets = [[F.col(k) for k in keys] for keys, _ in specs]
+    g = df.groupingSets(sets, *all_keys).agg(*cols, F.grouping_id().alias("_gid"))
+    g = materialize(g)
+    small = g.limit(max_rows + 1).count() <= max_rows
+    out = []
+    n = len(all_keys)
+    for keys, aggs in specs:
+        gid = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
+        part = g.where((F.col("_gid") == gid) & _not_null(keys)).select(*keys, *aggs)
+        out.append(part)
+    return out, small
+
+
 def left_enrich(
     df: DataFrame,
     stats: DataFrame,
@@ -138,10 +177,16 @@ def add_feature_stats(df: DataFrame, names: Sequence[str] | None = None, value:
         keys, agg = FEATURE_STATS[n]
         by_keys.setdefault(tuple(keys), {})[n] = agg
     out = df
+    dims = [(list(k), a) for k, a in by_keys.items() if "userID" not in k]
+    if dims:
+        tables, small = multi_key_stats(df, dims, value)
+        for (keys, _), t in zip(dims, tables):
+            out = out.join(F.broadcast(t) if small else t, keys, "left")
     for keys, aggs in by_keys.items():
-        stats = key_stats(df, list(keys), value, aggs)
-        # Statistics keyed by learner grow with the log: shuffle join.
-        out = left_enrich(out, stats, list(keys), broadcast=False if "userID" in keys else None)
+        if "userID" in keys:
+            # Statistics keyed by learner grow with the log: shuffle join,
+            # AQE splits a skewed learner partition.
+            out = out.join(key_stats(df, list(keys), value, aggs), list(keys), "left")
     return out
 
 
@@ -163,12 +208,13 @@ def target_encode(
     the training log has none.  Unseen keys get null unless ``fill`` is set.
     """
     src = df if fit_on is None else fit_on
+    specs = [([key], {f"{p}_mean": "mean", f"{p}_sum": "sum"}) for p, key in TARGET_KEYS.items()]
+    tables, small = multi_key_stats(src, specs, value)
     out = df
-    for prefix, key in TARGET_KEYS.items():
-        stats = key_stats(src, key, value, {f"{prefix}_mean": "mean", f"{prefix}_sum": "sum"})
-        out = left_enrich(out, stats, key)
-        if fill is not None:
-            out = out.fillna({f"{prefix}_mean": fill})
+    for (keys, _), t in zip(specs, tables):
+        out = out.join(F.broadcast(t) if small else t, keys, "left")
+    if fill is not None:
+        out = out.fillna({f"{p}_mean": fill for p in TARGET_KEYS})
     return out
 
 

@@ -16,19 +16,18 @@ bucket edges.  Results are identical on both paths.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import micros, school as school_of, grade as grade_of, seconds_component
-from .keyed import checked_broadcast
+from .keyed import checked_broadcast, materialize
 
 # Learners with more rows than this are split into time buckets.
 HOT_ROWS = 2_000_000
 # Target rows per time bucket of a split learner.
 BUCKET_ROWS = 500_000
 
-SCAN_COLS = ("_rn", "_cs", "_cc", "_next_ts", "_prev_val", "_rk_sum", "_rk_cnt")
+SCAN_COLS = ("_len", "_rn", "_cs", "_cc", "_next_ts", "_prev_val", "_rk_sum", "_rk_cnt")
 
 
 def _window(user: str, ts: str, tie: str, extra: tuple[str, ...] = ()) -> Window:
@@ -42,9 +41,8 @@ def _hot_users(df: DataFrame, user: str, ts: str, hot_rows: int) -> DataFrame |
         micros(F.max(ts)).alias("_max_us"),
     )
     # At most total_rows / hot_rows learners can pass; checked before use.
-    hot = counts.where(F.col("_n") > hot_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = materialize(counts.where(F.col("_n") > hot_rows))
     if hot.limit(1).count() == 0:
-        hot.unpersist()
         return None
     return hot
 
@@ -53,6 +51,7 @@ def _light_scan(df: DataFrame, value: str, user: str, ts: str, tie: str, recent_
     w = _window(user, ts, tie)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     cols = [
+        F.count(F.lit(1)).over(Window.partitionBy(user)).alias("_len"),
         F.row_number().over(w).alias("_rn"),
         F.sum(value).over(upto).alias("_cs"),
         F.count(value).over(upto).alias("_cc"),
@@ -71,7 +70,12 @@ def _bucketed_scan(
     nb = F.ceil(F.col("_n") / F.lit(bucket_rows))
     span = F.col("_max_us") - F.col("_min_us") + F.lit(1)
     bucket = F.least(nb - 1, F.floor((micros(ts) - F.col("_min_us")) / span * nb)).cast("long")
-    rows = df.join(F.broadcast(hot), user, "inner").withColumn("_b", bucket).drop("_n", "_min_us", "_max_us")
+    rows = (
+        df.join(F.broadcast(hot), user, "inner")
+        .withColumn("_b", bucket)
+        .withColumnRenamed("_n", "_len")
+        .drop("_min_us", "_max_us")
+    )
 
     wb = _window(user, ts, tie, ("_b",))
     upto = wb.rowsBetween(Window.unboundedPreceding, 0)
@@ -106,6 +110,7 @@ def _bucketed_scan(
     cc = F.col("_oc") + F.col("_lcc")
     out = out.select(
         *df.columns,
+        "_len",
         (F.col("_on") + F.col("_lrn")).cast("int").alias("_rn"),
         F.when(cc > 0, F.col("_os") + F.coalesce(F.col("_lcs"), F.lit(0))).alias("_cs"),
         cc.alias("_cc"),
@@ -125,6 +130,7 @@ def _bucketed_scan(
         rk_cnt = F.col("_cc") - F.coalesce(F.col("_cc_back"), F.lit(0))
         out = out.select(
             *df.columns,
+            "_len",
             "_rn",
             "_cs",
             "_cc",
@@ -150,7 +156,7 @@ def ordered_scan(
 ) -> DataFrame:
     """Add per-learner running columns in (ts, tie) order.
 
-    ``_rn`` 1-based position, ``_cs`` / ``_cc`` running sum / non-null count of
+    ``_len`` rows of the learner, ``_rn`` 1-based position, ``_cs`` / ``_cc`` running sum / non-null count of
     ``value`` including the row, ``_next_ts`` next row's timestamp,
     ``_prev_val`` previous row's value, and with ``recent_k`` the sum / count
     of non-null values over the last K rows (``_rk_sum`` / ``_rk_cnt``).

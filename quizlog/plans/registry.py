@@ -343,3 +343,229 @@ FROM interactions""",
 )
 def q_y5_rows(spark, sf_dir):
     return windows.add_interaction_token(_log(spark, sf_dir)).select("event_id", "userID", "interaction")
+
+
+# ---------------------------------------------------------------- E1, E2, A24
+
+from ..operators import augment, sequences, vocab  # noqa: E402
+
+_VOCAB_SQL = """v AS (SELECT col AS "column", label,
+             cast(row_number() OVER (PARTITION BY col ORDER BY label) - 1 AS int) AS code
+      FROM (SELECT DISTINCT col, label FROM (
+              SELECT 'assessmentItemID' AS col, assessmentItemID AS label FROM {src}
+              UNION ALL SELECT 'testId', testId FROM {src}
+              UNION ALL SELECT 'KnowledgeTag', cast(KnowledgeTag AS varchar) FROM {src}
+              UNION ALL SELECT c, 'unknown' FROM (VALUES ('assessmentItemID'), ('testId'), ('KnowledgeTag')) u(c))
+            WHERE label IS NOT NULL))"""
+
+
+@register("e1_vocabulary_fit", "WITH " + _VOCAB_SQL.format(src="train_log") + "\nSELECT * FROM v")
+def q_e1(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return vocab.fit_vocabulary(train)
+
+
+_APPLY_SQL = """
+SELECT t.event_id, t.userID,
+       coalesce(vi.code, ui.code) AS assessmentItemID,
+       coalesce(vt.code, ut.code) AS testId,
+       coalesce(vg.code, ug.code) AS KnowledgeTag
+FROM {target} t
+LEFT JOIN v vi ON vi."column" = 'assessmentItemID' AND vi.label = t.assessmentItemID
+LEFT JOIN v vt ON vt."column" = 'testId' AND vt.label = t.testId
+LEFT JOIN v vg ON vg."column" = 'KnowledgeTag' AND vg.label = cast(t.KnowledgeTag AS varchar)
+CROSS JOIN (SELECT code FROM v WHERE "column" = 'assessmentItemID' AND label = 'unknown') ui
+CROSS JOIN (SELECT code FROM v WHERE "column" = 'testId' AND label = 'unknown') ut
+CROSS JOIN (SELECT code FROM v WHERE "column" = 'KnowledgeTag' AND label = 'unknown') ug"""
+
+
+@register("e2_vocabulary_apply_test", "WITH " + _VOCAB_SQL.format(src="train_log") + _APPLY_SQL.format(target="test_log"))
+def q_e2(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    v = vocab.fit_vocabulary(train)
+    return vocab.apply_vocabulary(test, v).select("event_id", "userID", *vocab.CATEGORICAL)
+
+
+@register(
+    "a24_vocabulary_sizes",
+    "WITH " + _VOCAB_SQL.format(src="train_log") + '\nSELECT "column", count(*) AS n_codes FROM v GROUP BY "column"',
+)
+def q_a24(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return vocab.vocabulary_sizes(vocab.fit_vocabulary(train))
+
+
+# ---------------------------------------------------------------- Y1-Y8
+
+N_SEQ = 20
+
+
+def prepared_train(spark, sf_dir):
+    """Training flow up to coded rows: grade-split ids (P5), target encoding
+    fitted on itself (A15), vocabulary fitted and applied (E1, E2)."""
+    train, _ = _train_test(spark, sf_dir)
+    t = train.withColumn("seq_id", S.grade_split_id())
+    v = vocab.fit_vocabulary(t)
+    t = keyed.target_encode(t)
+    return vocab.apply_vocabulary(t, v)
+
+
+def _ints(c):
+    return F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), ",")
+
+
+_SEQ_SQL = (
+    "WITH t AS (SELECT *, concat(substring(assessmentItemID, 1, 3), cast(userID AS varchar)) AS seq_id "
+    "FROM train_log),\n"
+    + _VOCAB_SQL.format(src="t")
+    + """,
+c AS (SELECT t.*, vi.code AS q, vt.code AS te, vg.code AS tg FROM t
+      JOIN v vi ON vi."column" = 'assessmentItemID' AND vi.label = t.assessmentItemID
+      JOIN v vt ON vt."column" = 'testId' AND vt.label = t.testId
+      JOIN v vg ON vg."column" = 'KnowledgeTag' AND vg.label = cast(t.KnowledgeTag AS varchar)),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY "Timestamp" DESC, event_id DESC) AS r
+                     FROM c) WHERE r <= 20),
+s AS (SELECT seq_id, count(*) AS n,
+             list(te + 1 ORDER BY "Timestamp", event_id) AS test,
+             list(q + 1 ORDER BY "Timestamp", event_id) AS question,
+             list(tg + 1 ORDER BY "Timestamp", event_id) AS tag,
+             list(answerCode ORDER BY "Timestamp", event_id) AS correct
+      FROM k GROUP BY seq_id),
+z AS (SELECT *, list_transform(range(20 - n), lambda x: 0) AS pad FROM s)
+"""
+)
+
+
+@register(
+    "y1_y7_model_input_train",
+    _SEQ_SQL
+    + """SELECT seq_id,
+  array_to_string(list_concat(pad, test), ',') AS test,
+  array_to_string(list_concat(pad, question), ',') AS question,
+  array_to_string(list_concat(pad, tag), ',') AS tag,
+  array_to_string(list_concat(pad, correct), ',') AS correct,
+  array_to_string(list_concat(pad, list_transform(range(n), lambda x: 1)), ',') AS mask,
+  array_to_string(list_concat(pad, list_concat([0], list_transform(correct[1:n - 1], lambda x: x + 1))), ',')
+    AS interaction,
+  cast(n - 1 AS int) AS gather_index
+FROM z""",
+)
+def q_y1_y7(spark, sf_dir):
+    t = prepared_train(spark, sf_dir)
+    seqs = sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ)
+    mi = sequences.model_input(seqs, N_SEQ)
+    return mi.select(
+        "seq_id",
+        *[_ints(c).alias(c) for c in ("test", "question", "tag", "correct", "mask", "interaction")],
+        "gather_index",
+    )
+
+
+@register(
+    "y8_conts_matrix_train",
+    """WITH te AS (SELECT testId, avg(answerCode) AS test_mean FROM train_log GROUP BY testId),
+ta AS (SELECT KnowledgeTag, avg(answerCode) AS tag_mean FROM train_log GROUP BY KnowledgeTag),
+ai AS (SELECT assessmentItemID, avg(answerCode) AS assessment_mean FROM train_log GROUP BY assessmentItemID),
+t AS (SELECT l.*, concat(substring(l.assessmentItemID, 1, 3), cast(l.userID AS varchar)) AS seq_id,
+             te.test_mean, ta.tag_mean, ai.assessment_mean
+      FROM train_log l JOIN te USING (testId) JOIN ta USING (KnowledgeTag) JOIN ai USING (assessmentItemID)),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY "Timestamp" DESC, event_id DESC) AS r,
+                            count(*) OVER (PARTITION BY seq_id) AS cnt FROM t) WHERE r <= 20),
+real AS (SELECT seq_id, cast(20 - r AS int) AS pos,
+                round(cast(cast(test_mean AS float) AS double), 6) AS c0,
+                round(cast(cast(assessment_mean AS float) AS double), 6) AS c1,
+                round(cast(cast(tag_mean AS float) AS double), 6) AS c2 FROM k),
+pads AS (SELECT seq_id, cast(unnest(range(20 - least(cnt, 20))) AS int) AS pos FROM k WHERE r = 1)
+SELECT * FROM real UNION ALL SELECT seq_id, pos, 0.0, 0.0, 0.0 FROM pads""",
+)
+def q_y8(spark, sf_dir):
+    t = prepared_train(spark, sf_dir)
+    seqs = sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ, conts=sequences.CONT_COLS)
+    mi = sequences.model_input(seqs, N_SEQ)
+    e = mi.select("seq_id", F.posexplode("conts").alias("pos", "v"))
+    return e.select(
+        "seq_id",
+        F.col("pos").cast("int").alias("pos"),
+        *[F.round(F.col("v")[i].cast("double"), 6).alias(f"c{i}") for i in range(3)],
+    )
+
+
+# ---------------------------------------------------------------- G1-G6
+
+_ROWS_SQL = """r AS (SELECT userID, event_id,
+             row_number() OVER (PARTITION BY userID ORDER BY "Timestamp", event_id) - 1 AS p,
+             count(*) OVER (PARTITION BY userID) AS L FROM interactions)"""
+
+
+def _g_slide_sql(n, stride, shuffle_n=0):
+    copies = (
+        f"CASE WHEN L > {n} AND kind = 'full' AND \"window\" < T - 1 THEN range({shuffle_n}) ELSE [-1] END"
+        if shuffle_n
+        else "[-1]"
+    )
+    return f"""WITH {_ROWS_SQL},
+u AS (SELECT DISTINCT userID, L, CASE WHEN L > {n} THEN (L - {n}) // {stride} + 1 ELSE 1 END AS T FROM r),
+wins AS (SELECT userID, L, T, "window", 'full' AS kind,
+                CASE WHEN L > {n} THEN "window" * {stride} ELSE 0 END AS start
+         FROM (SELECT *, unnest(range(T)) AS "window" FROM u)
+         UNION ALL
+         SELECT userID, L, T, T, 'tail', L - {n} FROM u WHERE L > {n} AND L <> {n} + {stride} * (T - 1)),
+wc AS (SELECT *, unnest({copies}) AS copy FROM wins),
+j AS (SELECT wc.userID, wc."window", wc.copy, r.event_id, r.p - wc.start AS pos, r.p
+      FROM wc JOIN r ON r.userID = wc.userID AND r.p >= wc.start AND r.p < wc.start + {n})
+SELECT userID, cast("window" AS bigint) AS "window", cast(copy AS int) AS copy,
+       string_agg(cast(event_id AS varchar), ',' ORDER BY
+         CASE WHEN copy >= 0 THEN md5(concat_ws('|', userID, "window", copy, pos, '0'))
+              ELSE lpad(cast(pos AS varchar), 12, '0') END) AS event_ids
+FROM j GROUP BY userID, "window", copy"""
+
+
+def _g_out(df, key="window"):
+    cols = ["userID", F.col(key).cast("bigint").alias(key)]
+    if "copy" in df.columns:
+        cols.append(F.col("copy").cast("int").alias("copy"))
+    return df.select(*cols, _ints("event_ids").alias("event_ids"))
+
+
+@register("g1_g2_sliding_windows_n20_s7", _g_slide_sql(20, 7))
+def q_g1(spark, sf_dir):
+    return _g_out(augment.sliding_windows(_log(spark, sf_dir), n=20, stride=7))
+
+
+@register("g3_sliding_shuffled_n20_s7", _g_slide_sql(20, 7, shuffle_n=2))
+def q_g3(spark, sf_dir):
+    return _g_out(augment.sliding_windows(_log(spark, sf_dir), n=20, stride=7, shuffle=True, shuffle_n=2, seed=0))
+
+
+@register(
+    "g4_crop_tiled_n20",
+    f"""WITH {_ROWS_SQL}
+SELECT userID, cast(CASE WHEN L > 20 THEN p // 20 * 20 ELSE 0 END AS bigint) AS start,
+       string_agg(cast(event_id AS varchar), ',' ORDER BY p) AS event_ids
+FROM r GROUP BY 1, 2""",
+)
+def q_g4(spark, sf_dir):
+    return _g_out(augment.crop_windows(_log(spark, sf_dir), n=20, crop_type="tiled"), key="start")
+
+
+def _g_rand_sql(n, start_expr):
+    return f"""WITH {_ROWS_SQL},
+u AS (SELECT DISTINCT userID, L FROM r WHERE L > {n}),
+d AS (SELECT userID, L, unnest(range(L // {n} + 1)) AS j FROM u),
+h AS (SELECT userID, L, ('0x' || substr(md5(concat_ws('|', userID, j, '0')), 1, 8))::BIGINT AS hv FROM d),
+s AS (SELECT DISTINCT userID, {start_expr} AS start FROM h),
+rows AS (SELECT s.userID, s.start, r.event_id, r.p FROM s JOIN r ON r.userID = s.userID
+         AND r.p >= s.start AND r.p < s.start + {n}
+         UNION ALL SELECT userID, 0, event_id, p FROM r WHERE L <= {n})
+SELECT userID, cast(start AS bigint) AS start, string_agg(cast(event_id AS varchar), ',' ORDER BY p) AS event_ids
+FROM rows GROUP BY 1, 2"""
+
+
+@register("g5_crop_random_n20", _g_rand_sql(20, "hv % (L - 20 + 1)"))
+def q_g5(spark, sf_dir):
+    return _g_out(augment.crop_windows(_log(spark, sf_dir), n=20, crop_type="random", seed=0), key="start")
+
+
+@register("g6_crop_overhang_n20", _g_rand_sql(20, "(1 - 20) + hv % (L + 20 - 2)"))
+def q_g6(spark, sf_dir):
+    return _g_out(augment.crop_windows(_log(spark, sf_dir), n=20, crop_type="overhang", seed=0), key="start")
