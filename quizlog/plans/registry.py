@@ -569,3 +569,205 @@ def q_g5(spark, sf_dir):
 @register("g6_crop_overhang_n20", _g_rand_sql(20, "(1 - 20) + hv % (L + 20 - 2)"))
 def q_g6(spark, sf_dir):
     return _g_out(augment.crop_windows(_log(spark, sf_dir), n=20, crop_type="overhang", seed=0), key="start")
+
+
+# ---------------------------------------------------------------- P10, D1, D2, M10
+
+from ..operators import metrics, rank  # noqa: E402
+
+
+@register(
+    "p10_original_order",
+    'SELECT event_id, row_number() OVER (ORDER BY userID, "Timestamp", event_id) - 1 AS original_order '
+    "FROM interactions",
+)
+def q_p10(spark, sf_dir):
+    return rank.original_order(_log(spark, sf_dir)).select("event_id", "original_order")
+
+
+@register(
+    "d1_ratio_split_users",
+    """WITH u AS (SELECT DISTINCT userID FROM interactions),
+r AS (SELECT userID, row_number() OVER (ORDER BY md5(concat(cast(userID AS varchar), '|', '0')), userID) AS rk,
+             count(*) OVER () AS n FROM u)
+SELECT userID, rk <= floor(n * 0.7) AS is_train FROM r""",
+)
+def q_d1(spark, sf_dir):
+    return rank.ratio_split(_log(spark, sf_dir), "userID", ratio=0.7, seed=0)
+
+
+@register(
+    "d2_kfold_users",
+    """WITH u AS (SELECT DISTINCT userID FROM interactions)
+SELECT userID, cast(ntile(5) OVER (ORDER BY md5(concat(cast(userID AS varchar), '|', '42')), userID) - 1 AS int)
+       AS fold FROM u""",
+)
+def q_d2(spark, sf_dir):
+    return rank.kfold(_log(spark, sf_dir), "userID", k=5, seed=42)
+
+
+@register(
+    "m10_prediction_ids",
+    "SELECT userID, row_number() OVER (ORDER BY userID) - 1 AS id FROM test_log WHERE answerCode = -1",
+)
+def q_m10(spark, sf_dir):
+    _, test = _train_test(spark, sf_dir)
+    return rank.prediction_ids(test.where("answerCode = -1").select("userID"))
+
+
+# ---------------------------------------------------------------- M6-M9, P11
+
+# Predictions for metric checks (FIXTURES.md §3): score = accuracy of the
+# row's tag over the whole log, target = answerCode.
+_PRED_SQL = """p AS (SELECT i.event_id, cast(substring(i.testId, 3, 1) AS int) AS grade, s.m AS prediction,
+             i.answerCode AS target
+      FROM interactions i JOIN (SELECT KnowledgeTag, avg(answerCode) AS m FROM interactions
+                                GROUP BY KnowledgeTag) s ON i.KnowledgeTag = s.KnowledgeTag)"""
+
+
+def tag_score_predictions(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    scored = keyed.add_feature_stats(log, ["KnowledgeTag_acc_mean"])
+    return scored.select(
+        "event_id",
+        S.grade().alias("grade"),
+        F.col("KnowledgeTag_acc_mean").alias("prediction"),
+        F.col("answerCode").alias("target"),
+    )
+
+
+def _auc_sql(by: str = "") -> str:
+    g = f"{by}, " if by else ""
+    part = f"PARTITION BY {by} " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""WITH {_PRED_SQL},
+d AS (SELECT {g}prediction, cast(sum(target) AS double) AS pos, cast(sum(1 - target) AS double) AS neg
+      FROM p GROUP BY {g}prediction),
+c AS (SELECT *, coalesce(sum(neg) OVER ({part}ORDER BY prediction ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                         0) AS cum FROM d)
+SELECT {g}round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                     THEN sum(pos * (cum + 0.5 * neg)) / (sum(pos) * sum(neg)) END, 9) AS auc
+FROM c {grp}"""
+
+
+@register("m6_auroc_tag_score", _auc_sql())
+def q_m6(spark, sf_dir):
+    return metrics.auroc(tag_score_predictions(spark, sf_dir)).select(rnd("auc").alias("auc"))
+
+
+@register("m6_auroc_tag_score_by_grade", _auc_sql("grade"))
+def q_m6g(spark, sf_dir):
+    a = metrics.auroc(tag_score_predictions(spark, sf_dir), by=["grade"])
+    return a.select("grade", rnd("auc").alias("auc"))
+
+
+@register(
+    "m7_accuracy_tag_score",
+    f"""WITH {_PRED_SQL}
+SELECT round(avg(CASE WHEN CASE WHEN prediction >= 0.5 THEN 1 ELSE 0 END = target THEN 1.0 ELSE 0.0 END), 9) AS acc
+FROM p""",
+)
+def q_m7(spark, sf_dir):
+    return metrics.accuracy(tag_score_predictions(spark, sf_dir)).select(rnd("acc").alias("acc"))
+
+
+@register(
+    "m8_log_loss_tag_score",
+    f"""WITH {_PRED_SQL}
+SELECT round(avg(-(target * CASE WHEN prediction > 0 THEN greatest(ln(prediction), -100) ELSE -100 END
+                 + (1 - target) * CASE WHEN 1 - prediction > 0 THEN greatest(ln(1 - prediction), -100)
+                                  ELSE -100 END)), 9) AS log_loss
+FROM p""",
+)
+def q_m8(spark, sf_dir):
+    return metrics.log_loss(tag_score_predictions(spark, sf_dir)).select(rnd("log_loss").alias("log_loss"))
+
+
+@register(
+    "p11_binarize_tag_score",
+    f"""WITH {_PRED_SQL}
+SELECT event_id, round(prediction, 9) AS prediction, CASE WHEN prediction >= 0.5 THEN 1 ELSE 0 END AS label FROM p""",
+)
+def q_p11(spark, sf_dir):
+    p = tag_score_predictions(spark, sf_dir)
+    return p.select("event_id", rnd("prediction").alias("prediction"), S.binarize("prediction").alias("label"))
+
+
+_CANDIDATES = {
+    "item_acc": "assessmentItemID_acc_mean",
+    "tag_acc": "KnowledgeTag_acc_mean",
+    "test_acc": "testId_acc_mean",
+    "user_acc": "user_acc_mean",
+}
+
+
+@register(
+    "m9_best_scorer",
+    """WITH s AS (SELECT i.answerCode AS target, c.candidate,
+         CASE c.candidate WHEN 'item_acc' THEN a.m WHEN 'tag_acc' THEN b.m
+                          WHEN 'test_acc' THEN t.m ELSE u.m END AS prediction
+  FROM interactions i
+  JOIN (SELECT assessmentItemID, avg(answerCode) AS m FROM interactions GROUP BY 1) a USING (assessmentItemID)
+  JOIN (SELECT KnowledgeTag, avg(answerCode) AS m FROM interactions GROUP BY 1) b USING (KnowledgeTag)
+  JOIN (SELECT testId, avg(answerCode) AS m FROM interactions GROUP BY 1) t USING (testId)
+  JOIN (SELECT userID, avg(answerCode) AS m FROM interactions GROUP BY 1) u USING (userID)
+  CROSS JOIN (VALUES ('item_acc'), ('tag_acc'), ('test_acc'), ('user_acc')) c(candidate)),
+d AS (SELECT candidate, prediction, cast(sum(target) AS double) AS pos, cast(sum(1 - target) AS double) AS neg
+      FROM s GROUP BY 1, 2),
+c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY candidate ORDER BY prediction
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum FROM d),
+m AS (SELECT candidate, sum(pos * (cum + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM c GROUP BY 1)
+SELECT candidate, round(auc, 9) AS auc FROM m ORDER BY auc DESC, candidate LIMIT 1""",
+)
+def q_m9(spark, sf_dir):
+    log = keyed.add_feature_stats(_log(spark, sf_dir), list(_CANDIDATES.values()))
+    preds = None
+    for cand, col in _CANDIDATES.items():
+        p = log.select(F.lit(cand).alias("candidate"), F.col(col).alias("prediction"), F.col("answerCode").alias("target"))
+        preds = p if preds is None else preds.unionByName(p)
+    m = metrics.auroc(preds, by=["candidate"])
+    return metrics.best_candidate(m).select("candidate", rnd("auc").alias("auc"))
+
+
+# ---------------------------------------------------------------- M4 / M5
+
+K_FOLDS = 5
+
+
+def fold_tag_models(train: DataFrame, folds: DataFrame, k: int = K_FOLDS) -> DataFrame:
+    """Per fold f, the tag-accuracy model fitted on the other folds' rows:
+    ``(fold, KnowledgeTag, prediction)``.  Out-of-fold means come from per
+    (fold, tag) sums subtracted from per-tag totals, so the log is never
+    copied k times."""
+    t = train.join(folds, "userID")
+    per = t.groupBy("fold", "KnowledgeTag").agg(
+        F.sum("answerCode").alias("_fold_sum"), F.count("answerCode").alias("_fold_cnt")
+    )
+    tot = per.groupBy("KnowledgeTag").agg(F.sum("_fold_sum").alias("_all_sum"), F.sum("_fold_cnt").alias("_all_cnt"))
+    fold_ids = train.sparkSession.range(k).select(F.col("id").cast("int").alias("fold"))
+    grid = tot.crossJoin(F.broadcast(fold_ids)).join(per, ["fold", "KnowledgeTag"], "left")
+    s = F.col("_all_sum") - F.coalesce(F.col("_fold_sum"), F.lit(0))
+    c = F.col("_all_cnt") - F.coalesce(F.col("_fold_cnt"), F.lit(0))
+    return grid.select("fold", "KnowledgeTag", F.when(c > 0, s / c).alias("prediction"))
+
+
+@register(
+    "m4_m5_kfold_soft_vote",
+    """WITH u AS (SELECT DISTINCT userID FROM train_log),
+f AS (SELECT userID, ntile(5) OVER (ORDER BY md5(concat(cast(userID AS varchar), '|', '42')), userID) - 1 AS fold
+      FROM u),
+tf AS (SELECT t.*, f.fold FROM train_log t JOIN f USING (userID)),
+mdl AS (SELECT k.fold, tf.KnowledgeTag, avg(tf.answerCode) AS m
+        FROM tf CROSS JOIN (SELECT unnest(range(5)) AS fold) k WHERE tf.fold <> k.fold GROUP BY 1, 2),
+tg AS (SELECT userID, KnowledgeTag, row_number() OVER (ORDER BY userID) - 1 AS id FROM test_log WHERE answerCode = -1)
+SELECT tg.id, tg.userID, round(avg(mdl.m), 9) AS prediction
+FROM tg JOIN mdl ON tg.KnowledgeTag = mdl.KnowledgeTag GROUP BY tg.id, tg.userID""",
+)
+def q_m4_m5(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    folds = rank.kfold(train, "userID", k=K_FOLDS, seed=42)
+    models = keyed.checked_broadcast(fold_tag_models(train, folds))
+    targets = rank.prediction_ids(test.where("answerCode = -1").select("userID", "KnowledgeTag"))
+    fold_preds = targets.join(models, "KnowledgeTag").select("id", "userID", "fold", "prediction")
+    voted = metrics.soft_vote(fold_preds.select("id", "prediction"))
+    return voted.join(targets.select("id", "userID"), "id").select("id", "userID", rnd("prediction").alias("prediction"))
