@@ -771,3 +771,148 @@ def q_m4_m5(spark, sf_dir):
     fold_preds = targets.join(models, "KnowledgeTag").select("id", "userID", "fold", "prediction")
     voted = metrics.soft_vote(fold_preds.select("id", "prediction"))
     return voted.join(targets.select("id", "userID"), "id").select("id", "userID", rnd("prediction").alias("prediction"))
+
+
+# ---------------------------------------------------------------- A19-A23, P8
+
+from ..operators import profile  # noqa: E402
+
+# The reference profiles the per-row test accuracy.
+_TESTACC_SQL = """y AS (SELECT i.event_id, t.m AS x FROM interactions i
+      JOIN (SELECT testId, avg(answerCode) AS m FROM interactions GROUP BY testId) t ON i.testId = t.testId)"""
+_USERCNT_SQL = """y AS (SELECT i.event_id, cast(u.c AS double) AS x FROM interactions i
+      JOIN (SELECT userID, count(answerCode) AS c FROM interactions GROUP BY userID) u ON i.userID = u.userID)"""
+
+
+def _test_acc_rows(spark, sf_dir):
+    return keyed.add_feature_stats(_log(spark, sf_dir), ["testId_acc_mean"]).select(
+        "event_id", F.col("testId_acc_mean").alias("x")
+    )
+
+
+def _user_count_rows(spark, sf_dir):
+    return keyed.add_feature_stats(_log(spark, sf_dir), ["userID_count"]).select(
+        "event_id", F.col("userID_count").cast("double").alias("x")
+    )
+
+
+@register(
+    "a19_describe_test_acc",
+    f"""WITH {_TESTACC_SQL}
+SELECT count(x) AS count, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std, round(min(x), 9) AS min,
+       round(quantile_cont(x, 0.25), 9) AS p25, round(quantile_cont(x, 0.5), 9) AS p50,
+       round(quantile_cont(x, 0.75), 9) AS p75, round(max(x), 9) AS max FROM y""",
+)
+def q_a19(spark, sf_dir):
+    d = profile.describe(_test_acc_rows(spark, sf_dir), "x")
+    return d.select("count", *[rnd(c).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@register(
+    "a19_describe_user_count",
+    f"""WITH {_USERCNT_SQL}
+SELECT count(x) AS count, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std, round(min(x), 9) AS min,
+       round(quantile_cont(x, 0.25), 9) AS p25, round(quantile_cont(x, 0.5), 9) AS p50,
+       round(quantile_cont(x, 0.75), 9) AS p75, round(max(x), 9) AS max FROM y""",
+)
+def q_a19u(spark, sf_dir):
+    d = profile.describe(_user_count_rows(spark, sf_dir), "x")
+    return d.select("count", *[rnd(c).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@register(
+    "a20_mode_median_share",
+    f"""WITH {_TESTACC_SQL},
+m AS (SELECT x AS mode FROM y GROUP BY x ORDER BY count(*) DESC, x LIMIT 1)
+SELECT round(m.mode, 9) AS mode, round(quantile_cont(y.x, 0.5), 9) AS median,
+       round(avg(CASE WHEN y.x = m.mode THEN 1.0 ELSE 0.0 END), 9) AS mode_share
+FROM y CROSS JOIN m GROUP BY m.mode""",
+)
+def q_a20(spark, sf_dir):
+    d = profile.mode_median_share(_test_acc_rows(spark, sf_dir), "x")
+    return d.select(*[rnd(c).alias(c) for c in ("mode", "median", "mode_share")])
+
+
+_BAND_SQL = f"""WITH {_USERCNT_SQL},
+s AS (SELECT stddev_samp(x) AS sd, avg(x) AS mean, quantile_cont(x, 0.5) AS median FROM y),
+md AS (SELECT x AS mode FROM y GROUP BY x ORDER BY count(*) DESC, x LIMIT 1),
+c AS (SELECT 'mean' AS method, mean AS c, sd FROM s
+      UNION ALL SELECT 'median', median, sd FROM s
+      UNION ALL SELECT 'mode', md.mode, s.sd FROM s CROSS JOIN md),
+b AS (SELECT method, greatest(0, cast(trunc(c - 1.96 * sd) AS bigint)) AS lower,
+             cast(trunc(c + 1.96 * sd) AS bigint) AS upper FROM c)
+"""
+
+
+@register(
+    "a21_band_coverage_user_count",
+    _BAND_SQL
+    + """SELECT b.method, b.lower, b.upper,
+       round(avg(CASE WHEN y.x = floor(y.x) AND y.x >= b.lower AND y.x < b.upper THEN 1.0 ELSE 0.0 END), 9) AS coverage
+FROM b CROSS JOIN y GROUP BY b.method, b.lower, b.upper""",
+)
+def q_a21(spark, sf_dir):
+    rows = _user_count_rows(spark, sf_dir)
+    out = None
+    for m in ("mean", "median", "mode"):
+        c = profile.band_coverage(rows, "x", m).select(F.lit(m).alias("method"), "lower", "upper", rnd("coverage").alias("coverage"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register(
+    "a21_band_filter_rows_median",
+    _BAND_SQL
+    + """SELECT y.event_id, y.x FROM y CROSS JOIN (SELECT * FROM b WHERE method = 'median') b
+WHERE y.x = floor(y.x) AND y.x >= b.lower AND y.x < b.upper""",
+)
+def q_a21f(spark, sf_dir):
+    return profile.band_filter(_user_count_rows(spark, sf_dir), "x", "median").select("event_id", "x")
+
+
+@register(
+    "a22_histogram_test_acc",
+    f"""WITH {_TESTACC_SQL},
+r AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+             CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM y),
+cnt AS (SELECT cast(least(floor((x - lo) * (10.0 / (hi - lo))), 9) AS int) AS bin, count(*) AS count
+        FROM y CROSS JOIN r GROUP BY 1),
+bins AS (SELECT cast(unnest(range(10)) AS int) AS bin)
+SELECT bins.bin, round(lo + bins.bin * ((hi - lo) / 10), 9) AS lower_edge,
+       round(lo + (bins.bin + 1) * ((hi - lo) / 10), 9) AS upper_edge, coalesce(cnt.count, 0) AS count
+FROM bins CROSS JOIN r LEFT JOIN cnt ON bins.bin = cnt.bin""",
+)
+def q_a22(spark, sf_dir):
+    h = profile.histogram(_test_acc_rows(spark, sf_dir), "x", 10)
+    return h.select("bin", rnd("lower_edge").alias("lower_edge"), rnd("upper_edge").alias("upper_edge"), "count")
+
+
+_USERS_SQL = """u AS (SELECT userID, avg(answerCode) AS user_acc, cast(count(answerCode) AS double) AS n_answers,
+             cast(count(DISTINCT cast("Timestamp" AS date)) AS double) AS n_days FROM interactions GROUP BY userID)"""
+
+
+@register(
+    "a23_ols_one_predictor",
+    f"""WITH {_USERS_SQL}
+SELECT round(regr_intercept(user_acc, n_answers), 9) AS intercept,
+       round(regr_slope(user_acc, n_answers), 9) AS coef_n_answers FROM u""",
+)
+def q_a23(spark, sf_dir):
+    o = profile.ols(profile.user_table(_log(spark, sf_dir)), "user_acc", ["n_answers"])
+    return o.select(rnd("intercept").alias("intercept"), rnd("coef_n_answers").alias("coef_n_answers"))
+
+
+@register(
+    "a23_ols_two_predictors",
+    f"""WITH {_USERS_SQL},
+m AS (SELECT var_pop(n_answers) AS s11, var_pop(n_days) AS s22, covar_pop(n_answers, n_days) AS s12,
+             covar_pop(n_answers, user_acc) AS s1y, covar_pop(n_days, user_acc) AS s2y,
+             avg(n_answers) AS m1, avg(n_days) AS m2, avg(user_acc) AS my FROM u),
+b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+             (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM m)
+SELECT round(my - b1 * m1 - b2 * m2, 6) AS intercept, round(b1, 6) AS coef_n_answers, round(b2, 6) AS coef_n_days
+FROM b""",
+)
+def q_a23b(spark, sf_dir):
+    o = profile.ols(profile.user_table(_log(spark, sf_dir)), "user_acc", ["n_answers", "n_days"])
+    return o.select(*[F.round(c, 6).alias(c) for c in ("intercept", "coef_n_answers", "coef_n_days")])
