@@ -916,3 +916,86 @@ FROM b""",
 def q_a23b(spark, sf_dir):
     o = profile.ols(profile.user_table(_log(spark, sf_dir)), "user_acc", ["n_answers", "n_days"])
     return o.select(*[F.round(c, 6).alias(c) for c in ("intercept", "coef_n_answers", "coef_n_days")])
+
+
+# ---------------------------------------------------------------- M1-M5, X1, flows
+
+import numpy as np  # noqa: E402
+
+from ..operators import model  # noqa: E402
+from . import features as feature_plan  # noqa: E402
+from . import flagship as flow  # noqa: E402
+
+
+@register(
+    "m1_standardize_conts",
+    """WITH te AS (SELECT testId, avg(answerCode) AS test_mean FROM train_log GROUP BY testId),
+ta AS (SELECT KnowledgeTag, avg(answerCode) AS tag_mean FROM train_log GROUP BY KnowledgeTag),
+ai AS (SELECT assessmentItemID, avg(answerCode) AS assessment_mean FROM train_log GROUP BY assessmentItemID),
+t AS (SELECT l.event_id, te.test_mean, ai.assessment_mean, ta.tag_mean
+      FROM train_log l JOIN te USING (testId) JOIN ta USING (KnowledgeTag) JOIN ai USING (assessmentItemID))
+SELECT event_id,
+       round((test_mean - avg(test_mean) OVER ()) / stddev_pop(test_mean) OVER (), 6) AS test_mean_z,
+       round((assessment_mean - avg(assessment_mean) OVER ()) / stddev_pop(assessment_mean) OVER (), 6)
+         AS assessment_mean_z,
+       round((tag_mean - avg(tag_mean) OVER ()) / stddev_pop(tag_mean) OVER (), 6) AS tag_mean_z
+FROM t""",
+)
+def q_m1(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    z = model.standardize(keyed.target_encode(train), sequences.CONT_COLS)
+    return z.select("event_id", *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in sequences.CONT_COLS])
+
+
+def _x1_fn(pdf):
+    # A user-supplied scorer: fixed-weight logistic of two encodings.
+    return 1.0 / (1.0 + np.exp(-4.0 * (pdf["test_mean"] + pdf["tag_mean"] - 1.0)))
+
+
+@register(
+    "x1_map_in_pandas_scorer",
+    """WITH te AS (SELECT testId, avg(answerCode) AS test_mean FROM train_log GROUP BY testId),
+ta AS (SELECT KnowledgeTag, avg(answerCode) AS tag_mean FROM train_log GROUP BY KnowledgeTag)
+SELECT l.event_id, round(1.0 / (1.0 + exp(-4.0 * (te.test_mean + ta.tag_mean - 1.0))), 9) AS prediction
+FROM train_log l JOIN te USING (testId) JOIN ta USING (KnowledgeTag)""",
+)
+def q_x1(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    rows = keyed.target_encode(train)
+    s = model.map_score(rows, _x1_fn, keep=["event_id"], inputs=["test_mean", "tag_mean"])
+    return s.select("event_id", rnd("prediction").alias("prediction"))
+
+
+@register("m2_m3_flagship_submission")
+def q_m2_m3(spark, sf_dir):
+    return flow.flagship(spark, sf_dir)
+
+
+@register("m4_cross_validated_auroc")
+def q_m4(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    voc = keyed.materialize(vocab.fit_vocabulary(train))
+    ex = keyed.materialize(flow.train_examples(train, voc))
+    oof, _ = model.cross_validate(ex, k=K_FOLDS, seed=42, key="seq_id", features=flow.ARRAY_FEATURES)
+    return metrics.auroc(oof.withColumnRenamed("label", "target"), by=["fold"])
+
+
+@register("m5_soft_vote_submission")
+def q_m5(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    voc = keyed.materialize(vocab.fit_vocabulary(train))
+    ex = keyed.materialize(flow.train_examples(train, voc))
+    _, models = model.cross_validate(ex, k=K_FOLDS, seed=42, key="seq_id", features=flow.ARRAY_FEATURES)
+    tex = flow.test_examples(train, test, voc)
+    ids = rank.prediction_ids(tex.select("userID"), "userID")
+    return model.vote(models, tex.join(ids, "userID"), "id", flow.ARRAY_FEATURES)
+
+
+@register("m6_m8_validation_report")
+def q_report(spark, sf_dir):
+    return flow.validation_report(spark, sf_dir)
+
+
+@register("features_all_columns")
+def q_features(spark, sf_dir):
+    return feature_plan.feature_table(_log(spark, sf_dir))
