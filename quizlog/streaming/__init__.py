@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference reads whole interaction files in batch and has no watermark,
+event-time window, state store or trigger; every feature uses a learner's
+whole ordered history.  No streaming operator is owed, so none is offered.
+"""
