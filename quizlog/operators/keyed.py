@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,10 +59,20 @@ def key_stats(
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and return it as a plan
-    leaf: later plans read the files instead of recomputing the lineage, and
-    a lost executor does not force a recomputation from the log."""
-    return df.checkpoint(eager=True)
+    """Checkpoint ``df`` into the shared folder named by
+    ``spark.checkpoint.dir`` and return it as a plan leaf: later plans read
+    the checkpoint instead of recomputing the lineage, and a lost executor
+    does not force a recomputation from the log.
+
+    The rows are persisted while the checkpoint is written, so the plan runs
+    once (an eager checkpoint otherwise computes it twice)."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
 
 
 def checked_broadcast(stats: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -195,6 +206,26 @@ def add_feature_stats(df: DataFrame, names: Sequence[str] | None = None, value:
 TARGET_KEYS = {"test": "testId", "tag": "KnowledgeTag", "assessment": "assessmentItemID"}
 
 
+def fit_target_encoder(fit_on: DataFrame, value: str = "answerCode") -> tuple[list[DataFrame], bool]:
+    """Mean and sum of ``value`` per test, tag and item from one scan of
+    ``fit_on`` (A15).  Returns the statistic tables and whether they may be
+    broadcast; fit once, apply to any number of logs."""
+    specs = [([key], {f"{p}_mean": "mean", f"{p}_sum": "sum"}) for p, key in TARGET_KEYS.items()]
+    return multi_key_stats(fit_on, specs, value)
+
+
+def apply_target_encoder(df: DataFrame, encoder: tuple[list[DataFrame], bool], fill: float | None = None) -> DataFrame:
+    """Left-join fitted target encodings to ``df`` (J2).  Unseen keys get
+    null unless ``fill`` is set (Q9)."""
+    tables, small = encoder
+    out = df
+    for key, t in zip(TARGET_KEYS.values(), tables):
+        out = out.join(F.broadcast(t) if small else t, key, "left")
+    if fill is not None:
+        out = out.fillna({f"{p}_mean": fill for p in TARGET_KEYS})
+    return out
+
+
 def target_encode(
     df: DataFrame,
     fit_on: DataFrame | None = None,
@@ -202,20 +233,9 @@ def target_encode(
     fill: float | None = None,
 ) -> DataFrame:
     """Mean and sum of ``value`` per test, tag and item, fitted on ``fit_on``
-    (default ``df`` itself) and left-joined to ``df`` (A15, J2).
-
-    Rows of ``fit_on`` with ``value = -1`` (hidden targets) are not special:
-    the training log has none.  Unseen keys get null unless ``fill`` is set.
-    """
-    src = df if fit_on is None else fit_on
-    specs = [([key], {f"{p}_mean": "mean", f"{p}_sum": "sum"}) for p, key in TARGET_KEYS.items()]
-    tables, small = multi_key_stats(src, specs, value)
-    out = df
-    for (keys, _), t in zip(specs, tables):
-        out = out.join(F.broadcast(t) if small else t, keys, "left")
-    if fill is not None:
-        out = out.fillna({f"{p}_mean": fill for p in TARGET_KEYS})
-    return out
+    (default ``df`` itself, the reference's behaviour, Q8) and left-joined to
+    ``df`` (A15, J2)."""
+    return apply_target_encoder(df, fit_target_encoder(df if fit_on is None else fit_on, value), fill)
 
 
 # ---------------------------------------------------------------- A16-A18

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import in_int_range
+from .keyed import materialize
 from .rank import prefix_sums
 
 BAND_Z = 1.96
@@ -30,7 +31,8 @@ def value_histogram(df: DataFrame, x: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, x: str, qs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """One row with the linearly interpolated quantiles of ``x``."""
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
-    hist = value_histogram(df, x)
+    # Used three times below: written once (at most one row per distinct value).
+    hist = materialize(value_histogram(df, x))
     n = hist.agg(F.sum("cnt").alias("_n"))
     spark = df.sparkSession
     qdf = spark.createDataFrame([(nm, float(q)) for nm, q in zip(names, qs)], "qname string, q double")

@@ -8,7 +8,6 @@ tag finds its code (Q4).
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -26,24 +25,29 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataF
     The distinct step is a partial aggregate; the rank runs per column over
     the distinct labels only (catalogue-sized, not log-sized).
     """
-    parts = [
-        df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")).where(F.col("label").isNotNull())
-        for c in columns
-    ]
+    # One scan: every row yields one (column, label) pair per column.
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns]))
+    labels = df.select(pairs.alias("p")).select("p.column", "p.label").where(F.col("label").isNotNull())
     unknowns = df.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "column string, label string")
-    labels = reduce(DataFrame.unionByName, parts).unionByName(unknowns).distinct()
+    labels = labels.unionByName(unknowns).distinct()
     code = F.row_number().over(Window.partitionBy("column").orderBy("label")) - 1
     return labels.select("column", "label", code.cast("int").alias("code"))
 
 
 def apply_vocabulary(
-    df: DataFrame, vocab: DataFrame, columns: Sequence[str] = CATEGORICAL, suffix: str = ""
+    df: DataFrame,
+    vocab: DataFrame,
+    columns: Sequence[str] = CATEGORICAL,
+    suffix: str = "",
+    materialized: bool = False,
 ) -> DataFrame:
     """Replace each column by its code; labels missing from ``vocab`` map to
     the code of ``unknown`` (E2, J5).  With ``suffix`` the codes go to new
     columns ``<col><suffix>`` and the labels stay."""
-    # Materialise the vocabulary once; its size is checked before broadcast.
-    vocab = materialize(vocab)
+    # Materialise the vocabulary once (unless the caller did); its size is
+    # checked before broadcast.
+    if not materialized:
+        vocab = materialize(vocab)
     small = vocab.limit(BROADCAST_MAX_ROWS * len(columns) + 1).count() <= BROADCAST_MAX_ROWS * len(columns)
     out = df
     for c in columns:

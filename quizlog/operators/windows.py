@@ -40,11 +40,11 @@ def _hot_users(df: DataFrame, user: str, ts: str, hot_rows: int) -> DataFrame |
         micros(F.min(ts)).alias("_min_us"),
         micros(F.max(ts)).alias("_max_us"),
     )
-    # At most total_rows / hot_rows learners can pass; checked before use.
-    hot = materialize(counts.where(F.col("_n") > hot_rows))
+    hot = counts.where(F.col("_n") > hot_rows)
     if hot.limit(1).count() == 0:
         return None
-    return hot
+    # At most total_rows / hot_rows learners can pass: a small table.
+    return materialize(hot)
 
 
 def _light_scan(df: DataFrame, value: str, user: str, ts: str, tie: str, recent_k: int | None) -> DataFrame:

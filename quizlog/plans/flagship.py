@@ -14,20 +14,26 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import grade_split_id
 from ..operators import keyed, metrics, model, rank, sequences, vocab
-from ..sources.fixture import interactions, split_logs
+from ..sources.fixture import logs
 
 MAX_SEQ_LEN = 20
 ARRAY_FEATURES = ("test_mean", "assessment_mean", "tag_mean", "user_acc", "user_total_answer", "interaction")
 
 
-def model_input_table(rows: DataFrame, fit_on: DataFrame, vocabulary: DataFrame, seq: str, n: int) -> DataFrame:
+def model_input_table(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int) -> DataFrame:
     """Coded, target-encoded rows -> one model-input row per sequence."""
-    t = keyed.target_encode(rows, fit_on=fit_on)
-    t = vocab.apply_vocabulary(t, vocabulary)
+    t = keyed.apply_target_encoder(rows, encoder)
+    t = vocab.apply_vocabulary(t, vocabulary, materialized=True)
     seqs = sequences.collect_sequences(t, seq=seq, max_len=n, conts=sequences.CONT_COLS)
     return sequences.model_input(seqs, n)
 
 
+def fit_encoders(train: DataFrame):
+    """Target encoder and vocabulary fitted on the training log, each
+    materialised once and shared by the train and test sides."""
+    return keyed.fit_target_encoder(train), keyed.materialize(vocab.fit_vocabulary(train))
+
+
 def last_position_features(mi: DataFrame, n: int) -> DataFrame:
     """Features of the last valid position of each model-input row (O2):
     its three target-encoded means, the interaction token, the number of
@@ -50,28 +56,31 @@ def last_position_features(mi: DataFrame, n: int) -> DataFrame:
     )
 
 
-def train_examples(train: DataFrame, vocabulary: DataFrame, n: int = MAX_SEQ_LEN) -> DataFrame:
+def train_examples(train: DataFrame, encoders, n: int = MAX_SEQ_LEN) -> DataFrame:
     """One example per (learner, grade) training sequence (Q7 train mode)."""
+    enc, voc = encoders
     t = train.withColumn("seq_id", grade_split_id())
-    return last_position_features(model_input_table(t, t, vocabulary, "seq_id", n), n)
+    return last_position_features(model_input_table(t, enc, voc, "seq_id", n), n)
 
 
-def test_examples(train: DataFrame, test: DataFrame, vocabulary: DataFrame, n: int = MAX_SEQ_LEN) -> DataFrame:
+def test_examples(test: DataFrame, encoders, n: int = MAX_SEQ_LEN) -> DataFrame:
     """One example per test learner: only rows of the target's grade (J3),
     statistics from the training log (Q7 test mode, Q8, Q9)."""
+    enc, voc = encoders
     t = test.withColumn("seq_id", grade_split_id())
     t = keyed.keep_target_groups(t, ["seq_id"]).drop("seq_id")
-    return last_position_features(model_input_table(t, train, vocabulary, "userID", n), n)
+    return last_position_features(model_input_table(t, enc, voc, "userID", n), n)
 
 
 def fit_and_score(spark: SparkSession, sf_dir: str, n: int = MAX_SEQ_LEN) -> tuple[DataFrame, DataFrame]:
     """Fit on all training sequences, score the hidden test answers.
     Returns (submission ``id, userID, prediction``, training examples)."""
-    train, test = split_logs(interactions(spark, sf_dir))
-    voc = keyed.materialize(vocab.fit_vocabulary(train))
-    ex = keyed.materialize(train_examples(train, voc, n))
+    train, test = logs(spark, sf_dir)
+    encoders = fit_encoders(train)
+    ex = keyed.materialize(train_examples(train, encoders, n))
     clf = model.fit_classifier(ex, ARRAY_FEATURES)
-    tex = test_examples(train, test, voc, n)
+    # One row per test learner: written once, read by the scorer and the ids.
+    tex = keyed.materialize(test_examples(test, encoders, n))
     scored = model.score(clf, tex, ARRAY_FEATURES, keep=("userID",))
     ids = rank.prediction_ids(tex.select("userID"), "userID")
     return ids.join(scored, "userID").select("id", "userID", "prediction"), ex
@@ -85,9 +94,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validation_report(spark: SparkSession, sf_dir: str, ratio: float = 0.7, seed: int = 0) -> DataFrame:
     """Ratio split of training sequences (D1), fit on one part, AUROC,
     accuracy and log-loss on the other (M6-M8).  One row."""
-    train, _ = split_logs(interactions(spark, sf_dir))
-    voc = keyed.materialize(vocab.fit_vocabulary(train))
-    ex = keyed.materialize(train_examples(train, voc))
+    train, _ = logs(spark, sf_dir)
+    ex = keyed.materialize(train_examples(train, fit_encoders(train)))
     split = rank.ratio_split(ex, "seq_id", ratio, seed)
     ex = ex.join(split, "seq_id")
     clf = model.fit_classifier(ex.where("is_train"), ARRAY_FEATURES)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import keyed, windows
-from ..sources.fixture import duck_with, interactions, split_logs
+from ..sources.fixture import duck_with, interactions, logs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,7 +42,7 @@ def _log(spark, sf_dir):
 
 
 def _train_test(spark, sf_dir):
-    return split_logs(interactions(spark, sf_dir))
+    return logs(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- S / P
@@ -405,9 +405,9 @@ def prepared_train(spark, sf_dir):
     fitted on itself (A15), vocabulary fitted and applied (E1, E2)."""
     train, _ = _train_test(spark, sf_dir)
     t = train.withColumn("seq_id", S.grade_split_id())
-    v = vocab.fit_vocabulary(t)
+    v = keyed.materialize(vocab.fit_vocabulary(t))
     t = keyed.target_encode(t)
-    return vocab.apply_vocabulary(t, v)
+    return vocab.apply_vocabulary(t, v, materialized=True)
 
 
 def _ints(c):
@@ -974,8 +974,7 @@ def q_m2_m3(spark, sf_dir):
 @register("m4_cross_validated_auroc")
 def q_m4(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    voc = keyed.materialize(vocab.fit_vocabulary(train))
-    ex = keyed.materialize(flow.train_examples(train, voc))
+    ex = keyed.materialize(flow.train_examples(train, flow.fit_encoders(train)))
     oof, _ = model.cross_validate(ex, k=K_FOLDS, seed=42, key="seq_id", features=flow.ARRAY_FEATURES)
     return metrics.auroc(oof.withColumnRenamed("label", "target"), by=["fold"])
 
@@ -983,10 +982,10 @@ def q_m4(spark, sf_dir):
 @register("m5_soft_vote_submission")
 def q_m5(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    voc = keyed.materialize(vocab.fit_vocabulary(train))
-    ex = keyed.materialize(flow.train_examples(train, voc))
+    encoders = flow.fit_encoders(train)
+    ex = keyed.materialize(flow.train_examples(train, encoders))
     _, models = model.cross_validate(ex, k=K_FOLDS, seed=42, key="seq_id", features=flow.ARRAY_FEATURES)
-    tex = flow.test_examples(train, test, voc)
+    tex = keyed.materialize(flow.test_examples(test, encoders))
     ids = rank.prediction_ids(tex.select("userID"), "userID")
     return model.vote(models, tex.join(ids, "userID"), "id", flow.ARRAY_FEATURES)
 
