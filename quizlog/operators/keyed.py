@@ -176,28 +176,69 @@ FEATURE_STATS = {
 }
 
 
-def add_feature_stats(df: DataFrame, names: Sequence[str] | None = None, value: str = "answerCode") -> DataFrame:
-    """Add several A1-A14 columns with one aggregate per distinct key set.
+def _user_sets(df: DataFrame, by_keys: dict, value: str, extra: dict[str, Column] | None = None):
+    """All learner-keyed statistics from one grouping-sets aggregate.
+
+    Returns one DataFrame per key set.  They share the aggregate's exchange,
+    so the log is scanned and shuffled once however many sets are joined
+    back.  Their size grows with the log, so the joins are left to AQE: a
+    shuffle join whose skewed partitions are split, or a broadcast when the
+    materialised side turns out small at run time."""
+    sets = [list(k) for k in by_keys]
+    all_keys: list[str] = []
+    for keys in sets:
+        all_keys += [k for k in keys if k not in all_keys]
+    names: dict[str, str] = {}
+    for aggs in by_keys.values():
+        names.update(aggs)
+    cols = [AGGS[a](F.col(value)).alias(n) for n, a in names.items()]
+    cols += [c.alias(n) for n, c in (extra or {}).items()]
+    if len(sets) == 1:
+        keys = sets[0]
+        return [df.where(_not_null(keys)).groupBy(*keys).agg(*cols)]
+    g = df.groupingSets([[F.col(k) for k in keys] for keys in sets], *all_keys).agg(*cols, F.grouping_id().alias("_gid"))
+    n = len(all_keys)
+    out = []
+    for keys, aggs in by_keys.items():
+        gid = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
+        keep = list(aggs) + (list(extra) if list(keys) == sets[0] and extra else [])
+        out.append(g.where((F.col("_gid") == gid) & _not_null(keys)).select(*keys, *keep))
+    return out
+
 
-    Statistics sharing a key set (count and mean of the same key) are
-    computed in one ``groupBy`` and joined once.
+def add_feature_stats(
+    df: DataFrame,
+    names: Sequence[str] | None = None,
+    value: str = "answerCode",
+    user_extra: dict[str, Column] | None = None,
+    fit_on: DataFrame | None = None,
+) -> DataFrame:
+    """Add several A1-A14 columns.
+
+    Dimension statistics (test, tag, item) come from one checked, broadcast
+    ``groupingSets`` job; learner-keyed ones from one more aggregate shared
+    by all their joins.  ``user_extra`` adds aggregates to the per-learner
+    set.  Statistics are aggregated over ``fit_on`` (default ``df``); pass
+    the plain log when ``df`` carries an expensive plan.
     """
+    src = df if fit_on is None else fit_on
     names = list(names or FEATURE_STATS)
     by_keys: dict[tuple[str, ...], dict[str, str]] = {}
+    if user_extra:
+        by_keys[("userID",)] = {}
     for n in names:
         keys, agg = FEATURE_STATS[n]
         by_keys.setdefault(tuple(keys), {})[n] = agg
     out = df
     dims = [(list(k), a) for k, a in by_keys.items() if "userID" not in k]
     if dims:
-        tables, small = multi_key_stats(df, dims, value)
+        tables, small = multi_key_stats(src, dims, value)
         for (keys, _), t in zip(dims, tables):
             out = out.join(F.broadcast(t) if small else t, keys, "left")
-    for keys, aggs in by_keys.items():
-        if "userID" in keys:
-            # Statistics keyed by learner grow with the log: shuffle join,
-            # AQE splits a skewed learner partition.
-            out = out.join(key_stats(df, list(keys), value, aggs), list(keys), "left")
+    users = {k: a for k, a in by_keys.items() if "userID" in k}
+    if users:
+        for keys, t in zip(users, _user_sets(src, users, value, user_extra)):
+            out = out.join(t, list(keys), "left")
     return out
 
 

@@ -49,20 +49,22 @@ def apply_vocabulary(
     if not materialized:
         vocab = materialize(vocab)
     small = vocab.limit(BROADCAST_MAX_ROWS * len(columns) + 1).count() <= BROADCAST_MAX_ROWS * len(columns)
+    # The code of ``unknown``: one value per column, inlined as a literal.
+    unknown_code = {
+        r["column"]: r["code"]
+        for r in vocab.where((F.col("label") == UNKNOWN) & F.col("column").isin(list(columns))).collect()
+    }
     out = df
     for c in columns:
         v = vocab.where(F.col("column") == c)
-        # One row: the code of ``unknown``.
-        unk = v.where(F.col("label") == UNKNOWN).select(F.col("code").alias("_unk"))
         table = v.select(F.col("label").alias("_label"), F.col("code").alias("_code"))
         table = F.broadcast(table) if small else table
         target = f"{c}{suffix}" if suffix else c
         out = (
             out.withColumn("_label", F.col(c).cast("string"))
             .join(table, "_label", "left")
-            .crossJoin(F.broadcast(unk))
-            .withColumn(target, F.coalesce(F.col("_code"), F.col("_unk")))
-            .drop("_label", "_code", "_unk")
+            .withColumn(target, F.coalesce(F.col("_code"), F.lit(unknown_code[c]).cast("int")))
+            .drop("_label", "_code")
         )
     return out
 

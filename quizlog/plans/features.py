@@ -19,23 +19,32 @@ OUTLIER_THRES = 80
 
 
 def feature_table(log: DataFrame, recent_k: int = RECENT_K, outlier_thres: float = OUTLIER_THRES) -> DataFrame:
-    df = windows.family_ids(log)  # school, grade, familyID, familyUserID (P2, P3, W7)
-    s = windows.ordered_scan(df, recent_k=recent_k)
+    # The per-learner scan runs on the plain log (its hot-learner probe reads
+    # two raw columns); statistics are aggregated over the plain log too.
+    s = windows.ordered_scan(log, recent_k=recent_k)
     gap = S.seconds_component(S.micros("_next_ts") - S.micros("Timestamp"))
     s = s.select(
-        *df.columns,
+        *log.columns,
         F.when(gap < outlier_thres, gap).cast("bigint").alias("time_diff"),
         F.when(F.col("_cc") > 0, F.col("_cs") / F.col("_cc")).alias("userID_acc_cummean"),
         F.when(F.col("_rk_cnt") > 0, F.col("_rk_sum") / F.col("_rk_cnt")).alias("userID_acc_mean_recentK"),
-    )
-    s = s.select(
-        "*",
         S.encoded_hour().alias("encoded_hour"),
         S.encoded_dayoftheweek().alias("encoded_dayoftheweek"),
         S.encoded_dayofthemonth().alias("encoded_dayofthemonth"),
         S.encoded_month().alias("encoded_month"),
     )
-    s = keyed.add_user_enter_day(s)
-    s = keyed.add_user_day_progress(s)
-    s = keyed.add_feature_stats(s)
-    return rank.original_order(s)
+    s = windows.family_ids(s)  # school, grade, familyID, familyUserID (P2, P3, W7)
+    # All learner-keyed statistics and each learner's first timestamp in one
+    # aggregate over the log.
+    s = keyed.add_feature_stats(s, user_extra={"_start": F.min("Timestamp")}, fit_on=log)
+    # Narrow side computations read three raw columns of the log, never the
+    # wide feature plan: the global first timestamp and the global order.
+    first = log.agg(F.min("Timestamp").alias("_first"))
+    day = F.lit(keyed.US_PER_DAY)
+    s = s.crossJoin(F.broadcast(first)).select(
+        *[c for c in s.columns if c != "_start"],
+        F.floor((S.micros("_start") - S.micros("_first")) / day).cast("int").alias("user_enterDay"),
+        F.floor((S.micros("Timestamp") - S.micros("_start")) / day).cast("int").alias("user_day_progress"),
+    )
+    order = rank.original_order(log.select("event_id", "userID", "Timestamp")).select("event_id", "original_order")
+    return s.join(order, "event_id")
