@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keyed import BROADCAST_MAX_ROWS, materialize
+from .rank import global_rank
 
 CATEGORICAL = ("assessmentItemID", "testId", "KnowledgeTag")
 UNKNOWN = "unknown"
@@ -22,16 +23,21 @@ UNKNOWN = "unknown"
 def fit_vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Sorted distinct labels of each column plus ``unknown``.
 
-    The distinct step is a partial aggregate; the rank runs per column over
-    the distinct labels only (catalogue-sized, not log-sized).
+    The distinct step is a partial aggregate over one scan; codes come from
+    a distributed rank over the distinct labels.
     """
     # One scan: every row yields one (column, label) pair per column.
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns]))
     labels = df.select(pairs.alias("p")).select("p.column", "p.label").where(F.col("label").isNotNull())
     unknowns = df.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "column string, label string")
     labels = labels.unionByName(unknowns).distinct()
-    code = F.row_number().over(Window.partitionBy("column").orderBy("label")) - 1
-    return labels.select("column", "label", code.cast("int").alias("code"))
+    # Rank in (column, label) order without a per-column single task: a
+    # distributed global rank minus each column's first rank.
+    ranked = global_rank(labels, ["column", "label"], "_r")
+    first = ranked.groupBy("column").agg(F.min("_r").alias("_r0"))
+    return ranked.join(F.broadcast(first), "column").select(
+        "column", "label", (F.col("_r") - F.col("_r0")).cast("int").alias("code")
+    )
 
 
 def apply_vocabulary(
