@@ -245,3 +245,10 @@ def family_ids(
         user, "school", "grade", F.concat(F.col(user).cast("string"), F.lit("-"), k.cast("string")).alias("familyUserID")
     )
     return with_sg.join(fam, [user, "school", "grade"], "left").withColumn("familyID", F.col(user))
+
+
+def as_family_users(df: DataFrame, user: str = "userID") -> DataFrame:
+    """The feature library's layout after W7: ``userID`` holds the family id
+    (``"<user>-<k>"``) and ``familyID`` the original learner, so every
+    learner-keyed feature is computed per (learner, school, grade)."""
+    return df.withColumn(user, F.col("familyUserID")).drop("familyUserID")

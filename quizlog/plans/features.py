@@ -18,13 +18,23 @@ RECENT_K = 50
 OUTLIER_THRES = 80
 
 
-def feature_table(log: DataFrame, recent_k: int = RECENT_K, outlier_thres: float = OUTLIER_THRES) -> DataFrame:
-    # The per-learner scan runs on the plain log (its hot-learner probe reads
-    # two raw columns); statistics are aggregated over the plain log too.
-    s = windows.ordered_scan(log, recent_k=recent_k)
+def feature_table(
+    log: DataFrame, recent_k: int = RECENT_K, outlier_thres: float = OUTLIER_THRES, family: bool = True
+) -> DataFrame:
+    """All feature columns for every row of ``log``.
+
+    With ``family`` (the reference's default mode) ``userID`` is replaced by
+    the family id and ``familyID`` keeps the learner, so learner features are
+    per (learner, school, grade); ``original_order`` is always the row's
+    position in (learner, Timestamp, event_id) order of the original log.
+    """
+    fam = windows.family_ids(log)  # school, grade, familyID, familyUserID (P2, P3, W7)
+    base = windows.as_family_users(fam) if family else fam
+    # One ordered scan per learner feeds all three history features.
+    s = windows.ordered_scan(base, recent_k=recent_k)
     gap = S.seconds_component(S.micros("_next_ts") - S.micros("Timestamp"))
     s = s.select(
-        *log.columns,
+        *base.columns,
         F.when(gap < outlier_thres, gap).cast("bigint").alias("time_diff"),
         F.when(F.col("_cc") > 0, F.col("_cs") / F.col("_cc")).alias("userID_acc_cummean"),
         F.when(F.col("_rk_cnt") > 0, F.col("_rk_sum") / F.col("_rk_cnt")).alias("userID_acc_mean_recentK"),
@@ -33,12 +43,12 @@ def feature_table(log: DataFrame, recent_k: int = RECENT_K, outlier_thres: float
         S.encoded_dayofthemonth().alias("encoded_dayofthemonth"),
         S.encoded_month().alias("encoded_month"),
     )
-    s = windows.family_ids(s)  # school, grade, familyID, familyUserID (P2, P3, W7)
     # All learner-keyed statistics and each learner's first timestamp in one
-    # aggregate over the log.
-    s = keyed.add_feature_stats(s, user_extra={"_start": F.min("Timestamp")}, fit_on=log)
-    # Narrow side computations read three raw columns of the log, never the
-    # wide feature plan: the global first timestamp and the global order.
+    # aggregate over the (family-keyed) log, not over the wide plan.
+    stats_src = base.select("userID", "Timestamp", "assessmentItemID", "testId", "KnowledgeTag", "answerCode")
+    s = keyed.add_feature_stats(s, user_extra={"_start": F.min("Timestamp")}, fit_on=stats_src)
+    # Narrow side computations read raw columns of the log, never the wide
+    # feature plan: the global first timestamp and the global order.
     first = log.agg(F.min("Timestamp").alias("_first"))
     day = F.lit(keyed.US_PER_DAY)
     s = s.crossJoin(F.broadcast(first)).select(

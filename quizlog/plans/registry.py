@@ -1000,7 +1000,7 @@ def _features_sql() -> str:
     for i, (name, (keys, agg)) in enumerate(keyed.FEATURE_STATS.items()):
         fn = "count(answerCode)" if agg == "count" else "avg(answerCode)"
         kc = ", ".join(keys)
-        stat_cte.append(f"s{i} AS (SELECT {kc}, {fn} AS v FROM interactions GROUP BY {kc})")
+        stat_cte.append(f"s{i} AS (SELECT {kc}, {fn} AS v FROM fb GROUP BY {kc})")
         on = " AND ".join(f"b.{k} = s{i}.{k}" for k in keys)
         stat_join.append(f"LEFT JOIN s{i} ON {on}")
         stat_cols.append(f"s{i}.v AS {name}" if agg == "count" else f"round(s{i}.v, 9) AS {name}")
@@ -1016,12 +1016,6 @@ def _features_sql() -> str:
     return f"""WITH base AS (SELECT *, cast(substring(testId, 3, 1) AS int) AS grade,
        CASE WHEN floor(cast(substring(testId, 3, 1) AS int) / 7) = 0 THEN 'elementary_school'
             ELSE 'middle_school' END AS school FROM interactions),
-w AS (SELECT event_id,
-       (epoch_us(lead("Timestamp") OVER uw) - epoch_us("Timestamp")) // 1000000 % 86400 AS secs,
-       avg(answerCode) OVER (uw ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cm,
-       avg(answerCode) OVER (uw ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS rk,
-       row_number() OVER (ORDER BY userID, "Timestamp", event_id) - 1 AS original_order
-      FROM base WINDOW uw AS (PARTITION BY userID ORDER BY "Timestamp", event_id)),
 f AS (SELECT userID, school, grade, "Timestamp", event_id FROM
         (SELECT *, row_number() OVER (PARTITION BY userID, school, grade ORDER BY "Timestamp", event_id) AS r FROM base)
       WHERE r = 1),
@@ -1029,24 +1023,35 @@ fk AS (SELECT userID, school, grade,
              concat(cast(userID AS varchar), '-',
                     cast(row_number() OVER (PARTITION BY userID ORDER BY "Timestamp", event_id) AS varchar))
              AS familyUserID FROM f),
-st AS (SELECT userID, min("Timestamp") AS start FROM interactions GROUP BY userID),
+fb AS (SELECT b.event_id, fk.familyUserID AS userID, b.userID AS familyID, b."Timestamp", b.assessmentItemID,
+              b.testId, b.KnowledgeTag, b.answerCode, b.school, b.grade
+       FROM base b JOIN fk ON b.userID = fk.userID AND b.school = fk.school AND b.grade = fk.grade),
+w AS (SELECT event_id,
+       (epoch_us(lead("Timestamp") OVER uw) - epoch_us("Timestamp")) // 1000000 % 86400 AS secs,
+       avg(answerCode) OVER (uw ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cm,
+       avg(answerCode) OVER (uw ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS rk
+      FROM fb WINDOW uw AS (PARTITION BY userID ORDER BY "Timestamp", event_id)),
+o AS (SELECT event_id, row_number() OVER (ORDER BY userID, "Timestamp", event_id) - 1 AS original_order
+      FROM interactions),
+st AS (SELECT userID, min("Timestamp") AS start FROM fb GROUP BY userID),
 g AS (SELECT min("Timestamp") AS first FROM interactions),
 {", ".join(stat_cte)}
-SELECT b.event_id, b.userID, b.assessmentItemID, b.testId, b.KnowledgeTag, b.answerCode,
+SELECT b.event_id, b.userID, b.familyID, b.assessmentItemID, b.testId, b.KnowledgeTag, b.answerCode,
        cast(CASE WHEN w.secs < 80 THEN w.secs END AS bigint) AS time_diff,
        round(w.cm, 9) AS userID_acc_cummean, round(w.rk, 9) AS userID_acc_mean_recentK,
        {", ".join(enc)},
-       b.school, b.grade, fk.familyUserID, b.userID AS familyID,
+       b.school, b.grade,
        {", ".join(stat_cols)},
        cast(floor((epoch_us(st.start) - epoch_us(g.first)) / 86400000000.0) AS int) AS user_enterDay,
        cast(floor((epoch_us(b."Timestamp") - epoch_us(st.start)) / 86400000000.0) AS int) AS user_day_progress,
-       w.original_order
-FROM base b JOIN w ON b.event_id = w.event_id
-JOIN fk ON b.userID = fk.userID AND b.school = fk.school AND b.grade = fk.grade
+       o.original_order
+FROM fb b JOIN w ON b.event_id = w.event_id JOIN o ON b.event_id = o.event_id
 JOIN st ON b.userID = st.userID CROSS JOIN g
 {" ".join(stat_join)}"""
 
 
+# The reference's feature library runs in family mode: ``userID`` is the
+# family id of W7 and every learner feature is per (learner, school, grade).
 @register("features_all_columns", _features_sql())
 def q_features(spark, sf_dir):
     ft = feature_plan.feature_table(_log(spark, sf_dir))
@@ -1062,9 +1067,9 @@ def q_features(spark, sf_dir):
         F.col(n) if agg == "count" else rnd(n).alias(n) for n, (_, agg) in keyed.FEATURE_STATS.items()
     ]
     return ft.select(
-        "event_id", "userID", "assessmentItemID", "testId", "KnowledgeTag", "answerCode", "time_diff",
+        "event_id", "userID", "familyID", "assessmentItemID", "testId", "KnowledgeTag", "answerCode", "time_diff",
         rnd("userID_acc_cummean").alias("userID_acc_cummean"),
         rnd("userID_acc_mean_recentK").alias("userID_acc_mean_recentK"),
-        *enc, "school", "grade", "familyUserID", "familyID", *stats,
+        *enc, "school", "grade", *stats,
         "user_enterDay", "user_day_progress", "original_order",
     )
