@@ -61,8 +61,9 @@ def binarize(score: str | Column = "prediction", threshold: float = 0.5) -> Colu
 
 
 def epoch_seconds(ts: str | Column = "Timestamp") -> Column:
-    """Whole seconds since 1970-01-01 in UTC (F1)."""
-    return F.unix_timestamp(_c(ts).cast("timestamp"))
+    """Whole seconds since 1970-01-01 00:00:00 of a ``timestamp_ntz``, read
+    as UTC whatever the session time zone (F1)."""
+    return F.floor(micros(ts) / 1_000_000)
 
 
 def cyclical(x: str | Column, period: float) -> Column:
@@ -95,4 +96,8 @@ def seconds_component(gap_us: Column) -> Column:
 
 
 def micros(ts: str | Column) -> Column:
-    return F.unix_micros(_c(ts).cast("timestamp"))
+    """Microseconds since 1970-01-01 00:00:00 of a ``timestamp_ntz``.  A
+    difference of local date-times, so it does not depend on the session
+    time zone (a cast to ``timestamp`` would)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, _c(ts).cast("timestamp_ntz"))

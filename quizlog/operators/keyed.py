@@ -17,6 +17,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import micros
+
 # Rows a statistic table may have and still be broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -285,7 +287,7 @@ US_PER_DAY = 86_400 * 1_000_000
 
 
 def _us(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
+    return micros(c)
 
 
 def first_timestamps(df: DataFrame, user: str = "userID", ts: str = "Timestamp") -> DataFrame:
