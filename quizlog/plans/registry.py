@@ -1073,3 +1073,70 @@ def q_features(spark, sf_dir):
         *enc, "school", "grade", *stats,
         "user_enterDay", "user_day_progress", "original_order",
     )
+
+
+# ---------------------------------------------------------------- inference-side model input
+
+_SEQ_TEST_SQL = (
+    "WITH t AS (SELECT *, concat(substring(assessmentItemID, 1, 3), cast(userID AS varchar)) AS seq_id "
+    "FROM test_log),\n"
+    "kept AS (SELECT * FROM t WHERE seq_id IN (SELECT seq_id FROM t WHERE answerCode = -1)),\n"
+    + _VOCAB_SQL.format(src="train_log")
+    + """,
+c AS (SELECT kept.*, coalesce(vi.code, ui.code) AS q, coalesce(vt.code, ut.code) AS te, coalesce(vg.code, ug.code) AS tg
+      FROM kept
+      LEFT JOIN v vi ON vi."column" = 'assessmentItemID' AND vi.label = kept.assessmentItemID
+      LEFT JOIN v vt ON vt."column" = 'testId' AND vt.label = kept.testId
+      LEFT JOIN v vg ON vg."column" = 'KnowledgeTag' AND vg.label = cast(kept.KnowledgeTag AS varchar)
+      CROSS JOIN (SELECT code FROM v WHERE "column" = 'assessmentItemID' AND label = 'unknown') ui
+      CROSS JOIN (SELECT code FROM v WHERE "column" = 'testId' AND label = 'unknown') ut
+      CROSS JOIN (SELECT code FROM v WHERE "column" = 'KnowledgeTag' AND label = 'unknown') ug),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY userID ORDER BY "Timestamp" DESC, event_id DESC) AS r
+                     FROM c) WHERE r <= 20),
+s AS (SELECT userID, count(*) AS n,
+             list(te + 1 ORDER BY "Timestamp", event_id) AS test,
+             list(q + 1 ORDER BY "Timestamp", event_id) AS question,
+             list(tg + 1 ORDER BY "Timestamp", event_id) AS tag,
+             list(answerCode ORDER BY "Timestamp", event_id) AS correct
+      FROM k GROUP BY userID),
+z AS (SELECT *, list_transform(range(20 - n), lambda x: 0) AS pad FROM s)
+SELECT userID,
+  array_to_string(list_concat(pad, test), ',') AS test,
+  array_to_string(list_concat(pad, question), ',') AS question,
+  array_to_string(list_concat(pad, tag), ',') AS tag,
+  array_to_string(list_concat(pad, correct), ',') AS correct,
+  array_to_string(list_concat(pad, list_transform(range(n), lambda x: 1)), ',') AS mask,
+  array_to_string(list_concat(pad, list_concat([0], list_transform(correct[1:n - 1], lambda x: x + 1))), ',')
+    AS interaction,
+  cast(n - 1 AS int) AS gather_index
+FROM z"""
+)
+
+
+@register("y1_y7_model_input_test", _SEQ_TEST_SQL)
+def q_y1_y7_test(spark, sf_dir):
+    """Test mode (Q7): rows of the target's grade only (J3), vocabulary and
+    encodings fitted on the training log, one sequence per learner; the -1
+    target sits at the last position and never reaches ``interaction``."""
+    train, test = _train_test(spark, sf_dir)
+    enc, voc = flow.fit_encoders(train)
+    t = test.withColumn("seq_id", S.grade_split_id())
+    t = keyed.keep_target_groups(t, ["seq_id"]).drop("seq_id")
+    mi = flow.model_input_table(t, enc, voc, "userID", N_SEQ)
+    return mi.select(
+        "userID",
+        *[_ints(c).alias(c) for c in ("test", "question", "tag", "correct", "mask", "interaction")],
+        "gather_index",
+    )
+
+
+@register(
+    "w1_time_diff_total_seconds",
+    f"""WITH g AS (SELECT event_id, userID,
+       (epoch_us(lead("Timestamp") {_W})) - epoch_us("Timestamp")) // 1000000 AS secs
+FROM interactions)
+SELECT event_id, userID, cast(CASE WHEN secs < 3600 THEN secs END AS bigint) AS time_diff FROM g""",
+)
+def q_w1_total(spark, sf_dir):
+    df = windows.add_time_diff(_log(spark, sf_dir), outlier_thres=3600, mode="total")
+    return df.select("event_id", "userID", "time_diff")

@@ -29,3 +29,17 @@ def test_same_result_under_1_4_37_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("name", ["f1_f5_time_encodings", "w1_time_diff", "a17_user_enter_day", "a23_ols_two_predictors"])
+def test_same_result_under_any_session_time_zone(spark, name):
+    q = entry.queries()[name]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    results = []
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Seoul"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            results.append(sorted(map(tuple, q(spark, SF01).collect())))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert results[0] == results[1] == results[2]
