@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keyed import BROADCAST_MAX_ROWS, materialize
@@ -23,21 +23,28 @@ UNKNOWN = "unknown"
 def fit_vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Sorted distinct labels of each column plus ``unknown``.
 
-    The distinct step is a partial aggregate over one scan; codes come from
-    a distributed rank over the distinct labels.
+    The distinct step is a partial aggregate over one scan.  The result is
+    materialised in the shared checkpoint folder (it is the reference's saved
+    label file).
     """
     # One scan: every row yields one (column, label) pair per column.
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns]))
     labels = df.select(pairs.alias("p")).select("p.column", "p.label").where(F.col("label").isNotNull())
     unknowns = df.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "column string, label string")
-    labels = labels.unionByName(unknowns).distinct()
-    # Rank in (column, label) order without a per-column single task: a
-    # distributed global rank minus each column's first rank.
-    ranked = global_rank(labels, ["column", "label"], "_r")
-    first = ranked.groupBy("column").agg(F.min("_r").alias("_r0"))
-    return ranked.join(F.broadcast(first), "column").select(
-        "column", "label", (F.col("_r") - F.col("_r0")).cast("int").alias("code")
-    )
+    labels = materialize(labels.unionByName(unknowns).distinct())
+    if labels.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        # A checked, bounded table: a window per column is a small sort.
+        code = F.row_number().over(Window.partitionBy("column").orderBy("label")) - 1
+        out = labels.select("column", "label", code.cast("int").alias("code"))
+    else:
+        # Catalogue-sized beyond the limit: a distributed rank in (column,
+        # label) order minus each column's first rank.
+        ranked = global_rank(labels, ["column", "label"], "_r")
+        first = ranked.groupBy("column").agg(F.min("_r").alias("_r0"))
+        out = ranked.join(F.broadcast(first), "column").select(
+            "column", "label", (F.col("_r") - F.col("_r0")).cast("int").alias("code")
+        )
+    return materialize(out)
 
 
 def apply_vocabulary(
@@ -45,21 +52,28 @@ def apply_vocabulary(
     vocab: DataFrame,
     columns: Sequence[str] = CATEGORICAL,
     suffix: str = "",
-    materialized: bool = False,
+    materialized: bool = True,
 ) -> DataFrame:
     """Replace each column by its code; labels missing from ``vocab`` map to
     the code of ``unknown`` (E2, J5).  With ``suffix`` the codes go to new
-    columns ``<col><suffix>`` and the labels stay."""
-    # Materialise the vocabulary once (unless the caller did); its size is
-    # checked before broadcast.
+    columns ``<col><suffix>`` and the labels stay.  ``vocab`` is a stored
+    table (from ``fit_vocabulary`` or ``load_vocabulary``); pass
+    ``materialized=False`` for a vocabulary still defined by a plan."""
     if not materialized:
         vocab = materialize(vocab)
-    small = vocab.limit(BROADCAST_MAX_ROWS * len(columns) + 1).count() <= BROADCAST_MAX_ROWS * len(columns)
-    # The code of ``unknown``: one value per column, inlined as a literal.
-    unknown_code = {
-        r["column"]: r["code"]
-        for r in vocab.where((F.col("label") == UNKNOWN) & F.col("column").isin(list(columns))).collect()
-    }
+    # One small aggregate: table size (checked before broadcast) and the code
+    # of ``unknown`` per column, inlined below as a literal.
+    info = (
+        vocab.where(F.col("column").isin(list(columns)))
+        .groupBy("column")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(F.when(F.col("label") == UNKNOWN, F.col("code"))).alias("unk"),
+        )
+        .collect()
+    )
+    small = sum(r["n"] for r in info) <= BROADCAST_MAX_ROWS * len(columns)
+    unknown_code = {r["column"]: r["unk"] for r in info}
     out = df
     for c in columns:
         v = vocab.where(F.col("column") == c)

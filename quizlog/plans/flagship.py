@@ -23,7 +23,7 @@ ARRAY_FEATURES = ("test_mean", "assessment_mean", "tag_mean", "user_acc", "user_
 def model_input_table(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int) -> DataFrame:
     """Coded, target-encoded rows -> one model-input row per sequence."""
     t = keyed.apply_target_encoder(rows, encoder)
-    t = vocab.apply_vocabulary(t, vocabulary, materialized=True)
+    t = vocab.apply_vocabulary(t, vocabulary)
     seqs = sequences.collect_sequences(t, seq=seq, max_len=n, conts=sequences.CONT_COLS)
     return sequences.model_input(seqs, n)
 
@@ -31,7 +31,7 @@ def model_input_table(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str,
 def fit_encoders(train: DataFrame):
     """Target encoder and vocabulary fitted on the training log, each
     materialised once and shared by the train and test sides."""
-    return keyed.fit_target_encoder(train), keyed.materialize(vocab.fit_vocabulary(train))
+    return keyed.fit_target_encoder(train), vocab.fit_vocabulary(train)
 
 
 def last_position_features(mi: DataFrame, n: int) -> DataFrame:
