@@ -25,8 +25,8 @@ def _field(name):
     return lambda r: r[name]
 
 
-def _positions(df: DataFrame, seq: str, ts: str, tie: str) -> DataFrame:
-    s = ordered_scan(df, value=tie, user=seq, ts=ts, tie=tie)
+def _positions(df: DataFrame, seq: str, ts: str, tie: str, scan_kw: dict | None = None) -> DataFrame:
+    s = ordered_scan(df, value=tie, user=seq, ts=ts, tie=tie, **(scan_kw or {}))
     return s.withColumn("_p", (F.col("_rn") - 1).cast("long")).withColumn("_L", F.col("_len").cast("long"))
 
 
@@ -56,6 +56,7 @@ def sliding_windows(
     fields: dict[str, str] | None = None,
     ts: str = "Timestamp",
     tie: str = "event_id",
+    scan_kw: dict | None = None,
 ) -> DataFrame:
     """Sliding windows of size ``n`` and step ``stride`` (G1), the tail window
     when the steps miss the end (G2), and with ``shuffle`` the shuffled
@@ -63,12 +64,12 @@ def sliding_windows(
 
     Output: ``seq, window, copy`` (``-1`` = not shuffled), ``event_ids`` and
     one array per field.  The tail window has index ``T`` (number of full
-    windows).
+    windows).  ``scan_kw`` tunes the hot-learner split of ``ordered_scan``.
     """
     if stride < 1:
         raise ValueError("stride must be >= 1 (Q12)")
     fields = fields or SEQ_FIELDS
-    r = _positions(df, seq, ts, tie)
+    r = _positions(df, seq, ts, tie, scan_kw)
     p, L = F.col("_p"), F.col("_L")
     long_seq = L > n
     T = F.when(long_seq, F.floor((L - n) / stride) + 1).otherwise(F.lit(1))
@@ -100,6 +101,7 @@ def crop_windows(
     fields: dict[str, str] | None = None,
     ts: str = "Timestamp",
     tie: str = "event_id",
+    scan_kw: dict | None = None,
 ) -> DataFrame:
     """Cropped windows of size ``n`` (G4-G6).  Sequences of at most ``n`` rows
     stay whole.
@@ -113,7 +115,7 @@ def crop_windows(
     Output: ``seq, start, event_ids`` and one array per field.
     """
     fields = fields or SEQ_FIELDS
-    r = _positions(df, seq, ts, tie)
+    r = _positions(df, seq, ts, tie, scan_kw)
     p, L = F.col("_p"), F.col("_L")
     block = F.floor(p / n)
     if crop_type == "tiled":

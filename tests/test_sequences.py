@@ -155,3 +155,15 @@ def test_augment_dispatch(spark):
     log = make_log(spark, _user_rows(spark, 1, 10))
     assert augment.augment(log, "slide", n=4, stride=3).count() == 3
     assert augment.augment(log, "crop", n=4).count() == 3
+
+
+def test_augmentation_identical_on_the_hot_learner_path(spark):
+    log = interactions(spark, SF01)
+    hot = {"hot_rows": 30, "bucket_rows": 11}
+    for fn, kw in (
+        (augment.sliding_windows, dict(n=20, stride=7, shuffle=True, shuffle_n=2)),
+        (augment.crop_windows, dict(n=20, crop_type="random", seed=3)),
+    ):
+        a = fn(log, **kw).select(*[c for c in fn(log, **kw).columns])
+        b = fn(log, scan_kw=hot, **kw)
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
