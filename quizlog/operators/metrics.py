@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import binarize
@@ -70,6 +70,8 @@ def soft_vote(fold_preds: DataFrame, id_col: str = "id", score: str = "predictio
 def best_candidate(metrics: DataFrame, candidate: str = "candidate", metric: str = "auc") -> DataFrame:
     """The candidate with the highest metric; on ties the smallest candidate
     name wins (M9).  One row."""
-    w = Window.orderBy(F.col(metric).desc_nulls_last(), F.col(candidate).asc())
-    # The metrics table has one row per candidate: a global window is tiny.
-    return metrics.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    # min over (-metric, candidate): the highest metric, then the smallest name.
+    best = metrics.where(F.col(metric).isNotNull()).agg(
+        F.min(F.struct((-F.col(metric)).alias("k"), F.col(candidate).alias("c"))).alias("_b")
+    )
+    return best.select(F.col("_b.c").alias(candidate), (-F.col("_b.k")).alias(metric))

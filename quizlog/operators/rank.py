@@ -17,9 +17,14 @@ from pyspark.sql import functions as F
 
 
 def _n_buckets(df: DataFrame, n: int | None) -> int:
+    """Range buckets: the shuffle partition count, capped at four waves of
+    the cluster's task slots (a tiny table does not need 200 ranges; a
+    100 TB one gets as many as the cluster can run in a few waves)."""
     if n:
         return n
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = df.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
 
 
 def _cols(order: Sequence[str | Column]) -> list[Column]:
@@ -41,7 +46,10 @@ def prefix_sums(
     r = df.repartitionByRange(nb, *order_cols).withColumn("_b", F.spark_partition_id())
     r = r.select("*", *[c.alias(f"_w_{k}") for k, c in wcols.items()])
     totals = r.groupBy("_b").agg(*[F.sum(f"_w_{k}").alias(f"_t_{k}") for k in wcols])
-    # One row per range partition: a window over it is tiny by construction.
+    # One row per range partition (at most ``nb`` rows), in the same plan as
+    # the rows so the range exchange is computed once and reused.  Spark warns
+    # that this window has no partition; on a table this small that is the
+    # right plan.
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in wcols])
     local = Window.partitionBy("_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
