@@ -1140,3 +1140,21 @@ SELECT event_id, userID, cast(CASE WHEN secs < 3600 THEN secs END AS bigint) AS
 def q_w1_total(spark, sf_dir):
     df = windows.add_time_diff(_log(spark, sf_dir), outlier_thres=3600, mode="total")
     return df.select("event_id", "userID", "time_diff")
+
+
+@register(
+    "o2_last_position_train",
+    _SEQ_SQL
+    + """SELECT seq_id, cast(question[n] AS int) AS last_question, cast(correct[n] AS int) AS last_correct,
+       cast(CASE WHEN n > 1 THEN correct[n - 1] + 1 ELSE 0 END AS int) AS last_interaction
+FROM z""",
+)
+def q_o2(spark, sf_dir):
+    t = prepared_train(spark, sf_dir)
+    mi = sequences.model_input(sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ), N_SEQ)
+    return mi.select(
+        "seq_id",
+        sequences.last_position("question").cast("int").alias("last_question"),
+        sequences.last_position("correct").cast("int").alias("last_correct"),
+        sequences.last_position("interaction").cast("int").alias("last_interaction"),
+    )

@@ -49,3 +49,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a large run, from the bytes the job reads.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes`` each,
+    so a task's working set fits executor memory whatever the data size; AQE
+    coalesces small partitions and splits skewed ones at run time.  For
+    100 TB at 256 MB that is about 400,000 partitions, at least four waves
+    of the cluster's cores.
+    """
+    parts = max(4 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
