@@ -7,7 +7,8 @@ Scale: a ``Window.partitionBy(userID)`` puts one learner's whole history in
 one task.  That is fine for ordinary histories but not for a learner (or a
 bot account) owning a large share of the log.  ``ordered_scan`` therefore
 first counts rows per learner (a partial aggregate) and splits learners with
-more than ``hot_rows`` rows into time buckets of about ``bucket_rows`` rows.
+more than ``hot_rows`` rows into ordered buckets of about ``bucket_rows`` rows
+(range partitions of their rows, balanced by sampling).
 Inside a bucket the window runs as usual; a small per-bucket table (one row
 per bucket, broadcast after a size check) carries the running offsets, the
 next bucket's first timestamp and the previous bucket's last answer across
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import micros, school as school_of, grade as grade_of, seconds_component
 from .keyed import checked_broadcast, materialize
 
-# Learners with more rows than this are split into time buckets.
+# Learners with more rows than this are split into ordered buckets.
 HOT_ROWS = 2_000_000
-# Target rows per time bucket of a split learner.
+# Target rows per bucket of a split learner.
 BUCKET_ROWS = 500_000
 
 SCAN_COLS = ("_len", "_rn", "_cs", "_cc", "_next_ts", "_prev_val", "_rk_sum", "_rk_cnt")
@@ -67,14 +68,17 @@ def _light_scan(df: DataFrame, value: str, user: str, ts: str, tie: str, recent_
 def _bucketed_scan(
     df: DataFrame, hot: DataFrame, value: str, user: str, ts: str, tie: str, recent_k: int | None, bucket_rows: int
 ) -> DataFrame:
-    nb = F.ceil(F.col("_n") / F.lit(bucket_rows))
-    span = F.col("_max_us") - F.col("_min_us") + F.lit(1)
-    bucket = F.least(nb - 1, F.floor((micros(ts) - F.col("_min_us")) / span * nb)).cast("long")
+    # Buckets are range partitions of the hot rows in (user, ts, tie) order:
+    # Spark samples the bounds, so buckets hold about ``bucket_rows`` rows
+    # however bursty a learner's timestamps are, and partition ids follow the
+    # order.  The hot table is small (materialised, at most one row per hot
+    # learner), so its total is read on the driver.
+    total = hot.agg(F.sum("_n")).collect()[0][0]
+    nb = max(1, -(-int(total) // bucket_rows))
     rows = (
-        df.join(F.broadcast(hot), user, "inner")
-        .withColumn("_b", bucket)
-        .withColumnRenamed("_n", "_len")
-        .drop("_min_us", "_max_us")
+        df.join(F.broadcast(hot.select(user, F.col("_n").alias("_len"))), user, "inner")
+        .repartitionByRange(nb, F.col(user), F.col(ts), F.col(tie))
+        .withColumn("_b", F.spark_partition_id().cast("long"))
     )
 
     wb = _window(user, ts, tie, ("_b",))
