@@ -29,8 +29,18 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataF
     """
     # One scan: every row yields one (column, label) pair per column.
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns]))
-    labels = df.select(pairs.alias("p")).select("p.column", "p.label").where(F.col("label").isNotNull())
-    unknowns = df.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "column string, label string")
+    labels = df.select(pairs.alias("p")).select("p.column", "p.label")
+    return vocabulary_from_labels(labels, columns)
+
+
+def vocabulary_from_labels(labels: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """Codes for ``(column, label)`` pairs plus ``unknown`` per column.
+
+    ``labels`` may repeat pairs; it can come from the log or from any table
+    that already holds the distinct keys (such as fitted key statistics).
+    """
+    labels = labels.where(F.col("label").isNotNull())
+    unknowns = labels.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "column string, label string")
     labels = materialize(labels.unionByName(unknowns).distinct())
     if labels.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
         # A checked, bounded table: a window per column is a small sort.

@@ -29,9 +29,17 @@ def model_input_table(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str,
 
 
 def fit_encoders(train: DataFrame):
-    """Target encoder and vocabulary fitted on the training log, each
-    materialised once and shared by the train and test sides."""
-    return keyed.fit_target_encoder(train), vocab.fit_vocabulary(train)
+    """Target encoder and vocabulary fitted on the training log with one
+    scan: the encoder's per-key tables already hold every distinct test, tag
+    and item, which are the vocabulary's labels.  Both are materialised once
+    and shared by the train and test sides."""
+    enc = keyed.fit_target_encoder(train)
+    tables, _ = enc
+    labels = None
+    for key, t in zip(keyed.TARGET_KEYS.values(), tables):
+        part = t.select(F.lit(key).alias("column"), F.col(key).cast("string").alias("label"))
+        labels = part if labels is None else labels.unionByName(part)
+    return enc, vocab.vocabulary_from_labels(labels, list(keyed.TARGET_KEYS.values()))
 
 
 def last_position_features(mi: DataFrame, n: int) -> DataFrame:

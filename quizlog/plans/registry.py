@@ -405,8 +405,8 @@ def prepared_train(spark, sf_dir):
     fitted on itself (A15), vocabulary fitted and applied (E1, E2)."""
     train, _ = _train_test(spark, sf_dir)
     t = train.withColumn("seq_id", S.grade_split_id())
-    v = vocab.fit_vocabulary(t)
-    t = keyed.target_encode(t)
+    enc, v = flow.fit_encoders(t)
+    t = keyed.apply_target_encoder(t, enc)
     return vocab.apply_vocabulary(t, v)
 
 
