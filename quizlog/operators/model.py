@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import keyed, windows
+from . import keyed, metrics, windows
 from .rank import kfold, prediction_ids
 
 FEATURES = ("test_mean", "assessment_mean", "tag_mean", "user_acc", "user_total_answer", "interaction")
@@ -88,8 +88,8 @@ def cross_validate(
 
     Returns out-of-fold predictions ``(fold, <key>, prediction, label)`` and
     the fitted models (for soft voting)."""
-    folds = kfold(examples, key, k=k, seed=seed)
-    ex = examples.join(folds, key)
+    # One row per sequence, fold attached: written once, read by all k fits.
+    ex = keyed.materialize(examples.join(kfold(examples, key, k=k, seed=seed), key))
     models, parts = [], []
     for f in range(k):
         m = fit_classifier(ex.where(F.col("fold") != f), features)
@@ -98,7 +98,7 @@ def cross_validate(
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
-    return oof, models
+    return keyed.materialize(oof), models
 
 
 def vote(models: list, rows: DataFrame, id_col: str = "id", features: Sequence[str] = FEATURES) -> DataFrame:
@@ -107,7 +107,7 @@ def vote(models: list, rows: DataFrame, id_col: str = "id", features: Sequence[s
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
-    return allp.groupBy(id_col).agg(F.avg("prediction").alias("prediction"))
+    return metrics.soft_vote(allp, id_col)
 
 
 def submission(test_rows: DataFrame, predictions_by_user: DataFrame, key: str = "userID") -> DataFrame:

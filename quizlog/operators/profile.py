@@ -112,12 +112,22 @@ def band_filter(df: DataFrame, x: str, method: str = "mean") -> DataFrame:
     return df.crossJoin(F.broadcast(b)).where(in_int_range(x, "lower", "upper")).drop("lower", "upper")
 
 
-def band_coverage(df: DataFrame, x: str, method: str = "mean") -> DataFrame:
-    """lower, upper and the share of all rows inside the band."""
-    b = band_bounds(df, x, method)
-    return df.crossJoin(F.broadcast(b)).groupBy("lower", "upper").agg(
-        F.avg(F.coalesce(in_int_range(x, "lower", "upper"), F.lit(False)).cast("double")).alias("coverage")
+def band_coverage(df: DataFrame, x: str, method: str | Sequence[str] = "mean") -> DataFrame:
+    """lower, upper and the share of all rows inside the band.
+
+    With several methods, the bounds (one row each) are broadcast and every
+    method's coverage comes from the same pass over the rows; the output
+    then carries a ``method`` column."""
+    methods = [method] if isinstance(method, str) else list(method)
+    bounds = None
+    for m in methods:
+        b = band_bounds(df, x, m).select(F.lit(m).alias("method"), "lower", "upper")
+        bounds = b if bounds is None else bounds.unionByName(b)
+    inside = F.coalesce(in_int_range(x, "lower", "upper"), F.lit(False)).cast("double")
+    out = df.select(x).crossJoin(F.broadcast(bounds)).groupBy("method", "lower", "upper").agg(
+        F.avg(inside).alias("coverage")
     )
+    return out.drop("method") if isinstance(method, str) else out
 
 
 def histogram(df: DataFrame, x: str, bins: int = 10) -> DataFrame:

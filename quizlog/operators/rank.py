@@ -36,10 +36,12 @@ def prefix_sums(
     order: Sequence[str | Column],
     weights: dict[str, str | Column],
     n_buckets: int | None = None,
+    with_total: bool = False,
 ) -> DataFrame:
     """Add exclusive prefix sums in the global ``order`` (which must be a
     total order): for each output name, the sum of its weight over all rows
-    strictly before the row."""
+    strictly before the row.  With ``with_total`` also ``<name>_total``, the
+    sum over all rows (taken from the per-partition table, no extra pass)."""
     nb = _n_buckets(df, n_buckets)
     order_cols = _cols(order)
     wcols = {k: (F.col(v) if isinstance(v, str) else v) for k, v in weights.items()}
@@ -51,20 +53,31 @@ def prefix_sums(
     # that this window has no partition; on a table this small that is the
     # right plan.
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in wcols])
+    everything = Window.partitionBy()
+    offsets = totals.select(
+        "_b",
+        *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in wcols],
+        *[F.sum(f"_t_{k}").over(everything).alias(f"{k}_total") for k in wcols],
+    )
     local = Window.partitionBy("_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     out = r.join(F.broadcast(offsets), "_b").select(
         *df.columns,
         *[(F.col(f"_o_{k}") + F.coalesce(F.sum(f"_w_{k}").over(local), F.lit(0))).alias(k) for k in wcols],
+        *([F.col(f"{k}_total") for k in wcols] if with_total else []),
     )
     return out
 
 
 def global_rank(
-    df: DataFrame, order: Sequence[str | Column], name: str = "rank", n_buckets: int | None = None
+    df: DataFrame,
+    order: Sequence[str | Column],
+    name: str = "rank",
+    n_buckets: int | None = None,
+    with_total: bool = False,
 ) -> DataFrame:
-    """1-based position of each row in the global ``order`` (a total order)."""
-    out = prefix_sums(df, order, {name: F.lit(1).cast("long")}, n_buckets)
+    """1-based position of each row in the global ``order`` (a total order);
+    with ``with_total`` also ``<name>_total``, the number of rows."""
+    out = prefix_sums(df, order, {name: F.lit(1).cast("long")}, n_buckets, with_total)
     return out.withColumn(name, (F.col(name) + 1).cast("long"))
 
 
@@ -87,11 +100,8 @@ def ratio_split(
     """Shuffled ratio split of distinct ``key`` values (D1): the first
     ``floor(n * ratio)`` in seeded hash order are training keys."""
     k = keys.select(key).distinct()
-    ranked = global_rank(k.withColumn("_h", hash_key(key, seed)), ["_h", key], "_r")
-    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    return ranked.crossJoin(F.broadcast(n)).select(
-        key, (F.col("_r") <= F.floor(F.col("_n") * F.lit(ratio))).alias(name)
-    )
+    ranked = global_rank(k.withColumn("_h", hash_key(key, seed)), ["_h", key], "_r", with_total=True)
+    return ranked.select(key, (F.col("_r") <= F.floor(F.col("_r_total") * F.lit(ratio))).alias(name))
 
 
 def kfold(keys: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
@@ -101,13 +111,12 @@ def kfold(keys: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fo
     most one; the first ``n % k`` folds get one more key (as ``ntile``).
     """
     kk = keys.select(key).distinct()
-    ranked = global_rank(kk.withColumn("_h", hash_key(key, seed)), ["_h", key], "_r")
-    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    r, N = F.col("_r"), F.col("_n")
+    ranked = global_rank(kk.withColumn("_h", hash_key(key, seed)), ["_h", key], "_r", with_total=True)
+    r, N = F.col("_r"), F.col("_r_total")
     q = F.floor(N / k)
     e = N % k
     fold = F.when(r <= e * (q + 1), F.floor((r - 1) / (q + 1))).otherwise(e + F.floor((r - 1 - e * (q + 1)) / q))
-    return ranked.crossJoin(F.broadcast(n)).select(key, fold.cast("int").alias(name))
+    return ranked.select(key, fold.cast("int").alias(name))
 
 
 def prediction_ids(seqs: DataFrame, key: str = "userID", name: str = "id") -> DataFrame:

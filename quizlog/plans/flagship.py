@@ -104,11 +104,11 @@ def validation_report(spark: SparkSession, sf_dir: str, ratio: float = 0.7, seed
     accuracy and log-loss on the other (M6-M8).  One row."""
     train, _ = logs(spark, sf_dir)
     ex = keyed.materialize(train_examples(train, fit_encoders(train)))
-    split = rank.ratio_split(ex, "seq_id", ratio, seed)
-    ex = ex.join(split, "seq_id")
+    ex = keyed.materialize(ex.join(rank.ratio_split(ex, "seq_id", ratio, seed), "seq_id"))
     clf = model.fit_classifier(ex.where("is_train"), ARRAY_FEATURES)
     valid = model.score(clf, ex.where(~F.col("is_train")), ARRAY_FEATURES, keep=("label",))
-    valid = valid.withColumnRenamed("label", "target")
+    # Scored once, read by the four metrics.
+    valid = keyed.materialize(valid.withColumnRenamed("label", "target"))
     return (
         metrics.auroc(valid)
         .crossJoin(metrics.accuracy(valid))

@@ -721,10 +721,9 @@ SELECT candidate, round(auc, 9) AS auc FROM m ORDER BY auc DESC, candidate LIMIT
 )
 def q_m9(spark, sf_dir):
     log = keyed.add_feature_stats(_log(spark, sf_dir), list(_CANDIDATES.values()))
-    preds = None
-    for cand, col in _CANDIDATES.items():
-        p = log.select(F.lit(cand).alias("candidate"), F.col(col).alias("prediction"), F.col("answerCode").alias("target"))
-        preds = p if preds is None else preds.unionByName(p)
+    # One pass over the scored log: each row yields one row per candidate.
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("candidate"), F.col(col).alias("prediction")) for c, col in _CANDIDATES.items()]))
+    preds = log.select(pairs.alias("p"), F.col("answerCode").alias("target")).select("p.*", "target")
     m = metrics.auroc(preds, by=["candidate"])
     return metrics.best_candidate(m).select("candidate", rnd("auc").alias("auc"))
 
@@ -852,12 +851,8 @@ b AS (SELECT method, greatest(0, cast(trunc(c - 1.96 * sd) AS bigint)) AS lower,
 FROM b CROSS JOIN y GROUP BY b.method, b.lower, b.upper""",
 )
 def q_a21(spark, sf_dir):
-    rows = _user_count_rows(spark, sf_dir)
-    out = None
-    for m in ("mean", "median", "mode"):
-        c = profile.band_coverage(rows, "x", m).select(F.lit(m).alias("method"), "lower", "upper", rnd("coverage").alias("coverage"))
-        out = c if out is None else out.unionByName(c)
-    return out
+    c = profile.band_coverage(_user_count_rows(spark, sf_dir), "x", ["mean", "median", "mode"])
+    return c.select("method", "lower", "upper", rnd("coverage").alias("coverage"))
 
 
 @register(
