@@ -1153,3 +1153,45 @@ def q_o2(spark, sf_dir):
         sequences.last_position("correct").cast("int").alias("last_correct"),
         sequences.last_position("interaction").cast("int").alias("last_interaction"),
     )
+
+
+# ---------------------------------------------------------------- hot-learner path under the oracle
+# The same operators with the split threshold lowered so that every learner
+# above 30 rows takes the bucketed path (range-partitioned buckets of about
+# 11 rows); results must equal the plain path's oracle.
+
+_SPLIT = {"hot_rows": 30, "bucket_rows": 11}
+
+
+@register("w1_time_diff_split_learners")
+def q_w1_split(spark, sf_dir):
+    df = windows.add_time_diff(_log(spark, sf_dir), outlier_thres=80, **_SPLIT)
+    return df.select("event_id", "userID", "time_diff")
+
+
+@register("w3_recent_mean_k50_split_learners")
+def q_w3_split(spark, sf_dir):
+    df = windows.add_recent_mean(_log(spark, sf_dir), k=50, **_SPLIT)
+    return df.select("event_id", "userID", rnd("userID_acc_mean_recentK").alias("userID_acc_mean_recentK"))
+
+
+@register("w4_w6_prior_stats_split_learners")
+def q_w4_split(spark, sf_dir):
+    df = windows.add_prior_stats(_log(spark, sf_dir), **_SPLIT)
+    return df.select(
+        "event_id", "userID", "user_correct_answer", "user_total_answer", rnd("user_acc").alias("user_acc")
+    )
+
+
+@register("g1_g2_sliding_windows_split_learners")
+def q_g1_split(spark, sf_dir):
+    return _g_out(augment.sliding_windows(_log(spark, sf_dir), n=20, stride=7, scan_kw=_SPLIT))
+
+
+for _split, _plain in (
+    ("w1_time_diff_split_learners", "w1_time_diff"),
+    ("w3_recent_mean_k50_split_learners", "w3_recent_mean_k50"),
+    ("w4_w6_prior_stats_split_learners", "w4_w6_prior_stats"),
+    ("g1_g2_sliding_windows_split_learners", "g1_g2_sliding_windows_n20_s7"),
+):
+    ORACLE[_split] = ORACLE[_plain]
