@@ -1195,3 +1195,22 @@ for _split, _plain in (
     ("g1_g2_sliding_windows_split_learners", "g1_g2_sliding_windows_n20_s7"),
 ):
     ORACLE[_split] = ORACLE[_plain]
+
+
+@register(
+    "y3_y4_padded_sequences_train",
+    _SEQ_SQL
+    + """SELECT seq_id,
+  array_to_string(list_concat(pad, list_transform(test, lambda x: x - 1)), ',') AS test,
+  array_to_string(list_concat(pad, list_transform(question, lambda x: x - 1)), ',') AS question,
+  array_to_string(list_concat(pad, list_transform(tag, lambda x: x - 1)), ',') AS tag,
+  array_to_string(list_concat(pad, correct), ',') AS correct,
+  array_to_string(list_concat(pad, list_transform(range(n), lambda x: 1)), ',') AS mask
+FROM z""",
+)
+def q_y3_y4(spark, sf_dir):
+    """Padded sequence form (Y3, Y4): unshifted codes left-padded with 0 and
+    a ``tinyint`` validity mask."""
+    t = prepared_train(spark, sf_dir)
+    p = sequences.pad_sequences(sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ), N_SEQ)
+    return p.select("seq_id", *[_ints(c).alias(c) for c in ("test", "question", "tag", "correct", "mask")])
