@@ -48,7 +48,33 @@ def _hot_users(df: DataFrame, user: str, ts: str, hot_rows: int) -> DataFrame |
     return materialize(hot)
 
 
-def _light_scan(df: DataFrame, value: str, user: str, ts: str, tie: str, recent_k: int | None) -> DataFrame:
+# Aggregates for ``user_aggs``: name -> Column builder.
+_USER_AGGS = {
+    "count": F.count,
+    "mean": F.avg,
+    "min": F.min,
+    "max": F.max,
+    "sum": F.sum,
+}
+
+
+def _user_agg_cols_window(user: str, user_aggs: dict | None) -> list[Column]:
+    """Per-learner (and learner x key) aggregates as windows.  Hash
+    partitioning by the learner satisfies every ``partitionBy(learner,
+    key)``, so they ride on the scan's single shuffle.  A null key gets null,
+    as with a group-by that drops null keys."""
+    cols = []
+    for name, (keys, agg, col) in (user_aggs or {}).items():
+        e = _USER_AGGS[agg](F.col(col)).over(Window.partitionBy(user, *keys))
+        for k in keys:
+            e = F.when(F.col(k).isNotNull(), e)
+        cols.append(e.alias(name))
+    return cols
+
+
+def _light_scan(
+    df: DataFrame, value: str, user: str, ts: str, tie: str, recent_k: int | None, user_aggs: dict | None = None
+) -> DataFrame:
     w = _window(user, ts, tie)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     cols = [
@@ -62,7 +88,7 @@ def _light_scan(df: DataFrame, value: str, user: str, ts: str, tie: str, recent_
     if recent_k:
         last_k = w.rowsBetween(-(recent_k - 1), 0)
         cols += [F.sum(value).over(last_k).alias("_rk_sum"), F.count(value).over(last_k).alias("_rk_cnt")]
-    return df.select("*", *cols)
+    return df.select("*", *cols, *_user_agg_cols_window(user, user_aggs))
 
 
 def _bucketed_scan(
@@ -148,6 +174,21 @@ def _bucketed_scan(
     return out
 
 
+def _add_user_aggs_joined(out: DataFrame, rows: DataFrame, user: str, user_aggs: dict | None) -> DataFrame:
+    """The same aggregates for split learners: group-bys over their rows
+    (one per key set) joined back, after a size check."""
+    by_keys: dict[tuple, list] = {}
+    for name, (keys, agg, col) in (user_aggs or {}).items():
+        by_keys.setdefault(tuple(keys), []).append(_USER_AGGS[agg](F.col(col)).alias(name))
+    for keys, aggs in by_keys.items():
+        src = rows
+        for k in keys:
+            src = src.where(F.col(k).isNotNull())
+        stats = checked_broadcast(src.groupBy(user, *keys).agg(*aggs))
+        out = out.join(stats, [user, *keys], "left")
+    return out
+
+
 def ordered_scan(
     df: DataFrame,
     value: str = "answerCode",
@@ -157,6 +198,7 @@ def ordered_scan(
     recent_k: int | None = None,
     hot_rows: int = HOT_ROWS,
     bucket_rows: int = BUCKET_ROWS,
+    user_aggs: dict | None = None,
 ) -> DataFrame:
     """Add per-learner running columns in (ts, tie) order.
 
@@ -164,12 +206,21 @@ def ordered_scan(
     ``value`` including the row, ``_next_ts`` next row's timestamp,
     ``_prev_val`` previous row's value, and with ``recent_k`` the sum / count
     of non-null values over the last K rows (``_rk_sum`` / ``_rk_cnt``).
+
+    ``user_aggs`` maps an output name to ``(extra_keys, aggregate, column)``:
+    an aggregate per learner (and extra keys), e.g. ``{"n": ([], "count",
+    "answerCode")}``.  Ordinary learners get them as windows on the scan's
+    own partitioning; split learners from small group-bys joined back.
     """
     hot = _hot_users(df, user, ts, hot_rows)
     if hot is None:
-        return _light_scan(df, value, user, ts, tie, recent_k)
-    light = _light_scan(df.join(F.broadcast(hot.select(user)), user, "left_anti"), value, user, ts, tie, recent_k)
+        return _light_scan(df, value, user, ts, tie, recent_k, user_aggs)
+    light_rows = df.join(F.broadcast(hot.select(user)), user, "left_anti")
+    light = _light_scan(light_rows, value, user, ts, tie, recent_k, user_aggs)
     heavy = _bucketed_scan(df, hot, value, user, ts, tie, recent_k, bucket_rows)
+    if user_aggs:
+        hot_rows_df = df.join(F.broadcast(hot.select(user)), user, "left_semi")
+        heavy = _add_user_aggs_joined(heavy, hot_rows_df, user, user_aggs)
     return light.unionByName(heavy, allowMissingColumns=True)
 
 

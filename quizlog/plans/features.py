@@ -19,7 +19,11 @@ OUTLIER_THRES = 80
 
 
 def feature_table(
-    log: DataFrame, recent_k: int = RECENT_K, outlier_thres: float = OUTLIER_THRES, family: bool = True
+    log: DataFrame,
+    recent_k: int = RECENT_K,
+    outlier_thres: float = OUTLIER_THRES,
+    family: bool = True,
+    scan_kw: dict | None = None,
 ) -> DataFrame:
     """All feature columns for every row of ``log``.
 
@@ -30,11 +34,18 @@ def feature_table(
     """
     fam = windows.family_ids(log)  # school, grade, familyID, familyUserID (P2, P3, W7)
     base = windows.as_family_users(fam) if family else fam
-    # One ordered scan per learner feeds all three history features.
-    s = windows.ordered_scan(base, recent_k=recent_k)
+    # One ordered scan per learner feeds the three history features and, on
+    # the same partitioning, every learner-keyed statistic
+    # and the learner's first timestamp: no further shuffle of the rows.
+    user_aggs = {"_start": ([], "min", "Timestamp")}
+    for name, (keys, agg) in keyed.FEATURE_STATS.items():
+        if "userID" in keys:
+            user_aggs[name] = ([k for k in keys if k != "userID"], agg, "answerCode")
+    s = windows.ordered_scan(base, recent_k=recent_k, user_aggs=user_aggs, **(scan_kw or {}))
     gap = S.seconds_component(S.micros("_next_ts") - S.micros("Timestamp"))
     s = s.select(
         *base.columns,
+        *user_aggs,
         F.when(gap < outlier_thres, gap).cast("bigint").alias("time_diff"),
         F.when(F.col("_cc") > 0, F.col("_cs") / F.col("_cc")).alias("userID_acc_cummean"),
         F.when(F.col("_rk_cnt") > 0, F.col("_rk_sum") / F.col("_rk_cnt")).alias("userID_acc_mean_recentK"),
@@ -43,10 +54,11 @@ def feature_table(
         S.encoded_dayofthemonth().alias("encoded_dayofthemonth"),
         S.encoded_month().alias("encoded_month"),
     )
-    # All learner-keyed statistics and each learner's first timestamp in one
-    # aggregate over the (family-keyed) log, not over the wide plan.
-    stats_src = base.select("userID", "Timestamp", "assessmentItemID", "testId", "KnowledgeTag", "answerCode")
-    s = keyed.add_feature_stats(s, user_extra={"_start": F.min("Timestamp")}, fit_on=stats_src)
+    # Test, tag and item statistics: one checked, broadcast grouping-sets job
+    # over the log, not over the wide plan.
+    dims = [n for n, (keys, _) in keyed.FEATURE_STATS.items() if "userID" not in keys]
+    stats_src = log.select("assessmentItemID", "testId", "KnowledgeTag", "answerCode")
+    s = keyed.add_feature_stats(s, dims, fit_on=stats_src)
     # Narrow side computations read raw columns of the log, never the wide
     # feature plan: the global first timestamp and the global order.
     first = log.agg(F.min("Timestamp").alias("_first"))

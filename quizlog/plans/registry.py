@@ -1048,8 +1048,8 @@ JOIN st ON b.userID = st.userID CROSS JOIN g
 # The reference's feature library runs in family mode: ``userID`` is the
 # family id of W7 and every learner feature is per (learner, school, grade).
 @register("features_all_columns", _features_sql())
-def q_features(spark, sf_dir):
-    ft = feature_plan.feature_table(_log(spark, sf_dir))
+def q_features(spark, sf_dir, scan_kw=None):
+    ft = feature_plan.feature_table(_log(spark, sf_dir), scan_kw=scan_kw)
     enc = []
     for src, dst in (
         ("encoded_hour", "hour"),
@@ -1214,3 +1214,11 @@ def q_y3_y4(spark, sf_dir):
     t = prepared_train(spark, sf_dir)
     p = sequences.pad_sequences(sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ), N_SEQ)
     return p.select("seq_id", *[_ints(c).alias(c) for c in ("test", "question", "tag", "correct", "mask")])
+
+
+@register("features_all_columns_split_learners")
+def q_features_split(spark, sf_dir):
+    return q_features(spark, sf_dir, scan_kw=_SPLIT)
+
+
+ORACLE["features_all_columns_split_learners"] = ORACLE["features_all_columns"]
