@@ -1222,3 +1222,37 @@ def q_features_split(spark, sf_dir):
 
 
 ORACLE["features_all_columns_split_learners"] = ORACLE["features_all_columns"]
+
+
+@register(
+    "m2_last_position_examples_rows",
+    """WITH t AS (SELECT *, concat(substring(assessmentItemID, 1, 3), cast(userID AS varchar)) AS seq_id
+              FROM train_log),
+te AS (SELECT testId, avg(answerCode) AS m FROM t GROUP BY testId),
+ta AS (SELECT KnowledgeTag, avg(answerCode) AS m FROM t GROUP BY KnowledgeTag),
+ai AS (SELECT assessmentItemID, avg(answerCode) AS m FROM t GROUP BY assessmentItemID),
+h AS (SELECT t.*,
+        row_number() OVER (PARTITION BY seq_id ORDER BY "Timestamp" DESC, event_id DESC) AS r_desc,
+        sum(answerCode) OVER (PARTITION BY seq_id ORDER BY "Timestamp", event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_sum,
+        row_number() OVER (PARTITION BY seq_id ORDER BY "Timestamp", event_id) - 1 AS prior_cnt,
+        lag(answerCode) OVER (PARTITION BY seq_id ORDER BY "Timestamp", event_id) AS prev
+      FROM t)
+SELECT h.seq_id, h.event_id, round(te.m, 9) AS test_mean, round(ai.m, 9) AS assessment_mean,
+       round(ta.m, 9) AS tag_mean,
+       round(CASE WHEN prior_cnt > 0 THEN coalesce(prior_sum, 0) / prior_cnt END, 9) AS user_acc,
+       cast(prior_cnt AS double) AS user_total_answer, cast(coalesce(prev + 1, 0) AS double) AS interaction,
+       cast(answerCode AS double) AS label
+FROM h JOIN te USING (testId) JOIN ta USING (KnowledgeTag) JOIN ai USING (assessmentItemID)
+WHERE r_desc = 1""",
+)
+def q_m2_rows(spark, sf_dir):
+    """Row-form training examples (M2 input): the last row of each training
+    sequence with its history features over the whole history."""
+    train, _ = _train_test(spark, sf_dir)
+    ex = model.last_position_rows(train.withColumn("seq_id", S.grade_split_id()), seq="seq_id")
+    return ex.select(
+        "seq_id", "event_id",
+        *[rnd(c).alias(c) for c in ("test_mean", "assessment_mean", "tag_mean", "user_acc")],
+        "user_total_answer", "interaction", "label",
+    )
