@@ -33,15 +33,20 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataF
     return vocabulary_from_labels(labels, columns)
 
 
-def vocabulary_from_labels(labels: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
+def vocabulary_from_labels(
+    labels: DataFrame, columns: Sequence[str] = CATEGORICAL, materialize_labels: bool = True
+) -> DataFrame:
     """Codes for ``(column, label)`` pairs plus ``unknown`` per column.
 
     ``labels`` may repeat pairs; it can come from the log or from any table
-    that already holds the distinct keys (such as fitted key statistics).
+    that already holds the distinct keys (such as fitted key statistics; then
+    pass ``materialize_labels=False``, the source is already small and stored).
     """
     labels = labels.where(F.col("label").isNotNull())
     unknowns = labels.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "column string, label string")
-    labels = materialize(labels.unionByName(unknowns).distinct())
+    labels = labels.unionByName(unknowns).distinct()
+    if materialize_labels:
+        labels = materialize(labels)
     if labels.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
         # A checked, bounded table: a window per column is a small sort.
         code = F.row_number().over(Window.partitionBy("column").orderBy("label")) - 1

@@ -39,7 +39,7 @@ def fit_encoders(train: DataFrame):
     for key, t in zip(keyed.TARGET_KEYS.values(), tables):
         part = t.select(F.lit(key).alias("column"), F.col(key).cast("string").alias("label"))
         labels = part if labels is None else labels.unionByName(part)
-    return enc, vocab.vocabulary_from_labels(labels, list(keyed.TARGET_KEYS.values()))
+    return enc, vocab.vocabulary_from_labels(labels, list(keyed.TARGET_KEYS.values()), materialize_labels=False)
 
 
 def last_position_features(mi: DataFrame, n: int) -> DataFrame:
