@@ -119,3 +119,21 @@ def test_global_rank_has_no_single_partition_exchange(spark):
     for i, ln in enumerate(lines):
         if "Exchange SinglePartition" in ln:
             assert "HashAggregate(keys=[_b" in lines[i + 1]
+
+
+def test_encoder_vocabulary_equals_scanned_vocabulary(spark):
+    from quizlog.operators import vocab
+    from quizlog.plans import flagship
+
+    train, _ = split_logs(interactions(spark, SF01))
+    _, from_tables = flagship.fit_encoders(train)
+    scanned = vocab.fit_vocabulary(train)
+    assert from_tables.exceptAll(scanned).count() == 0 and scanned.exceptAll(from_tables).count() == 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from quizlog.session import cluster_conf
+
+    conf = cluster_conf(100 * 2**40, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert int(cluster_conf(10**6, cores=8)["spark.sql.shuffle.partitions"]) == 32
