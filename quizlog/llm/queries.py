@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from quizlog.llm import quality_rules, simhash_dedup
+from quizlog.llm import best_fit_packing, quality_rules, simhash_dedup, token_output
 
 QUERIES = {
+    "op7_token_output": token_output.query,
+    "op8_best_fit_packing": best_fit_packing.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
     "op10_quality_rules": quality_rules.query,
 }
