@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quizlog.llm import best_fit_packing, quality_rules, simhash_dedup, token_output
+from quizlog.llm import best_fit_packing, language_id, quality_rules, simhash_dedup, token_output
 
 QUERIES = {
+    "op3_language_id": language_id.query,
     "op7_token_output": token_output.query,
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
