@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from quizlog.llm import best_fit_packing, language_id, quality_rules, simhash_dedup, token_output
+from quizlog.llm import (
+    best_fit_packing,
+    language_id,
+    license_scan,
+    lm_scoring,
+    quality_rules,
+    simhash_dedup,
+    token_output,
+)
 
 QUERIES = {
+    "op2_lm_scoring": lm_scoring.query,
     "op3_language_id": language_id.query,
+    "op6_license_scan": license_scan.query,
     "op7_token_output": token_output.query,
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_simhash_near_dedup": simhash_dedup.query,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +13,29 @@ from pyspark.sql import functions as F
 from quizlog.session import ensure_checkpoint_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark) -> None:
+    """Send this library's code to the executors, once per application, so
+    their Python workers can import it whatever their working folder is."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="quizlog-code-"), "quizlog.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)  # Spark serves the file to the executors
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quizlog.llm import bytetext as B
 
-HOT_VALUES = 8 << 20  # numbers in the broadcast table of frequent words
+HOT_VALUES = 4 << 20  # numbers in the broadcast table of frequent words
 _FLUSH = 1_500_000
 
 
@@ -102,10 +102,10 @@ def word_sums(docs: DataFrame, passing: list[str], vectors: DataFrame, dims: int
     spark = docs.sparkSession
     hot, least = _hot(vectors, dims, hot_values)
     names = [f"v{k}" for k in range(dims)]
-    got = hot.select("h", *[F.col(c).cast("float").alias(c) for c in names]).toArrow()
+    got = hot.select("h", *[F.col(c).cast("double").alias(c) for c in names]).toArrow()
     order = np.argsort(np.asarray(got.column("h")), kind="stable")
     keys = np.asarray(got.column("h"))[order]
-    values = np.stack([np.asarray(got.column(c)) for c in names], 1)[order] if len(keys) else np.zeros((0, dims), np.float32)
+    values = np.stack([np.asarray(got.column(c)) for c in names], 1)[order] if len(keys) else np.zeros((0, dims))
     shared = spark.sparkContext.broadcast((keys, values))  # hot_values numbers at most
     chosen = docs.select(*[F.col(c) for c in passing], F.col("text").alias("_text"))
     kinds = [(c, chosen.schema[c].dataType.simpleString()) for c in passing]
@@ -126,9 +126,9 @@ def word_sums(docs: DataFrame, passing: list[str], vectors: DataFrame, dims: int
                 at = np.searchsorted(hot_keys, uniq)
                 at[at == hot_keys.size] = 0
                 is_hot = hot_keys[at] == uniq if hot_keys.size else np.zeros(uniq.size, bool)
-                val = np.zeros((uniq.size, dims), np.float32)
+                val = np.zeros((uniq.size, dims))
                 val[is_hot] = hot_vals[at[is_hot]]
-                sums = [B.per_text(val[inverse, k].astype(np.float64), w.first, np.float64) for k in range(dims)]
+                sums = [B.per_text(val[inverse, k], w.first, np.float64) for k in range(dims)]
                 rare = np.flatnonzero(~is_hot[inverse])
                 text_of = w.text_of_word()
                 pair, tf = np.unique(text_of[rare] * np.int64(max(1, uniq.size)) + inverse[rare], return_counts=True)
