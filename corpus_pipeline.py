@@ -15,12 +15,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quizlog.llm import quality_rules, simhash_dedup
+from quizlog.llm import best_fit_packing, decontaminate, language_id, quality_rules, simhash_dedup
 from quizlog.llm.shared import scratch_path, table
 
 STAGES = [
+    ("language_id", language_id.stage),
     ("quality_rules", quality_rules.stage),
     ("simhash_near_dedup", simhash_dedup.stage),
+    ("benchmark_decontamination", decontaminate.stage),
+    ("best_fit_packing", best_fit_packing.stage),
 ]
 
 #: The stages rest on learned models, hashes and a packing search, which SQL

@@ -20,8 +20,9 @@ From a host's wrapper follow the places of its main text: articles, else
 the main element, else the region that holds most slot text outside links.
 Menus, headers, footers, sidebars, notices, adverts, forms, reader comments
 and invisible elements are left out by element and by words of class and id.
-On hosts with ``MIN_PAGES`` pages or more, text that stands constant on
-every page outside repeats is template, not content, as long as slots remain.
+On hosts with ``MIN_PAGES`` pages or more, text other than headings that
+stands constant on every page outside repeats is template, not content, if
+some slot outside repeats shows that the pages differ.
 
 Every page is then read by its host's rules: blocks in page order, character
 references decoded, white space inside a block one space, blocks joined by
@@ -198,14 +199,18 @@ def _find(item: list, tag: str, path: tuple, out: list) -> None:
         _find(x, tag, here, out)
 
 
-def _constants(item: list, out: list, fixed: bool) -> None:
+def _constants(item: list, constants: list, slots: list, fixed: bool) -> None:
+    """Texts outside repeats and optionals: constants (headings apart, which
+    are always content) and slots, which show that pages differ."""
     if item[0] == "#":
-        if fixed and not item[1] and not item[2] and item[3] is not None:
-            out.append(item[3])
+        if fixed and not item[1] and not item[2]:
+            (slots if item[3] is None else constants).append(item[3])
         return
     still = fixed and not item[1] and not item[2]
     for x in item[3]:
-        _constants(x, out, still)
+        if item[0].split(".")[0] in HEADINGS and x[0] == "#" and x[3] is not None:
+            continue
+        _constants(x, constants, slots, still)
 
 
 def rules(wrapper: list, n_pages: int) -> dict:
@@ -229,10 +234,13 @@ def rules(wrapper: list, n_pages: int) -> dict:
                 break
             at = at[3][scored[0][1]]
     constants: list = []
-    if n_pages >= MIN_PAGES and any(_mass(f[1])[0] > 0 for f in found):
+    slots: list = []
+    if n_pages >= MIN_PAGES:
         for _, item in found:
             for x in item[3] if item[0] != "#" else []:
-                _constants(x, constants, True)
+                _constants(x, constants, slots, True)
+    if not slots:  # every page may be a copy of one
+        constants = []
     return {"paths": sorted({p[1:] if p and p[0] == "#root" else p for p, _ in found}), "drop": sorted(set(constants))}
 
 

@@ -174,8 +174,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised with at least ``MIN_SCORE``
     stay.  Learns from all documents with a known language, as in the query."""
     text_key = F.xxhash64(F.coalesce("text", F.lit("")))
-    held = docs.select("doc_id", "text", "lang", (crc_mod("doc_id", 4) == 2).alias("held_out"), text_key.alias("_key"))
-    found = identify(held, ~F.col("held_out"), ["doc_id", "_key"])
+    held = docs.select("doc_id", "text", "lang", (crc_mod("doc_id", 4) == 2).alias("held_out"), text_key.alias("text_key"))
+    found = identify(held, ~F.col("held_out"), ["doc_id", "text_key"])
     rejected = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_SCORE))
-    drop = rejected.select(F.col("doc_id").alias("_drop"), "_key").distinct()
-    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("_drop")) & (text_key == F.col("_key")), "left_anti")
+    drop = rejected.select(F.col("doc_id").alias("__q_drop"), F.col("text_key").alias("__q_key")).distinct()
+    return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("__q_drop")) & (text_key == F.col("__q_key")), "left_anti")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from quizlog.llm import (
     best_fit_packing,
+    chat_format,
+    decontaminate,
+    html_extract,
     language_id,
     license_scan,
     lm_scoring,
@@ -13,8 +16,11 @@ from quizlog.llm import (
 )
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.query,
     "op2_lm_scoring": lm_scoring.query,
     "op3_language_id": language_id.query,
+    "op4_html_extract": html_extract.query,
+    "op5_chat_format": chat_format.query,
     "op6_license_scan": license_scan.query,
     "op7_token_output": token_output.query,
     "op8_best_fit_packing": best_fit_packing.query,

@@ -197,14 +197,13 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that repeat that id count as one document; rows without an id cannot be
     named by a group and stay."""
     found = cut(near_duplicates(docs))
-    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_keep")).agg(F.count("*").alias("_n"))
-    kept = docs.join(keep, F.col("doc_id") == F.col("_keep"))
-    once, many = kept.where("_n = 1"), kept.where("_n > 1")
-    first = F.row_number().over(Window.partitionBy("_keep").orderBy(*[F.col(f"`{c}`") for c in docs.columns]))
-    many = many.withColumn("_row", first).where("_row = 1")
-    columns = [docs[c] for c in docs.columns]
-    if keep.where("_n > 1").isEmpty():
-        whole = once.select(*columns)
+    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__q_keep")).agg(F.count("*").alias("__q_n"))
+    kept = docs.join(keep, F.col("doc_id") == F.col("__q_keep"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if keep.where("__q_n > 1").isEmpty():
+        whole = kept.select(*columns)
     else:
-        whole = once.select(*columns).unionByName(many.select(*columns))
+        first = F.row_number().over(Window.partitionBy("__q_keep").orderBy("text"))
+        many = kept.where("__q_n > 1").withColumn("__q_row", first).where("__q_row = 1")
+        whole = kept.where("__q_n = 1").select(*columns).unionByName(many.select(*columns))
     return whole.unionByName(docs.where("doc_id is null"))
