@@ -33,6 +33,7 @@ KEEP_AT = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
+FEATURE_BYTES = 1 << 20  # text per slice: a feature row takes about 100 times its text
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
 _ODD = [B.U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -160,14 +161,22 @@ def fit(row: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, weight
     a, b = 1.0, 0.0
     zc, yc, wc = z[cal], y[cal], weight[cal] / weight[cal].sum()
     soft = np.where(yc == 1, ((yc == 1).sum() + 1) / ((yc == 1).sum() + 2), 1 / ((yc == 0).sum() + 2))
-    for _ in range(50):  # Newton on two parameters, targets smoothed as by Platt
+
+    def loss(a: float, b: float) -> float:
+        t = a * zc + b
+        return float((wc * (np.logaddexp(0, t) - soft * t)).sum())
+
+    for _ in range(100):  # Newton on two parameters, targets smoothed as by Platt
         p = 1 / (1 + np.exp(-np.clip(a * zc + b, -30, 30)))
         g = np.array([(wc * (p - soft) * zc).sum(), (wc * (p - soft)).sum()])
+        if np.abs(g).max() < 1e-9:
+            break
         q = wc * p * (1 - p)
-        hess = np.array([[(q * zc * zc).sum(), (q * zc).sum()], [(q * zc).sum(), q.sum()]]) + 1e-9 * np.eye(2)
-        d = np.linalg.solve(hess, g)
-        d *= min(1.0, 5.0 / (np.abs(d).max() + 1e-12))
-        a, b = a - d[0], b - d[1]
+        hess = np.array([[(q * zc * zc).sum(), (q * zc).sum()], [(q * zc).sum(), q.sum()]]) + 1e-10 * np.eye(2)
+        d, now, part = np.linalg.solve(hess, g), loss(a, b), 1.0
+        while part > 1e-8 and loss(a - part * d[0], b - part * d[1]) > now - 1e-4 * part * float(g @ d):
+            part /= 2
+        a, b = a - part * d[0], b - part * d[1]
     return {"beta": beta.astype(np.float32), "bias": float(bias), "a": float(a), "b": float(b)}
 
 
@@ -183,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, buckets: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in B.slices(batch, "text"):
+            for part in B.slices(batch, "text", FEATURE_BYTES):
                 row, col, val = features(part.column(2), buckets)
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -224,7 +233,7 @@ def score(docs: DataFrame, model: dict | None, keep_at: float = KEEP_AT, passing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in B.slices(batch, "_text"):
+            for part in B.slices(batch, "_text", FEATURE_BYTES):
                 texts = part.column(part.num_columns - 1)
                 counts = rule_counts(texts)
                 failed = base_failed(counts)
@@ -267,7 +276,7 @@ def filter_documents(docs: DataFrame, model: dict | None, keep_at: float = KEEP_
         m = shared.value
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for part in B.slices(named, f"c{at}"):
+            for part in B.slices(named, f"c{at}", FEATURE_BYTES):
                 texts = part.column(at)
                 kept = ~base_failed(rule_counts(texts))
                 if m is not None:
