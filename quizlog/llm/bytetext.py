@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 U64 = np.uint64
 
 
@@ -110,12 +110,12 @@ _POWERS: list[np.ndarray] = []
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or _POWERS[0].size < n:
-        size = 1 << max(12, int(n - 1).bit_length())
+        size = max(n, SLICE_BYTES + 1)
         up = np.full(size, U64(_P), U64)
         down = np.full(size, U64(_PINV), U64)
         up[0] = down[0] = 1
         got = [np.cumprod(up), np.cumprod(down)]
-        if size > 4 * SLICE_BYTES:  # a single very long text: not kept
+        if size > 2 * SLICE_BYTES:  # a single very long text: not kept
             return got[0], got[1]
         _POWERS[:] = got
     return _POWERS[0], _POWERS[1]

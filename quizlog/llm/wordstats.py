@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quizlog.llm import bytetext as B
 
 HOT_VALUES = 4 << 20  # numbers in the broadcast table of frequent words
-_FLUSH = 1_500_000
+_FLUSH = 750_000
 
 
 def word_strings(w: B.Words, index: np.ndarray) -> pa.Array:
