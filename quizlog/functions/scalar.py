@@ -37,12 +37,6 @@ def grade_split_id(item_id: str | Column = "assessmentItemID", user: str | Colum
     return F.concat(grade_prefix(item_id), _c(user).cast("string"))
 
 
-def null_at_or_above(x: str | Column, threshold: float) -> Column:
-    """Value, or null when it is at or above ``threshold``."""
-    x = _c(x)
-    return F.when(x < threshold, x)
-
-
 def in_int_range(x: str | Column, lower: str | Column, upper: str | Column) -> Column:
     """Membership in ``range(lower, upper)``: integer values only, upper bound
     excluded (P8, Q10)."""
@@ -50,11 +44,6 @@ def in_int_range(x: str | Column, lower: str | Column, upper: str | Column) -> C
     return (x == F.floor(x)) & (x >= _c(lower)) & (x < _c(upper))
 
 
-def to_float(x: str | Column) -> Column:
-    """Narrow to 32-bit float."""
-    return _c(x).cast("float")
-
-
 def binarize(score: str | Column = "prediction", threshold: float = 0.5) -> Column:
     """1 when score >= threshold, else 0."""
     return (_c(score) >= threshold).cast("int")

@@ -26,7 +26,8 @@ def _field(name):
 
 
 def _positions(df: DataFrame, seq: str, ts: str, tie: str, scan_kw: dict | None = None) -> DataFrame:
-    s = ordered_scan(df, value=tie, user=seq, ts=ts, tie=tie, **(scan_kw or {}))
+    # a row without a sequence is in no window
+    s = ordered_scan(df.where(F.col(seq).isNotNull()), value=None, user=seq, ts=ts, tie=tie, **(scan_kw or {}))
     return s.withColumn("_p", (F.col("_rn") - 1).cast("long")).withColumn("_L", F.col("_len").cast("long"))
 
 
@@ -130,7 +131,7 @@ def crop_windows(
 
     # Random starts: one small row per draw, then an equi-join on
     # (sequence, block): a crop of length n touches at most two blocks.
-    lengths = r.groupBy(seq).agg(F.max("_L").alias("_L"))
+    lengths = df.where(F.col(seq).isNotNull()).groupBy(seq).agg(F.count(F.lit(1)).alias("_L"))
     draws = lengths.where(F.col("_L") > n).withColumn("_j", F.explode(F.sequence(F.lit(0), F.floor(F.col("_L") / n))))
     h = hash_int(seq, "_j", F.lit(seed))
     if crop_type == "random":
@@ -144,10 +145,12 @@ def crop_windows(
     by_block = starts.withColumn(
         "_blk", F.explode(F.array_distinct(F.array(F.floor(F.col("start") / n), F.floor((F.col("start") + n - 1) / n))))
     )
-    long_rows = r.where(L > n).withColumn("_blk", block)
-    hit = long_rows.join(by_block, [seq, "_blk"], "inner").where((p >= F.col("start")) & (p < F.col("start") + n))
-    short_rows = r.where(L <= n).withColumn("start", F.lit(0).cast("long"))
-    rows = hit.drop("_blk").unionByName(short_rows)
+    # A short sequence is one crop that starts at 0, found by the same join.
+    short = lengths.where(F.col("_L") <= n).select(
+        seq, F.lit(0).cast("long").alias("start"), F.explode(F.sequence(F.lit(0), F.floor((F.col("_L") - 1) / n))).alias("_blk")
+    )
+    crops = by_block.select(seq, F.col("start").cast("long"), "_blk").unionByName(short.select(seq, "start", "_blk"))
+    rows = r.withColumn("_blk", block).join(crops, [seq, "_blk"], "inner").where((p >= F.col("start")) & (p < F.col("start") + n))
     return _collect(rows, [seq, "start"], F.col("_p"), fields, ts, tie)
 
 

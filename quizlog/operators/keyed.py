@@ -13,25 +13,22 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import micros
+from ..session import ensure_checkpoint_dir
 
-# Rows a statistic table may have and still be broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def _as_list(keys: str | Sequence[str]) -> list[str]:
-    return [keys] if isinstance(keys, str) else list(keys)
+# Bytes a table may hold and still be broadcast (all tables of one join
+# chain together).
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def _not_null(keys: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-# Aggregate builders for ``key_stats``: name -> value column -> Column.
+# Aggregate builders: name -> value column -> Column.
 AGGS = {
     "count": lambda v: F.count(v),
     "mean": lambda v: F.avg(v),
@@ -42,65 +39,61 @@ AGGS = {
 }
 
 
-def key_stats(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    value: str = "answerCode",
-    aggs: dict[str, str] | None = None,
-) -> DataFrame:
-    """Aggregate ``value`` per key.  ``aggs`` maps output name -> aggregate.
-
-    Null keys are dropped first, as a pandas group-by does, so that after the
-    left join a null-key row gets a null statistic.  ``count`` counts non-null
-    values; ``mean`` skips nulls.
-    """
-    keys = _as_list(keys)
-    aggs = aggs or {f"{'_'.join(keys)}_count": "count", f"{'_'.join(keys)}_mean": "mean"}
-    cols = [AGGS[a](F.col(value)).alias(name) for name, a in aggs.items()]
-    return df.where(_not_null(keys)).groupBy(*keys).agg(*cols)
+# The same from partial counts ``_c`` and sums ``_s``.
+_ROLL_UP = {
+    "count": lambda: F.sum("_c"),
+    "mean": lambda: F.when(F.sum("_c") > 0, F.sum("_s").cast("double") / F.sum("_c")),
+    "sum": lambda: F.sum("_s").cast("bigint"),
+}
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` into the shared folder named by
     ``spark.checkpoint.dir`` and return it as a plan leaf: later plans read
     the checkpoint instead of recomputing the lineage, and a lost executor
-    does not force a recomputation from the log.
+    does not force a recomputation from the log.  Whatever a plan draws at
+    run time (range bounds, partition numbers) is fixed from here on."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-    The rows are persisted while the checkpoint is written, so the plan runs
-    once (an eager checkpoint otherwise computes it twice)."""
-    from ..session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist(blocking=False)
-    return out
+def table_bytes(df: DataFrame) -> int:
+    """Bytes a table takes in memory: 16 a row, strings by their length, any
+    other value by its type's default size.  One aggregate over the table."""
+    each, fixed = F.lit(0).cast("long"), 16
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("string", "binary"):
+            each, fixed = each + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)), fixed + 8
+        else:
+            fixed += 64 if f.dataType.typeName() in ("array", "map", "struct") else 8
+    return int(df.agg(F.coalesce(F.sum(each + fixed), F.lit(0))).first()[0])
 
 
-def checked_broadcast(stats: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``stats`` marked for broadcast when it has at most ``max_rows``.
+def checked_broadcast(stats: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Return ``stats`` marked for broadcast when it holds at most ``max_bytes``.
 
     The table is materialised first so the size check and the later join read
     the same rows instead of aggregating twice.  Above the limit the table is
     returned unmarked and the join shuffles.
     """
     stats = materialize(stats)
-    n = stats.limit(max_rows + 1).count()
-    return F.broadcast(stats) if n <= max_rows else stats
+    return F.broadcast(stats) if table_bytes(stats) <= max_bytes else stats
 
 
 def multi_key_stats(
     df: DataFrame,
     specs: Sequence[tuple[Sequence[str], dict[str, str]]],
     value: str = "answerCode",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> tuple[list[DataFrame], bool]:
     """Several key statistics from one scan and one aggregation job.
 
-    ``specs`` is a list of (keys, {name: aggregate}).  All sets are computed
-    with ``groupingSets`` (each row is expanded once per set before the
-    partial aggregate), the result is materialised and its size checked once.
-    Returns one DataFrame per spec and whether they may be broadcast.
+    ``specs`` is a list of (keys, {name: aggregate}).  Counts, sums and means
+    are first aggregated over all keys together and the groups rolled up with
+    ``groupingSets``, so a log row is aggregated once however many sets there
+    are; other aggregates expand each row once per set.  The result is
+    materialised and its size (all sets together) checked once.  Returns one
+    DataFrame per spec and whether they may be broadcast.
     """
     all_keys: list[str] = []
     for keys, _ in specs:
@@ -108,11 +101,14 @@ def multi_key_stats(
     names: dict[str, str] = {}
     for _, aggs in specs:
         names.update(aggs)
-    cols = [AGGS[a](F.col(value)).alias(n) for n, a in names.items()]
+    src, cols = df, [AGGS[a](F.col(value)).alias(n) for n, a in names.items()]
+    if set(names.values()) <= set(_ROLL_UP):
+        src = df.groupBy(*all_keys).agg(F.count(value).alias("_c"), F.sum(value).alias("_s"))
+        cols = [_ROLL_UP[a]().alias(n) for n, a in names.items()]
     sets = [[F.col(k) for k in keys] for keys, _ in specs]
-    g = df.groupingSets(sets, *all_keys).agg(*cols, F.grouping_id().alias("_gid"))
+    g = src.groupingSets(sets, *all_keys).agg(*cols, F.grouping_id().alias("_gid"))
     g = materialize(g)
-    small = g.limit(max_rows + 1).count() <= max_rows
+    small = table_bytes(g) <= max_bytes
     out = []
     n = len(all_keys)
     for keys, aggs in specs:
@@ -122,42 +118,6 @@ def multi_key_stats(
     return out, small
 
 
-def left_enrich(
-    df: DataFrame,
-    stats: DataFrame,
-    keys: str | Sequence[str],
-    broadcast: bool | None = None,
-    max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Left-join ``stats`` to ``df`` on ``keys`` (plain, not null-safe).
-
-    ``broadcast=None`` checks the row count of ``stats``; ``True`` trusts the
-    caller's bound; ``False`` forces a shuffle join.
-    """
-    keys = _as_list(keys)
-    if broadcast is None:
-        stats = checked_broadcast(stats, max_rows)
-    elif broadcast:
-        stats = F.broadcast(stats)
-    return df.join(stats, keys, "left")
-
-
-def add_key_stat(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    name: str,
-    agg: str = "mean",
-    value: str = "answerCode",
-    fit_on: DataFrame | None = None,
-    broadcast: bool | None = None,
-) -> DataFrame:
-    """One statistic column per row: aggregate ``fit_on`` (default ``df``)
-    by ``keys`` and join it back (A1-A14)."""
-    src = df if fit_on is None else fit_on
-    stats = key_stats(src, keys, value, {name: agg})
-    return left_enrich(df, stats, keys, broadcast)
-
-
 # The feature library's fourteen key statistics (A1-A14): output name ->
 # (keys, aggregate).
 FEATURE_STATS = {

@@ -7,6 +7,7 @@ below each score come from a distributed prefix sum.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +36,9 @@ def auroc(
     if by:
         # The prefix runs over (groups, score); remove what earlier groups add.
         start = ps.groupBy(*by).agg(F.min("_cum").alias("_start"))
-        ps = ps.join(start, by).withColumn("_cum", F.col("_cum") - F.col("_start"))
+        # Null group keys are a group like any other.
+        same = reduce(lambda a, b: a & b, [F.col(f"ps.{c}").eqNullSafe(F.col(f"st.{c}")) for c in by])
+        ps = ps.alias("ps").join(start.alias("st"), same).select("ps.*", "_start").withColumn("_cum", F.col("_cum") - F.col("_start"))
     agg = ps.groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_cum") + 0.5 * F.col("_neg"))).alias("_s"),
         F.sum("_pos").alias("_P"),

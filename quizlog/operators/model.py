@@ -13,11 +13,12 @@ from __future__ import annotations
 from typing import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import keyed, metrics, windows
-from .rank import kfold, prediction_ids
+from . import keyed, metrics
+from .rank import kfold
+from .sequences import keep_last
 
 FEATURES = ("test_mean", "assessment_mean", "tag_mean", "user_acc", "user_total_answer", "interaction")
 
@@ -42,26 +43,30 @@ def last_position_rows(
     target encodings are fitted on (default ``rows`` itself, the reference's
     behaviour, Q8).  Hidden targets (-1) are kept, with a null label.
     """
-    t = keyed.target_encode(rows, fit_on=fit_on)
     # History features never see the current answer; a hidden target (-1)
-    # counts as a row but not as an answer.
-    t = t.withColumn("_y", F.when(F.col(target) >= 0, F.col(target)))
-    hist = windows.ordered_scan(t, value="_y", user=seq)
-    prior_cnt = F.col("_rn") - 1
-    prior_sum = F.coalesce(F.col("_cs"), F.lit(0)) - F.coalesce(F.col("_y"), F.lit(0))
-    feats = hist.where(F.col("_rn") == F.col("_len")).select(
-        *[c for c in t.columns if c != "_y"],
+    # counts as a row but not as an answer.  Totals per sequence are a partial
+    # aggregate and the order matters for two rows only, so no history is
+    # sorted; the statistics are joined to the one row that is left.
+    t = rows.where(F.col(seq).isNotNull()).withColumn("_y", F.when(F.col(target) >= 0, F.col(target)))
+    totals = t.groupBy(seq).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s"))
+    w = Window.partitionBy(seq).orderBy(F.col("Timestamp").desc(), F.col("event_id").desc())
+    two = keep_last(t, 2, seq).select("*", F.row_number().over(w).alias("_back"), F.lead("_y").over(w).alias("_prev"))
+    prior_cnt = F.col("_n") - 1
+    prior_sum = F.coalesce(F.col("_s"), F.lit(0)) - F.coalesce(F.col("_y"), F.lit(0))
+    feats = two.where("_back = 1").join(totals, seq).select(
+        *rows.columns,
         F.when(prior_cnt > 0, prior_sum / prior_cnt).alias("user_acc"),
         prior_cnt.cast("double").alias("user_total_answer"),
-        F.coalesce(F.col("_prev_val") + 1, F.lit(0)).cast("double").alias("interaction"),
+        F.coalesce(F.col("_prev") + 1, F.lit(0)).cast("double").alias("interaction"),
+        F.when(F.col(target) >= 0, F.col(target).cast("double")).alias("label"),
     )
-    return feats.withColumn("label", F.when(F.col(target) >= 0, F.col(target).cast("double")))
+    return keyed.target_encode(feats, fit_on=rows if fit_on is None else fit_on)
 
 
-def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def _assemble(df: DataFrame, features: Sequence[str], fill: float | dict[str, float] = 0.0) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
-    filled = df.fillna(0.0, subset=list(features))
+    filled = df.fillna(fill if isinstance(fill, dict) else {f: fill for f in features})
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
 
 
@@ -110,12 +115,6 @@ def vote(models: list, rows: DataFrame, id_col: str = "id", features: Sequence[s
     return metrics.soft_vote(allp, id_col)
 
 
-def submission(test_rows: DataFrame, predictions_by_user: DataFrame, key: str = "userID") -> DataFrame:
-    """``id, prediction`` with ids in ``key`` order (M10, S6 input)."""
-    ids = prediction_ids(test_rows.select(key).distinct(), key)
-    return ids.join(predictions_by_user, key).select("id", key, "prediction")
-
-
 def map_score(
     df: DataFrame,
     fn: Callable[[pd.DataFrame], pd.Series],

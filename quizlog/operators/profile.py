@@ -28,11 +28,14 @@ def value_histogram(df: DataFrame, x: str) -> DataFrame:
     return prefix_sums(h, [x], {"before": "cnt"})
 
 
-def exact_quantiles(df: DataFrame, x: str, qs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
-    """One row with the linearly interpolated quantiles of ``x``."""
+def exact_quantiles(
+    df: DataFrame, x: str, qs: Sequence[float], names: Sequence[str] | None = None, hist: DataFrame | None = None
+) -> DataFrame:
+    """One row with the linearly interpolated quantiles of ``x``; ``hist`` is
+    its materialised ``value_histogram`` if the caller has it."""
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     # Used three times below: written once (at most one row per distinct value).
-    hist = materialize(value_histogram(df, x))
+    hist = materialize(value_histogram(df, x)) if hist is None else hist
     n = hist.agg(F.sum("cnt").alias("_n"))
     spark = df.sparkSession
     qdf = spark.createDataFrame([(nm, float(q)) for nm, q in zip(names, qs)], "qname string, q double")
@@ -69,41 +72,47 @@ def describe(df: DataFrame, x: str) -> DataFrame:
     return base.crossJoin(q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def mode_value(df: DataFrame, x: str) -> DataFrame:
-    """Most frequent value, the smallest on ties (A20, Q11).  One row."""
-    counts = df.where(F.col(x).isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("_c"))
+def mode_value(df: DataFrame, x: str, hist: DataFrame | None = None) -> DataFrame:
+    """Most frequent value, the smallest on ties (A20, Q11), and its share of
+    the non-null rows.  One row: ``mode, mode_share``."""
+    counts = df.where(F.col(x).isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("cnt")) if hist is None else hist
     # min over (-count, value) picks the highest count, then the smallest value.
-    best = counts.agg(F.min(F.struct((-F.col("_c")).alias("k"), F.col(x).alias("v"))).alias("_m"))
-    return best.select(F.col("_m.v").alias("mode"))
+    best = counts.agg(F.min(F.struct((-F.col("cnt")).alias("k"), F.col(x).alias("v"))).alias("_m"), F.sum("cnt").alias("_n"))
+    return best.select(F.col("_m.v").alias("mode"), (-F.col("_m.k") / F.col("_n")).alias("mode_share"))
 
 
 def mode_median_share(df: DataFrame, x: str) -> DataFrame:
-    """mode, median and the share of rows equal to the mode."""
-    m = mode_value(df, x)
-    med = exact_quantiles(df, x, [0.5], ["median"])
-    share = df.crossJoin(F.broadcast(m)).agg(
-        F.avg((F.col(x) == F.col("mode")).cast("double")).alias("mode_share"),
-        F.first("mode").alias("mode"),
+    """mode, median and the share of rows equal to the mode (A20), all from
+    one histogram of the values."""
+    hist = materialize(value_histogram(df, x))
+    med = exact_quantiles(df, x, [0.5], ["median"], hist)
+    return mode_value(df, x, hist).crossJoin(med).select(F.col("mode").cast("double").alias("mode"), "median", "mode_share")
+
+
+def _band_bounds(df: DataFrame, x: str, methods: Sequence[str]) -> DataFrame:
+    """``method, lower, upper``: one row per method, from one row of moments
+    and (for median and mode) one histogram."""
+    moments = df.agg(F.stddev_samp(x).alias("_s"), F.avg(x).alias("_mean"))
+    centres = moments
+    if set(methods) - {"mean"}:
+        hist = materialize(value_histogram(df, x))
+        if "median" in methods:
+            centres = centres.crossJoin(exact_quantiles(df, x, [0.5], ["_median"], hist))
+        if "mode" in methods:
+            centres = centres.crossJoin(mode_value(df, x, hist).select(F.col("mode").cast("double").alias("_mode")))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"_{m}").alias("_c")) for m in methods]))
+    return centres.select("_s", each.alias("_e")).select(
+        F.col("_e.method").alias("method"),
+        F.greatest(F.lit(0), (F.col("_e._c") - BAND_Z * F.col("_s")).cast("long")).alias("lower"),
+        (F.col("_e._c") + BAND_Z * F.col("_s")).cast("long").alias("upper"),
     )
-    return share.crossJoin(med).select(F.col("mode").cast("double").alias("mode"), "median", "mode_share")
 
 
 def band_bounds(df: DataFrame, x: str, method: str = "mean") -> DataFrame:
     """Integer 95 % band ``[lower, upper)`` around the centre (A21, Q10):
     ``upper = int(c + 1.96 s)``, ``lower = max(0, int(c - 1.96 s))`` with
     ``int`` truncating toward zero and ``s`` the sample deviation."""
-    s = df.agg(F.stddev_samp(x).alias("_s"), F.avg(x).alias("_mean"))
-    if method == "median":
-        c = exact_quantiles(df, x, [0.5], ["_c"])
-    elif method == "mode":
-        c = mode_value(df, x).select(F.col("mode").cast("double").alias("_c"))
-    else:
-        c = s.select(F.col("_mean").alias("_c"))
-    b = s.crossJoin(c)
-    return b.select(
-        F.greatest(F.lit(0), (F.col("_c") - BAND_Z * F.col("_s")).cast("long")).alias("lower"),
-        (F.col("_c") + BAND_Z * F.col("_s")).cast("long").alias("upper"),
-    )
+    return _band_bounds(df, x, [method]).drop("method")
 
 
 def band_filter(df: DataFrame, x: str, method: str = "mean") -> DataFrame:
@@ -119,10 +128,7 @@ def band_coverage(df: DataFrame, x: str, method: str | Sequence[str] = "mean") -
     method's coverage comes from the same pass over the rows; the output
     then carries a ``method`` column."""
     methods = [method] if isinstance(method, str) else list(method)
-    bounds = None
-    for m in methods:
-        b = band_bounds(df, x, m).select(F.lit(m).alias("method"), "lower", "upper")
-        bounds = b if bounds is None else bounds.unionByName(b)
+    bounds = _band_bounds(df, x, methods)
     inside = F.coalesce(in_int_range(x, "lower", "upper"), F.lit(False)).cast("double")
     out = df.select(x).crossJoin(F.broadcast(bounds)).groupBy("method", "lower", "upper").agg(
         F.avg(inside).alias("coverage")

@@ -2,10 +2,11 @@
 
 An un-partitioned ``Window.orderBy`` moves every row to one task.  Here the
 rows are range-partitioned on the sort key (Spark samples the bounds, so a
-skewed key still yields balanced ranges), each range partition gets its
-totals in a tiny per-partition table (one row per partition, broadcast), and
-a window *inside* each range partition adds the local part.  The result is
-exact and deterministic: range partition ids follow the key order.
+skewed key still yields balanced ranges) and *written once* with their range
+number.  Both sides of what follows read that one table: the totals per
+range (one row each) and the window inside each range.  Range bounds are
+sampled anew whenever a plan runs, so a range number that is computed twice
+may differ; it must be frozen before two readers rely on it.
 """
 
 from __future__ import annotations
@@ -15,16 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _n_buckets(df: DataFrame, n: int | None) -> int:
-    """Range buckets: the shuffle partition count, capped at four waves of
-    the cluster's task slots (a tiny table does not need 200 ranges; a
-    100 TB one gets as many as the cluster can run in a few waves)."""
-    if n:
-        return n
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+from .keyed import checked_broadcast, materialize
 
 
 def _cols(order: Sequence[str | Column]) -> list[Column]:
@@ -41,17 +33,18 @@ def prefix_sums(
     """Add exclusive prefix sums in the global ``order`` (which must be a
     total order): for each output name, the sum of its weight over all rows
     strictly before the row.  With ``with_total`` also ``<name>_total``, the
-    sum over all rows (taken from the per-partition table, no extra pass)."""
-    nb = _n_buckets(df, n_buckets)
+    sum over all rows (taken from the per-range table, no extra pass).
+
+    Meant for aggregated or distinct tables: the rows are written once to the
+    shared folder, in ``n_buckets`` ranges (default: the shuffle partitions)."""
+    nb = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order_cols = _cols(order)
     wcols = {k: (F.col(v) if isinstance(v, str) else v) for k, v in weights.items()}
     r = df.repartitionByRange(nb, *order_cols).withColumn("_b", F.spark_partition_id())
-    r = r.select("*", *[c.alias(f"_w_{k}") for k, c in wcols.items()])
+    r = materialize(r.select("*", *[c.alias(f"_w_{k}") for k, c in wcols.items()]))
     totals = r.groupBy("_b").agg(*[F.sum(f"_w_{k}").alias(f"_t_{k}") for k in wcols])
-    # One row per range partition (at most ``nb`` rows), in the same plan as
-    # the rows so the range exchange is computed once and reused.  Spark warns
-    # that this window has no partition; on a table this small that is the
-    # right plan.
+    # One row per range: Spark warns that this window has no partition; on a
+    # table of this size that is the right plan.
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     offsets = totals.select(
@@ -60,12 +53,12 @@ def prefix_sums(
         *[F.sum(f"_t_{k}").over(everything).alias(f"{k}_total") for k in wcols],
     )
     local = Window.partitionBy("_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    out = r.join(F.broadcast(offsets), "_b").select(
+    # ``nb`` rows of offsets, a configured number: safe to broadcast.
+    return r.join(F.broadcast(offsets), "_b").select(
         *df.columns,
         *[(F.col(f"_o_{k}") + F.coalesce(F.sum(f"_w_{k}").over(local), F.lit(0))).alias(k) for k in wcols],
         *([F.col(f"{k}_total") for k in wcols] if with_total else []),
     )
-    return out
 
 
 def global_rank(
@@ -82,10 +75,26 @@ def global_rank(
 
 
 def original_order(
-    df: DataFrame, keys: Sequence[str] = ("userID", "Timestamp", "event_id"), name: str = "original_order"
+    df: DataFrame,
+    user: str = "userID",
+    ts: str = "Timestamp",
+    tie: str = "event_id",
+    name: str = "original_order",
+    scan_kw: dict | None = None,
 ) -> DataFrame:
-    """0-based row position after sorting by ``keys`` (P10)."""
-    return global_rank(df, list(keys), name).withColumn(name, F.col(name) - 1)
+    """0-based row position after sorting by (learner, Timestamp, event_id)
+    (P10); null for rows without a learner, which take no position.
+
+    Position = rows of all smaller learners + position inside the learner.
+    The first part is a prefix sum over the per-learner counts, a table with
+    one row per learner; the log itself is shuffled once, by learner."""
+    from .windows import ordered_scan
+
+    counts = df.where(F.col(user).isNotNull()).groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+    start = prefix_sums(counts, [user], {"_start": "_n"}).select(user, "_start")
+    s = ordered_scan(df, value=None, user=user, ts=ts, tie=tie, counts=counts, **(scan_kw or {}))
+    out = s.join(checked_broadcast(start), user, "left")
+    return out.select(*df.columns, (F.col("_start") + F.col("_rn") - 1).alias(name))
 
 
 def hash_key(key: str | Column, seed: int) -> Column:

@@ -40,6 +40,7 @@ def collect_sequences(
     ts: str = "Timestamp",
     tie: str = "event_id",
     keep: Sequence[str] = (),
+    is_cut: bool = False,
 ) -> DataFrame:
     """One row per ``seq``: arrays of ``fields`` in (ts, tie) order (Y1, Y8),
     holding the most recent ``max_len`` rows (default 20, the reference's
@@ -47,14 +48,16 @@ def collect_sequences(
 
     With ``conts`` a ``conts array<array<float>>`` column holds one vector of
     the continuous columns per position.  ``keep`` names per-sequence columns
-    (constant within a sequence) to carry along.
+    (constant within a sequence) to carry along.  ``is_cut`` says that
+    ``keep_last`` was applied before (and the survivors enriched since).
     """
     if not max_len or max_len < 1:
         # A whole history would land in one row of one task; use the sliding
         # windows of ``augment`` to cover every row in groups of at most N.
         raise ValueError("max_len must be >= 1")
     fields = fields or SEQ_FIELDS
-    df = keep_last(df, max_len, seq, ts, tie)
+    if not is_cut:
+        df = keep_last(df, max_len, seq, ts, tie)
     parts = [F.col(ts).alias("_ts"), F.col(tie).alias("_tie")]
     parts += [F.col(src).alias(name) for name, src in fields.items()]
     if conts:

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keyed import BROADCAST_MAX_ROWS, materialize
+from .keyed import BROADCAST_MAX_BYTES, materialize, table_bytes
 from .rank import global_rank
 
 CATEGORICAL = ("assessmentItemID", "testId", "KnowledgeTag")
@@ -33,32 +33,22 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataF
     return vocabulary_from_labels(labels, columns)
 
 
-def vocabulary_from_labels(
-    labels: DataFrame, columns: Sequence[str] = CATEGORICAL, materialize_labels: bool = True
-) -> DataFrame:
+def vocabulary_from_labels(labels: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Codes for ``(column, label)`` pairs plus ``unknown`` per column.
 
     ``labels`` may repeat pairs; it can come from the log or from any table
-    that already holds the distinct keys (such as fitted key statistics; then
-    pass ``materialize_labels=False``, the source is already small and stored).
+    that already holds the distinct keys (such as fitted key statistics).  A
+    code is the distributed rank in (column, label) order minus the column's
+    first rank, whatever the number of labels.
     """
     labels = labels.where(F.col("label").isNotNull())
     unknowns = labels.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "column string, label string")
     labels = labels.unionByName(unknowns).distinct()
-    if materialize_labels:
-        labels = materialize(labels)
-    if labels.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
-        # A checked, bounded table: a window per column is a small sort.
-        code = F.row_number().over(Window.partitionBy("column").orderBy("label")) - 1
-        out = labels.select("column", "label", code.cast("int").alias("code"))
-    else:
-        # Catalogue-sized beyond the limit: a distributed rank in (column,
-        # label) order minus each column's first rank.
-        ranked = global_rank(labels, ["column", "label"], "_r")
-        first = ranked.groupBy("column").agg(F.min("_r").alias("_r0"))
-        out = ranked.join(F.broadcast(first), "column").select(
-            "column", "label", (F.col("_r") - F.col("_r0")).cast("int").alias("code")
-        )
+    ranked = materialize(global_rank(labels, ["column", "label"], "_r"))
+    first = ranked.groupBy("column").agg(F.min("_r").alias("_r0"))  # one row per column
+    out = ranked.join(F.broadcast(first), "column").select(
+        "column", "label", (F.col("_r") - F.col("_r0")).cast("int").alias("code")
+    )
     return materialize(out)
 
 
@@ -76,19 +66,12 @@ def apply_vocabulary(
     ``materialized=False`` for a vocabulary still defined by a plan."""
     if not materialized:
         vocab = materialize(vocab)
-    # One small aggregate: table size (checked before broadcast) and the code
-    # of ``unknown`` per column, inlined below as a literal.
-    info = (
-        vocab.where(F.col("column").isin(list(columns)))
-        .groupBy("column")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.when(F.col("label") == UNKNOWN, F.col("code"))).alias("unk"),
-        )
-        .collect()
-    )
-    small = sum(r["n"] for r in info) <= BROADCAST_MAX_ROWS * len(columns)
-    unknown_code = {r["column"]: r["unk"] for r in info}
+    used = vocab.where(F.col("column").isin(list(columns)))
+    # The code of ``unknown`` per column, inlined below as a literal.
+    unknown_code = {r["column"]: r["code"] for r in used.where(F.col("label") == UNKNOWN).collect()}
+    if missing := [c for c in columns if c not in unknown_code]:
+        raise ValueError(f"the vocabulary has no column {', '.join(missing)}")
+    small = table_bytes(used) <= BROADCAST_MAX_BYTES  # all columns together
     out = df
     for c in columns:
         v = vocab.where(F.col("column") == c)

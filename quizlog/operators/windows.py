@@ -7,12 +7,18 @@ Scale: a ``Window.partitionBy(userID)`` puts one learner's whole history in
 one task.  That is fine for ordinary histories but not for a learner (or a
 bot account) owning a large share of the log.  ``ordered_scan`` therefore
 first counts rows per learner (a partial aggregate) and splits learners with
-more than ``hot_rows`` rows into ordered buckets of about ``bucket_rows`` rows
-(range partitions of their rows, balanced by sampling).
+more than ``hot_rows`` rows into ordered buckets of about ``bucket_rows`` rows:
+range partitions of their rows, balanced by sampling.  The split rows are
+written once with their bucket number, and everything after reads that table:
+a bucket number derived twice from sampled bounds could differ.
 Inside a bucket the window runs as usual; a small per-bucket table (one row
 per bucket, broadcast after a size check) carries the running offsets, the
 next bucket's first timestamp and the previous bucket's last answer across
 bucket edges.  Results are identical on both paths.
+
+Rows without a learner belong to no history: each is dealt by its own
+tie-breaker, so any number of them spreads over the tasks, and every column
+of the scan is null for them.
 """
 
 from __future__ import annotations
@@ -29,23 +35,17 @@ HOT_ROWS = 2_000_000
 BUCKET_ROWS = 500_000
 
 SCAN_COLS = ("_len", "_rn", "_cs", "_cc", "_next_ts", "_prev_val", "_rk_sum", "_rk_cnt")
+_ALONE = "_alone"  # null for a learner's rows, spreads rows without a learner
 
 
 def _window(user: str, ts: str, tie: str, extra: tuple[str, ...] = ()) -> Window:
     return Window.partitionBy(user, *extra).orderBy(ts, tie)
 
 
-def _hot_users(df: DataFrame, user: str, ts: str, hot_rows: int) -> DataFrame | None:
-    counts = df.groupBy(user).agg(
-        F.count(F.lit(1)).alias("_n"),
-        micros(F.min(ts)).alias("_min_us"),
-        micros(F.max(ts)).alias("_max_us"),
-    )
-    hot = counts.where(F.col("_n") > hot_rows)
-    if hot.limit(1).count() == 0:
-        return None
-    # At most total_rows / hot_rows learners can pass: a small table.
-    return materialize(hot)
+def _hot_users(counts: DataFrame, user: str, hot_rows: int) -> DataFrame | None:
+    """Learners above the limit with their row counts (one evaluation)."""
+    hot = materialize(counts.where((F.col("_n") > hot_rows) & F.col(user).isNotNull()).select(user, "_n"))
+    return None if hot.isEmpty() else hot
 
 
 # Aggregates for ``user_aggs``: name -> Column builder.
@@ -65,89 +65,87 @@ def _user_agg_cols_window(user: str, user_aggs: dict | None) -> list[Column]:
     as with a group-by that drops null keys."""
     cols = []
     for name, (keys, agg, col) in (user_aggs or {}).items():
-        e = _USER_AGGS[agg](F.col(col)).over(Window.partitionBy(user, *keys))
+        e = _USER_AGGS[agg](F.col(col)).over(Window.partitionBy(user, _ALONE, *keys))
+        has = F.col(user).isNotNull()
         for k in keys:
-            e = F.when(F.col(k).isNotNull(), e)
-        cols.append(e.alias(name))
+            has = has & F.col(k).isNotNull()
+        cols.append(F.when(has, e).alias(name))
     return cols
 
 
 def _light_scan(
-    df: DataFrame, value: str, user: str, ts: str, tie: str, recent_k: int | None, user_aggs: dict | None = None
+    df: DataFrame, value: str | None, user: str, ts: str, tie: str, recent_k: int | None, user_aggs: dict | None = None
 ) -> DataFrame:
-    w = _window(user, ts, tie)
+    alone = F.when(F.col(user).isNull(), F.xxhash64(tie))
+    w = _window(user, ts, tie, (_ALONE,))
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    cols = [
-        F.count(F.lit(1)).over(Window.partitionBy(user)).alias("_len"),
-        F.row_number().over(w).alias("_rn"),
-        F.sum(value).over(upto).alias("_cs"),
-        F.count(value).over(upto).alias("_cc"),
-        F.lead(ts).over(w).alias("_next_ts"),
-        F.lag(value).over(w).alias("_prev_val"),
-    ]
-    if recent_k:
-        last_k = w.rowsBetween(-(recent_k - 1), 0)
-        cols += [F.sum(value).over(last_k).alias("_rk_sum"), F.count(value).over(last_k).alias("_rk_cnt")]
-    return df.select("*", *cols, *_user_agg_cols_window(user, user_aggs))
+    cols = {
+        "_len": F.count(F.lit(1)).over(Window.partitionBy(user, _ALONE)),
+        "_rn": F.row_number().over(w),
+        "_next_ts": F.lead(ts).over(w),
+    }
+    if value is not None:
+        cols |= {"_cs": F.sum(value).over(upto), "_cc": F.count(value).over(upto), "_prev_val": F.lag(value).over(w)}
+        if recent_k:
+            last_k = w.rowsBetween(-(recent_k - 1), 0)
+            cols |= {"_rk_sum": F.sum(value).over(last_k), "_rk_cnt": F.count(value).over(last_k)}
+    has = F.col(user).isNotNull()
+    return df.withColumn(_ALONE, alone).select(
+        *df.columns, *[F.when(has, c).alias(n) for n, c in cols.items()], *_user_agg_cols_window(user, user_aggs)
+    )
 
 
 def _bucketed_scan(
-    df: DataFrame, hot: DataFrame, value: str, user: str, ts: str, tie: str, recent_k: int | None, bucket_rows: int
+    df: DataFrame, hot: DataFrame, value: str | None, user: str, ts: str, tie: str, recent_k: int | None, bucket_rows: int
 ) -> DataFrame:
     # Buckets are range partitions of the hot rows in (user, ts, tie) order:
     # Spark samples the bounds, so buckets hold about ``bucket_rows`` rows
     # however bursty a learner's timestamps are, and partition ids follow the
-    # order.  The hot table is small (materialised, at most one row per hot
-    # learner), so its total is read on the driver.
-    total = hot.agg(F.sum("_n")).collect()[0][0]
+    # order.  ``hot`` is materialised and holds one row per hot learner, so
+    # its total is read on the driver.
+    total = hot.agg(F.sum("_n")).first()[0]
     nb = max(1, -(-int(total) // bucket_rows))
-    rows = (
-        df.join(F.broadcast(hot.select(user, F.col("_n").alias("_len"))), user, "inner")
+    rows = materialize(
+        df.join(checked_broadcast(hot.select(user, F.col("_n").alias("_len"))), user, "inner")
         .repartitionByRange(nb, F.col(user), F.col(ts), F.col(tie))
         .withColumn("_b", F.spark_partition_id().cast("long"))
     )
 
     wb = _window(user, ts, tie, ("_b",))
     upto = wb.rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.select(
-        "*",
-        F.row_number().over(wb).alias("_lrn"),
-        F.sum(value).over(upto).alias("_lcs"),
-        F.count(value).over(upto).alias("_lcc"),
-        F.lead(ts).over(wb).alias("_lnext"),
-        F.lag(value).over(wb).alias("_lprev"),
-    )
-    per_bucket = rows.groupBy(user, "_b").agg(
-        F.count(F.lit(1)).alias("_bn"),
-        F.sum(value).alias("_bs"),
-        F.count(value).alias("_bc"),
-        F.min(ts).alias("_bfirst"),
-        F.max_by(F.col(value), F.struct(ts, tie)).alias("_blast"),
-    )
+    local = {"_lrn": F.row_number().over(wb), "_lnext": F.lead(ts).over(wb)}
+    per = {"_bn": F.count(F.lit(1)), "_bfirst": F.min(ts)}
     wo = Window.partitionBy(user).orderBy("_b")
     before = wo.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        user,
-        "_b",
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"),
-        F.coalesce(F.sum("_bs").over(before), F.lit(0)).alias("_os"),
-        F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_oc"),
-        F.lead("_bfirst").over(wo).alias("_nfirst"),
-        F.lag("_blast").over(wo).alias("_plast"),
-    )
+    offset = {"_on": F.coalesce(F.sum("_bn").over(before), F.lit(0)), "_nfirst": F.lead("_bfirst").over(wo)}
+    res = {
+        "_len": F.col("_len"),
+        "_rn": (F.col("_on") + F.col("_lrn")).cast("int"),
+        "_next_ts": F.coalesce(F.col("_lnext"), F.col("_nfirst")),
+    }
+    if value is not None:
+        local |= {"_lcs": F.sum(value).over(upto), "_lcc": F.count(value).over(upto), "_lprev": F.lag(value).over(wb)}
+        per |= {"_bs": F.sum(value), "_bc": F.count(value), "_blast": F.max_by(F.col(value), F.struct(ts, tie))}
+        offset |= {
+            "_os": F.coalesce(F.sum("_bs").over(before), F.lit(0)),
+            "_oc": F.coalesce(F.sum("_bc").over(before), F.lit(0)),
+            "_plast": F.lag("_blast").over(wo),
+        }
+        cc = F.col("_oc") + F.col("_lcc")
+        res |= {
+            "_cs": F.when(cc > 0, F.col("_os") + F.coalesce(F.col("_lcs"), F.lit(0))),
+            "_cc": cc,
+            "_prev_val": F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_lprev")),
+        }
+
+    def named(cols: dict[str, Column]) -> list[Column]:
+        return [c.alias(n) for n, c in cols.items()]
+
+    offsets = rows.groupBy(user, "_b").agg(*named(per)).select(user, "_b", *named(offset))
     # One row per bucket: at most (#hot learners + rows / bucket_rows) rows.
-    out = local.join(checked_broadcast(offsets), [user, "_b"], "inner")
-    cc = F.col("_oc") + F.col("_lcc")
-    out = out.select(
-        *df.columns,
-        "_len",
-        (F.col("_on") + F.col("_lrn")).cast("int").alias("_rn"),
-        F.when(cc > 0, F.col("_os") + F.coalesce(F.col("_lcs"), F.lit(0))).alias("_cs"),
-        cc.alias("_cc"),
-        F.coalesce(F.col("_lnext"), F.col("_nfirst")).alias("_next_ts"),
-        F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_lprev")).alias("_prev_val"),
-    )
-    if recent_k:
+    out = rows.select("*", *named(local)).join(checked_broadcast(offsets), [user, "_b"], "inner")
+    out = out.select(*df.columns, *named(res))
+    if recent_k and value is not None:
         # Sum over the last K rows = running sum now - running sum K rows back;
         # the row K back is found by an equi-join on (user, position).
         back = out.select(
@@ -156,21 +154,10 @@ def _bucketed_scan(
             F.col("_cs").alias("_cs_back"),
             F.col("_cc").alias("_cc_back"),
         )
-        out = out.join(back, [user, "_rn"], "left")
+        joined = out.join(back, [user, "_rn"], "left")
         rk_cnt = F.col("_cc") - F.coalesce(F.col("_cc_back"), F.lit(0))
-        out = out.select(
-            *df.columns,
-            "_len",
-            "_rn",
-            "_cs",
-            "_cc",
-            "_next_ts",
-            "_prev_val",
-            F.when(rk_cnt > 0, F.coalesce(F.col("_cs"), F.lit(0)) - F.coalesce(F.col("_cs_back"), F.lit(0))).alias(
-                "_rk_sum"
-            ),
-            rk_cnt.alias("_rk_cnt"),
-        )
+        rk_sum = F.coalesce(F.col("_cs"), F.lit(0)) - F.coalesce(F.col("_cs_back"), F.lit(0))
+        out = joined.select(*out.columns, F.when(rk_cnt > 0, rk_sum).alias("_rk_sum"), rk_cnt.alias("_rk_cnt"))
     return out
 
 
@@ -191,7 +178,7 @@ def _add_user_aggs_joined(out: DataFrame, rows: DataFrame, user: str, user_aggs:
 
 def ordered_scan(
     df: DataFrame,
-    value: str = "answerCode",
+    value: str | None = "answerCode",
     user: str = "userID",
     ts: str = "Timestamp",
     tie: str = "event_id",
@@ -199,28 +186,34 @@ def ordered_scan(
     hot_rows: int = HOT_ROWS,
     bucket_rows: int = BUCKET_ROWS,
     user_aggs: dict | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add per-learner running columns in (ts, tie) order.
 
-    ``_len`` rows of the learner, ``_rn`` 1-based position, ``_cs`` / ``_cc`` running sum / non-null count of
-    ``value`` including the row, ``_next_ts`` next row's timestamp,
-    ``_prev_val`` previous row's value, and with ``recent_k`` the sum / count
-    of non-null values over the last K rows (``_rk_sum`` / ``_rk_cnt``).
+    ``_len`` rows of the learner, ``_rn`` 1-based position, ``_next_ts`` next
+    row's timestamp; with a ``value`` also ``_cs`` / ``_cc`` running sum /
+    non-null count of it including the row, ``_prev_val`` previous row's
+    value, and with ``recent_k`` the sum / count of non-null values over the
+    last K rows (``_rk_sum`` / ``_rk_cnt``).
 
     ``user_aggs`` maps an output name to ``(extra_keys, aggregate, column)``:
     an aggregate per learner (and extra keys), e.g. ``{"n": ([], "count",
     "answerCode")}``.  Ordinary learners get them as windows on the scan's
     own partitioning; split learners from small group-bys joined back.
+
+    ``counts`` is a table ``(user, _n)`` of rows per learner, for callers
+    that have one cheaper than a count over ``df``.
     """
-    hot = _hot_users(df, user, ts, hot_rows)
+    if counts is None:
+        counts = df.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+    hot = _hot_users(counts, user, hot_rows)
     if hot is None:
         return _light_scan(df, value, user, ts, tie, recent_k, user_aggs)
-    light_rows = df.join(F.broadcast(hot.select(user)), user, "left_anti")
-    light = _light_scan(light_rows, value, user, ts, tie, recent_k, user_aggs)
+    names = checked_broadcast(hot.select(user))
+    light = _light_scan(df.join(names, user, "left_anti"), value, user, ts, tie, recent_k, user_aggs)
     heavy = _bucketed_scan(df, hot, value, user, ts, tie, recent_k, bucket_rows)
     if user_aggs:
-        hot_rows_df = df.join(F.broadcast(hot.select(user)), user, "left_semi")
-        heavy = _add_user_aggs_joined(heavy, hot_rows_df, user, user_aggs)
+        heavy = _add_user_aggs_joined(heavy, df.join(names, user, "left_semi"), user, user_aggs)
     return light.unionByName(heavy, allowMissingColumns=True)
 
 
@@ -278,28 +271,43 @@ def add_interaction_token(df: DataFrame, value: str = "answerCode", name: str =
     """Row form of the shifted interaction token (Y5): 0 on a learner's first
     row, else previous answer + 1."""
     s = ordered_scan(df, value=value, **scan_kw)
-    return _drop_scan(s.withColumn(name, F.coalesce(F.col("_prev_val") + 1, F.lit(0)).cast("int")))
+    token = F.when(F.col("_rn").isNotNull(), F.coalesce(F.col("_prev_val") + 1, F.lit(0)))
+    return _drop_scan(s.withColumn(name, token.cast("int")))
 
 
 # ---------------------------------------------------------------- W7
 
-def family_ids(
+def family_table(
     df: DataFrame, user: str = "userID", ts: str = "Timestamp", tie: str = "event_id", test_id: str = "testId"
+) -> DataFrame:
+    """One row per (learner, school, grade): ``familyUserID`` and its number
+    of rows ``_n``.  At most nine rows per learner."""
+    sg = df.select(user, ts, tie, school_of(test_id).alias("school"), grade_of(test_id).alias("grade"))
+    fam = sg.groupBy(user, "school", "grade").agg(F.min(F.struct(ts, tie)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    k = F.row_number().over(Window.partitionBy(user).orderBy("_first"))
+    name = F.concat(F.col(user).cast("string"), F.lit("-"), k.cast("string"))
+    return fam.where(F.col(user).isNotNull()).select(user, "school", "grade", name.alias("familyUserID"), "_n")
+
+
+def family_ids(
+    df: DataFrame,
+    user: str = "userID",
+    ts: str = "Timestamp",
+    tie: str = "event_id",
+    test_id: str = "testId",
+    families: DataFrame | None = None,
 ) -> DataFrame:
     """Family id (W7): one id per (learner, school, grade), numbered from 1 in
     order of the pair's first (Timestamp, event_id).
 
     Returns ``df`` plus ``school``, ``grade``, ``familyID`` (the original
-    learner id) and ``familyUserID`` (``"<user>-<k>"``).  The window runs over
-    the family table, at most nine rows per learner, never over the log.
+    learner id) and ``familyUserID`` (``"<user>-<k>"``, null without a
+    learner).  The window runs over the family table (``families``, by
+    default from ``df``), never over the log.
     """
+    fam = family_table(df, user, ts, tie, test_id) if families is None else families
     with_sg = df.withColumn("school", school_of(test_id)).withColumn("grade", grade_of(test_id))
-    fam = with_sg.groupBy(user, "school", "grade").agg(F.min(F.struct(ts, tie)).alias("_first"))
-    k = F.row_number().over(Window.partitionBy(user).orderBy("_first"))
-    fam = fam.select(
-        user, "school", "grade", F.concat(F.col(user).cast("string"), F.lit("-"), k.cast("string")).alias("familyUserID")
-    )
-    return with_sg.join(fam, [user, "school", "grade"], "left").withColumn("familyID", F.col(user))
+    return with_sg.join(fam.drop("_n"), [user, "school", "grade"], "left").withColumn("familyID", F.col(user))
 
 
 def as_family_users(df: DataFrame, user: str = "userID") -> DataFrame:

@@ -32,8 +32,16 @@ def feature_table(
     per (learner, school, grade); ``original_order`` is always the row's
     position in (learner, Timestamp, event_id) order of the original log.
     """
-    fam = windows.family_ids(log)  # school, grade, familyID, familyUserID (P2, P3, W7)
+    # Position in the whole log (P10), from per-learner counts: carried along
+    # from here, so the wide table is never joined by row.
+    families = keyed.materialize(windows.family_table(log))
+    ordered = rank.original_order(log, scan_kw=scan_kw)
+    fam = windows.family_ids(ordered, families=families)  # school, grade, familyID, familyUserID (P2, P3, W7)
     base = windows.as_family_users(fam) if family else fam
+    # Rows per scan key, known from the family table: no probe of the plan.
+    sizes = families.select(F.col("familyUserID").alias("userID"), "_n") if family else None
+    if sizes is None:
+        sizes = families.groupBy("userID").agg(F.sum("_n").alias("_n"))
     # One ordered scan per learner feeds the three history features and, on
     # the same partitioning, every learner-keyed statistic
     # and the learner's first timestamp: no further shuffle of the rows.
@@ -41,7 +49,7 @@ def feature_table(
     for name, (keys, agg) in keyed.FEATURE_STATS.items():
         if "userID" in keys:
             user_aggs[name] = ([k for k in keys if k != "userID"], agg, "answerCode")
-    s = windows.ordered_scan(base, recent_k=recent_k, user_aggs=user_aggs, **(scan_kw or {}))
+    s = windows.ordered_scan(base, recent_k=recent_k, user_aggs=user_aggs, counts=sizes, **(scan_kw or {}))
     gap = S.seconds_component(S.micros("_next_ts") - S.micros("Timestamp"))
     s = s.select(
         *base.columns,
@@ -59,14 +67,11 @@ def feature_table(
     dims = [n for n, (keys, _) in keyed.FEATURE_STATS.items() if "userID" not in keys]
     stats_src = log.select("assessmentItemID", "testId", "KnowledgeTag", "answerCode")
     s = keyed.add_feature_stats(s, dims, fit_on=stats_src)
-    # Narrow side computations read raw columns of the log, never the wide
-    # feature plan: the global first timestamp and the global order.
+    # The global first timestamp reads one raw column of the log.
     first = log.agg(F.min("Timestamp").alias("_first"))
     day = F.lit(keyed.US_PER_DAY)
-    s = s.crossJoin(F.broadcast(first)).select(
+    return s.crossJoin(F.broadcast(first)).select(
         *[c for c in s.columns if c != "_start"],
         F.floor((S.micros("_start") - S.micros("_first")) / day).cast("int").alias("user_enterDay"),
         F.floor((S.micros("Timestamp") - S.micros("_start")) / day).cast("int").alias("user_day_progress"),
     )
-    order = rank.original_order(log.select("event_id", "userID", "Timestamp")).select("event_id", "original_order")
-    return s.join(order, "event_id")

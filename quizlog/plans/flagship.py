@@ -21,10 +21,12 @@ ARRAY_FEATURES = ("test_mean", "assessment_mean", "tag_mean", "user_acc", "user_
 
 
 def model_input_table(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int) -> DataFrame:
-    """Coded, target-encoded rows -> one model-input row per sequence."""
-    t = keyed.apply_target_encoder(rows, encoder)
+    """Rows -> one model-input row per sequence: cut to the last ``n`` rows
+    first, so only those are encoded and coded."""
+    t = sequences.keep_last(rows, n, seq)
+    t = keyed.apply_target_encoder(t, encoder)
     t = vocab.apply_vocabulary(t, vocabulary)
-    seqs = sequences.collect_sequences(t, seq=seq, max_len=n, conts=sequences.CONT_COLS)
+    seqs = sequences.collect_sequences(t, seq=seq, max_len=n, conts=sequences.CONT_COLS, is_cut=True)
     return sequences.model_input(seqs, n)
 
 
@@ -39,7 +41,7 @@ def fit_encoders(train: DataFrame):
     for key, t in zip(keyed.TARGET_KEYS.values(), tables):
         part = t.select(F.lit(key).alias("column"), F.col(key).cast("string").alias("label"))
         labels = part if labels is None else labels.unionByName(part)
-    return enc, vocab.vocabulary_from_labels(labels, list(keyed.TARGET_KEYS.values()), materialize_labels=False)
+    return enc, vocab.vocabulary_from_labels(labels, list(keyed.TARGET_KEYS.values()))
 
 
 def last_position_features(mi: DataFrame, n: int) -> DataFrame:

@@ -400,13 +400,16 @@ def q_a24(spark, sf_dir):
 N_SEQ = 20
 
 
-def prepared_train(spark, sf_dir):
-    """Training flow up to coded rows: grade-split ids (P5), target encoding
-    fitted on itself (A15), vocabulary fitted and applied (E1, E2)."""
+def prepared_train(spark, sf_dir, conts=False):
+    """Training flow up to coded rows: grade-split ids (P5), the last N_SEQ
+    rows of each sequence, target encoding fitted on the whole log where
+    asked for (A15), vocabulary fitted and applied (E1, E2)."""
     train, _ = _train_test(spark, sf_dir)
     t = train.withColumn("seq_id", S.grade_split_id())
     enc, v = flow.fit_encoders(t)
-    t = keyed.apply_target_encoder(t, enc)
+    t = sequences.keep_last(t, N_SEQ, "seq_id")
+    if conts:
+        t = keyed.apply_target_encoder(t, enc)
     return vocab.apply_vocabulary(t, v)
 
 
@@ -452,7 +455,7 @@ FROM z""",
 )
 def q_y1_y7(spark, sf_dir):
     t = prepared_train(spark, sf_dir)
-    seqs = sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ)
+    seqs = sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ, is_cut=True)
     mi = sequences.model_input(seqs, N_SEQ)
     return mi.select(
         "seq_id",
@@ -479,8 +482,8 @@ pads AS (SELECT seq_id, cast(unnest(range(20 - least(cnt, 20))) AS int) AS pos F
 SELECT * FROM real UNION ALL SELECT seq_id, pos, 0.0, 0.0, 0.0 FROM pads""",
 )
 def q_y8(spark, sf_dir):
-    t = prepared_train(spark, sf_dir)
-    seqs = sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ, conts=sequences.CONT_COLS)
+    t = prepared_train(spark, sf_dir, conts=True)
+    seqs = sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ, conts=sequences.CONT_COLS, is_cut=True)
     mi = sequences.model_input(seqs, N_SEQ)
     e = mi.select("seq_id", F.posexplode("conts").alias("pos", "v"))
     return e.select(
@@ -1146,7 +1149,7 @@ FROM z""",
 )
 def q_o2(spark, sf_dir):
     t = prepared_train(spark, sf_dir)
-    mi = sequences.model_input(sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ), N_SEQ)
+    mi = sequences.model_input(sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ, is_cut=True), N_SEQ)
     return mi.select(
         "seq_id",
         sequences.last_position("question").cast("int").alias("last_question"),
@@ -1212,7 +1215,7 @@ def q_y3_y4(spark, sf_dir):
     """Padded sequence form (Y3, Y4): unshifted codes left-padded with 0 and
     a ``tinyint`` validity mask."""
     t = prepared_train(spark, sf_dir)
-    p = sequences.pad_sequences(sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ), N_SEQ)
+    p = sequences.pad_sequences(sequences.collect_sequences(t, seq="seq_id", max_len=N_SEQ, is_cut=True), N_SEQ)
     return p.select("seq_id", *[_ints(c).alias(c) for c in ("test", "question", "tag", "correct", "mask")])
 
 

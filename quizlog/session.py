@@ -42,11 +42,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    used as is; without it this raises, since a folder of the driver's own
+    disk is unknown to the executors.  Only a local session, where they are
+    one process, gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors share (master is {master})")
         d = tempfile.mkdtemp(prefix="quizlog-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

@@ -6,24 +6,10 @@ keeps every event row, so all work downstream grows with ``events``.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-INTERACTIONS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("userID", T.LongType()),
-        T.StructField("Timestamp", T.TimestampNTZType()),
-        T.StructField("assessmentItemID", T.StringType()),
-        T.StructField("testId", T.StringType()),
-        T.StructField("KnowledgeTag", T.IntegerType()),
-        T.StructField("answerCode", T.IntegerType()),
-    ]
-)
-
 # Fixed values of the fixture mapping (FIXTURES.md §3): 20 tests, 13 tags,
 # grade = test % 9 + 1, an answer is right when value < 35.
 N_TESTS = 20
@@ -66,15 +52,10 @@ EVENTS_SCHEMA = T.StructType(
 )
 
 
-# DataFrames are immutable plans: the reader, the view and the split are
-# built once per (session, folder) and reused by every query.  No rows are
-# cached; each action still reads the files.
-@lru_cache(maxsize=32)
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-@lru_cache(maxsize=32)
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full interaction log (train and test users together)."""
     return interactions_from_events(read_events(spark, sf_dir))
@@ -103,20 +84,11 @@ def split_logs(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train, test.select(*log.columns)
 
 
-@lru_cache(maxsize=32)
 def logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(training log, test log) of the fixture in ``sf_dir``."""
     return split_logs(interactions(spark, sf_dir))
 
 
-def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs(spark, sf_dir)[0]
-
-
-def test_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs(spark, sf_dir)[1]
-
-
 # DuckDB twin of ``interactions_from_events`` for oracle queries.
 INTERACTIONS_DUCKDB = """
 SELECT event_id, user_id AS userID, ts AS "Timestamp",
