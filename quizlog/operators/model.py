@@ -10,10 +10,12 @@ and tag.
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
 from typing import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import keyed, metrics
@@ -63,32 +65,67 @@ def last_position_rows(
     return keyed.target_encode(feats, fit_on=rows if fit_on is None else fit_on)
 
 
-def _assemble(df: DataFrame, features: Sequence[str], fill: float | dict[str, float] = 0.0) -> DataFrame:
+@dataclass(frozen=True)
+class Classifier:
+    """A fitted model with its inputs: feature names and what stands in for a
+    missing value (by default the feature's mean over the training examples,
+    so an unseen item counts as an average one)."""
+
+    model: object
+    features: tuple[str, ...]
+    fill: dict[str, float]
+
+    def save(self, path: str) -> None:
+        """Model and metadata under ``path``, written by Spark."""
+        self.model.write().overwrite().save(f"{path}/model")
+        spark = SparkSession.getActiveSession()
+        meta = json.dumps({"features": list(self.features), "fill": self.fill})
+        spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Classifier:
+        from pyspark.ml.classification import LogisticRegressionModel
+
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        return Classifier(LogisticRegressionModel.load(f"{path}/model"), tuple(meta["features"]), meta["fill"])
+
+
+def _assemble(df: DataFrame, features: Sequence[str], fill: dict[str, float]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
-    filled = df.fillna(fill if isinstance(fill, dict) else {f: fill for f in features})
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df.fillna(fill))
 
 
-def fit_classifier(train_rows: DataFrame, features: Sequence[str] = FEATURES, max_iter: int = 50, reg: float = 0.0):
+def fit_classifier(
+    train_rows: DataFrame,
+    features: Sequence[str] = FEATURES,
+    max_iter: int = 50,
+    reg: float = 0.0,
+    tol: float = 1e-6,
+    fill: dict[str, float] | None = None,
+) -> Classifier:
     """Logistic regression on last-position examples (M2)."""
     from pyspark.ml.classification import LogisticRegression
 
-    data = _assemble(train_rows.where(F.col("label").isNotNull()), features)
-    return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg).fit(data)
+    rows = train_rows.where(F.col("label").isNotNull())
+    if fill is None:
+        means = rows.agg(*[F.avg(c).alias(c) for c in features]).first()
+        fill = {c: 0.0 if means[c] is None else float(means[c]) for c in features}
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg, tol=tol)
+    return Classifier(lr.fit(_assemble(rows, features, fill)), tuple(features), fill)
 
 
-def score(model, rows: DataFrame, features: Sequence[str] = FEATURES, keep: Sequence[str] = ()) -> DataFrame:
+def score(clf: Classifier, rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Probability of a right answer for each example (M3)."""
     from pyspark.ml.functions import vector_to_array
 
-    out = model.transform(_assemble(rows, features))
+    out = clf.model.transform(_assemble(rows, clf.features, clf.fill))
     return out.select(*keep, vector_to_array("probability")[1].alias("prediction"))
 
 
 def cross_validate(
-    examples: DataFrame, k: int = 5, seed: int = 42, key: str = "userID", features: Sequence[str] = FEATURES
-) -> tuple[DataFrame, list]:
+    examples: DataFrame, k: int = 5, seed: int = 42, key: str = "userID", features: Sequence[str] = FEATURES, **fit_kw
+) -> tuple[DataFrame, list[Classifier]]:
     """k models, each fitted on the other folds and scored on its own (M4).
 
     Returns out-of-fold predictions ``(fold, <key>, prediction, label)`` and
@@ -97,18 +134,18 @@ def cross_validate(
     ex = keyed.materialize(examples.join(kfold(examples, key, k=k, seed=seed), key))
     models, parts = [], []
     for f in range(k):
-        m = fit_classifier(ex.where(F.col("fold") != f), features)
+        m = fit_classifier(ex.where(F.col("fold") != f), features, **fit_kw)
         models.append(m)
-        parts.append(score(m, ex.where(F.col("fold") == f), features, keep=("fold", key, "label")))
+        parts.append(score(m, ex.where(F.col("fold") == f), keep=("fold", key, "label")))
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
     return keyed.materialize(oof), models
 
 
-def vote(models: list, rows: DataFrame, id_col: str = "id", features: Sequence[str] = FEATURES) -> DataFrame:
+def vote(models: list[Classifier], rows: DataFrame, id_col: str = "id") -> DataFrame:
     """Soft vote: mean probability of all models per id (M5)."""
-    parts = [score(m, rows, features, keep=(id_col,)) for m in models]
+    parts = [score(m, rows, keep=(id_col,)) for m in models]
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)

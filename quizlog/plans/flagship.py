@@ -2,18 +2,23 @@
 
 read -> grade split (P5) / target-grade rows (J3) -> target encoding fitted
 on the training log (A15) -> vocabulary fitted on the training log and
-applied (E1, E2) -> last-N sequences and model input (Y1-Y8) ->
-last-position features (O2) -> Spark ML classifier (M2) -> scores (M3) ->
-prediction ids (M10).
+applied (E1, E2) -> optional window augmentation (G7) -> last-N sequences and
+model input (Y1-Y8) -> last-position features (O2) -> Spark ML classifier
+(M2) -> scores (M3) -> prediction ids (M10).
+
+``train`` takes a training log and leaves everything scoring needs in a
+folder; ``infer`` takes a test log and that folder.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import grade_split_id
-from ..operators import keyed, metrics, model, rank, sequences, vocab
+from ..operators import augment, keyed, metrics, model, rank, sequences, vocab
 from ..sources.fixture import logs
 
 MAX_SEQ_LEN = 20
@@ -30,6 +35,19 @@ def model_input_table(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str,
     return sequences.model_input(seqs, n)
 
 
+def augmented_input(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int, kind: str, **kw) -> DataFrame:
+    """Like ``model_input_table``, but one model-input row per window or crop
+    of a sequence (G7; ``kind`` and ``kw`` as in ``augment.augment``), keyed
+    by ``seq`` and the window's number or start.  For training only."""
+    t = vocab.apply_vocabulary(keyed.apply_target_encoder(rows, encoder), vocabulary)
+    conts = {f"_c{i}": c for i, c in enumerate(sequences.CONT_COLS)}
+    w = augment.augment(t, kind, n=n, seq=seq, fields={**sequences.SEQ_FIELDS, **conts}, **kw)
+    # one vector per position from the aligned arrays
+    vectors = F.transform(F.arrays_zip(*conts), lambda z: F.array(*[z[c].cast("float") for c in conts]))
+    seqs = w.withColumn("conts", vectors).drop("event_ids", *conts)
+    return sequences.model_input(seqs, n)
+
+
 def fit_encoders(train: DataFrame):
     """Target encoder and vocabulary fitted on the training log with one
     scan: the encoder's per-key tables already hold every distinct test, tag
@@ -46,9 +64,9 @@ def fit_encoders(train: DataFrame):
 
 def last_position_features(mi: DataFrame, n: int) -> DataFrame:
     """Features of the last valid position of each model-input row (O2):
-    its three target-encoded means, the interaction token, the number of
-    earlier kept positions and their accuracy.  ``label`` is the last answer
-    (null for a hidden target)."""
+    its three target-encoded means, the interaction token, whether the answer
+    before was right, the number of earlier kept positions and their accuracy.
+    ``label`` is the last answer (null for a hidden target)."""
     valid = F.col("gather_index") + 1
     earlier = F.slice("correct", F.lit(n) - valid + 1, valid - 1)
     earlier_sum = F.aggregate(earlier, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
@@ -62,14 +80,20 @@ def last_position_features(mi: DataFrame, n: int) -> DataFrame:
         F.when(valid > 1, earlier_sum / (valid - 1)).alias("user_acc"),
         (valid - 1).cast("double").alias("user_total_answer"),
         sequences.last_position("interaction").cast("double").alias("interaction"),
+        (sequences.last_position("interaction") == 2).cast("double").alias("prev_right"),
         F.when(last_answer >= 0, last_answer.cast("double")).alias("label"),
     )
 
 
-def train_examples(train: DataFrame, encoders, n: int = MAX_SEQ_LEN) -> DataFrame:
-    """One example per (learner, grade) training sequence (Q7 train mode)."""
+def train_examples(
+    train: DataFrame, encoders, n: int = MAX_SEQ_LEN, augmentation: str | None = None, **augment_kw
+) -> DataFrame:
+    """One example per (learner, grade) training sequence (Q7 train mode), or
+    with ``augmentation`` (slide or crop) one per window of it."""
     enc, voc = encoders
     t = train.withColumn("seq_id", grade_split_id())
+    if augmentation:
+        return last_position_features(augmented_input(t, enc, voc, "seq_id", n, augmentation, **augment_kw), n)
     return last_position_features(model_input_table(t, enc, voc, "seq_id", n), n)
 
 
@@ -82,33 +106,106 @@ def test_examples(test: DataFrame, encoders, n: int = MAX_SEQ_LEN) -> DataFrame:
     return last_position_features(model_input_table(t, enc, voc, "userID", n), n)
 
 
-def fit_and_score(spark: SparkSession, sf_dir: str, n: int = MAX_SEQ_LEN) -> tuple[DataFrame, DataFrame]:
-    """Fit on all training sequences, score the hidden test answers.
-    Returns (submission ``id, userID, prediction``, training examples)."""
-    train, test = logs(spark, sf_dir)
-    encoders = fit_encoders(train)
-    ex = keyed.materialize(train_examples(train, encoders, n))
-    clf = model.fit_classifier(ex, ARRAY_FEATURES)
-    # One row per test learner: written once, read by the scorer and the ids.
-    tex = keyed.materialize(test_examples(test, encoders, n))
-    scored = model.score(clf, tex, ARRAY_FEATURES, keep=("userID",))
+def save_encoders(encoders, path: str) -> None:
+    (tables, _), voc = encoders
+    for key, t in zip(keyed.TARGET_KEYS.values(), tables):
+        t.write.mode("overwrite").parquet(f"{path}/encoder/{key}")
+    vocab.save_vocabulary(voc, f"{path}/vocabulary")
+
+
+def load_encoders(spark: SparkSession, path: str):
+    tables = [spark.read.parquet(f"{path}/encoder/{key}") for key in keyed.TARGET_KEYS.values()]
+    small = sum(map(keyed.table_bytes, tables)) <= keyed.BROADCAST_MAX_BYTES
+    return (tables, small), vocab.load_vocabulary(spark, f"{path}/vocabulary")
+
+
+def train(
+    train_log: DataFrame,
+    path: str,
+    features: tuple[str, ...] = ARRAY_FEATURES,
+    n: int = MAX_SEQ_LEN,
+    k: int | None = None,
+    seed: int = 42,
+    augmentation: dict | None = None,
+    candidates: dict[str, dict] | None = None,
+    **fit_kw,
+) -> DataFrame:
+    """Fit on all training sequences and save encoders, vocabulary and model
+    under ``path``.
+
+    ``k`` fits k fold models instead of one and returns their out-of-fold
+    predictions ``(fold, seq_id, prediction, label)``; otherwise the training
+    examples are returned.  ``augmentation`` (``{"kind": "slide", ...}``) adds
+    windows of the training sequences.  ``candidates`` maps a name to
+    ``fit_classifier`` arguments: all are fitted on a ratio split, and the one
+    with the best validation AUROC (M9) is fitted on everything and saved."""
+    spark = train_log.sparkSession
+    encoders = fit_encoders(train_log)
+    save_encoders(encoders, path)
+    kw = dict(augmentation or {})
+    ex = keyed.materialize(train_examples(train_log, encoders, n, kw.pop("kind", None), **kw))
+    out = ex
+    if candidates:
+        split = keyed.materialize(ex.join(rank.ratio_split(ex, "seq_id", 0.7, seed), "seq_id"))
+        scores = None
+        for name, args in sorted(candidates.items()):
+            clf = model.fit_classifier(split.where("is_train"), **{"features": features, **fit_kw, **args})
+            valid = model.score(clf, split.where(~F.col("is_train")), keep=("label",))
+            auc = metrics.auroc(valid, target="label").select(F.lit(name).alias("candidate"), "auc")
+            scores = auc if scores is None else scores.unionByName(auc)
+        best = metrics.best_candidate(scores).first()["candidate"]
+        fit_kw = {**fit_kw, **candidates[best if best is not None else sorted(candidates)[0]]}
+        features = fit_kw.pop("features", features)
+    if k:
+        out, models = model.cross_validate(ex, k=k, seed=seed, key="seq_id", features=features, **fit_kw)
+    else:
+        models = [model.fit_classifier(ex, features, **fit_kw)]
+    for i, m in enumerate(models):
+        m.save(f"{path}/models/{i}")
+    meta = json.dumps({"n": n, "models": len(models)})
+    spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/flow")
+    return out
+
+
+def infer(test_log: DataFrame, path: str) -> DataFrame:
+    """Submission rows ``id, userID, prediction`` for the hidden answers of
+    ``test_log`` from what ``train`` saved: one model's score, or the soft
+    vote of several (M5)."""
+    spark = test_log.sparkSession
+    meta = json.loads(spark.read.text(f"{path}/flow").first()[0])
+    models = [model.Classifier.load(spark, f"{path}/models/{i}") for i in range(meta["models"])]
+    # One row per test learner: written once, read by the scorers and the ids.
+    tex = keyed.materialize(test_examples(test_log, load_encoders(spark, path), meta["n"]))
     ids = rank.prediction_ids(tex.select("userID"), "userID")
-    return ids.join(scored, "userID").select("id", "userID", "prediction"), ex
+    return ids.join(model.vote(models, tex, "userID"), "userID").select("id", "userID", "prediction")
+
+
+def flow_folder(spark: SparkSession) -> str:
+    """A fresh folder for ``train`` inside the shared checkpoint folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/flow-{uuid.uuid4().hex}"
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Submission rows ``id, userID, prediction`` for the hidden answers."""
-    return fit_and_score(spark, sf_dir)[0]
+    """Train on the fixture's training log, save, reload, score its test log."""
+    train_log, test_log = logs(spark, sf_dir)
+    path = flow_folder(spark)
+    train(train_log, path)
+    return infer(test_log, path)
 
 
-def validation_report(spark: SparkSession, sf_dir: str, ratio: float = 0.7, seed: int = 0) -> DataFrame:
+def validation_report(
+    train_log: DataFrame, ratio: float = 0.7, seed: int = 0, features: tuple[str, ...] = ARRAY_FEATURES, **fit_kw
+) -> DataFrame:
     """Ratio split of training sequences (D1), fit on one part, AUROC,
     accuracy and log-loss on the other (M6-M8).  One row."""
-    train, _ = logs(spark, sf_dir)
-    ex = keyed.materialize(train_examples(train, fit_encoders(train)))
+    ex = keyed.materialize(train_examples(train_log, fit_encoders(train_log)))
     ex = keyed.materialize(ex.join(rank.ratio_split(ex, "seq_id", ratio, seed), "seq_id"))
-    clf = model.fit_classifier(ex.where("is_train"), ARRAY_FEATURES)
-    valid = model.score(clf, ex.where(~F.col("is_train")), ARRAY_FEATURES, keep=("label",))
+    clf = model.fit_classifier(ex.where("is_train"), features, **fit_kw)
+    valid = model.score(clf, ex.where(~F.col("is_train")), keep=("label",))
     # Scored once, read by the four metrics.
     valid = keyed.materialize(valid.withColumnRenamed("label", "target"))
     return (

@@ -972,25 +972,187 @@ def q_m2_m3(spark, sf_dir):
 @register("m4_cross_validated_auroc")
 def q_m4(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    ex = keyed.materialize(flow.train_examples(train, flow.fit_encoders(train)))
-    oof, _ = model.cross_validate(ex, k=K_FOLDS, seed=42, key="seq_id", features=flow.ARRAY_FEATURES)
+    oof = flow.train(train, flow.flow_folder(spark), k=K_FOLDS)
     return metrics.auroc(oof.withColumnRenamed("label", "target"), by=["fold"])
 
 
 @register("m5_soft_vote_submission")
 def q_m5(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    encoders = flow.fit_encoders(train)
-    ex = keyed.materialize(flow.train_examples(train, encoders))
-    _, models = model.cross_validate(ex, k=K_FOLDS, seed=42, key="seq_id", features=flow.ARRAY_FEATURES)
-    tex = keyed.materialize(flow.test_examples(test, encoders))
-    ids = rank.prediction_ids(tex.select("userID"), "userID")
-    return model.vote(models, tex.join(ids, "userID"), "id", flow.ARRAY_FEATURES)
+    path = flow.flow_folder(spark)
+    flow.train(train, path, k=K_FOLDS)
+    return flow.infer(test, path).select("id", "prediction")
 
 
 @register("m6_m8_validation_report")
 def q_report(spark, sf_dir):
-    return flow.validation_report(spark, sf_dir)
+    return flow.validation_report(_train_test(spark, sf_dir)[0])
+
+
+# The same flow on one binary feature, where the fitted probability has a
+# closed form: the label's mean among examples with the same feature value.
+BINARY = ("prev_right",)
+EXACT = {"features": BINARY, "tol": 1e-12, "max_iter": 200}
+
+_BINARY_SQL = """s AS (SELECT *, concat(substring(assessmentItemID, 1, 3), cast(userID AS varchar)) AS seq_id FROM train_log),
+o AS (SELECT seq_id, answerCode AS label,
+             CASE WHEN lag(answerCode) OVER (PARTITION BY seq_id ORDER BY "Timestamp", event_id) = 1 THEN 1 ELSE 0 END AS x,
+             row_number() OVER (PARTITION BY seq_id ORDER BY "Timestamp" DESC, event_id DESC) AS r FROM s),
+ex AS (SELECT seq_id, label, x FROM o WHERE r = 1),
+st AS (SELECT *, concat(substring(assessmentItemID, 1, 3), cast(userID AS varchar)) AS seq_id FROM test_log),
+kt AS (SELECT * FROM st WHERE seq_id IN (SELECT seq_id FROM st WHERE answerCode = -1)),
+ot AS (SELECT userID, CASE WHEN lag(answerCode) OVER (PARTITION BY userID ORDER BY "Timestamp", event_id) = 1 THEN 1 ELSE 0 END AS x,
+              row_number() OVER (PARTITION BY userID ORDER BY "Timestamp" DESC, event_id DESC) AS r FROM kt),
+tex AS (SELECT row_number() OVER (ORDER BY userID) - 1 AS id, userID, x FROM ot WHERE r = 1)"""
+_BINARY_FOLDS_SQL = _BINARY_SQL + """,
+f AS (SELECT seq_id, ntile(5) OVER (ORDER BY md5(concat(seq_id, '|', '42')), seq_id) - 1 AS fold FROM ex),
+exf AS (SELECT * FROM ex JOIN f USING (seq_id)),
+mdl AS (SELECT k.fold, exf.x, avg(exf.label) AS m
+        FROM exf CROSS JOIN (SELECT unnest(range(5)) AS fold) k WHERE exf.fold <> k.fold GROUP BY 1, 2)"""
+
+
+@register(
+    "m2_m3_closed_form_submission",
+    f"""WITH {_BINARY_SQL},
+m AS (SELECT x, avg(label) AS m FROM ex GROUP BY x)
+SELECT id, userID, round(m.m, 5) AS prediction FROM tex JOIN m USING (x)""",
+)
+def q_m2_m3_exact(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    path = flow.flow_folder(spark)
+    flow.train(train, path, **EXACT)
+    return flow.infer(test, path).select("id", "userID", rnd("prediction", 5).alias("prediction"))
+
+
+@register(
+    "m4_closed_form_out_of_fold",
+    f"""WITH {_BINARY_FOLDS_SQL}
+SELECT cast(exf.fold AS int) AS fold, seq_id, cast(label AS double) AS label, round(m, 5) AS prediction
+FROM exf JOIN mdl ON mdl.fold = exf.fold AND mdl.x = exf.x""",
+)
+def q_m4_exact(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    oof = flow.train(train, flow.flow_folder(spark), k=K_FOLDS, **EXACT)
+    return oof.select("fold", "seq_id", "label", rnd("prediction", 5).alias("prediction"))
+
+
+@register(
+    "m5_closed_form_soft_vote",
+    f"""WITH {_BINARY_FOLDS_SQL}
+SELECT id, userID, round(avg(m), 5) AS prediction FROM tex JOIN mdl USING (x) GROUP BY id, userID""",
+)
+def q_m5_exact(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    path = flow.flow_folder(spark)
+    flow.train(train, path, k=K_FOLDS, **EXACT)
+    return flow.infer(test, path).select("id", "userID", rnd("prediction", 5).alias("prediction"))
+
+
+@register(
+    "m6_m8_closed_form_report",
+    f"""WITH {_BINARY_SQL},
+h AS (SELECT *, row_number() OVER (ORDER BY md5(concat(seq_id, '|', '0')), seq_id) AS r, count(*) OVER () AS n FROM ex),
+tr AS (SELECT x, avg(label) AS p FROM h WHERE r <= floor(n * 0.7) GROUP BY x),
+v AS (SELECT h.label AS y, tr.p FROM h JOIN tr USING (x) WHERE r > floor(n * 0.7)),
+a AS (SELECT sum(CASE WHEN i.p > j.p THEN 1.0 WHEN i.p = j.p THEN 0.5 ELSE 0 END) / count(*) AS auc
+      FROM v i JOIN v j ON i.y = 1 AND j.y = 0)
+SELECT round(a.auc, 5) AS auc, round(avg(CASE WHEN (v.p >= 0.5) = (v.y = 1) THEN 1.0 ELSE 0.0 END), 5) AS acc,
+       round(avg(-(v.y * ln(v.p) + (1 - v.y) * ln(1 - v.p))), 5) AS log_loss, count(*) AS n_valid
+FROM v CROSS JOIN a GROUP BY a.auc""",
+)
+def q_report_exact(spark, sf_dir):
+    r = flow.validation_report(_train_test(spark, sf_dir)[0], **EXACT)
+    return r.select(*[rnd(c, 5).alias(c) for c in ("auc", "acc", "log_loss")], "n_valid")
+
+
+@register(
+    "m2_train_examples",
+    _SEQ_SQL
+    + """SELECT seq_id, cast(correct[n] AS double) AS label,
+       round(CASE WHEN n > 1 THEN cast(list_sum(correct[1:n - 1]) AS double) / (n - 1) END, 9) AS user_acc,
+       cast(n - 1 AS double) AS user_total_answer, cast(CASE WHEN n > 1 THEN correct[n - 1] + 1 ELSE 0 END AS double) AS interaction,
+       cast(CASE WHEN n > 1 AND correct[n - 1] = 1 THEN 1 ELSE 0 END AS double) AS prev_right
+FROM z""",
+)
+def q_train_examples(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    ex = flow.train_examples(train, flow.fit_encoders(train))
+    return ex.select("seq_id", "label", rnd("user_acc").alias("user_acc"), "user_total_answer", "interaction", "prev_right")
+
+
+@register(
+    "m9_best_candidate_submission",
+    f"""WITH {_BINARY_SQL},
+m AS (SELECT avg(label) AS m FROM ex)
+SELECT id, userID, round(m.m, 5) AS prediction FROM tex CROSS JOIN m""",
+)
+def q_m9_flow(spark, sf_dir):
+    """Two candidates without signal tie at AUROC 0.5 or rank by name: one
+    reads a constant, so its fitted probability is the label's mean."""
+    train, test = _train_test(spark, sf_dir)
+    path = flow.flow_folder(spark)
+    flow.train(
+        train.withColumn("KnowledgeTag", F.lit(1)), path,
+        candidates={"a_constant": {"features": ("tag_mean",), "reg": 0.0}, "b_constant": {"features": ("tag_mean",), "reg": 1.0}},
+        tol=1e-12, max_iter=200)
+    return flow.infer(test.withColumn("KnowledgeTag", F.lit(1)), path).select("id", "userID", rnd("prediction", 5).alias("prediction"))
+
+
+def _g7_sql(windows_sql: str, key: str) -> str:
+    """Model-input rows of windows over the coded training sequences;
+    ``windows_sql`` gives ``wins(seq_id, key, start, size)`` from ``u``."""
+    return (
+        _SEQ_SQL.split("k AS (SELECT * FROM")[0]
+        + f"""r AS (SELECT seq_id, q, te, tg, answerCode AS y,
+             row_number() OVER (PARTITION BY seq_id ORDER BY "Timestamp", event_id) - 1 AS p,
+             count(*) OVER (PARTITION BY seq_id) AS L FROM c),
+u AS (SELECT DISTINCT seq_id, L FROM r),
+{windows_sql},
+s AS (SELECT wins.seq_id, wins.{key}, count(*) AS n, list(te + 1 ORDER BY p) AS test, list(q + 1 ORDER BY p) AS question,
+             list(tg + 1 ORDER BY p) AS tag, list(y ORDER BY p) AS correct
+      FROM wins JOIN r ON r.seq_id = wins.seq_id AND r.p >= wins.start AND r.p < wins.start + 6 GROUP BY 1, 2),
+z AS (SELECT *, list_transform(range(6 - n), lambda x: 0) AS pad FROM s)
+SELECT seq_id, cast({key} AS bigint) AS {key},
+  array_to_string(list_concat(pad, test), ',') AS test,
+  array_to_string(list_concat(pad, question), ',') AS question,
+  array_to_string(list_concat(pad, tag), ',') AS tag,
+  array_to_string(list_concat(pad, correct), ',') AS correct,
+  array_to_string(list_concat(pad, list_transform(range(n), lambda x: 1)), ',') AS mask,
+  array_to_string(list_concat(pad, list_concat([0], list_transform(correct[1:n - 1], lambda x: x + 1))), ',') AS interaction,
+  cast(n - 1 AS int) AS gather_index
+FROM z"""
+    )
+
+
+def _g7_rows(spark, sf_dir, kind, key, **kw):
+    train, _ = _train_test(spark, sf_dir)
+    enc, voc = flow.fit_encoders(train)
+    mi = flow.augmented_input(train.withColumn("seq_id", S.grade_split_id()), enc, voc, "seq_id", 6, kind, **kw)
+    return mi.select(
+        "seq_id", F.col(key).cast("bigint").alias(key),
+        *[_ints(c).alias(c) for c in ("test", "question", "tag", "correct", "mask", "interaction")], "gather_index")
+
+
+@register(
+    "g7_slide_model_input",
+    _g7_sql(
+        """v6 AS (SELECT *, CASE WHEN L > 6 THEN (L - 6) // 4 + 1 ELSE 1 END AS T FROM u),
+wins AS (SELECT seq_id, "window", CASE WHEN L > 6 THEN "window" * 4 ELSE 0 END AS start
+         FROM (SELECT *, unnest(range(T)) AS "window" FROM v6)
+         UNION ALL SELECT seq_id, T, L - 6 FROM v6 WHERE L > 6 AND L <> 6 + 4 * (T - 1))""",
+        '"window"',
+    ),
+)
+def q_g7_slide(spark, sf_dir):
+    return _g7_rows(spark, sf_dir, "slide", "window", stride=4)
+
+
+@register(
+    "g7_crop_model_input",
+    _g7_sql("wins AS (SELECT seq_id, unnest(range(0, L, 6)) AS start FROM u)", "start"),
+)
+def q_g7_crop(spark, sf_dir):
+    return _g7_rows(spark, sf_dir, "crop", "start", crop_type="tiled")
 
 
 def _features_sql() -> str:

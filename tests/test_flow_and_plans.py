@@ -59,7 +59,7 @@ def test_csv_roundtrip_and_prediction_sink(spark, tmp_path):
     )
     p = str(tmp_path / "log_csv")
     io.write_interactions_csv(log, p)
-    back = io.read_interactions_csv(spark, p, with_event_id=False)
+    back = io.read_interactions_csv(spark, p).select(*[f.name for f in io.CSV_SCHEMA.fields])
     assert back.exceptAll(log.select(*[f.name for f in io.CSV_SCHEMA.fields])).count() == 0
     preds = spark.createDataFrame([(1, 0.25), (0, 0.75)], "id bigint, prediction double")
     out = str(tmp_path / "pred")
