@@ -10,6 +10,7 @@ from quizlog.llm import (
     language_id,
     license_scan,
     lm_scoring,
+    oracles,
     quality_rules,
     simhash_dedup,
     token_output,
@@ -28,6 +29,5 @@ QUERIES = {
     "op10_quality_rules": quality_rules.query,
 }
 
-#: DuckDB twins.  The operators' results rest on hashes, learned models or
-#: searches that SQL cannot express; those are tested against brute force.
-ORACLE: dict[str, str] = {}
+#: DuckDB twins, where SQL can express the query.
+ORACLE: dict[str, str] = dict(oracles.ORACLE)
