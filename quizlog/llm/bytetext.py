@@ -44,7 +44,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count or pa.types.is_null(texts.type):
-        texts = pc.fill_null(texts.cast(pa.string()), "")
+        texts = pc.fill_null(texts.cast(pa.string()), "")  # no binary column has nulls here
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     _, off_buf, data_buf = texts.buffers()
     if len(texts) == 0 or off_buf is None:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlog.llm.shared import table
+from quizlog.llm.shared import batches, table
 
 ESCAPE = "\x1b"
 
@@ -136,7 +136,7 @@ def format_turns(conversations: DataFrame, template: Template | None = None) ->
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "role", "text", "turn")
     # rows of one conversation side by side and in order, streamed by the task
     dealt = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.select("conv_id", "role", "text").mapInArrow(run, SEGMENT)
+    return dealt.select("conv_id", "role", "text").transform(batches, run, SEGMENT)
 
 
 DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
@@ -197,7 +197,7 @@ def digest(segments: DataFrame, template: Template | None = None) -> DataFrame:
             close()
         yield emit()
 
-    return segments.mapInArrow(run, DIGEST)
+    return segments.transform(batches, run, DIGEST)
 
 
 # Fixed rows of the contract: a conversation whose texts hold control strings.

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizlog.llm import bytetext as B
-from quizlog.llm.shared import cut, table
+from quizlog.llm.shared import batches, cut, table
 
 #: Selected places are 1 (five of seven, six of ten).  In a passage with one word
 #: in five substituted at even distances, some position of the first misses all.
@@ -170,7 +170,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
                             [names.take(pa.array(text)), pa.array([ids[i] for i in item], pa.int64()), *[pa.array(x, pa.int64()) for x in rest]],
                             [c.split()[0] for c in OVERLAP.split(", ")])
 
-        got = chosen.mapInArrow(run, OVERLAP)
+        got = chosen.transform(batches, run, OVERLAP)
         out = got if out is None else out.unionByName(got)
     return out
 
@@ -197,5 +197,5 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         keep[row[0]] = False
                     yield part.filter(pa.array(keep)).rename_columns(batch.schema.names)
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.transform(batches, run, docs.schema)
     return docs

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizlog.llm.html_page import Node, parse
-from quizlog.llm.shared import cut, table
+from quizlog.llm.shared import batches, cut, table
 
 MIN_PAGES = 20
 MAX_GROUP = 4
@@ -343,10 +343,10 @@ def _combine(final: bool):
 
 def host_rules(pages: DataFrame) -> DataFrame:
     """``(host, n_pages, wrapper)`` with each host's rules as JSON."""
-    each = pages.select("host", "html").mapInArrow(_infer, WRAPPER)
+    each = pages.select("host", "html").transform(batches, _infer, WRAPPER)
     salted = each.withColumn("_salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).repartition("host", "_salt")
-    some = salted.sortWithinPartitions("host", "_salt").drop("_salt").mapInArrow(_combine(False), WRAPPER)
-    return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(_combine(True), WRAPPER)
+    some = salted.sortWithinPartitions("host", "_salt").drop("_salt").transform(batches, _combine(False), WRAPPER)
+    return some.repartition("host").sortWithinPartitions("host", "wrapper").transform(batches, _combine(True), WRAPPER)
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -373,7 +373,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "rules").mapInArrow(run, kinds)
+    return joined.select("page_id", "url", "html", "rules").transform(batches, run, kinds)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

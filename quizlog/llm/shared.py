@@ -34,8 +34,13 @@ def ship(spark) -> None:
     sc.addPyFile(path)  # Spark serves the file to the executors
 
 
+def batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow`` by a function of this library (for ``transform``)."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

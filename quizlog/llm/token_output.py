@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quizlog.llm import bytetext as B
 from quizlog.llm import subwords
-from quizlog.llm.shared import scratch_path, table
+from quizlog.llm.shared import batches, scratch_path, table
 
 CAPACITY = 2048
 BUFFER_TOKENS = 4 << 20
@@ -165,7 +165,7 @@ def pack_ids(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAP
                     yield from flush()
         yield from flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(batches, run, PACKED)
 
 
 def write(packed: DataFrame, path: str) -> None:
@@ -193,7 +193,7 @@ def read_pieces(spark: SparkSession, path: str, id_type: str = "<u2") -> DataFra
             cols = list(zip(*rows)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [c.split()[0] for c in PIECE.split(", ")])
 
-    return spark.read.schema(PACKED).parquet(path).mapInArrow(run, PIECE)
+    return spark.read.schema(PACKED).parquet(path).transform(batches, run, PIECE)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
