@@ -1155,6 +1155,59 @@ def q_g7_crop(spark, sf_dir):
     return _g7_rows(spark, sf_dir, "crop", "start", crop_type="tiled")
 
 
+# ---------------------------------------------------------------- S1, S2, S4-S6: through files
+
+from ..sources import io as log_io  # noqa: E402
+
+
+@register("s1_parquet_reader", "SELECT * FROM interactions")
+def q_s1_reader(spark, sf_dir):
+    """The log written as Parquet with doubles for answers, read typed."""
+    path = flow.flow_folder(spark)
+    _log(spark, sf_dir).withColumn("answerCode", F.col("answerCode").cast("double")).write.parquet(path)
+    return log_io.read_interactions_parquet(spark, path)
+
+
+@register(
+    "s2_csv_reader",
+    """SELECT event_id, userID, date_trunc('second', "Timestamp") AS "Timestamp", assessmentItemID, testId, KnowledgeTag, answerCode
+FROM interactions""",
+)
+def q_s2_reader(spark, sf_dir):
+    """The log written as CSV (whole seconds) with its tie-breaker, read back."""
+    path = flow.flow_folder(spark)
+    cols = [f.name for f in log_io.CSV_SCHEMA.fields]
+    (
+        _log(spark, sf_dir).select(*cols, "event_id").write.option("header", True)
+        .option("timestampNTZFormat", log_io.TIMESTAMP_FORMAT).csv(path)
+    )
+    return log_io.read_interactions_csv(spark, path, tie="event_id")
+
+
+@register("s4_s5_vocabulary_saved_and_loaded", "WITH " + _VOCAB_SQL.format(src="train_log") + "\nSELECT * FROM v")
+def q_s4_s5(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    path = flow.flow_folder(spark)
+    vocab.save_vocabulary(vocab.fit_vocabulary(train), path)
+    return vocab.load_vocabulary(spark, path)
+
+
+@register(
+    "s6_predictions_file",
+    f"""WITH {_BINARY_SQL},
+m AS (SELECT x, avg(label) AS m FROM ex GROUP BY x)
+SELECT id, round(m.m, 5) AS prediction FROM tex JOIN m USING (x)""",
+)
+def q_s6(spark, sf_dir):
+    """The submission written as ``id,prediction`` and read back."""
+    train, test = _train_test(spark, sf_dir)
+    path = flow.flow_folder(spark)
+    flow.train(train, path, **EXACT)
+    log_io.write_predictions(flow.infer(test, path), f"{path}/submission")
+    back = spark.read.schema("id bigint, prediction double").option("header", True).csv(f"{path}/submission")
+    return back.select("id", rnd("prediction", 5).alias("prediction"))
+
+
 def _features_sql() -> str:
     stat_cte, stat_join, stat_cols = [], [], []
     for i, (name, (keys, agg)) in enumerate(keyed.FEATURE_STATS.items()):
