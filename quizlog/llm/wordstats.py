@@ -12,6 +12,7 @@ two collide is about 3 %, and such a pair would share its counts.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizlog.llm import bytetext as B
+from quizlog.llm.shared import batches
 
-HOT_VALUES = 4 << 20  # numbers in the broadcast table of frequent words
+HOT_WORDS = 1 << 19  # frequent words in the broadcast table, whatever the corpus
 _FLUSH = 750_000
 
 
@@ -71,15 +73,14 @@ def word_table(docs: DataFrame, group: Column, n_groups: int, table: np.ndarray)
                     size = 0
         yield from flush()
 
-    counted = docs.select(group.cast("int").alias("g"), F.col("text")).mapInArrow(run, "h long, word string, g int, n long")
+    counted = docs.select(group.cast("int").alias("g"), F.col("text")).transform(batches, run, "h long, word string, g int, n long")
     return counted.groupBy("h", "word").agg(
         *[F.sum(F.when(F.col("g") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(n_groups)])
 
 
-def _hot(vectors: DataFrame, dims: int, values: int) -> tuple[DataFrame, int]:
+def _hot(vectors: DataFrame, room: int) -> tuple[DataFrame, int]:
     """The words above the lowest count that keeps the table within
-    ``values`` numbers, and that count."""
-    room = max(1, values // dims)
+    ``room`` words, and that count."""
     step = F.floor(F.log2(F.col("n") + 0.5) * 8).cast("int")
     # at most 8 * 64 rows
     sizes = sorted(((r["k"], r["m"], r["words"]) for r in vectors.where("n > 0").groupBy(step.alias("k")).agg(
@@ -92,21 +93,37 @@ def _hot(vectors: DataFrame, dims: int, values: int) -> tuple[DataFrame, int]:
     return vectors.where(F.col("n") >= least), least
 
 
+@dataclass
+class Found:
+    """The words of a slice: the distinct ones (by a place each) and which of
+    them every word is; ``hot`` is a distinct word's row in the table of
+    frequent words, or -1."""
+
+    words: B.Words
+    place: np.ndarray
+    inverse: np.ndarray
+    hot: np.ndarray
+
+
 def word_sums(docs: DataFrame, passing: list[str], vectors: DataFrame, dims: int, table: np.ndarray,
-              extra: Callable[[pa.Array], list] | None = None, extra_schema: list[tuple[str, str]] = (),
-              hot_values: int = HOT_VALUES) -> DataFrame:
+              extra: Callable[[Found], list] | None = None, extra_schema: list[tuple[str, str]] = (),
+              hot_words: int = HOT_WORDS, on_hot: Callable[[pa.Table], None] | None = None) -> DataFrame:
     """``passing`` columns, ``n_tokens``, ``s0 .. s{dims-1}`` (sums over the
     text's words of ``v0 ..`` from ``vectors(h, n, v0 ..)``) and the columns
     that ``extra`` returns for a slice of texts; one row per row of ``docs``.
-    A word that ``vectors`` lacks adds nothing."""
+    A word that ``vectors`` lacks adds nothing.  ``on_hot`` is called once on
+    the driver with the table of frequent words, in the order ``Found.hot``
+    refers to, with a ``word`` column if ``vectors`` has one."""
     spark = docs.sparkSession
-    hot, least = _hot(vectors, dims, hot_values)
+    hot, least = _hot(vectors, hot_words)
     names = [f"v{k}" for k in range(dims)]
-    got = hot.select("h", *[F.col(c).cast("double").alias(c) for c in names]).toArrow()
-    order = np.argsort(np.asarray(got.column("h")), kind="stable")
-    keys = np.asarray(got.column("h"))[order]
-    values = np.stack([np.asarray(got.column(c)) for c in names], 1)[order] if len(keys) else np.zeros((0, dims))
-    shared = spark.sparkContext.broadcast((keys, values))  # hot_values numbers at most
+    also = ["word"] if on_hot else []
+    got = hot.select("h", *also, *[F.col(c).cast("double").alias(c) for c in names]).toArrow().sort_by("h").combine_chunks()
+    keys = got.column("h").to_numpy()
+    values = np.stack([got.column(c).to_numpy() for c in names], 1)
+    if on_hot:
+        on_hot(got)
+    shared = spark.sparkContext.broadcast((keys, values))  # hot_words rows at most
     chosen = docs.select(*[F.col(c) for c in passing], F.col("text").alias("_text"))
     kinds = [(c, chosen.schema[c].dataType.simpleString()) for c in passing]
     schema = [("uid", "bigint"), ("h", "bigint"), ("tf", "bigint"), *kinds, ("n_tokens", "bigint"),
@@ -122,10 +139,11 @@ def word_sums(docs: DataFrame, passing: list[str], vectors: DataFrame, dims: int
                 texts = part.column(part.num_columns - 1)
                 n = part.num_rows
                 w = B.scan(texts, table)
-                uniq, inverse = np.unique(B.word_hashes(w).view(np.int64), return_inverse=True)
+                uniq, place, inverse = np.unique(B.word_hashes(w).view(np.int64), return_index=True, return_inverse=True)
                 at = np.searchsorted(hot_keys, uniq)
                 at[at == hot_keys.size] = 0
                 is_hot = hot_keys[at] == uniq if hot_keys.size else np.zeros(uniq.size, bool)
+                found = Found(w, place, inverse, np.where(is_hot, at, -1))
                 val = np.zeros((uniq.size, dims))
                 val[is_hot] = hot_vals[at[is_hot]]
                 sums = [B.per_text(val[inverse, k], w.first, np.float64) for k in range(dims)]
@@ -136,7 +154,7 @@ def word_sums(docs: DataFrame, passing: list[str], vectors: DataFrame, dims: int
                 uid += n
                 base = [pa.array(ids), pa.array(B.mix(ids.astype(B.U64)).view(np.int64)), pa.array(np.zeros(n, np.int64)),
                         *[part.column(i) for i in range(part.num_columns - 1)], pa.array(w.counts.astype(np.int64)),
-                        *[pa.array(s) for s in sums], *(pa.array(x) for x in (extra(texts) if extra else []))]
+                        *[pa.array(s) for s in sums], *(pa.array(x) for x in (extra(found) if extra else []))]
                 names_ = [c for c, _ in schema]
                 yield pa.RecordBatch.from_arrays(base, names_)
                 if pair.size:
@@ -144,7 +162,7 @@ def word_sums(docs: DataFrame, passing: list[str], vectors: DataFrame, dims: int
                     cols = [pa.array(ids[pair // uniq.size]), pa.array(uniq[pair % uniq.size]), pa.array(tf.astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(cols + [pa.nulls(pair.size, t) for t in types[3:]], names_)
 
-    rows = chosen.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in schema))
+    rows = chosen.transform(batches, run, ", ".join(f"`{c}` {t}" for c, t in schema))
     # a text's own row has tf 0 and a key spread by its number, so no key is hot
     others = vectors.where(F.col("n") < least).select(F.col("h"), *[F.col(c).cast("double").alias(c) for c in names])
     joined = rows.join(others, "h", "left")

@@ -49,7 +49,7 @@ def test_scores_against_brute_force(spark):
 def test_rare_words_take_the_join_path(corpus):
     """With no room for frequent words every word is joined: same result."""
     vectors = wordstats.word_table(corpus, F.lit(0), 1, B.SPACE_WORDS).select("h", F.col("c0").alias("n"), F.col("c0").cast("double").alias("v0"))
-    a = wordstats.word_sums(corpus, ["doc_id"], vectors, 1, B.SPACE_WORDS, hot_values=0)
+    a = wordstats.word_sums(corpus, ["doc_id"], vectors, 1, B.SPACE_WORDS, hot_words=0)
     b = wordstats.word_sums(corpus, ["doc_id"], vectors, 1, B.SPACE_WORDS)
     key = lambda r: str(r)
     assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
