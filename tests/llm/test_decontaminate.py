@@ -24,6 +24,20 @@ def test_overlap_against_brute_force():
         assert b - a == longest(equal.tolist(), 0.8) and equal[a:b].sum() == same
 
 
+def test_masks_meet_in_every_pattern():
+    """Any 10 to 19 words with 80 % equal ones, so any longer stretch too
+    (cut into such parts, one part keeps the share); and whole short items."""
+    from itertools import combinations
+    from math import ceil
+
+    masks = [(int(m[::-1], 2), len(m)) for m in D.MASKS]
+    for size in range(D.MIN_ITEM_WORDS, 20):
+        inner = range(1, size - 1) if size < 10 else range(size)  # an overlap starts and ends equal
+        for other in combinations(inner, size - ceil(0.8 * size - 1e-9)):
+            differ = sum(1 << i for i in other)
+            assert any(not (m << p) & differ for m, span in masks for p in range(size - span + 1))
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     r = random.Random(9)
