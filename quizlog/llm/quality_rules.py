@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizlog.llm import bytetext as B
-from quizlog.llm.shared import table
+from quizlog.llm.shared import batches, table
 
 BUCKETS = 1 << 14
 TRAIN_ROWS = 1500
@@ -33,7 +33,8 @@ KEEP_AT = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-FEATURE_BYTES = 1 << 20  # text per slice: a feature row takes about 100 times its text
+CHUNK_ROWS = 128  # training rows at a time
+FEATURE_BYTES = 256 << 10  # text per slice: its features take about 200 times as much memory
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
 _ODD = [B.U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -132,10 +133,12 @@ def features(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.nd
     return row, cell % buckets, (value / norm[row]).astype(np.float32)
 
 
-def fit(row: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, weight: np.ndarray,
-        buckets: int = BUCKETS, steps: int = 200, l2: float = 1e-5) -> dict:
+def fit(first: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, weight: np.ndarray,
+        buckets: int = BUCKETS, steps: int = 150, l2: float = 1e-5) -> dict:
     """Logistic regression by full-batch Adam, class-balanced, then Platt
-    scaling on every fourth row of each class with the true class weights."""
+    scaling on every fourth row of each class with the true class weights.
+    Row i holds col[first[i]:first[i+1]]; rows go through in chunks, so the
+    fit needs little more memory than its input."""
     place = np.zeros(y.size, np.int64)
     for c in (0, 1):
         place[y == c] = np.arange((y == c).sum())
@@ -143,20 +146,29 @@ def fit(row: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, weight
     if not (held & (y == 1)).any() or not (held & (y == 0)).any():
         held = np.zeros(y.size, bool)
     share = np.where(y == 1, 0.5 / max(1, (y[~held] == 1).sum()), 0.5 / max(1, (y[~held] == 0).sum())) * ~held
-    on = ~held[row]
-    r, c, v = row[on], col[on], val[on]
-    beta, bias = np.zeros(buckets), 0.0
+    chunks = []
+    for i in range(0, y.size, CHUNK_ROWS):
+        f = first[i : i + CHUNK_ROWS + 1]
+        chunks.append((slice(i, i + f.size - 1), slice(int(f[0]), int(f[-1])), f - f[0]))
+
+    beta, bias = np.zeros(buckets, np.float32), 0.0
     m, s = np.zeros(buckets + 1), np.zeros(buckets + 1)
     for t in range(1, steps + 1):
-        z = np.bincount(r, v * beta[c], minlength=y.size) + bias
-        g = (1 / (1 + np.exp(-z)) - y) * share
-        grad = np.append(np.bincount(c, v * g[r], minlength=buckets) + l2 * beta, g.sum())
+        grad = np.append(l2 * beta.astype(float), 0.0)
+        for rows, cells, f in chunks:
+            if not share[rows].any():
+                continue
+            c, v = col[cells], val[cells]
+            z = B.per_text(v * beta[c], f, np.float64) + bias
+            g = (1 / (1 + np.exp(-z)) - y[rows]) * share[rows]
+            grad[:-1] += np.bincount(c, v * np.repeat(g, np.diff(f)), buckets)
+            grad[-1] += g.sum()
         m = 0.9 * m + 0.1 * grad
         s = 0.999 * s + 0.001 * grad * grad
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-12)
-        beta -= step[:-1]
+        beta -= step[:-1].astype(np.float32)
         bias -= step[-1]
-    z = np.bincount(row, val * beta[col], minlength=y.size) + bias
+    z = np.concatenate([B.per_text(val[cells] * beta[col[cells]], f, np.float64) + bias for _, cells, f in chunks])
     cal = held if held.any() else ~held
     a, b = 1.0, 0.0
     zc, yc, wc = z[cal], y[cal], weight[cal] / weight[cal].sum()
@@ -204,17 +216,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, buckets: i
     # at most 2 * rows ids: a fixed bound, so the join may broadcast them
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(picked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y"))), "doc_id"
-    ).select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, col binary, val binary")
-    # rows that repeat an id are dropped to one, so the bound holds
-    got = sorted(found.groupBy("doc_id", "y").agg(F.min(F.struct("col", "val")).alias("f")).collect(), key=lambda r: r["doc_id"])
-    y = np.array([r["y"] for r in got], np.int64)
+    ).select("doc_id", "y", "text").transform(batches, run, "doc_id long, y int, col binary, val binary")
+    # rows that repeat an id count once, so the bound holds
+    got = found.groupBy("doc_id", "y").agg(F.min(F.struct("col", "val")).alias("f")).select(
+        "doc_id", "y", "f.col", "f.val").toArrow().sort_by("doc_id").combine_chunks()
+    y = got.column("y").to_numpy().astype(np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    cols = [np.frombuffer(r["f"]["col"], "<u4") for r in got]
-    vals = [np.frombuffer(r["f"]["val"], "<f4") for r in got]
-    row = np.repeat(np.arange(len(got)), [c.size for c in cols])
+    col, off = B.buffers(got.column("col"))
+    val, _ = B.buffers(got.column("val"))
     weight = np.array([size[c] for c in (0, 1)], float)[y] / np.bincount(y, minlength=2)[y]
-    return fit(row, np.concatenate(cols).astype(np.int64), np.concatenate(vals), y, weight, buckets)
+    return fit(off // 4, col.view("<u4").astype(np.int32), val.view("<f4"), y, weight, buckets)
 
 
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -250,7 +262,7 @@ def score(docs: DataFrame, model: dict | None, keep_at: float = KEEP_AT, passing
                     part.schema.names[:-1] + names)
 
     chosen = docs.select(*[F.col(f"`{c}`") for c in passing], F.col("text").alias("_text"))
-    return chosen.mapInArrow(run, ", ".join([_ddl(docs, c) for c in passing]) + ", " + RESULT)
+    return chosen.transform(batches, run, ", ".join([_ddl(docs, c) for c in passing]) + ", " + RESULT)
 
 
 def _ddl(df: DataFrame, name: str) -> str:
@@ -285,4 +297,4 @@ def filter_documents(docs: DataFrame, model: dict | None, keep_at: float = KEEP_
                     kept &= 1 / (1 + np.exp(-np.clip(m["a"] * z + m["b"], -30, 30))) >= keep_at
                 yield part.filter(pa.array(kept)).rename_columns(batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(batches, run, docs.schema)

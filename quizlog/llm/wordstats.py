@@ -23,7 +23,7 @@ from quizlog.llm import bytetext as B
 from quizlog.llm.shared import batches
 
 HOT_WORDS = 1 << 19  # frequent words in the broadcast table, whatever the corpus
-_FLUSH = 750_000
+_FLUSH = 400_000  # distinct words a task holds before it sends them on
 
 
 def word_strings(w: B.Words, index: np.ndarray) -> pa.Array:
