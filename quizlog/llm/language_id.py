@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from quizlog.llm import bytetext as B
 from quizlog.llm import wordstats
-from quizlog.llm.shared import crc_mod, store, table
+from quizlog.llm.shared import batches, crc_mod, store, table
+from quizlog.operators.keyed import checked_broadcast
 
 ORDERS = (4, 3, 2, 1)
 BUCKETS = 1 << 16
@@ -84,7 +85,7 @@ def _ngram_counts(known: DataFrame, n_langs: int) -> np.ndarray:
                 ["cell", *[f"c{k}" for k in range(n_langs)]])
 
     cols = [f"c{k}" for k in range(n_langs)]
-    cells = known.select("word", *cols).mapInArrow(run, "cell int, " + ", ".join(f"{c} long" for c in cols))
+    cells = known.select("word", *cols).transform(batches, run, "cell int, " + ", ".join(f"{c} long" for c in cols))
     # at most len(ORDERS) * BUCKETS rows
     got = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in cols]).toArrow()
     out = np.zeros((len(ORDERS) * BUCKETS, n_langs))
@@ -134,8 +135,7 @@ def word_scores(words: DataFrame, n_langs: int) -> DataFrame:
                 ["h", "n", *[f"v{k}" for k in range(n_langs + 1)]])
 
     n_all = seen + F.col(f"c{n_langs}")
-    return words.select("h", "word", n_all.alias("n"), *cols).mapInArrow(
-        run, "h long, n long, " + ", ".join(f"v{k} double" for k in range(n_langs + 1)))
+    return words.select("h", "word", n_all.alias("n"), *cols).transform(batches, run, "h long, n long, " + ", ".join(f"v{k} double" for k in range(n_langs + 1)))
 
 
 def identify(docs: DataFrame, train: Column, passing: list[str] | None = None, lang_col: str = "lang") -> DataFrame:
@@ -177,5 +177,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     held = docs.select("doc_id", "text", "lang", (crc_mod("doc_id", 4) == 2).alias("held_out"), text_key.alias("text_key"))
     found = identify(held, ~F.col("held_out"), ["doc_id", "text_key"])
     rejected = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_SCORE))
-    drop = rejected.select(F.col("doc_id").alias("__q_drop"), F.col("text_key").alias("__q_key")).distinct()
+    # joined by broadcast while the list is measured small, else by shuffle
+    drop = checked_broadcast(rejected.select(F.col("doc_id").alias("__q_drop"), F.col("text_key").alias("__q_key")).distinct())
     return docs.join(drop, F.col("doc_id").eqNullSafe(F.col("__q_drop")) & (text_key == F.col("__q_key")), "left_anti")

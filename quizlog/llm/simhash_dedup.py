@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from quizlog.llm import bytetext as B
 from quizlog.llm.components import components
-from quizlog.llm.shared import cut, table
+from quizlog.llm.shared import batches, cut, table
+from quizlog.operators.keyed import checked_broadcast
 
 SHINGLE = 3
 RADIUS = 2
@@ -83,8 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
                     [part.column(0), pa.array(fp.view(np.int64)), pa.array(_cells(fp))], ["doc_id", "fp", "cell"]
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long, cell long"
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(batches, run, "doc_id long, fp long, cell long"
     )
 
 
@@ -170,7 +170,7 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     work = pairs.join(a, ["ca", "sa"]).join(b, ["cb", "sb"]).select(
         "fa", "ra", "fb", "rb", F.expr("ca = cb and sa = sb").alias("same")
     )
-    return work.mapInArrow(_tile_links(radius), "u long, v long")
+    return work.transform(batches, _tile_links(radius), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE,
@@ -197,13 +197,14 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that repeat that id count as one document; rows without an id cannot be
     named by a group and stay."""
     found = cut(near_duplicates(docs))
-    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__q_keep")).agg(F.count("*").alias("__q_n"))
-    kept = docs.join(keep, F.col("doc_id") == F.col("__q_keep"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    if keep.where("__q_n > 1").isEmpty():
-        whole = kept.select(*columns)
-    else:
-        first = F.row_number().over(Window.partitionBy("__q_keep").orderBy("text"))
-        many = kept.where("__q_n > 1").withColumn("__q_row", first).where("__q_row = 1")
-        whole = kept.where("__q_n = 1").select(*columns).unionByName(many.select(*columns))
-    return whole.unionByName(docs.where("doc_id is null"))
+    # joined by broadcast while the list is measured small, else by shuffle
+    drop = checked_broadcast(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__q_drop")).distinct())
+    whole = docs.join(drop, F.col("doc_id") == F.col("__q_drop"), "left_anti")
+    many = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__q_many")).agg(F.count("*").alias("__q_n"))
+    many = checked_broadcast(many.where("__q_n > 1").drop("__q_n"))
+    if many.isEmpty():
+        return whole
+    repeated = F.col("doc_id") == F.col("__q_many")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = whole.join(many, repeated, "left_semi").withColumn("__q_row", first).where("__q_row = 1")
+    return whole.join(many, repeated, "left_anti").unionByName(one.drop("__q_row"))
