@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +37,24 @@ def ship(spark) -> None:
     sc.addPyFile(path)  # Spark serves the file to the executors
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def batches(df: DataFrame, fn, schema) -> DataFrame:
     """``df.mapInArrow`` by a function of this library (for ``transform``)."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches_):
+        yield from fn(batches_)
+        _give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
