@@ -1,4 +1,4 @@
-"""Summarise the executed physical plan of every registered query.
+"""Summarise the executed physical plan of every query of the reference's operators.
 
 Runs each query once (noop sink) at the given scale, then counts the
 operators that matter for scale in its final adaptive plan and records the
@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from quizlog.plans import registry  # noqa: E402
 from quizlog.session import get_session  # noqa: E402
 
 COUNTS = {
@@ -39,7 +39,7 @@ def main() -> None:
     spark = get_session()
     rows = []
     scans = set()
-    for name, fn in entry.queries().items():
+    for name, fn in registry.QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
