@@ -5,8 +5,11 @@ score for a language is the sum over its words: a known word (one that the
 training texts hold) adds its log frequency in that language; an unseen word
 falls back to its character 4-grams, and where none of them was ever seen to
 3-grams, 2-grams and single characters.  N-gram counts come from all
-training words, word ends included, hashed into ``BUCKETS`` bins per length
-(a fixed table size).  Overlapping n-grams of length n each count 1/n.
+training words, word ends included, in a distributed table with a row for
+each n-gram (keyed by a 64-bit hash, as words are).  Its ``HOT_NGRAMS`` most
+frequent rows are looked up in the scan of the unseen words; the other
+n-grams of these words are joined with the rest of the table.  Overlapping
+n-grams of length n each count 1/n.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z in
 lower case; words without a letter add nothing.
@@ -31,15 +34,15 @@ from quizlog.llm.shared import batches, crc_mod, store, table
 from quizlog.operators.keyed import checked_broadcast
 
 ORDERS = (4, 3, 2, 1)
-BUCKETS = 1 << 16
+HOT_NGRAMS = 1 << 19  # frequent n-grams in the broadcast table, whatever the corpus
 SMOOTH = 0.1
 UNKNOWN = "und"
 MIN_SCORE = 0.4
 
 
 def word_ngrams(words: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each length of ORDERS: (word index, bucket) of every n-gram of
-    every word with a mark at both ends."""
+    """For each length of ORDERS: (word index, key) of every n-gram of every
+    word with a mark at both ends."""
     texts = ["\x02" + (x or "") + "\x03" for x in words.to_pylist()]
     chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(B.U64)
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -58,7 +61,7 @@ def word_ngrams(words: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         if n == 1:
             ok &= ~mark
         at = np.flatnonzero(ok)
-        out.append((owner[at], (h[at] >> B.U64(64 - 16)).astype(np.int64) % BUCKETS))
+        out.append((owner[at], h[at].view(np.int64)))
     return out
 
 
@@ -66,76 +69,120 @@ def has_letter(words: pa.Array) -> np.ndarray:
     return np.fromiter((any(map(str.isalpha, x or "")) for x in words.to_pylist()), bool, len(words))
 
 
-def _ngram_counts(known: DataFrame, n_langs: int) -> np.ndarray:
-    """Counts [length][bucket][language] over all training words."""
+def ngram_table(known: DataFrame, n_langs: int) -> DataFrame:
+    """``(h, o, c0 .. c{L-1}, n)``: how often each n-gram of length
+    ``ORDERS[o]`` stands in the training texts of each language, and in all."""
+    cols = [f"c{k}" for k in range(n_langs)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(ORDERS), BUCKETS, n_langs), np.int64)
         for batch in batches:
-            keep = has_letter(batch.column(0))
-            batch = batch.filter(pa.array(keep))
+            batch = batch.filter(pa.array(has_letter(batch.column(0))))
             counts = [np.asarray(batch.column(1 + k)) for k in range(n_langs)]
-            for o, (owner, bucket) in enumerate(word_ngrams(batch.column(0))):
-                for k in range(n_langs):
-                    total[o, :, k] += np.bincount(bucket, counts[k][owner], BUCKETS).astype(np.int64)
-        o, b = np.nonzero(total.any(axis=2))
-        if o.size:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((o * BUCKETS + b).astype(np.int32)), *[pa.array(total[o, b, k]) for k in range(n_langs)]],
-                ["cell", *[f"c{k}" for k in range(n_langs)]])
-
+            for o, (owner, key) in enumerate(word_ngrams(batch.column(0))):
+                if not key.size:
+                    continue
+                uniq, inverse = np.unique(key, return_inverse=True)
+                total = [np.bincount(inverse, c[owner], uniq.size).astype(np.int64) for c in counts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(uniq), pa.array(np.full(uniq.size, o, np.int32)), *map(pa.array, total)], ["h", "o", *cols])
+
+    each = known.select("word", *cols).transform(batches, run, "h long, o int, " + ", ".join(f"{c} long" for c in cols))
+    whole = each.groupBy("h", "o").agg(*[F.sum(c).alias(c) for c in cols])
+    return whole.withColumn("n", sum((F.col(c) for c in cols), F.lit(0)))
+
+
+def backoff(unseen: DataFrame, ngrams: DataFrame, n_langs: int, hot_ngrams: int = HOT_NGRAMS) -> DataFrame:
+    """``(h, v0 .. v{L-1})`` of the words of ``unseen(h, word)`` that hold an
+    n-gram of ``ngrams``: the sum over those of the greatest length seen."""
     cols = [f"c{k}" for k in range(n_langs)]
-    cells = known.select("word", *cols).transform(batches, run, "cell int, " + ", ".join(f"{c} long" for c in cols))
-    # at most len(ORDERS) * BUCKETS rows
-    got = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in cols]).toArrow()
-    out = np.zeros((len(ORDERS) * BUCKETS, n_langs))
-    out[np.asarray(got.column("cell"))] = np.stack([np.asarray(got.column(c)) for c in cols], 1) if got.num_rows else 0
-    return out.reshape(len(ORDERS), BUCKETS, n_langs)
+    vals = [f"v{k}" for k in range(n_langs)]
+    # one row per length
+    sizes = {r["o"]: r for r in ngrams.groupBy("o").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in cols]).collect()}
+
+    def log(k: int) -> Column:
+        out = F.lit(0.0)
+        for o, r in sizes.items():
+            room = float(r[f"c{k}"] + SMOOTH * r["n"] + 1)
+            out = F.when(F.col("o") == o, F.log((F.col(f"c{k}") + SMOOTH) / room) / ORDERS[o]).otherwise(out)
+        return out
+
+    logs = ngrams.select("h", "n", *[log(k).alias(f"v{k}") for k in range(n_langs)])
+    hot, least = wordstats._hot(logs, hot_ngrams)
+    got = hot.select("h", *vals).toArrow().sort_by("h").combine_chunks()
+    hot_keys = got.column("h").to_numpy()
+    hot_vals = np.stack([got.column(c).to_numpy() for c in vals], 1)
+    whole = hot_keys.size == sum(r["n"] for r in sizes.values())
+    shared = unseen.sparkSession.sparkContext.broadcast((hot_keys, hot_vals))  # hot_ngrams rows at most
 
-
-def word_scores(words: DataFrame, n_langs: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values = shared.value
+        for batch in batches:
+            batch = batch.filter(pa.array(has_letter(batch.column(1))))
+            word = np.asarray(batch.column(0))
+            m = word.size
+            left = np.ones(m, bool)  # words that met no longer n-gram
+            for o, (owner, key) in enumerate(word_ngrams(batch.column(1))):
+                on = left[owner]
+                owner, key = owner[on], key[on]
+                at = np.searchsorted(keys, key)
+                at[at == keys.size] = 0
+                hit = keys[at] == key if keys.size else np.zeros(key.size, bool)
+                hits = np.bincount(owner[hit], minlength=m)
+                sums = [np.bincount(owner[hit], values[at[hit], k], m) for k in range(n_langs)]
+                some = np.flatnonzero(hits)
+                if some.size:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(word[some]), pa.array(np.full(some.size, o, np.int32)), pa.nulls(some.size, pa.int64()),
+                         pa.array(hits[some].astype(np.int64)), *[pa.array(x[some]) for x in sums]], names)
+                if not whole and not hit.all():
+                    owner, key = owner[~hit], key[~hit]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(word[owner]), pa.array(np.full(owner.size, o, np.int32)), pa.array(key),
+                         pa.array(np.zeros(owner.size, np.int64)), *[pa.array(np.zeros(owner.size)) for _ in vals]], names)
+                left &= hits == 0
+
+    names = ["word_h", "o", "h", "hits", *vals]
+    rows = unseen.select("h", "word").transform(
+        batches, run, "word_h long, o int, h long, hits long, " + ", ".join(f"{v} double" for v in vals))
+    if not whole:
+        rest = logs.where(F.col("n") < least).select("h", F.lit(1).alias("met"), *[F.col(v).alias(f"r{v}") for v in vals])
+        here = rows.where(F.col("h").isNull())
+        met = rows.where(F.col("h").isNotNull()).join(rest, "h").select(
+            "word_h", "o", "h", F.lit(1).cast("long").alias("hits"), *[F.col(f"r{v}").alias(v) for v in vals])
+        rows = here.select(*names).unionByName(met)
+    each = rows.groupBy("word_h", "o").agg(*[F.sum(v).alias(v) for v in vals])
+    return each.groupBy(F.col("word_h").alias("h")).agg(F.min_by(F.struct(*vals), "o").alias("v")).select("h", "v.*")
+
+
+def word_scores(words: DataFrame, n_langs: int, hot_ngrams: int = HOT_NGRAMS) -> DataFrame:
     """``(h, n, v0 .. v{L-1}, v{L})`` of a word table whose groups 0..L-1 are
     the languages' training texts and L everything else: the log frequency
     of a known word or the backoff of an unseen one per language, and 1 for
     a word with a letter."""
-    spark = words.sparkSession
     cols = [f"c{k}" for k in range(n_langs)]
     seen = sum((F.col(c) for c in cols), F.lit(0))
     known = words.where(seen > 0)
     tot = known.agg(F.count("*").alias("v"), *[F.sum(c).alias(c) for c in cols]).first()
     totals, vocab = np.array([tot[c] or 0 for c in cols], float), float(tot["v"])
-    counts = _ngram_counts(known, n_langs)
-    any_seen = counts.sum(axis=2) > 0
-    logs = np.log((counts + SMOOTH) / (counts.sum(axis=1, keepdims=True) + SMOOTH * any_seen.sum(axis=1)[:, None, None] + 1))
-    shared = spark.sparkContext.broadcast((logs.astype(np.float32), any_seen))  # a fixed size per language
+    unseen = backoff(words.where(seen == 0), store(ngram_table(known, n_langs)), n_langs, hot_ngrams)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, any_seen = shared.value
         for batch in batches:
-            word = batch.column(1)
             c = np.stack([np.asarray(batch.column(3 + k)) for k in range(n_langs)], 1).astype(float)
             value = np.log((c + SMOOTH) / (totals + SMOOTH * vocab))
             open_ = c.sum(axis=1) == 0
-            letters = has_letter(word)
-            todo = open_ & letters
-            if todo.any():
-                at = np.flatnonzero(todo)
-                got = np.zeros((at.size, n_langs))
-                left = np.ones(at.size, bool)
-                for o, (owner, bucket) in enumerate(word_ngrams(word.take(pa.array(at)))):
-                    ok = any_seen[o, bucket] & left[owner]
-                    own, b = owner[ok], bucket[ok]
-                    for k in range(n_langs):
-                        got[:, k] += np.bincount(own, logs[o, b, k], at.size) / ORDERS[o]
-                    left &= np.bincount(own, minlength=at.size) == 0
-                value[at] = got
-            value[~letters] = 0
+            letters = has_letter(batch.column(1))
+            value[~letters | open_] = 0
+            value[open_] += np.stack([np.asarray(batch.column(3 + n_langs + k)) for k in range(n_langs)], 1)[open_]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), *[pa.array(value[:, k]) for k in range(n_langs)], pa.array(letters.astype(float))],
                 ["h", "n", *[f"v{k}" for k in range(n_langs + 1)]])
 
     n_all = seen + F.col(f"c{n_langs}")
-    return words.select("h", "word", n_all.alias("n"), *cols).transform(batches, run, "h long, n long, " + ", ".join(f"v{k} double" for k in range(n_langs + 1)))
+    joined = words.select("h", "word", n_all.alias("n"), *cols).join(unseen, "h", "left")
+    vals = [F.coalesce(f"v{k}", F.lit(0.0)).alias(f"b{k}") for k in range(n_langs)]
+    return joined.select("h", "word", "n", *cols, *vals).transform(
+        batches, run, "h long, n long, " + ", ".join(f"v{k} double" for k in range(n_langs + 1)))
 
 
 def identify(docs: DataFrame, train: Column, passing: list[str] | None = None, lang_col: str = "lang") -> DataFrame:

@@ -76,3 +76,48 @@ def test_stage_drops_only_what_has_no_language(spark, clashing, empty):
     want = sorted(str(r["doc_id"]) for r in clashing.collect() if r["doc_id"] not in gone)
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == want
     assert L.stage(spark, empty, "").count() == 0
+
+
+def test_backoff_is_exact_for_many_ngrams(spark):
+    """Far more n-grams than the 65,536 buckets once used; any share of them in the broadcast table."""
+    import random
+    from collections import Counter
+
+    r = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    make = lambda n: "".join(r.choice(letters) for _ in range(n))
+    train = {make(9) for _ in range(30_000)}
+    extra = [make(3) for _ in range(200)] + [make(6) for _ in range(200)] + ["çça", "7q", "日本", "b日本c"]
+    unseen = sorted(set(extra) - train)
+
+    def grams(w, n):
+        marked = "\x02" + w + "\x03"
+        return [g for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if n > 1 or g not in "\x02\x03"]
+
+    count = {n: [Counter(), Counter()] for n in L.ORDERS}
+    rows = []
+    for i, w in enumerate(sorted(train)):
+        rows.append((i, w, i % 2 + 1, 2 - i % 2, 0))
+        for n in L.ORDERS:
+            for k in (0, 1):
+                for g in grams(w, n):
+                    count[n][k][g] += rows[-1][2 + k]
+    rows += [(10**6 + i, w, 0, 0, 1) for i, w in enumerate(unseen)]
+    words = spark.createDataFrame(rows, "h long, word string, c0 long, c1 long, c2 long").repartition(3)
+    assert len(count[4][0] + count[4][1]) > 1 << 16
+
+    room = {n: [sum(c.values()) + L.SMOOTH * len(count[n][0].keys() | count[n][1].keys()) + 1 for c in count[n]] for n in L.ORDERS}
+
+    def value(w, k):
+        for n in L.ORDERS:
+            hits = [g for g in grams(w, n) if count[n][0][g] + count[n][1][g]]
+            if hits:
+                return sum(math.log((count[n][k][g] + L.SMOOTH) / room[n][k]) for g in hits) / n
+        return 0.0
+
+    for hot in (L.HOT_NGRAMS, 500, 0):
+        got = {r["h"]: r for r in L.word_scores(words, 2, hot).where("h >= 1000000").collect()}
+        assert len(got) == len(unseen)
+        for i, w in enumerate(unseen):
+            for k in (0, 1):
+                assert abs(got[10**6 + i][f"v{k}"] - value(w, k)) < 1e-9, (hot, w)
