@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -8,30 +7,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from quizlog.session import get_session  # noqa: E402
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
-LOG_SCHEMA = (
-    "event_id bigint, userID bigint, Timestamp timestamp_ntz, assessmentItemID string, testId string, "
-    "KnowledgeTag int, answerCode int"
-)
-
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_session(master="local[4]", shuffle_partitions=4)
     yield s
     s.stop()
-
-
-def ts(day: int, h: int = 0, m: int = 0, s: int = 0) -> dt.datetime:
-    return dt.datetime(2024, 1, day, h, m, s)
-
-
-def make_log(spark, rows):
-    """rows: (event_id, userID, Timestamp, item, test, tag, answer)."""
-    return spark.createDataFrame(rows, LOG_SCHEMA)
-
-
-def item(grade: int, test: int, number: int) -> tuple[str, str]:
-    return f"A0{grade}0{test:03d}{number:03d}", f"A0{grade}0000{test:03d}"

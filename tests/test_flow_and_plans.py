@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF01, item, make_log, ts
+from log_helpers import SF01, item, make_log, ts
 from quizlog.operators import keyed, model
 from quizlog.sources import io
 from quizlog.sources.fixture import interactions, split_logs

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF01
+from log_helpers import SF01
 
 QUERIES = [
     "w1_time_diff",

@@ -5,7 +5,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import item, make_log, ts
+from log_helpers import item, make_log, ts
 from quizlog.operators import augment, metrics
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))

@@ -5,7 +5,7 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from log_helpers import SF01
 from quizlog.operators import metrics, profile, rank
 from quizlog.sources.fixture import interactions
 

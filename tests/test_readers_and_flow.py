@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from log_helpers import SF01
 from quizlog.operators import vocab
 from quizlog.plans import flagship
 from quizlog.sources import io

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF01, item, make_log, ts
+from log_helpers import SF01, item, make_log, ts
 from quizlog.operators import augment, sequences, vocab
 from quizlog.sources.fixture import interactions
 

@@ -3,7 +3,7 @@ hot-learner (bucketed) path against the plain path."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF01, item, make_log, ts
+from log_helpers import SF01, item, make_log, ts
 from quizlog.operators import windows
 from quizlog.sources.fixture import interactions
 
