@@ -6,7 +6,7 @@ or a search over packings; they are tested against brute force instead.
 
 from __future__ import annotations
 
-from quizlog.llm import chat_format, decontaminate, license_scan
+from quizlog.llm import chat_format, decontaminate, license_scan, ranked_search
 
 _UPPER, _LOWER = license_scan._UPPER, license_scan._LOWER
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -99,8 +99,24 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM d LEFT JOIN base USING (rid) LEFT JOIN lab USING (rid) LEFT JOIN top USING (rid)"""
 
 
+def search_sql() -> str:
+    """Every document's score for every item by its formula, then the best."""
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words('text')} AS w FROM documents),
+st AS (SELECT count(*) AS nn, cast(sum(len(w)) AS bigint) AS ll FROM d WHERE len(w) > 0),
+tf AS (SELECT rid, x, count(*) AS tf FROM (SELECT rid, unnest(w) AS x FROM d) GROUP BY rid, x),
+df AS (SELECT x, cast(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS bigint) AS w FROM tf CROSS JOIN st GROUP BY x, nn),
+b AS (SELECT row_number() OVER () AS bid, item_id, {_words('text')} AS bw FROM benchmark),
+q AS (SELECT DISTINCT bid, item_id, unnest(bw) AS x FROM b),
+m AS (SELECT rid, doc_id, 100 - 50 + ((50 * len(w) * nn) // ll) AS m FROM d CROSS JOIN st WHERE len(w) > 0),
+s AS (SELECT bid, item_id, rid, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS bigint) AS score
+      FROM q JOIN df USING (x) JOIN tf USING (x) JOIN m USING (rid) GROUP BY bid, item_id, rid, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY bid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, cast(rank AS integer) AS rank, doc_id, score FROM r WHERE rank <= {ranked_search.TOP}"""
+
+
 ORACLE = {
     "op1_decontaminate": decontaminate_sql(),
     "op5_chat_format": chat_sql(),
     "op6_license_scan": license_sql(),
+    "op12_ranked_search": search_sql(),
 }

@@ -12,6 +12,7 @@ from quizlog.llm import (
     lm_scoring,
     oracles,
     quality_rules,
+    ranked_search,
     simhash_dedup,
     token_output,
 )
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "op12_ranked_search": ranked_search.query,
 }
 
 #: DuckDB twins, where SQL can express the query.
