@@ -6,7 +6,7 @@ or a search over packings; they are tested against brute force instead.
 
 from __future__ import annotations
 
-from quizlog.llm import chat_format, decontaminate, license_scan, ranked_search
+from quizlog.llm import chat_format, decontaminate, license_scan, prefix_trie, ranked_search
 
 _UPPER, _LOWER = license_scan._UPPER, license_scan._LOWER
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -114,9 +114,37 @@ r AS (SELECT *, row_number() OVER (PARTITION BY bid ORDER BY score DESC, doc_id
 SELECT item_id, cast(rank AS integer) AS rank, doc_id, score FROM r WHERE rank <= {ranked_search.TOP}"""
 
 
+def trie_sql() -> str:
+    """Nodes by grouping whole prefixes, subtrees by joining every node with
+    all its prefixes."""
+    # crc32 of the decimal id: eight shifts a byte over the reflected polynomial
+    shift = "list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = "list_transform(string_split(cast(conv_id AS varchar), ''), lambda x: cast(ascii(x) AS bigint))"
+    crc = f"xor(4294967295, list_reduce(list_concat([4294967295::bigint], {codes}), lambda crc, byte: {shift}))"
+    g = prefix_trie.GROUP
+    return f"""WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'r': r, 't': t}} ORDER BY turn NULLS FIRST, r, t) AS own FROM t GROUP BY conv_id),
+h AS (SELECT *, {crc} % {prefix_trie.BORROW} AS h FROM o),
+s AS (SELECT h.conv_id, list_concat(coalesce(l.own, [])[1 : h.h], h.own[h.h + 1 : len(h.own)]) AS s
+      FROM h LEFT JOIN o l ON l.conv_id = h.conv_id - h.conv_id % {g}),
+m AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM s),
+n AS (SELECT s[1 : depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(cast(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (len(s) = depth), '')) AS ends_sha256
+  FROM m GROUP BY s[1 : depth], depth),
+kids AS (SELECT k[1 : depth - 1] AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+  CASE WHEN depth > 0 THEN (n_convs - 1) * len(regexp_extract_all(n.k[depth].t, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS own_saved
+  FROM n LEFT JOIN kids ON kids.k = n.k),
+up AS (SELECT k[1 : d] AS k, n_children, own_saved FROM (SELECT k, n_children, own_saved, unnest(range(depth + 1)) AS d FROM v)),
+sub AS (SELECT k, count(*) FILTER (n_children = 0) AS n_leaves, cast(sum(own_saved) AS bigint) AS saved_tokens FROM up GROUP BY k)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN sub ON sub.k = v.k LEFT JOIN n p ON v.depth > 0 AND p.k = v.k[1 : v.depth - 1]"""
+
+
 ORACLE = {
     "op1_decontaminate": decontaminate_sql(),
     "op5_chat_format": chat_sql(),
     "op6_license_scan": license_sql(),
     "op12_ranked_search": search_sql(),
+    "op13_prefix_trie": trie_sql(),
 }

@@ -11,6 +11,7 @@ from quizlog.llm import (
     license_scan,
     lm_scoring,
     oracles,
+    prefix_trie,
     quality_rules,
     ranked_search,
     simhash_dedup,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash_dedup.query,
     "op10_quality_rules": quality_rules.query,
     "op12_ranked_search": ranked_search.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 
 #: DuckDB twins, where SQL can express the query.
