@@ -6,7 +6,7 @@ or a search over packings; they are tested against brute force instead.
 
 from __future__ import annotations
 
-from quizlog.llm import chat_format, decontaminate, license_scan, prefix_trie, ranked_search
+from quizlog.llm import chat_format, decontaminate, license_scan, prefix_trie, ranked_search, url_filter
 
 _UPPER, _LOWER = license_scan._UPPER, license_scan._LOWER
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -141,10 +141,50 @@ SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
 FROM v JOIN sub ON sub.k = v.k LEFT JOIN n p ON v.depth > 0 AND p.k = v.k[1 : v.depth - 1]"""
 
 
+def url_sql() -> str:
+    """The rules, both models order by order, the cut over every step from the
+    lowest to the highest, and each URL's score."""
+    u, k = url_filter, url_filter.ORDER
+    low = lambda c: f"translate({c}, '{_UPPER}', '{_LOWER}')"
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for v, h, p in u.by_length(u.RULES)]
+    name = " ".join(f"WHEN {f} THEN '{n}'" for f, n, _ in fits)
+    verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, _, v in fits)
+    parts = u.PARTS.replace("'", "''")
+    levels = []
+    for i in range(k + 1):
+        gram = f"g[{k - i + 1} : {k + 1}]"
+        before = f"p{i - 1}" if i else "(SELECT 1.0::DOUBLE / (count(DISTINCT g[-1]) + 1) AS pa, 1.0::DOUBLE / (count(DISTINCT g[-1]) + 1) AS pr FROM gc)"
+        join = f"JOIN {before} l ON l.s = x.s[2:]" if i else f"CROSS JOIN {before} l"
+        prob = lambda c: f"CASE WHEN n{c} > 0 THEN ({c} + t{c} * l.p{c}) / (n{c} + t{c}) ELSE l.p{c} END AS p{c}"
+        levels.append(f"""x{i} AS (SELECT {gram} AS s, sum(a)::DOUBLE AS a, sum(r)::DOUBLE AS r FROM gc GROUP BY 1),
+p{i} AS (SELECT x.s, {prob('a')}, {prob('r')} FROM (SELECT *, sum(a) OVER w AS na, sum(r) OVER w AS nr,
+  count(*) FILTER (a > 0) OVER w AS ta, count(*) FILTER (r > 0) OVER w AS tr FROM x{i} WINDOW w AS (PARTITION BY s[1:{i}])) x {join})""")
+    return f"""WITH d AS (SELECT row_number() OVER () AS uid, page_id, coalesce(url, '') AS url FROM pages),
+e AS (SELECT *, {low(f"regexp_extract(url, '{parts}', 1)")} AS host, regexp_extract(url, '{parts}', 2) AS path,
+  contains('{u.KEPT_OUT}', md5(url)[1:1]) AS kept_out FROM d),
+f AS (SELECT *, CASE {name} END AS rule, CASE {verdict} END AS by_rule FROM e),
+c AS (SELECT *, repeat(chr(2), {k}) || {low('url')} || chr(3) AS t FROM f),
+gr AS (SELECT uid, by_rule, kept_out, t[i + 1 : i + {k + 1}] AS g FROM (SELECT *, unnest(range(length(t) - {k})) AS i FROM c)),
+gc AS (SELECT g, count(*) FILTER (by_rule = 'allow' AND NOT kept_out) AS a, count(*) FILTER (by_rule = 'block' AND NOT kept_out) AS r
+       FROM gr GROUP BY g),
+{(',' + chr(10)).join(levels)},
+sc AS (SELECT uid, sum(cast(floor((ln(pa) - ln(pr)) * {u.UNIT} + 0.5) AS bigint))::BIGINT AS v, count(*) AS n FROM gr JOIN p{k} ON g = s GROUP BY uid),
+st AS (SELECT c.*, v, n, cast(floor(v / (n * {float(u.UNIT / u.STEPS)}::DOUBLE)) AS bigint) AS step FROM c JOIN sc USING (uid)),
+ho AS (SELECT step, by_rule FROM st WHERE kept_out AND by_rule IS NOT NULL),
+ct AS (SELECT count(*) FILTER (by_rule = 'allow') AS na, count(*) FILTER (by_rule = 'block') AS nr, min(step) AS lo, max(step) AS hi FROM ho),
+cuts AS (SELECT unnest(range(least(lo, 0), greatest(hi + 1, 0) + 1)) AS t FROM ct WHERE na > 0 AND nr > 0),
+er AS (SELECT t, sum(CASE WHEN by_rule = 'allow' AND step < t THEN nr WHEN by_rule = 'block' AND step >= t THEN na ELSE 0 END) AS bad
+       FROM cuts CROSS JOIN ho CROSS JOIN ct GROUP BY t),
+best AS (SELECT coalesce((SELECT t FROM er ORDER BY bad, abs(t), t LIMIT 1), 0) AS least)
+SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN step >= least THEN 'allow' ELSE 'block' END) AS verdict,
+  v / n::DOUBLE / {u.UNIT} AS score FROM st CROSS JOIN best"""
+
+
 ORACLE = {
     "op1_decontaminate": decontaminate_sql(),
     "op5_chat_format": chat_sql(),
     "op6_license_scan": license_sql(),
+    "op11_url_filter": url_sql(),
     "op12_ranked_search": search_sql(),
     "op13_prefix_trie": trie_sql(),
 }

@@ -16,6 +16,7 @@ from quizlog.llm import (
     ranked_search,
     simhash_dedup,
     token_output,
+    url_filter,
 )
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_simhash_near_dedup": simhash_dedup.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_url_filter": url_filter.query,
     "op12_ranked_search": ranked_search.query,
     "op13_prefix_trie": prefix_trie.query,
 }

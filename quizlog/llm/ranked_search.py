@@ -55,7 +55,7 @@ SALTS = 256
 STEP = 0.5
 
 POSTINGS = "doc_id long, n long, terms array<int>, tfs array<int>"
-HITS = "query int, doc_id long, score long"
+HITS = "query int, item_id long, doc_id long, score long"
 
 
 # ---------------------------------------------------------------- the formula
@@ -154,13 +154,13 @@ def _postings(docs: DataFrame, keys: np.ndarray) -> DataFrame:
     return docs.transform(batches, run, POSTINGS)
 
 
-def _search(postings: DataFrame, queries: list[np.ndarray], weight: np.ndarray, n_docs: int, n_terms: int, k: int,
-            shard_postings: int) -> DataFrame:
+def _search(postings: DataFrame, queries: list[np.ndarray], names: pa.Array, weight: np.ndarray, n_docs: int, n_terms: int,
+            k: int, shard_postings: int) -> DataFrame:
     """The ``k`` best documents of every shard for every query (``HITS``)."""
-    shared = postings.sparkSession.sparkContext.broadcast((queries, weight))
+    shared = postings.sparkSession.sparkContext.broadcast((queries, names, weight))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, weight = shared.value
+        queries, names, weight = shared.value
 
         def answers(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = pa.Table.from_batches(held).combine_chunks()
@@ -176,8 +176,8 @@ def _search(postings: DataFrame, queries: list[np.ndarray], weight: np.ndarray,
                 best, score = nra(shard.lists(of, weight), n.size, k, order)
                 if best.size:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(best.size, q, np.int32)), ids.take(pa.array(best)).combine_chunks(), pa.array(score)],
-                        ["query", "doc_id", "score"])
+                        [pa.array(np.full(best.size, q, np.int32)), names.take(pa.array(np.full(best.size, q))),
+                         ids.take(pa.array(best)).combine_chunks(), pa.array(score)], ["query", "item_id", "doc_id", "score"])
 
         held, size = [], 0
         for batch in batches:
@@ -226,11 +226,10 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
         # one row per term of the block
         for row in postings.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("df")).collect():
             df[row["t"]] = row["df"]
-        hits = _search(postings, queries, weights(n_docs, df), n_docs, max(n_terms, 1), k, shard_postings)
+        names = block.column("item_id").combine_chunks()
+        hits = _search(postings, queries, names, weights(n_docs, df), n_docs, max(n_terms, 1), k, shard_postings)
         salted = _best(hits.withColumn("salt", F.spark_partition_id() % SALTS), k, ["query", "salt"])
-        names = F.array(*[F.lit(x).cast("long") for x in block.column("item_id").to_pylist()] or [F.lit(None).cast("long")])
-        out.append(_best(salted, k, ["query"]).select(
-            F.element_at(names, F.col("query") + 1).alias("item_id"), F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
+        out.append(_best(salted, k, ["query"]).select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
     return reduce(DataFrame.unionByName, out)
 
 
