@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import keyed, metrics
-from .rank import kfold
+from .rank import fold_number
 from .sequences import keep_last
 
 FEATURES = ("test_mean", "assessment_mean", "tag_mean", "user_acc", "user_total_answer", "interaction")
@@ -131,7 +131,8 @@ def cross_validate(
     Returns out-of-fold predictions ``(fold, <key>, prediction, label)`` and
     the fitted models (for soft voting)."""
     # One row per sequence, fold attached: written once, read by all k fits.
-    ex = keyed.materialize(examples.join(kfold(examples, key, k=k, seed=seed), key))
+    ex = keyed.materialize(examples)
+    ex = ex.where(F.col(key).isNotNull()).withColumn("fold", fold_number(ex, key, k=k, seed=seed))
     models, parts = [], []
     for f in range(k):
         m = fit_classifier(ex.where(F.col("fold") != f), features, **fit_kw)

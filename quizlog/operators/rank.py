@@ -1,4 +1,5 @@
-"""Global order without a single-task window.
+"""Global order without a single-task window (P10, M10), and splits by a
+seeded order without any order at all (D1, D2).
 
 An un-partitioned ``Window.orderBy`` moves every row to one task.  Here the
 rows are range-partitioned on the sort key (Spark samples the bounds, so a
@@ -7,11 +8,15 @@ number.  Both sides of what follows read that one table: the totals per
 range (one row each) and the window inside each range.  Range bounds are
 sampled anew whenever a plan runs, so a range number that is computed twice
 may differ; it must be frozen before two readers rely on it.
+
+A split needs only the keys at its edges: ``nth_keys`` selects them by
+histograms of hash digits, and every row is then compared with them.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+import math
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,14 +108,111 @@ def hash_key(key: str | Column, seed: int) -> Column:
     return F.md5(F.concat(k.cast("string"), F.lit("|"), F.lit(str(seed))))
 
 
+# Hash digits a histogram of the selection looks at, and the size below which
+# a bucket's keys are fetched: 65,536 rows and some 16,384 rows at most.
+SELECT_DIGITS = 4
+SELECT_SMALL = 1 << 14
+
+
+def nth_keys(
+    keys: DataFrame,
+    key: str,
+    seed: int,
+    ranks: Callable[[int], Sequence[int]],
+    digits: int = SELECT_DIGITS,
+    small: int = SELECT_SMALL,
+) -> list[tuple[str | None, object] | None]:
+    """The distinct keys at given 1-based ranks of the seeded hash order, as
+    ``(hash, key)``; ``ranks`` gets the number of distinct keys.  Rank 0 or
+    less gives None; a null key stands first.
+
+    Exact selection without a sort: the leading digits of the hash are
+    histogrammed, then only the buckets that hold a wanted rank are looked at
+    again, by their next digits, until a bucket is small enough to fetch.
+    The hash spreads keys evenly, so each look keeps one in 65,536 of them:
+    two looks at a billion keys.  Nothing is sorted, written or broadcast."""
+    present = keys.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_h", hash_key(key, seed))
+    has_null = not keys.where(F.col(key).isNull()).select(key).limit(1).isEmpty()
+
+    def looked_at(depth: int, within: list[str] | None) -> dict[str, int]:
+        d = present if within is None else present.where(F.substring("_h", 1, depth - digits).isin(within))
+        return {r["p"]: r["n"] for r in d.groupBy(F.substring("_h", 1, depth).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    depth = digits
+    counts = looked_at(depth, None)
+    found: list = []
+    open_: dict[int, tuple[str, int, int]] = {}  # place in the result -> bucket, rank inside it, size
+
+    def settle(places: dict[int, int], counts: dict[str, int]) -> None:
+        total, below = 0, []
+        for p in sorted(counts):
+            below.append((total, p))
+            total += counts[p]
+        for i, r in places.items():
+            start, p = max((b for b in below if b[0] < r))
+            open_[i] = (p, r - start, counts[p])
+
+    n = sum(counts.values()) + has_null
+    places = {}
+    for i, r in enumerate(ranks(n)):
+        found.append((None, None) if has_null and r == 1 else None)
+        if has_null < r <= n:
+            places[i] = r - has_null
+    settle(places, counts)
+    while any(size > small for _, _, size in open_.values()) and depth + digits <= 32:
+        depth += digits
+        again = {i: v for i, v in open_.items() if v[2] > small}
+        counts = looked_at(depth, sorted({p for p, _, _ in again.values()}))
+        for i, (p, r, _) in again.items():
+            settle({i: r}, {q: c for q, c in counts.items() if q.startswith(p)})
+    for length in {len(p) for p, _, _ in open_.values()}:
+        wanted = sorted({p for p, _, _ in open_.values() if len(p) == length})
+        rows = present.where(F.substring("_h", 1, length).isin(wanted)).collect()  # at most ``small`` rows a bucket
+        ordered = sorted((r["_h"], r[key]) for r in rows)
+        for i, (p, r, _) in open_.items():
+            if len(p) == length:
+                found[i] = [x for x in ordered if x[0].startswith(p)][r - 1]
+    return found
+
+
+def _after(key: str, seed: int, at: tuple[str | None, object] | None) -> Column:
+    """Whether the key stands after ``at`` in the seeded hash order."""
+    if at is None:
+        return F.lit(True)
+    if at[0] is None:
+        return F.col(key).isNotNull()
+    h = hash_key(key, seed)
+    return F.col(key).isNotNull() & ((h > at[0]) | ((h == at[0]) & (F.col(key) > F.lit(at[1]))))
+
+
+def ratio_flag(keys: DataFrame, key: str, ratio: float = 0.7, seed: int = 0) -> Column:
+    """Whether a row's ``key`` is among the first ``floor(n * ratio)`` of the
+    distinct keys in seeded hash order (D1): a comparison with one key, so
+    any table of rows is split without a join, a shuffle or a sort."""
+    at = nth_keys(keys, key, seed, lambda n: [math.floor(n * ratio)])[0]
+    return ~_after(key, seed, at)
+
+
 def ratio_split(
     keys: DataFrame, key: str, ratio: float = 0.7, seed: int = 0, name: str = "is_train"
 ) -> DataFrame:
     """Shuffled ratio split of distinct ``key`` values (D1): the first
     ``floor(n * ratio)`` in seeded hash order are training keys."""
-    k = keys.select(key).distinct()
-    ranked = global_rank(k.withColumn("_h", hash_key(key, seed)), ["_h", key], "_r", with_total=True)
-    return ranked.select(key, (F.col("_r") <= F.floor(F.col("_r_total") * F.lit(ratio))).alias(name))
+    return keys.select(key).distinct().withColumn(name, ratio_flag(keys, key, ratio, seed))
+
+
+def fold_number(keys: DataFrame, key: str, k: int = 5, seed: int = 42) -> Column:
+    """0-based fold of a row's ``key`` (D2) by comparison with the last keys
+    of the first k - 1 folds."""
+
+    def lasts(n: int) -> list[int]:
+        q, e = divmod(n, k)
+        return [(f + 1) * q + min(f + 1, e) for f in range(k - 1)]
+
+    fold = F.lit(0)
+    for at in nth_keys(keys, key, seed, lasts):
+        fold = fold + _after(key, seed, at).cast("int")
+    return fold
 
 
 def kfold(keys: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
@@ -119,13 +221,7 @@ def kfold(keys: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fo
     Folds are consecutive runs of the hash order with sizes differing by at
     most one; the first ``n % k`` folds get one more key (as ``ntile``).
     """
-    kk = keys.select(key).distinct()
-    ranked = global_rank(kk.withColumn("_h", hash_key(key, seed)), ["_h", key], "_r", with_total=True)
-    r, N = F.col("_r"), F.col("_r_total")
-    q = F.floor(N / k)
-    e = N % k
-    fold = F.when(r <= e * (q + 1), F.floor((r - 1) / (q + 1))).otherwise(e + F.floor((r - 1 - e * (q + 1)) / q))
-    return ranked.select(key, fold.cast("int").alias(name))
+    return keys.select(key).distinct().withColumn(name, fold_number(keys, key, k, seed))
 
 
 def prediction_ids(seqs: DataFrame, key: str = "userID", name: str = "id") -> DataFrame:

@@ -14,7 +14,8 @@ a bucket number derived twice from sampled bounds could differ.
 Inside a bucket the window runs as usual; a small per-bucket table (one row
 per bucket, broadcast after a size check) carries the running offsets, the
 next bucket's first timestamp and the previous bucket's last answer across
-bucket edges.  Results are identical on both paths.
+bucket edges; for a frame of the last K rows also the halo, the K - 1 rows
+before the bucket.  Results are identical on both paths.
 
 Rows without a learner belong to no history: each is dealt by its own
 tie-breaker, so any number of them spreads over the tasks, and every column
@@ -95,6 +96,30 @@ def _light_scan(
     )
 
 
+def _halos(rows: DataFrame, buckets: DataFrame, value: str, user: str, ts: str, tie: str, k: int) -> DataFrame:
+    """``user, _b, _halo``: the positions and values of the last K - 1 rows
+    before each bucket, in order; buckets that start a history have none.
+
+    They are the last rows of the bucket before (of several, where buckets
+    are shorter than K).  A group limit keeps K - 1 rows of each bucket before
+    anything is shuffled, and those rows meet the buckets by (user, position
+    div K): at most two blocks of positions reach into a bucket's halo, so no
+    log row is joined or sent beyond its bucket."""
+    last = Window.partitionBy(user, "_b").orderBy(F.col(ts).desc(), F.col(tie).desc())
+    tails = rows.select(user, "_b", ts, tie, F.col(value).alias("_v")).withColumn("_back", F.row_number().over(last))
+    tails = tails.where(F.col("_back") < k).select(user, "_b", "_back", "_v")
+    # position = rows before the bucket + rows of the bucket - place from its end + 1
+    tails = tails.join(checked_broadcast(buckets.select(user, "_b", "_on", "_bn")), [user, "_b"]).select(
+        user, (F.col("_on") + F.col("_bn") - F.col("_back") + 1).alias("_at"), "_v")
+    block = F.floor(F.col("_at") / k)
+    wanted = buckets.where(F.col("_on") > 0).select(
+        user, "_b", "_on", F.explode(F.array(F.floor(F.col("_on") / k), F.floor(F.col("_on") / k) - 1)).alias("_block"))
+    near = wanted.join(tails.withColumn("_block", block), [user, "_block"]).where(
+        (F.col("_at") <= F.col("_on")) & (F.col("_at") > F.col("_on") - (k - 1)))
+    item = F.struct(F.col("_at").alias("at"), F.col("_v").alias("v"))
+    return near.groupBy(user, "_b").agg(F.array_sort(F.collect_list(item)).alias("_halo"))
+
+
 def _bucketed_scan(
     df: DataFrame, hot: DataFrame, value: str | None, user: str, ts: str, tie: str, recent_k: int | None, bucket_rows: int
 ) -> DataFrame:
@@ -123,6 +148,7 @@ def _bucketed_scan(
         "_rn": (F.col("_on") + F.col("_lrn")).cast("int"),
         "_next_ts": F.coalesce(F.col("_lnext"), F.col("_nfirst")),
     }
+    halo = bool(recent_k) and value is not None
     if value is not None:
         local |= {"_lcs": F.sum(value).over(upto), "_lcc": F.count(value).over(upto), "_lprev": F.lag(value).over(wb)}
         per |= {"_bs": F.sum(value), "_bc": F.count(value), "_blast": F.max_by(F.col(value), F.struct(ts, tie))}
@@ -137,27 +163,32 @@ def _bucketed_scan(
             "_cc": cc,
             "_prev_val": F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_lprev")),
         }
+    if halo:
+        last_k = wb.rowsBetween(-(recent_k - 1), 0)
+        local |= {"_lrs": F.sum(value).over(last_k), "_lrc": F.count(value).over(last_k)}
+        # what the frame lacks: the halo's rows at positions after _rn - K
+        reach = F.filter("_halo", lambda x: x["at"] > F.col("_on") + F.col("_lrn") - recent_k)
+        short = (F.col("_lrn") < recent_k) & F.col("_halo").isNotNull()
+        kind = rows.select(F.sum(value)).schema[0].dataType
+        more_s = F.when(short, F.aggregate(reach, F.lit(0).cast(kind), lambda a, x: (a + F.coalesce(x["v"], F.lit(0))).cast(kind)))
+        more_c = F.when(short, F.size(F.filter(reach, lambda x: x["v"].isNotNull())))
+        cnt = F.col("_lrc") + F.coalesce(more_c, F.lit(0))
+        total = F.coalesce(F.col("_lrs"), F.lit(0)) + F.coalesce(more_s, F.lit(0))
+        res |= {"_rk_sum": F.when(cnt > 0, total), "_rk_cnt": cnt}
 
     def named(cols: dict[str, Column]) -> list[Column]:
         return [c.alias(n) for n, c in cols.items()]
 
-    offsets = rows.groupBy(user, "_b").agg(*named(per)).select(user, "_b", *named(offset))
+    offsets = rows.groupBy(user, "_b").agg(*named(per)).select(user, "_b", *named(offset), "_bn")
+    offsets = materialize(offsets) if halo else offsets
     # One row per bucket: at most (#hot learners + rows / bucket_rows) rows.
-    out = rows.select("*", *named(local)).join(checked_broadcast(offsets), [user, "_b"], "inner")
+    out = rows.select("*", *named(local)).join(checked_broadcast(offsets.drop("_bn")), [user, "_b"], "inner")
+    if halo:
+        # At most K - 1 rows a bucket; only the first K - 1 rows of a bucket take them.
+        near = checked_broadcast(_halos(rows, offsets, value, user, ts, tie, recent_k)).alias("_near")
+        same = (F.col(f"_out.{user}") == F.col(f"_near.{user}")) & (F.col("_out._b") == F.col("_near._b"))
+        out = out.alias("_out").join(near, same & (F.col("_out._lrn") < recent_k), "left").select("_out.*", "_near._halo")
     out = out.select(*df.columns, *named(res))
-    if recent_k and value is not None:
-        # Sum over the last K rows = running sum now - running sum K rows back;
-        # the row K back is found by an equi-join on (user, position).
-        back = out.select(
-            user,
-            (F.col("_rn") + recent_k).alias("_rn"),
-            F.col("_cs").alias("_cs_back"),
-            F.col("_cc").alias("_cc_back"),
-        )
-        joined = out.join(back, [user, "_rn"], "left")
-        rk_cnt = F.col("_cc") - F.coalesce(F.col("_cc_back"), F.lit(0))
-        rk_sum = F.coalesce(F.col("_cs"), F.lit(0)) - F.coalesce(F.col("_cs_back"), F.lit(0))
-        out = joined.select(*out.columns, F.when(rk_cnt > 0, rk_sum).alias("_rk_sum"), rk_cnt.alias("_rk_cnt"))
     return out
 
 

@@ -146,7 +146,7 @@ def train(
     ex = keyed.materialize(train_examples(train_log, encoders, n, kw.pop("kind", None), **kw))
     out = ex
     if candidates:
-        split = keyed.materialize(ex.join(rank.ratio_split(ex, "seq_id", 0.7, seed), "seq_id"))
+        split = ex.where("seq_id IS NOT NULL").withColumn("is_train", rank.ratio_flag(ex, "seq_id", 0.7, seed))
         scores = None
         for name, args in sorted(candidates.items()):
             clf = model.fit_classifier(split.where("is_train"), **{"features": features, **fit_kw, **args})
@@ -203,7 +203,7 @@ def validation_report(
     """Ratio split of training sequences (D1), fit on one part, AUROC,
     accuracy and log-loss on the other (M6-M8).  One row."""
     ex = keyed.materialize(train_examples(train_log, fit_encoders(train_log)))
-    ex = keyed.materialize(ex.join(rank.ratio_split(ex, "seq_id", ratio, seed), "seq_id"))
+    ex = ex.where("seq_id IS NOT NULL").withColumn("is_train", rank.ratio_flag(ex, "seq_id", ratio, seed))
     clf = model.fit_classifier(ex.where("is_train"), features, **fit_kw)
     valid = model.score(clf, ex.where(~F.col("is_train")), keep=("label",))
     # Scored once, read by the four metrics.
