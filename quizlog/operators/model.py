@@ -11,14 +11,22 @@ and tag.
 from __future__ import annotations
 
 import json
+import os
+import shutil
+import sys
+import tempfile
+import types
+import uuid
 from dataclasses import dataclass
 from typing import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import keyed, metrics
+from . import foldfit, keyed, metrics
 from .rank import fold_number
 from .sequences import keep_last
 
@@ -65,6 +73,14 @@ def last_position_rows(
     return keyed.target_encode(feats, fit_on=rows if fit_on is None else fit_on)
 
 
+@dataclass(frozen=True)
+class Linear:
+    """A logistic model by its numbers (one fold of ``foldfit``)."""
+
+    coef: tuple[float, ...]
+    intercept: float
+
+
 @dataclass(frozen=True)
 class Classifier:
     """A fitted model with its inputs: feature names and what stands in for a
@@ -77,17 +93,26 @@ class Classifier:
 
     def save(self, path: str) -> None:
         """Model and metadata under ``path``, written by Spark."""
-        self.model.write().overwrite().save(f"{path}/model")
+        meta = {"features": list(self.features), "fill": self.fill}
+        if isinstance(self.model, Linear):
+            meta |= {"coef": list(self.model.coef), "intercept": self.model.intercept}
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
         spark = SparkSession.getActiveSession()
-        meta = json.dumps({"features": list(self.features), "fill": self.fill})
-        spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+        line = json.dumps(meta)
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Classifier:
-        from pyspark.ml.classification import LogisticRegressionModel
+        """The saved model, of whatever class it is."""
+        from pyspark.ml.util import DefaultParamsReader
 
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        return Classifier(LogisticRegressionModel.load(f"{path}/model"), tuple(meta["features"]), meta["fill"])
+        if "coef" in meta:
+            model = Linear(tuple(meta["coef"]), meta["intercept"])
+        else:
+            model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
+        return Classifier(model, tuple(meta["features"]), meta["fill"])
 
 
 def _assemble(df: DataFrame, features: Sequence[str], fill: dict[str, float]) -> DataFrame:
@@ -96,6 +121,23 @@ def _assemble(df: DataFrame, features: Sequence[str], fill: dict[str, float]) ->
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df.fillna(fill))
 
 
+def estimator(kind: str, max_iter: int = 50, reg: float = 0.0, tol: float = 1e-6, seed: int = 42, **params):
+    """The Spark ML estimator of a kind: ``logistic`` regression, a decision
+    ``tree``, a random ``forest`` or ``boosted`` trees (``max_iter`` of them).
+    ``params`` are the estimator's own, e.g. ``maxDepth``."""
+    from pyspark.ml import classification as C
+
+    if kind == "logistic":
+        return C.LogisticRegression(maxIter=max_iter, regParam=reg, tol=tol, **params)
+    if kind == "boosted":
+        return C.GBTClassifier(maxIter=max_iter, seed=seed, **params)
+    if kind == "forest":
+        return C.RandomForestClassifier(seed=seed, **params)
+    if kind == "tree":
+        return C.DecisionTreeClassifier(seed=seed, **params)
+    raise ValueError(f"unknown kind of classifier: {kind}")
+
+
 def fit_classifier(
     train_rows: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -103,20 +145,24 @@ def fit_classifier(
     reg: float = 0.0,
     tol: float = 1e-6,
     fill: dict[str, float] | None = None,
+    kind: str = "logistic",
+    **params,
 ) -> Classifier:
-    """Logistic regression on last-position examples (M2)."""
-    from pyspark.ml.classification import LogisticRegression
-
+    """A classifier on last-position examples (M2); see ``estimator`` for the
+    kinds."""
     rows = train_rows.where(F.col("label").isNotNull())
     if fill is None:
         means = rows.agg(*[F.avg(c).alias(c) for c in features]).first()
         fill = {c: 0.0 if means[c] is None else float(means[c]) for c in features}
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg, tol=tol)
-    return Classifier(lr.fit(_assemble(rows, features, fill)), tuple(features), fill)
+    e = estimator(kind, max_iter, reg, tol, **params).setFeaturesCol("features").setLabelCol("label")
+    return Classifier(e.fit(_assemble(rows, features, fill)), tuple(features), fill)
 
 
 def score(clf: Classifier, rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Probability of a right answer for each example (M3)."""
+    if isinstance(clf.model, Linear):
+        one = (np.array([x]) for x in (clf.model.coef, clf.model.intercept, [clf.fill[c] for c in clf.features]))
+        return rows.select(*keep, foldfit.predict(clf.features, *one, F.lit(0)).alias("prediction"))
     from pyspark.ml.functions import vector_to_array
 
     out = clf.model.transform(_assemble(rows, clf.features, clf.fill))
@@ -124,18 +170,34 @@ def score(clf: Classifier, rows: DataFrame, keep: Sequence[str] = ()) -> DataFra
 
 
 def cross_validate(
-    examples: DataFrame, k: int = 5, seed: int = 42, key: str = "userID", features: Sequence[str] = FEATURES, **fit_kw
+    examples: DataFrame,
+    k: int = 5,
+    seed: int = 42,
+    key: str = "userID",
+    features: Sequence[str] = FEATURES,
+    kind: str = "logistic",
+    **fit_kw,
 ) -> tuple[DataFrame, list[Classifier]]:
     """k models, each fitted on the other folds and scored on its own (M4).
 
     Returns out-of-fold predictions ``(fold, <key>, prediction, label)`` and
-    the fitted models (for soft voting)."""
-    # One row per sequence, fold attached: written once, read by all k fits.
+    the fitted models (for soft voting).  Logistic models of all folds share
+    their scans (``foldfit``) and all rows are scored in one pass; other kinds
+    are fitted one after another."""
+    # One row per sequence: written once, read by every step of the fits.
     ex = keyed.materialize(examples)
     ex = ex.where(F.col(key).isNotNull()).withColumn("fold", fold_number(ex, key, k=k, seed=seed))
+    if kind == "logistic":
+        coef, intercept, fills = foldfit.fit_folds(ex, features, k, **fit_kw)
+        models = [
+            Classifier(Linear(tuple(map(float, coef[f])), float(intercept[f])), tuple(features), dict(zip(features, map(float, fills[f]))))
+            for f in range(k)
+        ]
+        out = ex.select("fold", key, foldfit.predict(features, coef, intercept, fills, F.col("fold")).alias("prediction"), "label")
+        return keyed.materialize(out), models
     models, parts = [], []
     for f in range(k):
-        m = fit_classifier(ex.where(F.col("fold") != f), features, **fit_kw)
+        m = fit_classifier(ex.where(F.col("fold") != f), features, kind=kind, **fit_kw)
         models.append(m)
         parts.append(score(m, ex.where(F.col("fold") == f), keep=("fold", key, "label")))
     oof = parts[0]
@@ -155,23 +217,46 @@ def vote(models: list[Classifier], rows: DataFrame, id_col: str = "id") -> DataF
 
 def map_score(
     df: DataFrame,
-    fn: Callable[[pd.DataFrame], pd.Series],
+    fn: Callable[..., pd.Series],
     keep: Sequence[str],
     inputs: Sequence[str],
     out: str = "prediction",
+    file: str | None = None,
+    load: Callable[[str], object] | None = None,
 ) -> DataFrame:
     """Score rows with a user-supplied pandas function in Arrow batches.
 
     ``fn`` gets a pandas DataFrame of ``inputs`` and returns one score per
-    row.  A model file would be loaded once per Python worker inside ``fn``.
+    row.  With ``load`` it also gets a model: ``file`` (a path the driver can
+    read) is shipped to the executors once, each Python worker calls
+    ``load(local path)`` once and keeps what it returns for all its later
+    tasks and batches.
     """
     keep, inputs = list(keep), list(inputs)
     schema = df.select(*keep).schema.add(out, "double")
+    name, key = None, None
+    if load is not None:
+        if file is None:
+            raise ValueError("load needs a file")
+        spark = df.sparkSession
+        # A name of its own: files of one name and another content cannot be sent.
+        folder = tempfile.mkdtemp(prefix="quizlog-model-")  # on the driver, which serves the copy
+        name = f"{uuid.uuid4().hex}-{os.path.basename(file)}"
+        shutil.copyfile(file, os.path.join(folder, name))
+        spark.sparkContext.addFile(os.path.join(folder, name))
+        key = f"{spark.sparkContext.applicationId}/{name}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        extra = ()
+        if load is not None:
+            # State of the worker process: a module outlives the task's function.
+            state = sys.modules.setdefault("_quizlog_worker_state", types.ModuleType("_quizlog_worker_state"))
+            if key not in state.__dict__:
+                state.__dict__[key] = load(SparkFiles.get(name))
+            extra = (state.__dict__[key],)
         for pdf in batches:
             res = pdf[keep].copy()
-            res[out] = pd.Series(fn(pdf[inputs]), index=pdf.index).astype("float64")
+            res[out] = pd.Series(fn(pdf[inputs], *extra), index=pdf.index).astype("float64")
             yield res
 
     return df.select(*dict.fromkeys(keep + inputs)).mapInPandas(run, schema)

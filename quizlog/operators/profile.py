@@ -9,6 +9,7 @@ the two neighbouring ranks, like a pandas ``describe``.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -191,6 +192,42 @@ def ols(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame([tuple(row)], schema)
 
 
+def ols_by(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Least squares with intercept per group (A23): ``by``, ``n``,
+    ``intercept`` and one ``coef_<x>`` per predictor.
+
+    One aggregate: counts, means and the predictors' covariances, which Spark
+    merges around the mean, so large values lose no digits.  The normal
+    equations of each group are then solved by elimination written as column
+    expressions, so any number of groups is solved where the rows are.  Rows
+    with a null are left out; a group whose predictors are constant or
+    collinear has null coefficients."""
+    xs, by = list(xs), list(by)
+    d = len(xs)
+    v = [F.col(c).cast("double") for c in xs]
+    target = F.col(y).cast("double")
+    full = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [y, *xs]]))
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(target).alias("_my")]
+    aggs += [F.avg(v[i]).alias(f"_m{i}") for i in range(d)]
+    aggs += [F.covar_pop(v[i], v[j]).alias(f"_a{i}_{j}") for i in range(d) for j in range(i, d)]
+    aggs += [F.covar_pop(v[i], target).alias(f"_a{i}_{d}") for i in range(d)]
+    g = full.groupBy(*by).agg(*aggs)
+    # symmetric elimination; a pivot that has lost all but rounding is none
+    for i in range(d):
+        g = g.withColumn(f"_d{i}", F.col(f"_a{i}_{i}"))
+    for i in range(d):
+        pivot = F.when(F.col(f"_a{i}_{i}") > 1e-10 * F.col(f"_d{i}"), F.col(f"_a{i}_{i}"))
+        g = g.withColumn(f"_p{i}", pivot)
+        g = g.withColumns({
+            f"_a{r}_{c}": F.col(f"_a{r}_{c}") - F.col(f"_a{i}_{r}") * F.col(f"_a{i}_{c}") / F.col(f"_p{i}")
+            for r in range(i + 1, d) for c in range(r, d + 1)})
+    for i in reversed(range(d)):
+        rest = sum((F.col(f"_a{i}_{j}") * F.col(f"coef_{xs[j]}") for j in range(i + 1, d)), F.lit(0.0))
+        g = g.withColumn(f"coef_{xs[i]}", (F.col(f"_a{i}_{d}") - rest) / F.col(f"_p{i}"))
+    intercept = F.col("_my") - sum((F.col(f"coef_{c}") * F.col(f"_m{i}") for i, c in enumerate(xs)), F.lit(0.0))
+    return g.select(*by, "n", intercept.alias("intercept"), *[f"coef_{c}" for c in xs])
+
+
 def user_table(log: DataFrame) -> DataFrame:
     """Per-learner summary used for regressions: accuracy, answers, active days."""
     return log.groupBy("userID").agg(
