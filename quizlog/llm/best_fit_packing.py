@@ -8,13 +8,17 @@ task by bin completion.  Sequences left under ``DISSOLVE`` full are taken
 apart and packed again over fewer groups until one group holds them all, so
 what the split into groups wastes is at most a few sequences in total.
 
-Packing a group: best-fit decreasing gives the incumbent; if it meets the
-lower bound ``ceil(total / capacity)`` it is optimal.  Otherwise bin
-completion searches: the largest piece opens a bin, the undominated feasible
-fillings around it are enumerated fullest first, and a branch is pruned when
-the waste so far plus the bound on the rest reaches the incumbent.  Every
-full solution found replaces the incumbent.  The search has a node limit; in
-a group of more than ``SEARCH_ITEMS`` pieces it runs on the emptiest bins.
+Packing a group: best-fit decreasing gives the incumbent; if it meets
+Martello and Toth's lower bound it is optimal.  Otherwise bin completion goes
+over all under-filled bins, emptiest first, in subproblems of about
+``SEARCH_ITEMS`` pieces: the largest piece opens a bin, the undominated fillings
+around it are enumerated fullest first, and a branch is pruned when its waste
+or the bound on the rest reaches the incumbent.  Every better solution
+replaces the incumbent; of solutions with as many bins the one with the
+emptiest bin is kept, and that bin joins the next subproblem, so the room of
+all subproblems comes together.  A subproblem ends at its bound or after
+``SEARCH_NODES`` fillings.  Passes are repeated while they save a bin in a
+thousand.  A group of any size is packed this way.
 
 Defined results: a null or empty text is one piece holding the end id alone;
 repeated rows are separate pieces.
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +44,8 @@ from quizlog.llm.shared import batches, cut, table
 CAPACITY = 2048
 GROUP = 50_000
 DISSOLVE = 0.98
-SEARCH_ITEMS = 400
-SEARCH_NODES = 20_000
+SEARCH_ITEMS = 200
+SEARCH_NODES = 400
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -96,103 +101,182 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _fillings(values: list[int], counts: list[int], room: int, limit: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` from the multiset (values descending),
-    as counts per value, fullest first.  Taking as many of the larger values
-    as a branch allows first, a filling that leaves room for an unused item
-    is dominated by the one that adds it, and is dropped."""
-    found: list[tuple[int, tuple[int, ...]]] = []
-    used = [0] * len(values)
-
-    def go(k: int, left: int) -> None:
-        if len(found) >= limit:
-            return
-        while k < len(values) and values[k] > left:
-            k += 1
-        if k == len(values):
-            if not any(used[j] < counts[j] and values[j] <= left for j in range(len(values))):
-                found.append((left, tuple(used)))
-            return
-        for take in range(min(counts[k], left // values[k]), -1, -1):
-            used[k] = take
-            go(k + 1, left - take * values[k])
-        used[k] = 0
-
-    go(0, room)
-    found.sort(key=lambda f: f[0])
-    # a filling is also dominated when another swaps one of its items for a
-    # larger unused item that still fits
-    kept = []
-    for left, f in found:
-        smallest_gain = min(
-            (values[j] - values[i] for i in range(len(values)) if f[i] for j in range(i) if f[j] < counts[j]), default=None)
-        if smallest_gain is None or smallest_gain > left:
-            kept.append(f)
-    return kept
+def lower_bound(sizes: list[int], capacity: int) -> int:
+    """Martello and Toth's bound: for a threshold k, pieces over capacity - k
+    are alone, pieces over half need a bin each, and those of k or more that
+    the second kind has no room for need further bins; the best over all k."""
+    n = np.bincount(np.asarray(sizes, np.int64), minlength=capacity + 1)
+    count = np.concatenate([[0], np.cumsum(n)])  # pieces below a size
+    total = np.concatenate([[0], np.cumsum(n * np.arange(capacity + 1))])
+    half = capacity // 2
+    k = np.arange(half + 1)
+    big = count[-1] - count[half + 1]  # over half, with or without room for k
+    room = (count[capacity - k + 1] - count[half + 1]) * capacity - (total[capacity - k + 1] - total[half + 1])
+    small = total[half + 1] - total[k]
+    return int(big + np.maximum(0, -(-(small - room) // capacity)).max()) if len(sizes) else 0
+
+
+def fillings(values: list[int], counts: list[int], room: int, least: int, budget: list[int]) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """Undominated fillings of ``room`` from the multiset (values descending)
+    with a sum of at least ``least``: (sum, count per value), fullest first.
+
+    The sums that the values from each place on can reach are a bit set, so
+    the search for an exact sum has no dead ends, whatever the number of
+    pieces.  Every filling looked at takes one from the budget."""
+    n = len(values)
+    mask = (1 << (room + 1)) - 1
+    reach = [1] * (n + 1)
+    for k in range(n - 1, -1, -1):
+        r, v, c, step = reach[k + 1], values[k], min(counts[k], room // values[k]), 1
+        while c > 0:  # one, two, four ... copies at once
+            take = min(step, c)
+            r |= (r << (v * take)) & mask
+            c, step = c - take, step * 2
+        reach[k] = r
+    for target in range(reach[0].bit_length() - 1, max(least, 0) - 1, -1):
+        if not reach[0] >> target & 1:
+            continue
+        used = [0] * n
+        k, left, down = 0, target, True
+        while True:
+            if down:  # as many of the larger values as the rest allows
+                while left:
+                    v = values[k]
+                    t = min(counts[k], left // v)
+                    while not reach[k + 1] >> (left - t * v) & 1:
+                        t -= 1
+                    used[k], left, k = t, left - t * v, k + 1
+                budget[0] -= 1
+                if not _dominated(values, counts, used, room - target):
+                    yield target, tuple(used)
+                if budget[0] <= 0:
+                    return
+            # the last place that can take fewer
+            down = False
+            k -= 1
+            while k >= 0 and not used[k]:
+                k -= 1
+            if k < 0:
+                break
+            v, t = values[k], used[k]
+            left += t * v
+            t -= 1
+            while t >= 0 and not reach[k + 1] >> (left - t * v) & 1:
+                t -= 1
+            if t < 0:
+                used[k] = 0
+                continue
+            used[k], left, k, down = t, left - t * v, k + 1, True
+
+
+def _dominated(values: list[int], counts: list[int], used: list[int], free: int) -> bool:
+    """Whether an unused piece fits beside a filling, or fits in place of a
+    smaller piece of it: the filling with that piece is as good."""
+    if not free:
+        return False
+    larger = 0  # the last, that is smallest, larger value with an unused piece
+    for v, c, u in zip(values, counts, used):
+        if u and larger and larger - v <= free:
+            return True
+        if u < c:
+            if v <= free:
+                return True
+            larger = v
+    return False
 
 
 def bin_completion(sizes: list[int], capacity: int, incumbent: list[list[int]], nodes: int = SEARCH_NODES) -> list[list[int]]:
-    """Branch and bound; returns the incumbent or a packing of fewer bins."""
-    lower = -(-sum(sizes) // capacity)
-    if len(incumbent) <= lower:
-        return incumbent
-    values = sorted(set(sizes), reverse=True)
-    best, best_n = None, len(incumbent)
+    """Branch and bound: the packing with the fewest bins that the search
+    finds, of equal ones that with the emptiest bin; or the incumbent."""
+    lower = lower_bound(sizes, capacity)
+    have = Counter(sizes)
+    values = sorted(have, reverse=True)
+    total = sum(sizes)
+    best: list[tuple[int, ...]] | None = None
+    best_n = len(incumbent)
+    least_fill = min(sum(sizes[i] for i in b) for b in incumbent)
     budget = [nodes]
+    # one level a bin: (fillings to try, what is left, its sum, waste so far)
+    levels: list[tuple[Iterator, list[int], int, int]] = []
+    done: list[tuple[int, ...]] = []
+    first = True
 
-    def go(counts: list[int], left: int, done: list[tuple[int, ...]]) -> bool:
-        """True when the lower bound is met and the search can end."""
-        nonlocal best, best_n
-        if budget[0] <= 0:
-            return True
-        budget[0] -= 1
-        if left == 0:
-            if len(done) < best_n:
-                best, best_n = list(done), len(done)
-            return best_n <= lower
-        # bins used plus the least the rest needs: waste beyond this prunes
-        if len(done) + -(-left // capacity) >= best_n:
-            return False
+    def open_level(counts: list[int], left: int, waste: int) -> None:
         k = next(i for i, c in enumerate(counts) if c)
-        counts = list(counts)
-        counts[k] -= 1
-        for f in _fillings(values, counts, capacity - values[k], 200):
-            rest = [c - u for c, u in zip(counts, f)]
-            size = values[k] + sum(v * u for v, u in zip(values, f))
-            whole = tuple(u + (i == k) for i, u in enumerate(f))
-            if go(rest, left - size, done + [whole]):
-                return True
-        return False
-
-    from collections import Counter
-
-    have = Counter(sizes)
-    go([have[v] for v in values], sum(sizes), [])
+        rest = list(counts)
+        rest[k] -= 1
+        room = capacity - values[k]
+        # more waste than this and no bin can be saved; the first descent may tie
+        allowed = (best_n - (0 if first else 1)) * capacity - total - waste
+        at = [i for i in range(k, len(values)) if rest[i] and values[i] <= room]
+        got = fillings([values[i] for i in at], [rest[i] for i in at], room, room - allowed, budget)
+        levels.append((((k, at, s, f) for s, f in got), rest, left - values[k], waste))
+
+    open_level([have[v] for v in values], total, 0)
+    while levels:
+        tries, rest, left, waste = levels[-1]
+        step = next(tries, None)
+        if step is None:
+            levels.pop()
+            if done:
+                done.pop()
+            continue
+        k, at, s, f = step
+        counts = list(rest)
+        whole = [0] * len(values)
+        whole[k] = 1
+        for i, u in zip(at, f):
+            counts[i] -= u
+            whole[i] += u
+        done.append(tuple(whole))
+        if left == s:  # all packed
+            fill = min(sum(v * u for v, u in zip(values, b)) for b in done)
+            if len(done) < best_n or (len(done) == best_n and fill < least_fill):
+                best, best_n, least_fill = list(done), len(done), fill
+            first = False
+            if best_n <= lower:
+                break
+            done.pop()
+        elif len(done) + -(-(left - s) // capacity) > best_n - (0 if first else 1):
+            done.pop()
+        else:
+            open_level(counts, left - s, waste + capacity - values[k] - s)
+        if budget[0] <= 0:
+            break
     if best is None:
         return incumbent
     pools: dict[int, list[int]] = {}
-    for i, s in enumerate(sizes):
-        pools.setdefault(s, []).append(i)
-    return [[pools[v].pop() for v, u in zip(values, f) for _ in range(u)] for f in best]
+    for i, x in enumerate(sizes):
+        pools.setdefault(x, []).append(i)
+    return [[pools[v].pop() for v, u in zip(values, b) for _ in range(u)] for b in best]
 
 
 def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     """Bins of item indices, as few as the search finds."""
     bins = best_fit_decreasing(sizes, capacity)
-    lower = -(-sum(sizes) // capacity)
-    if len(bins) <= lower:
-        return bins
-    if len(sizes) <= SEARCH_ITEMS:
-        return bin_completion(sizes, capacity, bins)
-    bins.sort(key=lambda b: sum(sizes[i] for i in b))
-    tail, n = [], 0
-    while bins and n + len(bins[0]) <= SEARCH_ITEMS:
-        n += len(bins[0])
-        tail.append(bins.pop(0))
-    items = [i for b in tail for i in b]
-    local = {i: k for k, i in enumerate(items)}
-    again = bin_completion([sizes[i] for i in items], capacity, [[local[i] for i in b] for b in tail])
-    return bins + [[items[k] for k in b] for b in again]
+    bound = lower_bound(sizes, capacity)
+    while len(bins) > bound:
+        fill = lambda b: sum(sizes[i] for i in b)
+        open_ = sorted((b for b in bins if fill(b) < capacity), key=fill)
+        done, carry = [b for b in bins if fill(b) == capacity], []
+        at = 0
+        while at < len(open_):
+            part, n = list(carry), sum(map(len, carry))
+            while at < len(open_) and (len(part) < 2 or n + len(open_[at]) <= SEARCH_ITEMS):
+                n += len(open_[at])
+                part.append(open_[at])
+                at += 1
+            items = [i for b in part for i in b]
+            place_of = {i: k for k, i in enumerate(items)}
+            again = bin_completion([sizes[i] for i in items], capacity, [[place_of[i] for i in b] for b in part])
+            again = sorted(([items[k] for k in b] for b in again), key=fill)
+            carry = again[:1]  # its room meets the next bins
+            done += again[1:]
+        saved = len(bins) - len(done) - len(carry)
+        bins = done + carry
+        if saved * 1000 < len(bins):
+            break
+    return bins
 
 
 PLACED = PIECES + ", sequence_id long, offset long, fill long"
@@ -222,7 +306,7 @@ def place(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
     rows = cut(rows)
     full = rows.where(F.col("length") == capacity).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    todo, result, level = rows.where(F.col("length") < capacity), full, 1
+    todo, result, level, was = rows.where(F.col("length") < capacity), full, 1, None
     n = todo.count()
     while n:
         groups = -(-n // group)
@@ -232,15 +316,13 @@ def place(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
         if level > 1:
             dealt = dealt.drop("sequence_id", "offset", "fill")
         placed = cut(dealt.groupBy("_group").applyInPandas(_pack_group(capacity, level), PLACED))
-        if groups == 1:
-            return result.unionByName(placed.drop("fill"))
         good = F.col("fill") >= int(DISSOLVE * capacity)
+        first = F.col("offset") == 0
+        used, again, n = placed.agg(F.count_if(first), F.count_if(first & ~good), F.count_if(~good)).first()
+        if groups == 1 or (was is not None and was - used < groups):
+            return result.unionByName(placed.drop("fill"))
         result = result.unionByName(placed.where(good).drop("fill"))
-        todo, level = placed.where(~good), level + 1
-        left = todo.count()
-        if left > n // 2:  # nothing to gain by dissolving again
-            return result.unionByName(todo.drop("fill"))
-        n = left
+        todo, level, was = placed.where(~good), level + 1, again
     return result
 
 

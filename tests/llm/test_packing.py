@@ -1,5 +1,8 @@
+import itertools
 import random
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -33,6 +36,52 @@ def test_bin_completion_is_optimal_on_small_sets():
     check_bins(better, sizes, 100)
 
 
+@pytest.mark.parametrize("n", [28, 40, 50, 100, 200])
+def test_many_small_pieces_end_at_once(n):
+    """Small pieces that all fit beside one another have one undominated
+    filling, and exact packings are found without visiting the others."""
+    r = random.Random(n)
+    sizes = r.sample(range(1, 2 * n), n - 2) if n <= 50 else [x % 30 + 1 for x in range(n - 2)]
+    rest = 4096 - sum(sizes)
+    sizes += [rest // 2, rest - rest // 2]
+    at = time.monotonic()
+    bins = P.pack(sizes)
+    assert time.monotonic() - at < 1
+    check_bins(bins, sizes, P.CAPACITY)
+    assert len(bins) == 2
+
+
+def test_fillings_are_undominated_and_fullest_first():
+    r = random.Random(2)
+    for _ in range(60):
+        have = Counter(r.randint(1, 12) for _ in range(r.randint(0, 7)))
+        values = sorted(have, reverse=True)
+        counts, room = [have[v] for v in values], r.randint(0, 25)
+        got = list(P.fillings(values, counts, room, 0, [10**6]))
+        assert [s for s, _ in got] == sorted((s for s, _ in got), reverse=True)
+        assert len({f for _, f in got}) == len(got)
+        each = [f for f in itertools.product(*[range(c + 1) for c in counts]) if sum(v * u for v, u in zip(values, f)) <= room]
+        want = [f for f in each if not P._dominated(values, counts, f, room - sum(v * u for v, u in zip(values, f)))]
+        assert sorted(f for _, f in got) == sorted(want)
+
+
+def test_lower_bound_is_a_bound():
+    r = random.Random(6)
+    for _ in range(80):
+        sizes = [r.randint(1, 100) for _ in range(r.randint(0, 9))]
+        assert -(-sum(sizes) // 100) <= P.lower_bound(sizes, 100) <= brute.fewest_bins(sizes, 100)
+    assert P.lower_bound([60, 60, 60, 30, 30], 100) == 3 and P.lower_bound([70, 70, 35, 35, 35], 100) == 4
+
+
+def test_a_large_group_is_searched_whole():
+    """Three pieces a bin, where best-fit decreasing takes the wrong ones."""
+    r = random.Random(1)
+    sizes = [r.randint(500, 900) for _ in range(2500)]
+    first, bins = P.best_fit_decreasing(sizes, P.CAPACITY), P.pack(sizes)
+    check_bins(bins, sizes, P.CAPACITY)
+    assert len(bins) < 0.97 * len(first)
+
+
 def test_best_fit_places_by_hand():
     for f in (P.best_fit_decreasing, lambda s, c: T.best_fit_decreasing(np.array(s), c)):
         bins = f([6, 5, 4, 3, 2], 10)
