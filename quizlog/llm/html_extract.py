@@ -8,21 +8,23 @@ aligned block by block, and mismatches are resolved as
 
 * different texts at one place: a text slot,
 * a block that only one side has: an optional,
-* equal neighbours, or neighbouring groups of equal blocks: a repeated group.
+* equal neighbours, or neighbouring groups of equal blocks: a repeated group;
+* more than ``MAX_ITEMS`` blocks in one sequence, which follow no order: a
+  repeated group in which each kind of block is optional.
 
 Each task folds its pages of a host into one wrapper as it reads them; then
 wrappers meet per host in two rounds (dealt by host and a salt, then by
 host), one at a time in a stream, so a host with a third of all pages is
 never gathered in one group.  Alignment is cheap because repeats collapse: a
-wrapper's size follows the template, not the pages.
+wrapper's size follows the template, not the pages, also where pages are long
+and irregular.
 
 From a host's wrapper follow the places of its main text: articles, else
 the main element, else the region that holds most slot text outside links.
 Menus, headers, footers, sidebars, notices, adverts, forms, reader comments
 and invisible elements are left out by element and by words of class and id.
-On hosts with ``MIN_PAGES`` pages or more, text other than headings that
-stands constant on every page outside repeats is template, not content, if
-some slot outside repeats shows that the pages differ.
+Nothing is left out for being the same on many pages: a place inside the main
+text is content, so a page reads the same whatever number of pages its host has.
 
 Every page is then read by its host's rules: blocks in page order, character
 references decoded, white space inside a block one space, blocks joined by
@@ -36,6 +38,8 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,8 +50,9 @@ from pyspark.sql import functions as F
 from quizlog.llm.html_page import Node, parse
 from quizlog.llm.shared import batches, cut, table
 
-MIN_PAGES = 20
 MAX_GROUP = 4
+MAX_ITEMS = 64
+MAX_TABLE = 1 << 14  # cells of an exact alignment
 SALTS = 64
 BROADCAST_BYTES = 16 << 20
 
@@ -149,35 +154,114 @@ def merge(a: list, b: list) -> list:
     return [a[0], opt, rep, align(a[3], b[3])]
 
 
+def _pairs(sa: list[str], sb: list[str]) -> list[tuple[int, int]]:
+    """Places of a common subsequence of two sign sequences: a longest one
+    where the differing part is short, else by the signs that stand once on
+    either side, else by the next equal sign; in linear space."""
+    n, m = len(sa), len(sb)
+    start = 0
+    while start < min(n, m) and sa[start] == sb[start]:
+        start += 1
+    end = 0
+    while end < min(n, m) - start and sa[n - 1 - end] == sb[m - 1 - end]:
+        end += 1
+    head = [(i, i) for i in range(start)]
+    tail = [(n - end + i, m - end + i) for i in range(end)]
+    a, b = sa[start : n - end], sb[start : m - end]
+    if not a or not b:
+        return head + tail
+    if len(a) * len(b) <= MAX_TABLE:
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            row, below = best[i], best[i + 1]
+            for j in range(len(b) - 1, -1, -1):
+                row[j] = below[j + 1] + 1 if a[i] == b[j] else max(below[j], row[j + 1])
+        mid, i, j = [], 0, 0
+        while i < len(a) and j < len(b):
+            if a[i] == b[j]:
+                mid.append((i, j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+    else:
+        ca, cb = Counter(a), Counter(b)
+        at = {x: j for j, x in enumerate(b) if cb[x] == 1}
+        once = [(i, at[x]) for i, x in enumerate(a) if ca[x] == 1 and x in at]
+        mid = []
+        if once:
+            chain = _rising(once)
+            for (i, j), (i2, j2) in zip([(-1, -1), *chain], [*chain, (len(a), len(b))]):
+                mid += [(i + 1 + x, j + 1 + y) for x, y in _pairs(a[i + 1 : i2], b[j + 1 : j2])]
+                mid += [(i2, j2)] if i2 < len(a) else []
+        else:
+            places: dict[str, list[int]] = {}
+            for j, x in enumerate(b):
+                places.setdefault(x, []).append(j)
+            j = 0
+            for i, x in enumerate(a):
+                k = bisect_left(places.get(x, []), j)
+                if k < len(places.get(x, [])):
+                    mid.append((i, places[x][k]))
+                    j = places[x][k] + 1
+    return head + [(start + i, start + j) for i, j in mid] + tail
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest run of pairs (by rising i) with rising j."""
+    ends: list[int] = []  # least last j of a run of each length
+    last: list[int] = []
+    before: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        at = bisect_left(ends, j)
+        ends[at:] = [j, *ends[at + 1 :]]
+        last[at:] = [k, *last[at + 1 :]]
+        before.append(last[at - 1] if at else -1)
+    out, k = [], last[-1]
+    while k >= 0:
+        out.append(pairs[k])
+        k = before[k]
+    return out[::-1]
+
+
 def align(a: list, b: list) -> list:
     """Align two item sequences; what only one side has becomes optional."""
     sa, sb = [_sign(x) for x in a], [_sign(x) for x in b]
     if sa == sb:
         return [merge(x, y) for x, y in zip(a, b)]
-    # longest common subsequence, from the end
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if sa[i] == sb[j] else max(below[j], row[j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and sa[i] == sb[j]:
-            item = merge(a[i], b[j])
-            i, j = i + 1, j + 1
-        elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
-            item, i = [a[i][0], 1, *a[i][2:]], i + 1
-        else:
-            item, j = [b[j][0], 1, *b[j][2:]], j + 1
+    out: list = []
+
+    def add(item: list) -> None:
         # optionals of one kind side by side are a repeated optional
         if out and _sign(out[-1]) == _sign(item) and (out[-1][1] or item[1]):
-            both = merge(out[-1], item)
-            both[2] = 1
-            out[-1] = both
+            out[-1] = merge(out[-1], item)
+            out[-1][2] = 1
         else:
             out.append(item)
-    return out
+
+    i = j = 0
+    for i2, j2 in [*_pairs(sa, sb), (len(a), len(b))]:
+        for x in a[i:i2] + b[j:j2]:
+            add([x[0], 1, *x[2:]])
+        if i2 < len(a):
+            add(merge(a[i2], b[j2]))
+        i, j = i2 + 1, j2 + 1
+    return out if len(out) <= MAX_ITEMS else [_unordered(out)]
+
+
+def _unordered(items: list) -> list:
+    """Blocks in no order: a repeated group of each kind once, optional."""
+    kinds: dict[str, list] = {}
+    todo = list(reversed(items))
+    while todo:
+        x = todo.pop()
+        if x[0] == "()":
+            todo += reversed(x[3])
+            continue
+        had = kinds.get(x[0])
+        kinds[x[0]] = [x[0], 1, 1, *(merge(had, x) if had else x)[3:]]
+    return ["()", 1, 1, list(kinds.values())]
 
 
 def _mass(item: list) -> tuple[float, float]:
@@ -199,23 +283,8 @@ def _find(item: list, tag: str, path: tuple, out: list) -> None:
         _find(x, tag, here, out)
 
 
-def _constants(item: list, constants: list, slots: list, fixed: bool) -> None:
-    """Texts outside repeats and optionals: constants (headings apart, which
-    are always content) and slots, which show that pages differ."""
-    if item[0] == "#":
-        if fixed and not item[1] and not item[2]:
-            (slots if item[3] is None else constants).append(item[3])
-        return
-    still = fixed and not item[1] and not item[2]
-    for x in item[3]:
-        if item[0].split(".")[0] in HEADINGS and x[0] == "#" and x[3] is not None:
-            continue
-        _constants(x, constants, slots, still)
-
-
-def rules(wrapper: list, n_pages: int) -> dict:
-    """Where the main text is: paths of elements from the root, and template
-    texts to leave out."""
+def rules(wrapper: list) -> dict:
+    """Where the main text is: paths of elements from the root."""
     found: list = []
     for tag in ("article", "main"):
         _find(wrapper, tag, (), found)
@@ -233,15 +302,7 @@ def rules(wrapper: list, n_pages: int) -> dict:
             if not scored or scored[0][0] < 0.8 * whole or at[3][scored[0][1]][2] or at[3][scored[0][1]][0].split(".")[0] in ("p", "li", "tr"):
                 break
             at = at[3][scored[0][1]]
-    constants: list = []
-    slots: list = []
-    if n_pages >= MIN_PAGES:
-        for _, item in found:
-            for x in item[3] if item[0] != "#" else []:
-                _constants(x, constants, slots, True)
-    if not slots:  # every page may be a copy of one
-        constants = []
-    return {"paths": sorted({p[1:] if p and p[0] == "#root" else p for p, _ in found}), "drop": sorted(set(constants))}
+    return {"paths": sorted({p[1:] if p and p[0] == "#root" else p for p, _ in found})}
 
 
 def _collect(node: Node, in_article: bool, header: bool, out: list[str]) -> None:
@@ -278,12 +339,11 @@ def extract(page: str, where: dict | None) -> str:
                 _collect(node, inside, False, out)
                 continue
             stack.extend((c, here, inside) for c in reversed(node.children) if isinstance(c, Node) and not dropped(c, inside))
-        drop = set(rule["drop"])
-        return [t for t in out if t not in drop]
+        return out
 
     texts = by(where) if where else []
     if not texts:
-        texts = by(rules(wrap(root), 1))
+        texts = by(rules(wrap(root)))
     return "\n\n".join(texts)
 
 
@@ -320,7 +380,7 @@ def _combine(final: bool):
         out: list[tuple] = []
 
         def close() -> None:
-            out.append((host, n, json.dumps(rules(w, n) if final else w)))
+            out.append((host, n, json.dumps(rules(w) if final else w)))
 
         for batch in batches:
             for h, k, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):

@@ -77,15 +77,55 @@ def test_wrapper_size_follows_the_template():
     assert len(str(long)) < 500
 
 
-def test_constant_notice_of_a_large_host_is_template():
-    pages = [f"<article><h1>T{i}</h1><p>We value your privacy<div><p>story {i} is told</p><p>and ends {i}</p></div></article>" for i in range(H.MIN_PAGES)]
+def merged(pages):
     w = None
     for p in pages:
         x = H.wrap(parse(p))
         w = H.merge(w, x) if w else x
-    rule = H.rules(w, len(pages))
-    assert H.extract(pages[3], rule) == "T3\n\nstory 3 is told\n\nand ends 3"
-    same = H.wrap(parse(pages[0]))
-    for _ in range(30):
-        same = H.merge(same, H.wrap(parse(pages[0])))
-    assert "privacy" in H.extract(pages[0], H.rules(same, 31))  # copies of one page are not a template
+    return w
+
+
+def test_article_text_does_not_depend_on_the_number_of_pages():
+    """A line that stands on every page is content inside an article, and so
+    is a block that quotes it."""
+    pages = [f'<body><div class="notice">We value your privacy</div><article><h1>T{i}</h1><p class="lead">Staff reporter, Lisbon.</p>'
+             f'<div><p>Body {i}</p><blockquote>Staff reporter, Lisbon.</blockquote></div></article></body>' for i in range(40)]
+    want = "T3\n\nStaff reporter, Lisbon.\n\nBody 3\n\nStaff reporter, Lisbon."
+    for n in (4, 19, 20, 40):
+        assert H.extract(pages[3], H.rules(merged(pages[:n]))) == want
+
+
+def test_long_irregular_pages_keep_a_small_wrapper():
+    """Blocks in no order: the wrapper stops growing and alignment ends."""
+    import time
+
+    r = random.Random(3)
+    tags = [f"{t} class='{c}'" for t in ("p", "div", "h3", "ul", "pre", "table") for c in ("a", "b", "c")]
+
+    def page(n):
+        return "<article><h1>t</h1>" + "".join(f"<{t}>{r.random()}</{t.split()[0]}>" for t in (r.choice(tags) for _ in range(n))) + "</article>"
+
+    pages = [page(400) for _ in range(30)] + [page(20_000) for _ in range(2)]
+    at = time.monotonic()
+    few, many = len(str(merged(pages[:5]))), len(str(merged(pages)))
+    assert many < 1.5 * few and many < 20_000
+    assert time.monotonic() - at < 60
+    assert H.extract(pages[0], H.rules(merged(pages))).count("\n\n") == 400
+
+
+def test_pairs_are_a_common_subsequence():
+    r = random.Random(9)
+    for n, alphabet in ((8, 3), (30, 5), (300, 4), (300, 2000), (400, 60)):
+        for _ in range(6):
+            a, b = ([str(r.randrange(alphabet)) for _ in range(r.randint(0, n))] for _ in range(2))
+            got = H._pairs(a, b)
+            assert all(a[i] == b[j] for i, j in got)
+            assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+            if len(a) * len(b) <= 900:
+                best = [0] * (len(b) + 1)
+                for x in a:
+                    row = [0]
+                    for j, y in enumerate(b):
+                        row.append(best[j] + 1 if x == y else max(best[j + 1], row[j]))
+                    best = row
+                assert len(got) == best[-1]
