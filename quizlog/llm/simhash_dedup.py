@@ -1,31 +1,39 @@
 """SimHash near-duplicate detection by tiled exact comparison (operator 9).
 
-Fingerprints are computed once per text (Arrow batches, numpy).  Distinct
-fingerprints are laid out in tiles by the population counts of their
-``PARTS`` 16-bit quarters.  The sum of the quarters' count differences is a
-lower bound of the bit distance, so a pair of tiles whose counts differ by
-more than the radius is skipped, and every other pair of tiles is compared
-exactly with exclusive-or and bit counts.  A cell with many fingerprints is
-dealt over several tiles by hash, so a tile stays at about ``TILE`` entries
-at any size.  A tile pair reports, for each fingerprint linked in it, the
-smallest document linked to it there (a spanning star, not all pairs), and
-connected components join the stars.
+Fingerprints are computed once per text (Arrow batches, numpy); copies meet as
+one distinct fingerprint.  Fingerprints within ``radius`` bits agree on at
+least two of ``radius + 2`` parts of the word, so each is laid into one bucket
+per pair of parts (six for a radius of 2), and only fingerprints of a bucket
+are compared: work and shuffle follow the number of fingerprints, not its
+square.  Buckets of one fingerprint are dropped.
+
+Inside a bucket the comparison is exact, by exclusive-or and bit counts.
+Fingerprints stand in order of their population count; those whose counts
+differ by more than the radius are not compared.  A bucket of more than
+``TILE`` fingerprints is cut into tiles by population count and hash; pairs of
+tiles whose counts differ beyond the radius are skipped, every other pair is a
+unit of work of its own, so no task holds a hot bucket.  Each comparison
+reports a spanning star (every fingerprint with the smallest linked to it
+there), not all pairs, and connected components join the stars.  Nodes are
+fingerprints; documents only name the components.
 
 Defined results: a null or empty text has fingerprint 0 and links like any
-other; repeated rows each get a row; documents with a null id get the
-component of their fingerprint (null if no document of it has an id) and
-never name a component.
+other; repeated rows each get a row; documents with a null id link like any
+other, get the component of their fingerprint (null if no document of the
+component has an id) and never name a component; an id on several texts names
+each of their components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quizlog.llm import bytetext as B
 from quizlog.llm.components import components
@@ -34,9 +42,7 @@ from quizlog.operators.keyed import checked_broadcast
 
 SHINGLE = 3
 RADIUS = 2
-TILE = 2048
-PARTS = 4  # quarters of 16 bits; a population count is 0..16, so 17**4 cells at most
-_BASE = 17
+TILE = 1024
 
 
 def text_fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -68,122 +74,148 @@ def text_fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def _cells(fp: np.ndarray) -> np.ndarray:
-    quarters = np.bitwise_count(fp.view("<u2").reshape(-1, PARTS)).astype(np.int64)
-    return quarters @ (_BASE ** np.arange(PARTS))
-
-
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, cell)`` of every document; fp is the signed view."""
+    """``(doc_id, fp)`` of every document; fp is the signed view."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in B.slices(batch, "text"):
                 fp = text_fingerprints(part.column(1), shingle)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(fp.view(np.int64)), pa.array(_cells(fp))], ["doc_id", "fp", "cell"]
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(batches, run, "doc_id long, fp long, cell long"
-    )
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(batches, run, "doc_id long, fp long")
+
+
+def part_masks(radius: int) -> list[int]:
+    """Masks of every pair of ``radius + 2`` nearly equal parts of a word."""
+    n = radius + 2
+    edges = [64 * i // n for i in range(n + 1)]
+    parts = [(1 << z) - (1 << a) for a, z in zip(edges, edges[1:])]
+    return [a | b for a, b in combinations(parts, 2)]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node linked to it) for linked pairs of fingerprints."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    x, y = at[: u.size], at[u.size :]
+    label = np.arange(nodes.size)
+    while True:
+        low = np.minimum(label[x], label[y])
+        if (label[x] == low).all() and (label[y] == low).all():
+            break
+        np.minimum.at(label, x, low)
+        np.minimum.at(label, y, low)
+        label = label[label]
+    far = np.flatnonzero(label != np.arange(nodes.size))
+    return nodes[far], nodes[label[far]]
+
+
+def _edges(pairs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    pairs = [p for p in pairs if p[0].size]
+    if pairs:
+        u, v = _stars(*(np.concatenate([p[k] for p in pairs]) for k in range(2)))
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+
+def _bucket_links(radius: int):
+    """Links inside buckets that come sorted by (bucket, population count)."""
 
+    def compare(b: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        word = f.view(np.uint64)
+        count = np.bitwise_count(word).astype(np.int16)
+        pairs, i, d = [], np.arange(f.size - 1), 1
+        while i.size:
+            i = i[(b[i + d] == b[i]) & (count[i + d] - count[i] <= radius)]
+            near = i[np.bitwise_count(word[i] ^ word[i + d]) <= radius]
+            pairs.append((f[near], f[near + d]))
+            d += 1
+            i = i[i + d < f.size]
+        yield from _edges(pairs)
 
-def _near_offsets(radius: int) -> list[tuple[int, ...]]:
-    """Half of the count vectors within ``radius``: each unordered pair once."""
-    near = [d for d in product(range(-radius, radius + 1), repeat=PARTS) if sum(map(abs, d)) <= radius]
-    return [d for d in near if d >= (0,) * PARTS]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        b, f = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            b, f = np.concatenate([b, np.asarray(batch.column(0))]), np.concatenate([f, np.asarray(batch.column(1))])
+            whole = int(np.searchsorted(b, b[-1])) if b.size else 0  # the last bucket may go on
+            if whole:
+                yield from compare(b[:whole], f[:whole])
+                b, f = b[whole:], f[whole:]
+        yield from compare(b, f)
+
+    return run
 
 
 def _tile_links(radius: int):
-    def stars(a: np.ndarray, ra: np.ndarray, b: np.ndarray, rb: np.ndarray, same: bool):
-        left, right = [], []
-        for i in range(0, a.size, 256):
-            near = np.bitwise_count(a[i : i + 256, None] ^ b[None, :]) <= radius
-            x, y = np.nonzero(near)
-            left.append(x + i)
-            right.append(y)
-        x, y = np.concatenate(left), np.concatenate(right)
-        if same:
-            keep = x < y
-            x, y = x[keep], y[keep]
-        if not x.size:
-            return x, y
-        label_a, label_b = ra.copy(), (rb.copy() if not same else None)
-        other = label_a if same else label_b
-        while True:
-            low = np.minimum(label_a[x], other[y])
-            if (label_a[x] == low).all() and (other[y] == low).all():
-                break
-            np.minimum.at(label_a, x, low)
-            np.minimum.at(other, y, low)
-        nodes = np.concatenate([ra[x], rb[y]])
-        labels = np.concatenate([label_a[x], other[y]])
-        got = np.unique(np.stack([nodes, labels], 1)[nodes != labels], axis=0)
-        return got[:, 0], got[:, 1]
+    """Links between the two tiles of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = batch.column("same").to_pylist()
-            lists = {}
-            for c in ("fa", "ra", "fb", "rb"):
-                col = batch.column(c)
-                off = np.asarray(col.offsets)
-                # ``values`` is the whole child array, which the offsets index
-                lists[c] = (np.asarray(col.values), off)
-            for i, is_same in enumerate(same):
-                got = {c: v[o[i] : o[i + 1]] for c, (v, o) in lists.items()}
-                u, v = stars(got["fa"].view(np.uint64), got["ra"], got["fb"].view(np.uint64), got["rb"], is_same)
-                if u.size:
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            # ``values`` is the whole child array, which the offsets index
+            sides = [(np.asarray(batch.column(c).values), np.asarray(batch.column(c).offsets)) for c in ("fa", "fb")]
+            for i in range(batch.num_rows):
+                a, b = (v[o[i] : o[i + 1]] for v, o in sides)
+                pairs = []
+                for k in range(0, a.size, 256):
+                    x, y = np.nonzero(np.bitwise_count(a[k : k + 256, None].view(np.uint64) ^ b[None, :].view(np.uint64)) <= radius)
+                    x += k
+                    other = a[x] != b[y]
+                    pairs.append((a[x[other]], b[y[other]]))
+                yield from _edges(pairs)
 
     return run
 
 
 def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Edges ``(u, v)`` between first documents of distinct fingerprints that
-    connect exactly what links of at most ``radius`` bits connect.
-    ``prints``: distinct ``(fp, cell, rep)``."""
-    prints = prints.where("rep is not null")
-    cells = cut(prints.groupBy("cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts")))
-    # at most 17**4 = 83,521 rows at any input size: safe to broadcast
-    dealt = prints.join(F.broadcast(cells), "cell").withColumn("sub", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-    tiles = cut(dealt.groupBy("cell", "sub").agg(F.collect_list(F.struct("fp", "rep")).alias("t"))
-                .select("cell", "sub", F.col("t.fp").alias("f"), F.col("t.rep").alias("r")))
-    digits = [(F.floor(F.col("cell") / _BASE**i) % _BASE) for i in range(PARTS)]
-    offsets = F.explode(F.array(*[F.array(*[F.lit(x) for x in d]) for d in _near_offsets(radius)]))
-    moved = cells.select("cell", "parts", *[d.alias(f"d{i}") for i, d in enumerate(digits)], offsets.alias("o"))
-    inside = F.lit(True)
-    other = F.lit(0).cast("long")
-    for i in range(PARTS):
-        at = F.col(f"d{i}") + F.col("o")[i]
-        inside = inside & (at >= 0) & (at < _BASE)
-        other = other + (at * _BASE**i).cast("long")
-    near = moved.where(inside).select(F.col("cell").alias("ca"), "parts", other.alias("cb"))
-    pairs = (
-        near.join(F.broadcast(cells.select(F.col("cell").alias("cb"), F.col("parts").alias("parts_b"))), "cb")
-        .select("ca", "cb", "parts_b", F.explode(F.expr("sequence(0, parts - 1)")).alias("sa"))
-        .select("ca", "cb", "sa", F.explode(F.expr("sequence(0, parts_b - 1)")).alias("sb"))
-        .where("ca <> cb or sa <= sb")
-    )
-    a = tiles.select(F.col("cell").alias("ca"), F.col("sub").alias("sa"), F.col("f").alias("fa"), F.col("r").alias("ra"))
-    b = tiles.select(F.col("cell").alias("cb"), F.col("sub").alias("sb"), F.col("f").alias("fb"), F.col("r").alias("rb"))
-    work = pairs.join(a, ["ca", "sa"]).join(b, ["cb", "sb"]).select(
-        "fa", "ra", "fb", "rb", F.expr("ca = cb and sa = sb").alias("same")
-    )
-    return work.transform(batches, _tile_links(radius), "u long, v long")
+    """Edges ``(u, v)`` between fingerprints that connect exactly what links of
+    at most ``radius`` bits connect.  ``prints``: distinct ``fp``."""
+    keys = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(part_masks(radius))])
+    laid = prints.select(F.explode(keys).alias("b"), "fp", F.bit_count("fp").alias("pc"))
+    sizes = cut(laid.groupBy("b").agg(F.count("*").alias("n")).where("n > 1"))
+    laid = laid.join(checked_broadcast(sizes), "b")
+    cool = laid.where(F.col("n") <= tile).select("b", "fp", "pc").repartition("b").sortWithinPartitions("b", "pc")
+    out = cool.select("b", "fp").transform(batches, _bucket_links(radius), "u long, v long")
+    if sizes.where(F.col("n") > tile).isEmpty():
+        return out
+    hot = laid.where(F.col("n") > tile)
+    cells = cut(hot.groupBy("b", "pc").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts")))
+    dealt = hot.join(checked_broadcast(cells), ["b", "pc"]).withColumn("sub", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    tiles = cut(dealt.groupBy("b", "pc", "sub").agg(F.collect_list("fp").alias("f")))
+    one = cells.select("b", F.col("pc").alias("pa"), F.explode(F.expr("sequence(0, parts - 1)")).alias("sa"))
+    # the counts a tile's partner may have: the same up to ``radius`` more
+    one = one.withColumn("pb", F.explode(F.array(*[F.col("pa") + d for d in range(radius + 1)])))
+    two = cells.select("b", F.col("pc").alias("pb"), F.explode(F.expr("sequence(0, parts - 1)")).alias("sb"))
+    pairs = one.join(two, ["b", "pb"]).where("pa < pb or sa <= sb")
+    left = tiles.select("b", F.col("pc").alias("pa"), F.col("sub").alias("sa"), F.col("f").alias("fa"))
+    right = tiles.select("b", F.col("pc").alias("pb"), F.col("sub").alias("sb"), F.col("f").alias("fb"))
+    work = pairs.join(left, ["b", "pa", "sa"]).join(right, ["b", "pb", "sb"]).select("fa", "fb")
+    return out.unionByName(work.transform(batches, _tile_links(radius), "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fp, component_id)``, one row per document."""
     fps = cut(fingerprints(docs, shingle, id_col, text_col))
+    groups = cut(print_groups(fps, radius, tile))
+    return fps.join(groups.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def print_groups(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``(fp, component, component_id, first_fp)`` of every distinct
+    fingerprint: its component, that component's smallest document id and the
+    smallest fingerprint that this document has in it."""
     # copies of a text meet here once, summed on the map side first
-    prints = cut(fps.groupBy("fp", "cell").agg(F.min("doc_id").alias("rep")))
-    comp = components(links(prints, radius, tile))
-    of_print = prints.join(comp, F.col("rep") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
-    )
-    return fps.join(of_print, "fp").select("doc_id", "fp", "component_id")
+    prints = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    comp = components(links(prints.select("fp"), radius, tile))
+    of = cut(prints.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("component", "fp").alias("component")))
+    # the smallest (id, fingerprint), without an id last
+    first = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp"))
+    names = of.groupBy("component").agg(first.alias("first"))
+    return of.join(names, "component").select(
+        "fp", "component", F.col("first.rep").alias("component_id"), F.col("first.fp").alias("first_fp"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,18 +225,34 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id.  Rows
-    that repeat that id count as one document; rows without an id cannot be
-    named by a group and stay."""
-    found = cut(near_duplicates(docs))
-    # joined by broadcast while the list is measured small, else by shuffle
-    drop = checked_broadcast(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__q_drop")).distinct())
-    whole = docs.join(drop, F.col("doc_id") == F.col("__q_drop"), "left_anti")
-    many = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__q_many")).agg(F.count("*").alias("__q_n"))
-    many = checked_broadcast(many.where("__q_n > 1").drop("__q_n"))
+    """One document of each group stays: the one with the smallest (id,
+    fingerprint), documents without an id last; of several rows with that id
+    and fingerprint the first text.  A text is decided by its own fingerprint,
+    whatever other texts have its id."""
+    at = docs.columns.index("text")
+    kinds = StructType([*docs.schema.fields, StructField("__q_fp", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
+            for part in B.slices(named, f"c{at}"):
+                fp = pa.array(text_fingerprints(part.column(at)).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns, fp], [*batch.schema.names, "__q_fp"])
+
+    fps = cut(fingerprints(docs))
+    groups = cut(print_groups(fps))
+    # (id, fingerprint) of the rows that stay by rule, if they are not all there is
+    seen = fps.join(groups, "fp").groupBy("fp", "doc_id", "component_id", "first_fp").agg(F.count("*").alias("n"))
+    stays = (F.col("fp") == F.col("first_fp")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    seen = cut(seen.select(F.col("doc_id").alias("__q_id"), F.col("fp").alias("__q_print"), stays.alias("stays"), "n"))
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col("__q_id")) & (F.col("__q_fp") == F.col("__q_print"))
+    # joined by broadcast while the lists are measured small, else by shuffle
+    drop = checked_broadcast(seen.where("NOT stays").select("__q_id", "__q_print"))
+    whole = docs.transform(batches, run, kinds).join(drop, here, "left_anti")
+    many = checked_broadcast(seen.where("stays AND n > 1").select("__q_id", "__q_print"))
     if many.isEmpty():
-        return whole
-    repeated = F.col("doc_id") == F.col("__q_many")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = whole.join(many, repeated, "left_semi").withColumn("__q_row", first).where("__q_row = 1")
-    return whole.join(many, repeated, "left_anti").unionByName(one.drop("__q_row"))
+        return whole.drop("__q_fp")
+    # a group limit keeps one row a key and task before the shuffle
+    first = F.row_number().over(Window.partitionBy("doc_id", "__q_fp").orderBy("text"))
+    one = whole.join(many, here, "left_semi").withColumn("__q_row", first).where("__q_row = 1").drop("__q_row")
+    return whole.join(many, here, "left_anti").unionByName(one).drop("__q_fp")
