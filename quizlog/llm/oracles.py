@@ -21,22 +21,27 @@ def _list(words: str) -> str:
 
 
 def decontaminate_sql() -> str:
-    """Every alignment of a document with an item, found by equal words, and
-    its longest stretch with the share of equal words."""
+    """Every alignment of a document with an item, found by equal words, its
+    longest stretch with the share of equal words, and the longest of each
+    document and item."""
     n, low, share = decontaminate.MIN_WORDS, decontaminate.MIN_ITEM_WORDS, decontaminate.IDENTITY
-    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words('text')} AS w FROM documents),
-b AS (SELECT row_number() OVER () AS bid, item_id, {_words('text')} AS w FROM benchmark),
+    alone = "".join(f"\\x{{{a:X}}}-\\x{{{z:X}}}" for a, z in decontaminate.UNSPACED_CHARS)
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[{alone}]|[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F{alone}]+')"
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS bid, item_id, {words} AS w FROM benchmark),
 dw AS (SELECT rid, doc_id, unnest(w) AS x, unnest(range(len(w))) AS p FROM d),
-bw AS (SELECT bid, item_id, len(w) AS size, unnest(w) AS x, unnest(range(len(w))) AS p FROM b WHERE len(w) >= {low}),
-al AS (SELECT rid, doc_id, bid, item_id, size, dw.p - bw.p AS zero, bw.p AS p FROM dw JOIN bw USING (x)),
-cand AS (SELECT rid, bid, zero FROM al GROUP BY rid, bid, zero, size HAVING count(*) >= {share} * least({n}, size) - 1e-9),
+bw AS (SELECT bid, item_id, len(w) AS size, CASE WHEN len(w) < {low} THEN 1.0 ELSE {share} END AS share,
+       CASE WHEN len(w) < {low} THEN len(w) ELSE least({n}, len(w)) END AS need, unnest(w) AS x, unnest(range(len(w))) AS p FROM b),
+al AS (SELECT rid, doc_id, bid, item_id, share, need, dw.p - bw.p AS zero, bw.p AS p FROM dw JOIN bw USING (x)),
+cand AS (SELECT rid, bid, zero FROM al GROUP BY rid, bid, zero, share, need HAVING count(*) >= share * need - 1e-9),
 m AS (SELECT al.*, row_number() OVER (PARTITION BY rid, bid, zero ORDER BY p) AS r FROM al JOIN cand USING (rid, bid, zero)),
-st AS (SELECT s.rid, s.doc_id, s.bid, s.item_id, s.size, s.zero, s.p AS a, e.p AS z, e.r - s.r + 1 AS same
+st AS (SELECT s.rid, s.doc_id, s.bid, s.item_id, s.need, s.zero, s.p AS a, e.p AS z, e.r - s.r + 1 AS same
        FROM m s JOIN m e ON s.rid = e.rid AND s.bid = e.bid AND s.zero = e.zero AND s.p <= e.p
-       WHERE e.r - s.r + 1 >= {share} * (e.p - s.p + 1) - 1e-9),
-best AS (SELECT *, row_number() OVER (PARTITION BY rid, bid, zero ORDER BY z - a DESC, z, a) AS k FROM st)
+       WHERE e.r - s.r + 1 >= s.share * (e.p - s.p + 1) - 1e-9),
+best AS (SELECT *, row_number() OVER (PARTITION BY rid, bid ORDER BY z - a DESC, same DESC, zero + a, a) AS k
+         FROM (SELECT *, row_number() OVER (PARTITION BY rid, bid, zero ORDER BY z - a DESC, z, a) AS j FROM st) WHERE j = 1)
 SELECT doc_id, item_id, zero + a AS doc_word, a AS item_word, z - a + 1 AS n_words, same AS n_equal
-FROM best WHERE k = 1 AND z - a + 1 >= least({n}, size)"""
+FROM best WHERE k = 1 AND z - a + 1 >= need"""
 
 
 def chat_sql() -> str:
