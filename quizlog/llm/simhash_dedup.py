@@ -43,6 +43,7 @@ from quizlog.operators.keyed import checked_broadcast
 SHINGLE = 3
 RADIUS = 2
 TILE = 1024
+HELD_PAIRS = 1 << 17
 
 
 def text_fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -114,11 +115,29 @@ def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[far], nodes[label[far]]
 
 
-def _edges(pairs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    pairs = [p for p in pairs if p[0].size]
-    if pairs:
-        u, v = _stars(*(np.concatenate([p[k] for p in pairs]) for k in range(2)))
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+class _Held:
+    """Linked pairs, reduced to stars whenever many are held: what is kept
+    follows the number of fingerprints, however many pairs are linked."""
+
+    def __init__(self):
+        self.pairs, self.size = [], 0
+
+    def add(self, u: np.ndarray, v: np.ndarray) -> None:
+        if u.size:
+            self.pairs.append((u, v))
+            self.size += u.size
+            if self.size > HELD_PAIRS:
+                self._reduce()
+
+    def _reduce(self) -> None:
+        self.pairs = [_stars(*(np.concatenate([p[k] for p in self.pairs]) for k in range(2)))]
+        self.size = 0
+
+    def edges(self) -> Iterator[pa.RecordBatch]:
+        if self.pairs:
+            self._reduce()
+            u, v = self.pairs[0]
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
 def _bucket_links(radius: int):
@@ -127,14 +146,14 @@ def _bucket_links(radius: int):
     def compare(b: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
         word = f.view(np.uint64)
         count = np.bitwise_count(word).astype(np.int16)
-        pairs, i, d = [], np.arange(f.size - 1), 1
+        held, i, d = _Held(), np.arange(f.size - 1), 1
         while i.size:
             i = i[(b[i + d] == b[i]) & (count[i + d] - count[i] <= radius)]
             near = i[np.bitwise_count(word[i] ^ word[i + d]) <= radius]
-            pairs.append((f[near], f[near + d]))
+            held.add(f[near], f[near + d])
             d += 1
             i = i[i + d < f.size]
-        yield from _edges(pairs)
+        yield from held.edges()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, f = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -158,13 +177,13 @@ def _tile_links(radius: int):
             sides = [(np.asarray(batch.column(c).values), np.asarray(batch.column(c).offsets)) for c in ("fa", "fb")]
             for i in range(batch.num_rows):
                 a, b = (v[o[i] : o[i + 1]] for v, o in sides)
-                pairs = []
-                for k in range(0, a.size, 256):
-                    x, y = np.nonzero(np.bitwise_count(a[k : k + 256, None].view(np.uint64) ^ b[None, :].view(np.uint64)) <= radius)
+                held = _Held()
+                for k in range(0, a.size, 64):
+                    x, y = np.nonzero(np.bitwise_count(a[k : k + 64, None].view(np.uint64) ^ b[None, :].view(np.uint64)) <= radius)
                     x += k
                     other = a[x] != b[y]
-                    pairs.append((a[x[other]], b[y[other]]))
-                yield from _edges(pairs)
+                    held.add(a[x[other]], b[y[other]])
+                yield from held.edges()
 
     return run
 
