@@ -13,6 +13,8 @@ folder; ``infer`` takes a test log and that folder.
 from __future__ import annotations
 
 import json
+from functools import reduce
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,23 +24,44 @@ from ..operators import augment, keyed, metrics, model, rank, sequences, vocab
 from ..sources.fixture import logs
 
 MAX_SEQ_LEN = 20
+# Feature versions: 0 plain sequences per learner, 1 split by grade, 2 with
+# target-encoded means beside the codes.
+VERSION = 2
 ARRAY_FEATURES = ("test_mean", "assessment_mean", "tag_mean", "user_acc", "user_total_answer", "interaction")
 
 
-def model_input_table(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int) -> DataFrame:
+def features_of(version: int) -> tuple[str, ...]:
+    """The last-position features that a feature version has."""
+    return ARRAY_FEATURES if version >= 2 else tuple(f for f in ARRAY_FEATURES if f not in sequences.CONT_COLS)
+
+
+def _sequence_id(version: int):
+    return grade_split_id() if version >= 1 else F.col("userID").cast("string")
+
+
+def model_input_table(
+    rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int, version: int = VERSION
+) -> DataFrame:
     """Rows -> one model-input row per sequence: cut to the last ``n`` rows
     first, so only those are encoded and coded."""
     t = sequences.keep_last(rows, n, seq)
-    t = keyed.apply_target_encoder(t, encoder)
+    if version >= 2:
+        t = keyed.apply_target_encoder(t, encoder)
     t = vocab.apply_vocabulary(t, vocabulary)
-    seqs = sequences.collect_sequences(t, seq=seq, max_len=n, conts=sequences.CONT_COLS, is_cut=True)
+    conts = sequences.CONT_COLS if version >= 2 else None
+    seqs = sequences.collect_sequences(t, seq=seq, max_len=n, conts=conts, is_cut=True)
     return sequences.model_input(seqs, n)
 
 
-def augmented_input(rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int, kind: str, **kw) -> DataFrame:
+def augmented_input(
+    rows: DataFrame, encoder, vocabulary: DataFrame, seq: str, n: int, kind: str, version: int = VERSION, **kw
+) -> DataFrame:
     """Like ``model_input_table``, but one model-input row per window or crop
     of a sequence (G7; ``kind`` and ``kw`` as in ``augment.augment``), keyed
     by ``seq`` and the window's number or start.  For training only."""
+    if version < 2:
+        w = augment.augment(vocab.apply_vocabulary(rows, vocabulary), kind, n=n, seq=seq, fields=sequences.SEQ_FIELDS, **kw)
+        return sequences.model_input(w.drop("event_ids"), n)
     t = vocab.apply_vocabulary(keyed.apply_target_encoder(rows, encoder), vocabulary)
     conts = {f"_c{i}": c for i, c in enumerate(sequences.CONT_COLS)}
     w = augment.augment(t, kind, n=n, seq=seq, fields={**sequences.SEQ_FIELDS, **conts}, **kw)
@@ -64,19 +87,20 @@ def fit_encoders(train: DataFrame):
 
 def last_position_features(mi: DataFrame, n: int) -> DataFrame:
     """Features of the last valid position of each model-input row (O2):
-    its three target-encoded means, the interaction token, whether the answer
+    its three target-encoded means (where the input has them), the interaction token, whether the answer
     before was right, the number of earlier kept positions and their accuracy.
     ``label`` is the last answer (null for a hidden target)."""
     valid = F.col("gather_index") + 1
     earlier = F.slice("correct", F.lit(n) - valid + 1, valid - 1)
     earlier_sum = F.aggregate(earlier, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    last = sequences.last_position("conts")
+    means = {}
+    if "conts" in mi.columns:
+        last = sequences.last_position("conts")
+        means = {c: last[i].cast("double") for i, c in enumerate(("test_mean", "assessment_mean", "tag_mean"))}
     last_answer = sequences.last_position("correct")
     return mi.select(
         *[c for c in mi.columns if c not in ("test", "question", "tag", "correct", "mask", "interaction", "conts")],
-        last[0].cast("double").alias("test_mean"),
-        last[1].cast("double").alias("assessment_mean"),
-        last[2].cast("double").alias("tag_mean"),
+        *[v.alias(c) for c, v in means.items()],
         F.when(valid > 1, earlier_sum / (valid - 1)).alias("user_acc"),
         (valid - 1).cast("double").alias("user_total_answer"),
         sequences.last_position("interaction").cast("double").alias("interaction"),
@@ -86,24 +110,26 @@ def last_position_features(mi: DataFrame, n: int) -> DataFrame:
 
 
 def train_examples(
-    train: DataFrame, encoders, n: int = MAX_SEQ_LEN, augmentation: str | None = None, **augment_kw
+    train: DataFrame, encoders, n: int = MAX_SEQ_LEN, augmentation: str | None = None, version: int = VERSION, **augment_kw
 ) -> DataFrame:
-    """One example per (learner, grade) training sequence (Q7 train mode), or
-    with ``augmentation`` (slide or crop) one per window of it."""
+    """One example per training sequence (Q7 train mode: per learner and
+    grade; version 0 per learner), or with ``augmentation`` (slide or crop)
+    one per window of it."""
     enc, voc = encoders
-    t = train.withColumn("seq_id", grade_split_id())
+    t = train.withColumn("seq_id", _sequence_id(version))
     if augmentation:
-        return last_position_features(augmented_input(t, enc, voc, "seq_id", n, augmentation, **augment_kw), n)
-    return last_position_features(model_input_table(t, enc, voc, "seq_id", n), n)
+        return last_position_features(augmented_input(t, enc, voc, "seq_id", n, augmentation, version, **augment_kw), n)
+    return last_position_features(model_input_table(t, enc, voc, "seq_id", n, version), n)
 
 
-def test_examples(test: DataFrame, encoders, n: int = MAX_SEQ_LEN) -> DataFrame:
-    """One example per test learner: only rows of the target's grade (J3),
-    statistics from the training log (Q7 test mode, Q8, Q9)."""
+def test_examples(test: DataFrame, encoders, n: int = MAX_SEQ_LEN, version: int = VERSION) -> DataFrame:
+    """One example per test learner: only rows of the target's grade (J3; in
+    version 0 all rows of a learner with a target), statistics from the
+    training log (Q7 test mode, Q8, Q9)."""
     enc, voc = encoders
-    t = test.withColumn("seq_id", grade_split_id())
+    t = test.withColumn("seq_id", _sequence_id(version))
     t = keyed.keep_target_groups(t, ["seq_id"]).drop("seq_id")
-    return last_position_features(model_input_table(t, enc, voc, "userID", n), n)
+    return last_position_features(model_input_table(t, enc, voc, "userID", n, version), n)
 
 
 def save_encoders(encoders, path: str) -> None:
@@ -122,12 +148,13 @@ def load_encoders(spark: SparkSession, path: str):
 def train(
     train_log: DataFrame,
     path: str,
-    features: tuple[str, ...] = ARRAY_FEATURES,
+    features: tuple[str, ...] | None = None,
     n: int = MAX_SEQ_LEN,
     k: int | None = None,
     seed: int = 42,
     augmentation: dict | None = None,
     candidates: dict[str, dict] | None = None,
+    version: int = VERSION,
     **fit_kw,
 ) -> DataFrame:
     """Fit on all training sequences and save encoders, vocabulary and model
@@ -138,21 +165,30 @@ def train(
     examples are returned.  ``augmentation`` (``{"kind": "slide", ...}``) adds
     windows of the training sequences.  ``candidates`` maps a name to
     ``fit_classifier`` arguments: all are fitted on a ratio split, and the one
-    with the best validation AUROC (M9) is fitted on everything and saved."""
+    with the best validation AUROC (M9) is fitted on everything and saved; every
+    candidate's AUROC, accuracy and log-loss are kept under ``path`` too
+    (``candidate_scores``).  ``version`` is the feature version."""
     spark = train_log.sparkSession
     encoders = fit_encoders(train_log)
     save_encoders(encoders, path)
+    features = features_of(version) if features is None else features
     kw = dict(augmentation or {})
-    ex = keyed.materialize(train_examples(train_log, encoders, n, kw.pop("kind", None), **kw))
+    ex = keyed.materialize(train_examples(train_log, encoders, n, kw.pop("kind", None), version, **kw))
     out = ex
     if candidates:
         split = ex.where("seq_id IS NOT NULL").withColumn("is_train", rank.ratio_flag(ex, "seq_id", 0.7, seed))
         scores = None
         for name, args in sorted(candidates.items()):
             clf = model.fit_classifier(split.where("is_train"), **{"features": features, **fit_kw, **args})
-            valid = model.score(clf, split.where(~F.col("is_train")), keep=("label",))
-            auc = metrics.auroc(valid, target="label").select(F.lit(name).alias("candidate"), "auc")
-            scores = auc if scores is None else scores.unionByName(auc)
+            valid = model.score(clf, split.where(~F.col("is_train")), keep=("label",)).withColumn("candidate", F.lit(name))
+            scores = valid if scores is None else scores.unionByName(valid)
+        # one table of all candidates' scores: each metric is one job for all
+        scores = keyed.materialize(scores)
+        scores = metrics.auroc(scores, target="label", by=["candidate"]).join(
+            metrics.accuracy(scores, target="label", by=["candidate"]), "candidate").join(
+            metrics.log_loss(scores, target="label", by=["candidate"]), "candidate")
+        scores.coalesce(1).write.mode("overwrite").parquet(f"{path}/candidates")  # one row a candidate
+        scores = candidate_scores(spark, path)
         best = metrics.best_candidate(scores).first()["candidate"]
         fit_kw = {**fit_kw, **candidates[best if best is not None else sorted(candidates)[0]]}
         features = fit_kw.pop("features", features)
@@ -162,22 +198,40 @@ def train(
         models = [model.fit_classifier(ex, features, **fit_kw)]
     for i, m in enumerate(models):
         m.save(f"{path}/models/{i}")
-    meta = json.dumps({"n": n, "models": len(models)})
+    meta = json.dumps({"n": n, "models": len(models), "version": version})
     spark.createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/flow")
     return out
 
 
-def infer(test_log: DataFrame, path: str) -> DataFrame:
-    """Submission rows ``id, userID, prediction`` for the hidden answers of
-    ``test_log`` from what ``train`` saved: one model's score, or the soft
-    vote of several (M5)."""
+def candidate_scores(spark: SparkSession, path: str) -> DataFrame:
+    """``candidate, auc, acc, log_loss`` on the validation part, one row per
+    candidate that ``train`` compared."""
+    return spark.read.parquet(f"{path}/candidates")
+
+
+def _votes(test_log: DataFrame, path: str) -> DataFrame:
+    """``userID, prediction`` of every model of a folder."""
     spark = test_log.sparkSession
     meta = json.loads(spark.read.text(f"{path}/flow").first()[0])
-    models = [model.Classifier.load(spark, f"{path}/models/{i}") for i in range(meta["models"])]
-    # One row per test learner: written once, read by the scorers and the ids.
-    tex = keyed.materialize(test_examples(test_log, load_encoders(spark, path), meta["n"]))
-    ids = rank.prediction_ids(tex.select("userID"), "userID")
-    return ids.join(model.vote(models, tex, "userID"), "userID").select("id", "userID", "prediction")
+    # One row per test learner: written once, read by the scorers.
+    tex = keyed.materialize(test_examples(test_log, load_encoders(spark, path), meta["n"], meta.get("version", VERSION)))
+    out = None
+    for i in range(meta["models"]):
+        part = model.score(model.Classifier.load(spark, f"{path}/models/{i}"), tex, keep=("userID",))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def infer(test_log: DataFrame, path: str | Sequence[str]) -> DataFrame:
+    """Submission rows ``id, userID, prediction`` for the hidden answers of
+    ``test_log`` from what ``train`` saved: one model's score, or the soft vote
+    of all models of all folders (M5).  Folders may hold models of other
+    features, versions, encoders and sequence lengths."""
+    paths = [path] if isinstance(path, str) else list(path)
+    votes = reduce(DataFrame.unionByName, [_votes(test_log, p) for p in paths])
+    out = keyed.materialize(metrics.soft_vote(votes, "userID"))  # one row per test learner
+    ids = rank.prediction_ids(out.select("userID"), "userID")
+    return ids.join(out, "userID").select("id", "userID", "prediction")
 
 
 def flow_folder(spark: SparkSession) -> str:

@@ -9,9 +9,10 @@ import tempfile
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import keyed, model, profile, sketch, store
+from ..operators import keyed, model, profile, sketch, store, windows
+from ..sources import layout
 from . import flagship as flow
-from .registry import _BINARY_FOLDS_SQL, _BINARY_SQL, _TESTACC_SQL, BINARY, K_FOLDS, ORACLE, _log, _te_select, _test_acc_rows, _train_test, register, rnd
+from .registry import _BINARY_FOLDS_SQL, _BINARY_SQL, _SEQ_SQL, _TESTACC_SQL, _W, BINARY, EXACT, K_FOLDS, ORACLE, _log, _te_select, _test_acc_rows, _train_test, register, rnd
 
 # ---------------------------------------------------------------- A1-A16 from a store
 
@@ -197,6 +198,115 @@ def q_tree_folds(spark, sf_dir):
     return oof.select("fold", "seq_id", "label", rnd("prediction", 5).alias("prediction"))
 
 
+# ---------------------------------------------------------------- feature versions, votes, candidates
+
+_PLAIN_SQL = _SEQ_SQL.replace("concat(substring(assessmentItemID, 1, 3), cast(userID AS varchar)) AS seq_id", "cast(userID AS varchar) AS seq_id")
+
+
+@register(
+    "m2_train_examples_version0",
+    _PLAIN_SQL
+    + """SELECT seq_id, cast(correct[n] AS double) AS label,
+       round(CASE WHEN n > 1 THEN cast(list_sum(correct[1:n - 1]) AS double) / (n - 1) END, 9) AS user_acc,
+       cast(n - 1 AS double) AS user_total_answer, cast(CASE WHEN n > 1 THEN correct[n - 1] + 1 ELSE 0 END AS double) AS interaction
+FROM z""",
+)
+def q_version0(spark, sf_dir):
+    """Plain sequences: no grade split, no continuous columns."""
+    train, _ = _train_test(spark, sf_dir)
+    ex = flow.train_examples(train, flow.fit_encoders(train), version=0)
+    return ex.select("seq_id", "label", rnd("user_acc").alias("user_acc"), "user_total_answer", "interaction")
+
+
+_PLAIN_BINARY_SQL = _BINARY_SQL.replace("concat(substring(assessmentItemID, 1, 3), cast(userID AS varchar)) AS seq_id", "cast(userID AS varchar) AS seq_id")
+
+
+@register(
+    "m2_m3_version0_submission",
+    f"""WITH {_PLAIN_BINARY_SQL},
+m AS (SELECT x, avg(label) AS m FROM ex GROUP BY x)
+SELECT id, userID, round(m.m, 5) AS prediction FROM tex JOIN m USING (x)""",
+)
+def q_flow0(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    path = flow.flow_folder(spark)
+    flow.train(train, path, version=0, **EXACT)
+    return flow.infer(test, path).select("id", "userID", rnd("prediction", 5).alias("prediction"))
+
+
+@register(
+    "m5_vote_over_folders",
+    f"""WITH {_BINARY_FOLDS_SQL},
+one AS (SELECT x, avg(label) AS m FROM ex GROUP BY x),
+votes AS (SELECT id, userID, m FROM tex JOIN mdl USING (x) UNION ALL SELECT id, userID, m FROM tex JOIN one USING (x))
+SELECT id, userID, round(avg(m), 5) AS prediction FROM votes GROUP BY id, userID""",
+)
+def q_folders(spark, sf_dir):
+    """Five fold models of one training and the single model of another."""
+    train, test = _train_test(spark, sf_dir)
+    paths = [flow.flow_folder(spark) for _ in range(2)]
+    flow.train(train, paths[0], k=K_FOLDS, **EXACT)
+    flow.train(train, paths[1], **EXACT)
+    return flow.infer(test, paths).select("id", "userID", rnd("prediction", 5).alias("prediction"))
+
+
+@register(
+    "m9_candidate_scores",
+    f"""WITH {_BINARY_SQL},
+h AS (SELECT *, row_number() OVER (ORDER BY md5(concat(seq_id, '|', '42')), seq_id) AS r, count(*) OVER () AS n FROM ex),
+tr AS (SELECT * FROM h WHERE r <= floor(n * 0.7)),
+v AS (SELECT 'a_previous' AS candidate, h.label AS y, t.p FROM h JOIN (SELECT x, avg(label) AS p FROM tr GROUP BY x) t USING (x) WHERE r > floor(n * 0.7)
+      UNION ALL SELECT 'b_tree', h.label, t.p FROM h JOIN (SELECT x, avg(label) AS p FROM tr GROUP BY x) t USING (x) WHERE r > floor(n * 0.7)
+      UNION ALL SELECT 'c_boosted', h.label, t.p FROM h JOIN (SELECT x, 1 / (1 + exp(-2 * (2 * avg(label) - 1))) AS p FROM tr GROUP BY x) t
+        USING (x) WHERE r > floor(n * 0.7)),
+a AS (SELECT i.candidate, sum(CASE WHEN i.p > j.p THEN 1.0 WHEN i.p = j.p THEN 0.5 ELSE 0 END) / count(*) AS auc
+      FROM v i JOIN v j ON i.candidate = j.candidate AND i.y = 1 AND j.y = 0 GROUP BY i.candidate)
+SELECT candidate, round(any_value(a.auc), 5) AS auc, round(avg(CASE WHEN (v.p >= 0.5) = (v.y = 1) THEN 1.0 ELSE 0.0 END), 5) AS acc,
+       round(avg(-(v.y * ln(v.p) + (1 - v.y) * ln(1 - v.p))), 5) AS log_loss FROM v JOIN a USING (candidate) GROUP BY candidate""",
+)
+def q_candidates(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    path = flow.flow_folder(spark)
+    flow.train(train, path, features=BINARY, candidates={
+        "a_previous": {"tol": 1e-12, "max_iter": 200}, "b_tree": {"kind": "tree", "maxDepth": 1},
+        "c_boosted": {"kind": "boosted", "max_iter": 1, "maxDepth": 1}})
+    return flow.candidate_scores(spark, path).select("candidate", *[rnd(c, 5).alias(c) for c in ("auc", "acc", "log_loss")])
+
+
+# ---------------------------------------------------------------- S1 by learner
+
+
+def _laid_out(spark, sf_dir, hot_rows):
+    return layout.write_layout(_log(spark, sf_dir), f"{flow.flow_folder(spark)}/layout", buckets=8, hot_rows=hot_rows)
+
+
+@register(
+    "s1_learner_layout_histories",
+    f"""SELECT event_id, userID,
+  round(avg(answerCode) {_W} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 9) AS userID_acc_mean_recentK,
+  row_number() {_W}) AS position FROM interactions""",
+)
+def q_layout(spark, sf_dir):
+    """W3 and positions from the bucketed log; learners above 70 rows split."""
+    s = _laid_out(spark, sf_dir, 70).each(windows.ordered_scan, recent_k=50, bucket_rows=30)
+    mean = F.when(F.col("_rk_cnt") > 0, F.col("_rk_sum") / F.col("_rk_cnt"))
+    return s.select("event_id", "userID", F.round(mean, 9).alias("userID_acc_mean_recentK"), F.col("_rn").cast("long").alias("position"))
+
+
+@register("s1_learner_layout_time_diff")
+def q_layout_w1(spark, sf_dir):
+    return _laid_out(spark, sf_dir, 10**6).each(windows.add_time_diff, outlier_thres=80).select("event_id", "userID", "time_diff")
+
+
+@register("s1_learner_layout_original_order")
+def q_layout_p10(spark, sf_dir):
+    return _laid_out(spark, sf_dir, 70).original_order().select("event_id", "original_order")
+
+
+ORACLE["s1_learner_layout_time_diff"] = ORACLE["w1_time_diff"]
+ORACLE["s1_learner_layout_original_order"] = ORACLE["p10_original_order"]
+
+
 # ---------------------------------------------------------------- X1 with a model file
 
 
