@@ -31,9 +31,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from quizlog.llm import bytetext as B
 from quizlog.llm.components import components
@@ -76,15 +75,22 @@ def text_fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` of every document; fp is the signed view."""
+    """``(doc_id, key, fp)`` of every document: fp is the signed view, key a
+    64-bit hash of the text that Spark computes alike wherever it reads it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in B.slices(batch, "text"):
-                fp = text_fingerprints(part.column(1), shingle)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+                fp = text_fingerprints(part.column(2), shingle)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).transform(batches, run, "doc_id long, fp long")
+    text = F.col(text_col)
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text).alias("key"), text.alias("text"))
+    return chosen.transform(batches, run, "doc_id long, key long, fp long")
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def part_masks(radius: int) -> list[int]:
@@ -246,32 +252,24 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest (id,
     fingerprint), documents without an id last; of several rows with that id
-    and fingerprint the first text.  A text is decided by its own fingerprint,
-    whatever other texts have its id."""
-    at = docs.columns.index("text")
-    kinds = StructType([*docs.schema.fields, StructField("__q_fp", LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for part in B.slices(named, f"c{at}"):
-                fp = pa.array(text_fingerprints(part.column(at)).view(np.int64))
-                yield pa.RecordBatch.from_arrays([*part.columns, fp], [*batch.schema.names, "__q_fp"])
-
+    and fingerprint one.  A text is decided by its own fingerprint, whatever
+    other texts have its id."""
     fps = cut(fingerprints(docs))
     groups = cut(print_groups(fps))
-    # (id, fingerprint) of the rows that stay by rule, if they are not all there is
-    seen = fps.join(groups, "fp").groupBy("fp", "doc_id", "component_id", "first_fp").agg(F.count("*").alias("n"))
+    seen = fps.join(groups, "fp").groupBy("key", "doc_id", "fp", "component_id", "first_fp").agg(F.count("*").alias("n"))
     stays = (F.col("fp") == F.col("first_fp")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
-    seen = cut(seen.select(F.col("doc_id").alias("__q_id"), F.col("fp").alias("__q_print"), stays.alias("stays"), "n"))
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("__q_id")) & (F.col("__q_fp") == F.col("__q_print"))
+    # of several texts with the id and fingerprint that stay, one
+    first = F.min("key").over(Window.partitionBy("doc_id", "fp"))
+    seen = seen.where(stays).withColumn("stays", F.col("key") == first).unionByName(seen.where(~stays).withColumn("stays", F.lit(False)))
+    seen = cut(seen.select(F.col("doc_id").alias("__q_id"), F.col("key").alias("__q_text"), "stays", "n"))
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col("__q_id")) & (F.col("__q_key") == F.col("__q_text"))
     # joined by broadcast while the lists are measured small, else by shuffle
-    drop = checked_broadcast(seen.where("NOT stays").select("__q_id", "__q_print"))
-    whole = docs.transform(batches, run, kinds).join(drop, here, "left_anti")
-    many = checked_broadcast(seen.where("stays AND n > 1").select("__q_id", "__q_print"))
+    drop = checked_broadcast(seen.where("NOT stays").select("__q_id", "__q_text"))
+    whole = docs.withColumn("__q_key", _text_key(F.col("text"))).join(drop, here, "left_anti")
+    many = checked_broadcast(seen.where("stays AND n > 1").select("__q_id", "__q_text"))
     if many.isEmpty():
-        return whole.drop("__q_fp")
-    # a group limit keeps one row a key and task before the shuffle
-    first = F.row_number().over(Window.partitionBy("doc_id", "__q_fp").orderBy("text"))
-    one = whole.join(many, here, "left_semi").withColumn("__q_row", first).where("__q_row = 1").drop("__q_row")
-    return whole.join(many, here, "left_anti").unionByName(one).drop("__q_fp")
+        return whole.drop("__q_key")
+    # rows alike: a group limit keeps one a task before the shuffle
+    alike = F.row_number().over(Window.partitionBy("doc_id", "__q_key").orderBy(F.lit(0)))
+    one = whole.join(many, here, "left_semi").withColumn("__q_row", alike).where("__q_row = 1").drop("__q_row")
+    return whole.join(many, here, "left_anti").unionByName(one).drop("__q_key")
