@@ -306,6 +306,38 @@ def add_interaction_token(df: DataFrame, value: str = "answerCode", name: str =
     return _drop_scan(s.withColumn(name, token.cast("int")))
 
 
+def add_histories(
+    df: DataFrame,
+    recent_k: int = 50,
+    outlier_thres: float = 80,
+    mode: str = "component",
+    value: str = "answerCode",
+    **scan_kw,
+) -> DataFrame:
+    """All history features (W1-W6, Y5 row form) from one ordered scan: the
+    columns of ``add_time_diff``, ``add_cummean``, ``add_recent_mean``,
+    ``add_prior_stats`` and ``add_interaction_token`` with one count of the
+    learners' rows and one shuffle.  Each of those on its own counts and
+    shuffles the log again; they take ``counts=`` to save the count."""
+    s = ordered_scan(df, value=value, recent_k=recent_k, **scan_kw)
+    gap_us = micros("_next_ts") - micros(scan_kw.get("ts", "Timestamp"))
+    secs = seconds_component(gap_us) if mode == "component" else F.floor(gap_us / 1_000_000)
+    v = F.col(value)
+    before = F.col("_cc") - F.when(v.isNotNull(), 1).otherwise(0)
+    right = F.when(before > 0, F.coalesce(F.col("_cs"), F.lit(0)) - F.coalesce(v, F.lit(0))).cast("bigint")
+    place = (F.col("_rn") - 1).cast("int")
+    return s.select(
+        *df.columns,
+        F.when(secs < outlier_thres, secs).cast("bigint").alias("time_diff"),
+        F.when(F.col("_cc") > 0, F.col("_cs") / F.col("_cc")).alias("userID_acc_cummean"),
+        F.when(F.col("_rk_cnt") > 0, F.col("_rk_sum") / F.col("_rk_cnt")).alias("userID_acc_mean_recentK"),
+        right.alias("user_correct_answer"),
+        place.alias("user_total_answer"),
+        F.when(place > 0, right / place).alias("user_acc"),
+        F.when(F.col("_rn").isNotNull(), F.coalesce(F.col("_prev_val") + 1, F.lit(0))).cast("int").alias("interaction"),
+    )
+
+
 # ---------------------------------------------------------------- W7
 
 def family_table(

@@ -273,6 +273,36 @@ def q_candidates(spark, sf_dir):
     return flow.candidate_scores(spark, path).select("candidate", *[rnd(c, 5).alias(c) for c in ("auc", "acc", "log_loss")])
 
 
+# ---------------------------------------------------------------- W1-W6, Y5 from one scan
+
+
+@register(
+    "w1_w6_histories_one_scan",
+    f"""WITH i AS (SELECT event_id, userID, answerCode, "Timestamp", row_number() {_W}) - 1 AS n, lead("Timestamp") {_W}) AS nx,
+  lag(answerCode) {_W}) AS pv, avg(answerCode) {_W} ROWS UNBOUNDED PRECEDING) AS cm,
+  avg(answerCode) {_W} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS rk,
+  sum(answerCode) {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM interactions),
+g AS (SELECT *, ((epoch_us(nx) - epoch_us("Timestamp")) // 1000000) % 86400 AS gap FROM i)
+SELECT event_id, userID, CASE WHEN gap < 80 THEN gap END AS time_diff, round(cm, 9) AS userID_acc_cummean, round(rk, 9) AS userID_acc_mean_recentK,
+  cast(prior AS bigint) AS user_correct_answer, cast(n AS int) AS user_total_answer, round(CASE WHEN n > 0 THEN prior / n END, 9) AS user_acc,
+  cast(coalesce(pv + 1, 0) AS int) AS interaction FROM g""",
+)
+def q_histories(spark, sf_dir):
+    h = windows.add_histories(_log(spark, sf_dir))
+    means = ("userID_acc_cummean", "userID_acc_mean_recentK", "user_acc")
+    return h.select("event_id", "userID", "time_diff", "user_correct_answer", "user_total_answer", "interaction", *[rnd(c).alias(c) for c in means])
+
+
+@register("w1_w6_histories_one_scan_split_learners")
+def q_histories_split(spark, sf_dir):
+    h = windows.add_histories(_log(spark, sf_dir), hot_rows=30, bucket_rows=11)
+    means = ("userID_acc_cummean", "userID_acc_mean_recentK", "user_acc")
+    return h.select("event_id", "userID", "time_diff", "user_correct_answer", "user_total_answer", "interaction", *[rnd(c).alias(c) for c in means])
+
+
+ORACLE["w1_w6_histories_one_scan_split_learners"] = ORACLE["w1_w6_histories_one_scan"]
+
+
 # ---------------------------------------------------------------- S1 by learner
 
 

@@ -44,3 +44,17 @@ def test_double_values_keep_their_type(spark):
     split = windows.ordered_scan(log, value="v", recent_k=6, hot_rows=60, bucket_rows=20).select("event_id", "_rk_sum")
     assert split.schema == plain.schema
     assert sorted(split.collect()) == sorted(plain.collect())
+
+
+@pytest.mark.parametrize("split", [{}, {"hot_rows": 60, "bucket_rows": 20}])
+def test_all_histories_equal_the_single_ones(spark, split):
+    """One scan gives what each operator gives on its own."""
+    log = spark.createDataFrame(rows(7), LOG_SCHEMA)
+    got = windows.add_histories(log, recent_k=6, **split)
+    single = [
+        windows.add_time_diff(log), windows.add_cummean(log), windows.add_recent_mean(log, k=6), windows.add_prior_stats(log),
+        windows.add_interaction_token(log),
+    ]
+    for one in single:
+        cols = ["event_id", *[c for c in one.columns if c not in log.columns]]
+        assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, one.select(cols).collect()))
