@@ -57,16 +57,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Bytes a table takes in memory: 16 a row, strings by their length, any
-    other value by its type's default size.  One aggregate over the table."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes a row takes in memory: 16, strings by their length, any other
+    value by its type's default size."""
     each, fixed = F.lit(0).cast("long"), 16
     for f in df.schema.fields:
         if f.dataType.typeName() in ("string", "binary"):
             each, fixed = each + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)), fixed + 8
         else:
             fixed += 64 if f.dataType.typeName() in ("array", "map", "struct") else 8
-    return int(df.agg(F.coalesce(F.sum(each + fixed), F.lit(0))).first()[0])
+    return each + fixed
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes a table takes in memory; one aggregate over the table."""
+    return int(df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0])
 
 
 def checked_broadcast(stats: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:

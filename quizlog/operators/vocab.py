@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keyed import BROADCAST_MAX_BYTES, materialize, table_bytes
+from .keyed import BROADCAST_MAX_BYTES, materialize, row_bytes
 from .rank import global_rank
 
 CATEGORICAL = ("assessmentItemID", "testId", "KnowledgeTag")
@@ -67,11 +67,15 @@ def apply_vocabulary(
     if not materialized:
         vocab = materialize(vocab)
     used = vocab.where(F.col("column").isin(list(columns)))
-    # The code of ``unknown`` per column, inlined below as a literal.
-    unknown_code = {r["column"]: r["code"] for r in used.where(F.col("label") == UNKNOWN).collect()}
-    if missing := [c for c in columns if c not in unknown_code]:
+    # The code of ``unknown`` per column, inlined below as a literal, and the
+    # size of all columns together, from one job.
+    unknown = F.col("label") == UNKNOWN
+    codes = [F.max(F.when(unknown & (F.col("column") == c), F.col("code"))).alias(f"_c{i}") for i, c in enumerate(columns)]
+    stats = used.agg(F.coalesce(F.sum(row_bytes(used)), F.lit(0)).alias("_bytes"), *codes).first()
+    unknown_code = {c: stats[f"_c{i}"] for i, c in enumerate(columns)}
+    if missing := [c for c in columns if unknown_code[c] is None]:
         raise ValueError(f"the vocabulary has no column {', '.join(missing)}")
-    small = table_bytes(used) <= BROADCAST_MAX_BYTES  # all columns together
+    small = stats["_bytes"] <= BROADCAST_MAX_BYTES
     out = df
     for c in columns:
         v = vocab.where(F.col("column") == c)
