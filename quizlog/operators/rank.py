@@ -131,15 +131,15 @@ def nth_keys(
     again, by their next digits, until a bucket is small enough to fetch.
     The hash spreads keys evenly, so each look keeps one in 65,536 of them:
     two looks at a billion keys.  Nothing is sorted, written or broadcast."""
-    present = keys.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_h", hash_key(key, seed))
-    has_null = not keys.where(F.col(key).isNull()).select(key).limit(1).isEmpty()
+    present = keys.select(key).distinct().withColumn("_h", hash_key(key, seed))
 
-    def looked_at(depth: int, within: list[str] | None) -> dict[str, int]:
+    def looked_at(depth: int, within: list[str] | None) -> dict[str | None, int]:
         d = present if within is None else present.where(F.substring("_h", 1, depth - digits).isin(within))
         return {r["p"]: r["n"] for r in d.groupBy(F.substring("_h", 1, depth).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     depth = digits
     counts = looked_at(depth, None)
+    has_null = counts.pop(None, 0)  # one key at most
     found: list = []
     open_: dict[int, tuple[str, int, int]] = {}  # place in the result -> bucket, rank inside it, size
 

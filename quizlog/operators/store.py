@@ -82,7 +82,7 @@ class StatStore:
         one.write.text(f"{self.path}/manifest/{version:08d}")  # fails where another writer was first
 
     def _write(self, stats: DataFrame) -> str:
-        folder = f"segments/{uuid.uuid4().hex}"
+        folder = f"segments/segment={uuid.uuid4().hex}"
         stats.write.partitionBy("set").parquet(f"{self.path}/{folder}")
         return folder
 
@@ -100,7 +100,6 @@ class StatStore:
         m = self._manifest()
         if batch in m["compacted"]:
             raise ValueError(f"batch {batch} is part of a compacted segment")
-        # Pre-aggregated and dealt by key set, so a segment has few files.
         folder = self._write(partial_stats(log, value))
         self._commit(m, {**m["segments"], batch: folder}, m["compacted"])
 
@@ -120,11 +119,8 @@ class StatStore:
         folders = [f"{self.path}/{f}" for f in sorted(m["segments"].values())]
         if not folders:
             return self.spark.createDataFrame([], kinds)
-        out = None
-        for f in folders:
-            part = self.spark.read.schema(kinds).parquet(f)
-            out = part if out is None else out.unionByName(part)
-        return out
+        read = self.spark.read.schema(kinds).option("basePath", f"{self.path}/segments")
+        return read.parquet(*folders).drop("segment")
 
     @staticmethod
     def _summed(rows: DataFrame) -> DataFrame:
