@@ -58,12 +58,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Bytes a row takes in memory: 16, strings by their length, any other
-    value by its type's default size."""
+    """Bytes a row takes in memory: 16, strings and arrays by their length,
+    any other value by its type's default size."""
     each, fixed = F.lit(0).cast("long"), 16
     for f in df.schema.fields:
         if f.dataType.typeName() in ("string", "binary"):
             each, fixed = each + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)), fixed + 8
+        elif f.dataType.typeName() == "array":
+            inner = f.dataType.elementType
+            item = 16 + 8 * len(inner.fields) if inner.typeName() == "struct" else 16
+            # the size of a null array is -1 in a session without ANSI rules
+            each, fixed = each + item * F.greatest(F.coalesce(F.size(F.col(f"`{f.name}`")), F.lit(0)), F.lit(0)), fixed + 24
         else:
             fixed += 64 if f.dataType.typeName() in ("array", "map", "struct") else 8
     return each + fixed

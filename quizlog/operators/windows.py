@@ -7,15 +7,19 @@ Scale: a ``Window.partitionBy(userID)`` puts one learner's whole history in
 one task.  That is fine for ordinary histories but not for a learner (or a
 bot account) owning a large share of the log.  ``ordered_scan`` therefore
 first counts rows per learner (a partial aggregate) and splits learners with
-more than ``hot_rows`` rows into ordered buckets of about ``bucket_rows`` rows:
-range partitions of their rows, balanced by sampling.  The split rows are
-written once with their bucket number, and everything after reads that table:
-a bucket number derived twice from sampled bounds could differ.
+more than ``hot_rows`` rows into ordered buckets of at most ``bucket_rows``
+rows: consecutive rows of range partitions, which are balanced by sampling.
+How many range partitions there are follows from the rows, not from the
+buckets, so short buckets cost no tasks.  The split rows are written once
+with their bucket number, and everything after reads that table: a bucket
+number derived twice from sampled bounds could differ.
 Inside a bucket the window runs as usual; a small per-bucket table (one row
 per bucket, broadcast after a size check) carries the running offsets, the
 next bucket's first timestamp and the previous bucket's last answer across
 bucket edges; for a frame of the last K rows also the halo, the K - 1 rows
-before the bucket.  Results are identical on both paths.
+before the bucket.  Where buckets are many, these tables are joined instead:
+the rows already lie by (learner, bucket), so only the table is shuffled.
+Results are identical on both paths.
 
 Rows without a learner belong to no history: each is dealt by its own
 tie-breaker, so any number of them spreads over the tasks, and every column
@@ -32,8 +36,11 @@ from .keyed import checked_broadcast, materialize
 
 # Learners with more rows than this are split into ordered buckets.
 HOT_ROWS = 2_000_000
-# Target rows per bucket of a split learner.
+# Most rows per bucket of a split learner, and about the rows of a range partition.
 BUCKET_ROWS = 500_000
+# Bytes of a per-bucket table that is broadcast.  A larger one, from many short
+# buckets, meets the rows where their windows have put them, by (user, bucket).
+EDGE_MAX_BYTES = 8 << 20
 
 SCAN_COLS = ("_len", "_rn", "_cs", "_cc", "_next_ts", "_prev_val", "_rk_sum", "_rk_cnt")
 _ALONE = "_alone"  # null for a learner's rows, spreads rows without a learner
@@ -109,7 +116,7 @@ def _halos(rows: DataFrame, buckets: DataFrame, value: str, user: str, ts: str,
     tails = rows.select(user, "_b", ts, tie, F.col(value).alias("_v")).withColumn("_back", F.row_number().over(last))
     tails = tails.where(F.col("_back") < k).select(user, "_b", "_back", "_v")
     # position = rows before the bucket + rows of the bucket - place from its end + 1
-    tails = tails.join(checked_broadcast(buckets.select(user, "_b", "_on", "_bn")), [user, "_b"]).select(
+    tails = tails.join(checked_broadcast(buckets.select(user, "_b", "_on", "_bn"), EDGE_MAX_BYTES), [user, "_b"]).select(
         user, (F.col("_on") + F.col("_bn") - F.col("_back") + 1).alias("_at"), "_v")
     block = F.floor(F.col("_at") / k)
     wanted = buckets.where(F.col("_on") > 0).select(
@@ -120,20 +127,30 @@ def _halos(rows: DataFrame, buckets: DataFrame, value: str, user: str, ts: str,
     return near.groupBy(user, "_b").agg(F.array_sort(F.collect_list(item)).alias("_halo"))
 
 
+def _range_partitions(df: DataFrame, total: int, bucket_rows: int) -> int:
+    """Range partitions for ``total`` split rows: the session's parallelism,
+    more where they would exceed ``BUCKET_ROWS`` rows, no more than buckets."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(-(-total // bucket_rows), max(tasks, -(-total // BUCKET_ROWS))))
+
+
 def _bucketed_scan(
     df: DataFrame, hot: DataFrame, value: str | None, user: str, ts: str, tie: str, recent_k: int | None, bucket_rows: int
 ) -> DataFrame:
-    # Buckets are range partitions of the hot rows in (user, ts, tie) order:
-    # Spark samples the bounds, so buckets hold about ``bucket_rows`` rows
-    # however bursty a learner's timestamps are, and partition ids follow the
-    # order.  ``hot`` is materialised and holds one row per hot learner, so
-    # its total is read on the driver.
-    total = hot.agg(F.sum("_n")).first()[0]
-    nb = max(1, -(-int(total) // bucket_rows))
+    # Buckets are runs of ``bucket_rows`` rows of range partitions of the hot
+    # rows in (user, ts, tie) order.  Spark samples the bounds, so partitions
+    # are even however bursty a learner's timestamps are; their ids, and the
+    # buckets in each, follow the order.  ``hot`` is materialised and holds one
+    # row per hot learner, so its total is read on the driver.
+    n_ranges = _range_partitions(df, int(hot.agg(F.sum("_n")).first()[0]), bucket_rows)
+    # partition id in the upper bits, the row's place in the partition below
+    row = F.monotonically_increasing_id()
+    place = row % F.lit(1 << 33)
     rows = materialize(
         df.join(checked_broadcast(hot.select(user, F.col("_n").alias("_len"))), user, "inner")
-        .repartitionByRange(nb, F.col(user), F.col(ts), F.col(tie))
-        .withColumn("_b", F.spark_partition_id().cast("long"))
+        .repartitionByRange(n_ranges, F.col(user), F.col(ts), F.col(tie))
+        .sortWithinPartitions(user, ts, tie)
+        .withColumn("_b", row - place + F.floor(place / bucket_rows))
     )
 
     wb = _window(user, ts, tie, ("_b",))
@@ -182,10 +199,10 @@ def _bucketed_scan(
     offsets = rows.groupBy(user, "_b").agg(*named(per)).select(user, "_b", *named(offset), "_bn")
     offsets = materialize(offsets) if halo else offsets
     # One row per bucket: at most (#hot learners + rows / bucket_rows) rows.
-    out = rows.select("*", *named(local)).join(checked_broadcast(offsets.drop("_bn")), [user, "_b"], "inner")
+    out = rows.select("*", *named(local)).join(checked_broadcast(offsets.drop("_bn"), EDGE_MAX_BYTES), [user, "_b"], "inner")
     if halo:
         # At most K - 1 rows a bucket; only the first K - 1 rows of a bucket take them.
-        near = checked_broadcast(_halos(rows, offsets, value, user, ts, tie, recent_k)).alias("_near")
+        near = checked_broadcast(_halos(rows, offsets, value, user, ts, tie, recent_k), EDGE_MAX_BYTES).alias("_near")
         same = (F.col(f"_out.{user}") == F.col(f"_near.{user}")) & (F.col("_out._b") == F.col("_near._b"))
         out = out.alias("_out").join(near, same & (F.col("_out._lrn") < recent_k), "left").select("_out.*", "_near._halo")
     out = out.select(*df.columns, *named(res))
