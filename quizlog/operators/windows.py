@@ -143,17 +143,18 @@ def _bucketed_scan(
     # buckets in each, follow the order.  ``hot`` is materialised and holds one
     # row per hot learner, so its total is read on the driver.
     n_ranges = _range_partitions(df, int(hot.agg(F.sum("_n")).first()[0]), bucket_rows)
-    # partition id in the upper bits, the row's place in the partition below
-    row = F.monotonically_increasing_id()
-    place = row % F.lit(1 << 33)
+    # partition id in the upper bits, the row's place in the partition below:
+    # one number that has the rows' order, and cheaper to sort by
+    place = F.col("_row") % F.lit(1 << 33)
     rows = materialize(
         df.join(checked_broadcast(hot.select(user, F.col("_n").alias("_len"))), user, "inner")
         .repartitionByRange(n_ranges, F.col(user), F.col(ts), F.col(tie))
         .sortWithinPartitions(user, ts, tie)
-        .withColumn("_b", row - place + F.floor(place / bucket_rows))
+        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_b", F.col("_row") - place + F.floor(place / bucket_rows))
     )
 
-    wb = _window(user, ts, tie, ("_b",))
+    wb = Window.partitionBy(user, "_b").orderBy("_row")
     upto = wb.rowsBetween(Window.unboundedPreceding, 0)
     local = {"_lrn": F.row_number().over(wb), "_lnext": F.lead(ts).over(wb)}
     per = {"_bn": F.count(F.lit(1)), "_bfirst": F.min(ts)}
@@ -168,7 +169,7 @@ def _bucketed_scan(
     halo = bool(recent_k) and value is not None
     if value is not None:
         local |= {"_lcs": F.sum(value).over(upto), "_lcc": F.count(value).over(upto), "_lprev": F.lag(value).over(wb)}
-        per |= {"_bs": F.sum(value), "_bc": F.count(value), "_blast": F.max_by(F.col(value), F.struct(ts, tie))}
+        per |= {"_bs": F.sum(value), "_bc": F.count(value), "_blast": F.max_by(F.col(value), F.col("_row"))}
         offset |= {
             "_os": F.coalesce(F.sum("_bs").over(before), F.lit(0)),
             "_oc": F.coalesce(F.sum("_bc").over(before), F.lit(0)),
