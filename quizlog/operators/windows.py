@@ -103,28 +103,26 @@ def _light_scan(
     )
 
 
-def _halos(rows: DataFrame, buckets: DataFrame, value: str, user: str, ts: str, tie: str, k: int) -> DataFrame:
-    """``user, _b, _halo``: the positions and values of the last K - 1 rows
-    before each bucket, in order; buckets that start a history have none.
+def _halos(rows: DataFrame, value: str, user: str, k: int) -> DataFrame:
+    """``user, _b, _halo``: the values of the last K - 1 rows before each
+    bucket, the nearest first; buckets that start a history have none.
 
     They are the last rows of the bucket before (of several, where buckets
-    are shorter than K).  A group limit keeps K - 1 rows of each bucket before
-    anything is shuffled, and those rows meet the buckets by (user, position
-    div K): at most two blocks of positions reach into a bucket's halo, so no
-    log row is joined or sent beyond its bucket."""
-    last = Window.partitionBy(user, "_b").orderBy(F.col(ts).desc(), F.col(tie).desc())
-    tails = rows.select(user, "_b", ts, tie, F.col(value).alias("_v")).withColumn("_back", F.row_number().over(last))
-    tails = tails.where(F.col("_back") < k).select(user, "_b", "_back", "_v")
-    # position = rows before the bucket + rows of the bucket - place from its end + 1
-    tails = tails.join(checked_broadcast(buckets.select(user, "_b", "_on", "_bn"), EDGE_MAX_BYTES), [user, "_b"]).select(
-        user, (F.col("_on") + F.col("_bn") - F.col("_back") + 1).alias("_at"), "_v")
-    block = F.floor(F.col("_at") / k)
-    wanted = buckets.where(F.col("_on") > 0).select(
-        user, "_b", "_on", F.explode(F.array(F.floor(F.col("_on") / k), F.floor(F.col("_on") / k) - 1)).alias("_block"))
-    near = wanted.join(tails.withColumn("_block", block), [user, "_block"]).where(
-        (F.col("_at") <= F.col("_on")) & (F.col("_at") > F.col("_on") - (k - 1)))
-    item = F.struct(F.col("_at").alias("at"), F.col("_v").alias("v"))
-    return near.groupBy(user, "_b").agg(F.array_sort(F.collect_list(item)).alias("_halo"))
+    are shorter than K).  A group limit keeps K - 1 rows of each bucket, as
+    one array a bucket, and buckets take the arrays before them: of the kept
+    rows, counted through a history, a frame reaches K - 1 back, so it holds
+    less than 2 K values however short the buckets are."""
+    last = Window.partitionBy(user, "_b").orderBy(F.col("_row").desc())
+    tails = rows.select(user, "_b", "_row", F.col(value).alias("_v")).withColumn("_back", F.row_number().over(last))
+    item = F.struct(F.col("_back").alias("at"), F.col("_v").alias("v"))
+    tail = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"])
+    tails = tails.where(F.col("_back") < k).groupBy(user, "_b").agg(tail.alias("_tail"))
+    kept = F.sum(F.size("_tail")).over(Window.partitionBy(user).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    wk = Window.partitionBy(user).orderBy("_kept")
+    reach = F.collect_list("_tail").over(wk.rangeBetween(-max(k - 2, 0), 0))
+    near = tails.withColumn("_kept", kept).select(
+        user, "_b", "_kept", F.slice(F.flatten(F.reverse(reach)), 1, k - 1).alias("_upto"))
+    return near.select(user, "_b", F.lag("_upto").over(wk).alias("_halo")).where(F.col("_halo").isNotNull())
 
 
 def _range_partitions(df: DataFrame, total: int, bucket_rows: int) -> int:
@@ -184,12 +182,12 @@ def _bucketed_scan(
     if halo:
         last_k = wb.rowsBetween(-(recent_k - 1), 0)
         local |= {"_lrs": F.sum(value).over(last_k), "_lrc": F.count(value).over(last_k)}
-        # what the frame lacks: the halo's rows at positions after _rn - K
-        reach = F.filter("_halo", lambda x: x["at"] > F.col("_on") + F.col("_lrn") - recent_k)
+        # what the frame lacks: the nearest K - _lrn rows of the halo
+        reach = F.slice("_halo", F.lit(1), F.greatest(F.lit(recent_k) - F.col("_lrn"), F.lit(0)))
         short = (F.col("_lrn") < recent_k) & F.col("_halo").isNotNull()
         kind = rows.select(F.sum(value)).schema[0].dataType
-        more_s = F.when(short, F.aggregate(reach, F.lit(0).cast(kind), lambda a, x: (a + F.coalesce(x["v"], F.lit(0))).cast(kind)))
-        more_c = F.when(short, F.size(F.filter(reach, lambda x: x["v"].isNotNull())))
+        more_s = F.when(short, F.aggregate(reach, F.lit(0).cast(kind), lambda a, x: (a + F.coalesce(x, F.lit(0))).cast(kind)))
+        more_c = F.when(short, F.size(F.filter(reach, lambda x: x.isNotNull())))
         cnt = F.col("_lrc") + F.coalesce(more_c, F.lit(0))
         total = F.coalesce(F.col("_lrs"), F.lit(0)) + F.coalesce(more_s, F.lit(0))
         res |= {"_rk_sum": F.when(cnt > 0, total), "_rk_cnt": cnt}
@@ -197,13 +195,12 @@ def _bucketed_scan(
     def named(cols: dict[str, Column]) -> list[Column]:
         return [c.alias(n) for n, c in cols.items()]
 
-    offsets = rows.groupBy(user, "_b").agg(*named(per)).select(user, "_b", *named(offset), "_bn")
-    offsets = materialize(offsets) if halo else offsets
+    offsets = rows.groupBy(user, "_b").agg(*named(per)).select(user, "_b", *named(offset))
     # One row per bucket: at most (#hot learners + rows / bucket_rows) rows.
-    out = rows.select("*", *named(local)).join(checked_broadcast(offsets.drop("_bn"), EDGE_MAX_BYTES), [user, "_b"], "inner")
+    out = rows.select("*", *named(local)).join(checked_broadcast(offsets, EDGE_MAX_BYTES), [user, "_b"], "inner")
     if halo:
         # At most K - 1 rows a bucket; only the first K - 1 rows of a bucket take them.
-        near = checked_broadcast(_halos(rows, offsets, value, user, ts, tie, recent_k), EDGE_MAX_BYTES).alias("_near")
+        near = checked_broadcast(_halos(rows, value, user, recent_k), EDGE_MAX_BYTES).alias("_near")
         same = (F.col(f"_out.{user}") == F.col(f"_near.{user}")) & (F.col("_out._b") == F.col("_near._b"))
         out = out.alias("_out").join(near, same & (F.col("_out._lrn") < recent_k), "left").select("_out.*", "_near._halo")
     out = out.select(*df.columns, *named(res))

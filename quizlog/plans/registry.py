@@ -1395,7 +1395,7 @@ def q_w1_split(spark, sf_dir):
 
 @register("w3_recent_mean_k50_split_learners")
 def q_w3_split(spark, sf_dir):
-    df = windows.add_recent_mean(_log(spark, sf_dir), k=50, **_SPLIT)
+    df = windows.add_recent_mean(answers(spark, sf_dir), k=50, **_SPLIT)
     return df.select("event_id", "userID", rnd("userID_acc_mean_recentK").alias("userID_acc_mean_recentK"))
 
 
